@@ -348,9 +348,67 @@ agg_station_daily AS (
          coalesce(c.empty_observations, 0) AS empty_observations,
          coalesce(c.full_observations, 0) AS full_observations
   FROM sd_combined c JOIN dim_date d ON c.date_key = d.date_key
-  LEFT JOIN dim_station s ON c.station_key = s.station_key)
+  LEFT JOIN dim_station s ON c.station_key = s.station_key),
+quarantine_trip_t AS (
+  SELECT md5(concat_ws('|', coalesce(batch_id, '<NULL>'), coalesce(ride_id, '<NULL>'),
+           coalesce(CAST(started_at AS VARCHAR), '<NULL>'), coalesce(CAST(ended_at AS VARCHAR), '<NULL>'),
+           coalesce(start_station_id, '<NULL>'), coalesce(end_station_id, '<NULL>'), reason_codes,
+           CAST(n AS VARCHAR))) AS quarantine_id,
+         batch_id, ride_id, started_at, ended_at, start_station_id, end_station_id, reason_codes,
+         CAST(len(string_split(reason_codes, ',')) AS BIGINT) AS rejection_count,
+         CAST(TIMESTAMP '{AS_OF}' AS TIMESTAMP) AS quarantined_at
+  FROM (SELECT *, row_number() OVER (PARTITION BY batch_id, ride_id, started_at, ended_at, start_station_id,
+                  end_station_id, reason_codes ORDER BY start_latitude NULLS FIRST, start_longitude NULLS FIRST,
+                  end_latitude NULLS FIRST, end_longitude NULLS FIRST, member_casual NULLS FIRST,
+                  source_month NULLS FIRST) AS n
+        FROM trip_history WHERE NOT is_valid_trip)),
+quarantine_status_t AS (
+  SELECT md5(concat(coalesce(station_id, '<NULL>'), '|', coalesce(snapshot_id, '<NULL>'), '|',
+           coalesce(kafka_topic, '<NULL>'), '|', CAST(coalesce(kafka_partition, -1) AS VARCHAR), '|',
+           CAST(coalesce(kafka_offset, -1) AS VARCHAR))) AS quarantine_id,
+         station_id, snapshot_id, last_reported, poll_time, kafka_topic, kafka_partition, kafka_offset,
+         reason_codes, CAST(len(string_split(reason_codes, ',')) AS BIGINT) AS rejection_count,
+         poll_time AS invalid_at
+  FROM status_cls WHERE NOT is_valid)
 """
 
 
 def q(select: str) -> str:
     return "WITH" + BASE_CTES + select
+
+
+CHECK_TABLES = {
+    "stg_trip_history": "stg_trip", "stg_station_information": "stg_station", "stg_station_status": "stg_status",
+    "int_station_identity": "identity", "int_trip_history": "trip_history", "int_quarantine_trip": "quarantine_trip_t",
+    "int_station_status": "status_cls", "int_quarantine_station_status": "quarantine_status_t",
+    "dim_date": "dim_date", "dim_station": "dim_station", "fct_trip": "fct_trip", "fct_station_status": "fct_status",
+}
+
+
+def _lit(v):
+    return "'" + str(v).replace("'", "''") + "'"
+
+
+def check_sql(specs) -> str:
+    """One SELECT per check, UNION ALL; counts as in the warehouse's tests."""
+    parts = []
+    for c in specs:
+        t = CHECK_TABLES[c.table]
+        head = f"SELECT {_lit(c.table)} AS \"table\", {_lit(c.column)} AS \"column\", {_lit(c.check)} AS \"check\", "
+        if c.check == "not_null":
+            body = f"CAST(count(*) FILTER (WHERE {c.column} IS NULL) AS BIGINT) AS failures FROM {t}"
+        elif c.check == "accepted_values":
+            vals = ", ".join(_lit(v) for v in c.values)
+            body = f"CAST(count(*) FILTER (WHERE {c.column} IS NOT NULL AND {c.column} NOT IN ({vals})) AS BIGINT) AS failures FROM {t}"
+        elif c.check == "unique":
+            body = (f"CAST(count(*) AS BIGINT) AS failures FROM (SELECT {c.column} FROM {t} WHERE {c.column} IS NOT NULL "
+                    f"GROUP BY {c.column} HAVING count(*) > 1)")
+        elif c.check == "relationships":
+            p = CHECK_TABLES[c.to]
+            body = (f"CAST(count(*) AS BIGINT) AS failures FROM {t} ch LEFT JOIN (SELECT DISTINCT {c.field} AS k FROM {p}) pa "
+                    f"ON ch.{c.column} = pa.k WHERE ch.{c.column} IS NOT NULL AND pa.k IS NULL")
+        else:
+            keys = ", ".join(c.keys)
+            body = f"CAST(count(*) AS BIGINT) AS failures FROM (SELECT {keys} FROM {t} GROUP BY {keys} HAVING count(*) > 1)"
+        parts.append(head + body)
+    return q("\nUNION ALL\n".join(parts))

@@ -106,17 +106,7 @@ def q_fct_trip(spark, root):
     return models(spark, root).fct_trip
 
 
-@register("quarantine_trip", O.q(
-    "SELECT md5(concat_ws('|', coalesce(batch_id, '<NULL>'), coalesce(ride_id, '<NULL>'), "
-    "coalesce(CAST(started_at AS VARCHAR), '<NULL>'), coalesce(CAST(ended_at AS VARCHAR), '<NULL>'), "
-    "coalesce(start_station_id, '<NULL>'), coalesce(end_station_id, '<NULL>'), reason_codes, CAST(n AS VARCHAR))) "
-    "AS quarantine_id, batch_id, ride_id, started_at, ended_at, start_station_id, end_station_id, reason_codes, "
-    "CAST(len(string_split(reason_codes, ',')) AS BIGINT) AS rejection_count, "
-    f"CAST(TIMESTAMP '{O.AS_OF}' AS TIMESTAMP) AS quarantined_at "
-    "FROM (SELECT *, row_number() OVER (PARTITION BY batch_id, ride_id, started_at, ended_at, start_station_id, "
-    "end_station_id, reason_codes ORDER BY start_latitude NULLS FIRST, start_longitude NULLS FIRST, "
-    "end_latitude NULLS FIRST, end_longitude NULLS FIRST, member_casual NULLS FIRST, source_month NULLS FIRST) AS n "
-    "FROM trip_history WHERE NOT is_valid_trip)"))
+@register("quarantine_trip", O.q("SELECT * FROM quarantine_trip_t"))
 def q_quarantine_trip(spark, root):
     return _codes(models(spark, root).quarantine_trip, "rejections")
 
@@ -266,13 +256,7 @@ def q_fct_status(spark, root):
     return models(spark, root).fct_station_status
 
 
-@register("quarantine_status", O.q(
-    "SELECT md5(concat(coalesce(station_id, '<NULL>'), '|', coalesce(snapshot_id, '<NULL>'), '|', "
-    "coalesce(kafka_topic, '<NULL>'), '|', CAST(coalesce(kafka_partition, -1) AS VARCHAR), '|', "
-    "CAST(coalesce(kafka_offset, -1) AS VARCHAR))) AS quarantine_id, station_id, snapshot_id, last_reported, "
-    "poll_time, kafka_topic, kafka_partition, kafka_offset, reason_codes, "
-    "CAST(len(string_split(reason_codes, ',')) AS BIGINT) AS rejection_count, poll_time AS invalid_at "
-    "FROM status_cls WHERE NOT is_valid"))
+@register("quarantine_status", O.q("SELECT * FROM quarantine_status_t"))
 def q_quarantine_status(spark, root):
     return _codes(models(spark, root).quarantine_status, "rejections")
 
@@ -298,3 +282,16 @@ def q_agg_station_daily(spark, root):
     for c in AVG_COLS:
         df = df.withColumn(c, F.round(c, 6))
     return df
+
+
+# ----------------------------------------------------------------- checks ---
+def _check_query(kind: str):
+    from velotide.plans.quality import SPECS, run_model_checks
+
+    def fn(spark, root):
+        return run_model_checks(models(spark, root), (kind,))
+    register(f"check_{kind}", O.check_sql([s for s in SPECS if s.check == kind]))(fn)
+
+
+for _kind in ("not_null", "unique", "accepted_values", "relationships", "grain"):
+    _check_query(_kind)
