@@ -295,3 +295,105 @@ def _check_query(kind: str):
 
 for _kind in ("not_null", "unique", "accepted_values", "relationships", "grain"):
     _check_query(_kind)
+
+
+# --------------------------------------------------------------- analyses ---
+from velotide.plans import analyses as Y  # noqa: E402
+
+
+@register("y1_demand_monthly", O.q(
+    "SELECT year, month, member_casual, trip_count, total_duration_minutes, "
+    "round(trip_count / sum(trip_count) OVER (PARTITION BY year, month), 6) AS trip_share FROM ("
+    "SELECT d.year, d.month, a.member_casual, CAST(sum(a.trip_count) AS BIGINT) AS trip_count, "
+    "CAST(sum(a.total_duration_minutes) AS BIGINT) AS total_duration_minutes "
+    "FROM agg_daily a JOIN dim_date d ON a.date_key = d.date_key GROUP BY d.year, d.month, a.member_casual)"))
+def q_y1_demand_monthly(spark, root):
+    m = models(spark, root)
+    return Y.demand(m.agg_daily_trip_summary, m.dim_date, "month")
+
+
+@register("y1_demand_weekly", O.q(
+    "SELECT iso_year, week, member_casual, trip_count, total_duration_minutes, "
+    "round(trip_count / sum(trip_count) OVER (PARTITION BY iso_year, week), 6) AS trip_share FROM ("
+    "SELECT d.iso_year, d.week, a.member_casual, CAST(sum(a.trip_count) AS BIGINT) AS trip_count, "
+    "CAST(sum(a.total_duration_minutes) AS BIGINT) AS total_duration_minutes "
+    "FROM agg_daily a JOIN dim_date d ON a.date_key = d.date_key GROUP BY d.iso_year, d.week, a.member_casual)"))
+def q_y1_demand_weekly(spark, root):
+    m = models(spark, root)
+    return Y.demand(m.agg_daily_trip_summary, m.dim_date, "week")
+
+
+@register("y2_busiest_stations", O.q(
+    "SELECT a.station_key, a.start_trip_count, a.end_trip_count, a.total_trip_activity, s.station_name, s.capacity, "
+    "round(a.total_trip_activity / s.capacity, 6) AS activity_per_dock "
+    "FROM agg_activity a LEFT JOIN (SELECT * FROM dim_station WHERE station_key IS NOT NULL) s "
+    "ON a.station_key = s.station_key ORDER BY a.total_trip_activity DESC NULLS LAST, a.station_key LIMIT 10"))
+def q_y2_busiest_stations(spark, root):
+    m = models(spark, root)
+    return Y.busiest_stations(m.agg_station_activity, m.dim_station, 10)
+
+
+@register("y3_hour_profile", O.q(
+    "SELECT d.day_of_week, d.day_name, f.start_hour, count(*) AS trip_count, "
+    "round(sum(f.duration_minutes) / count(*), 6) AS avg_duration_minutes "
+    "FROM fct_trip f JOIN dim_date d ON f.start_date_key = d.date_key GROUP BY d.day_of_week, d.day_name, f.start_hour"))
+def q_y3_hour_profile(spark, root):
+    m = models(spark, root)
+    return Y.hour_profile(m.fct_trip, m.dim_date)
+
+
+@register("y4_availability", O.q(
+    "SELECT station_key, CAST(hour(poll_time) AS BIGINT) AS hour_of_day, round(avg(num_bikes_available), 6) "
+    "AS avg_bikes_available, min(num_bikes_available) AS min_bikes_available, round(avg(num_docks_available), 6) "
+    "AS avg_docks_available, count(*) AS observations FROM fct_status WHERE station_key IS NOT NULL "
+    "GROUP BY station_key, hour(poll_time)"))
+def q_y4_availability(spark, root):
+    return Y.availability(models(spark, root).fct_station_status)
+
+
+@register("y5_empty_or_full", O.q(
+    "SELECT *, round(empty_observations / status_observations, 6) AS empty_share, "
+    "round(full_observations / status_observations, 6) AS full_share FROM ("
+    "SELECT station_key, station_name, CAST(sum(status_observations) AS BIGINT) AS status_observations, "
+    "CAST(sum(empty_observations) AS BIGINT) AS empty_observations, "
+    "CAST(sum(full_observations) AS BIGINT) AS full_observations FROM agg_station_daily "
+    "GROUP BY station_key, station_name) WHERE status_observations > 0 "
+    "ORDER BY empty_share DESC NULLS LAST, full_share DESC NULLS LAST, station_key LIMIT 10"))
+def q_y5_empty_or_full(spark, root):
+    return Y.empty_or_full(models(spark, root).agg_station_daily, 10)
+
+
+@register("y6_activity_vs_availability", O.q(
+    "SELECT date_key, station_key, trips_started, trips_ended, total_trip_activity, "
+    "round(avg_bikes_available, 6) AS avg_bikes_available, round(avg_docks_available, 6) AS avg_docks_available, "
+    "empty_observations, full_observations FROM agg_station_daily "
+    "WHERE total_trip_activity > 0 AND status_observations > 0"))
+def q_y6_activity_vs_availability(spark, root):
+    df = Y.activity_vs_availability(models(spark, root).agg_station_daily)
+    return (df.withColumn("avg_bikes_available", F.round("avg_bikes_available", 6))
+            .withColumn("avg_docks_available", F.round("avg_docks_available", 6)))
+
+
+@register("y7_routes", O.q(
+    "SELECT start_station_key, end_station_key, count(*) AS trip_count, "
+    "count_if(member_casual = 'member') AS member_trips, count_if(member_casual = 'casual') AS casual_trips, "
+    "round(avg(duration_minutes), 6) AS avg_duration_minutes FROM fct_trip "
+    "WHERE start_station_key IS NOT NULL AND end_station_key IS NOT NULL GROUP BY start_station_key, end_station_key "
+    "ORDER BY trip_count DESC, start_station_key, end_station_key LIMIT 20"))
+def q_y7_routes(spark, root):
+    return Y.routes(models(spark, root).fct_trip, 20)
+
+
+@register("y8_record_counts", O.q(
+    "SELECT 'batch' AS source, 'raw_trip_history' AS layer, count(*) AS records FROM raw_trips2 "
+    "UNION ALL SELECT 'batch', 'raw_station_information', count(*) FROM raw_stations "
+    "UNION ALL SELECT 'stream', 'raw_station_status', count(*) FROM raw_status "
+    "UNION ALL SELECT 'batch', 'fct_trip', count(*) FROM fct_trip "
+    "UNION ALL SELECT 'stream', 'fct_station_status', count(*) FROM fct_status"))
+def q_y8_record_counts(spark, root):
+    m = models(spark, root)
+    return Y.record_counts({("batch", "raw_trip_history"): m.raw_trips,
+                            ("batch", "raw_station_information"): m.raw_stations,
+                            ("stream", "raw_station_status"): m.raw_status,
+                            ("batch", "fct_trip"): m.fct_trip,
+                            ("stream", "fct_station_status"): m.fct_station_status})
