@@ -412,3 +412,85 @@ def check_sql(specs) -> str:
             body = f"CAST(count(*) AS BIGINT) AS failures FROM (SELECT {keys} FROM {t} GROUP BY {keys} HAVING count(*) > 1)"
         parts.append(head + body)
     return q("\nUNION ALL\n".join(parts))
+
+
+_INT = "('BIGINT', 'UBIGINT')"
+
+
+def _is_int(x):
+    return f"coalesce({x} IN {_INT}, false)"
+
+
+FEED_CTES = f"""
+fr AS (
+  SELECT event_id AS eid, user_id AS uid, ts, CAST(event_id + 1700000000 AS VARCHAR) AS lu,
+         CAST(floor(value) AS BIGINT) AS fv
+  FROM events),
+fr2 AS (
+  SELECT *,
+    CASE WHEN eid % 31 = 0 THEN '5' ELSE '{{"station_id": '
+      || (CASE WHEN eid % 37 = 0 THEN '"  "' WHEN eid % 71 = 0 THEN '123' ELSE '"S' || CAST(uid % 10 AS VARCHAR) || '"' END)
+      || ', "num_bikes_available": ' || (CASE WHEN eid % 43 = 0 THEN '5.0' ELSE CAST(fv % 12 AS VARCHAR) END)
+      || (CASE WHEN eid % 53 = 0 THEN '' ELSE ', "num_bikes_disabled": 0' END)
+      || ', "num_docks_available": ' || (CASE WHEN eid % 47 = 0 THEN '"5"' ELSE CAST(11 - fv % 12 AS VARCHAR) END)
+      || (CASE WHEN eid % 59 = 0 THEN ', "num_docks_disabled": null' WHEN eid % 61 = 0 THEN ', "num_docks_disabled": "x"'
+               ELSE ', "num_docks_disabled": 0' END)
+      || ', "is_installed": 1, "is_renting": 1, "is_returning": ' || (CASE WHEN eid % 41 = 0 THEN 'true' ELSE '1' END)
+      || ', "last_reported": ' || (CASE WHEN eid % 67 = 0 THEN '99999999999999999999' ELSE lu END) || '}}' END AS first_el,
+    '{{"station_id": "S' || CAST((uid + 1) % 10 AS VARCHAR) || '", "num_bikes_available": 3, "num_bikes_disabled": 0, '
+      || '"num_docks_available": 8, "num_docks_disabled": 0, "is_installed": 1, "is_renting": 1, "is_returning": 1, '
+      || '"last_reported": ' || lu || '}}' AS second_el
+  FROM fr),
+feed_resp AS (
+  SELECT 'feed://station_status/' || CAST(eid % 3 AS VARCHAR) AS source_url,
+    CAST(CASE WHEN eid % 139 = 0 THEN 404 WHEN eid % 149 = 0 THEN 503 WHEN eid % 151 = 0 THEN NULL ELSE 200 END AS INTEGER) AS http_status,
+    CASE WHEN eid % 101 = 0 THEN 'not json {{' WHEN eid % 103 = 0 THEN 'null' WHEN eid % 107 = 0 THEN '[1, 2]'
+      ELSE '{{"last_updated": ' || (CASE WHEN eid % 131 = 0 THEN 'true' ELSE lu END)
+        || ', "ttl": ' || (CASE WHEN eid % 127 = 0 THEN '"60"' ELSE '60' END)
+        || ', "data": ' || (CASE WHEN eid % 109 = 0 THEN '"x"' ELSE '{{"stations": '
+          || (CASE WHEN eid % 113 = 0 THEN '{{"a": 1}}' WHEN eid % 137 = 0 THEN '[]'
+                   ELSE '[' || first_el || ', ' || second_el || ']' END) || '}}' END) || '}}' END AS body,
+    ts AS fetched_at
+  FROM fr2),
+feed_j AS (SELECT *, CASE WHEN json_valid(body) THEN body END AS j FROM feed_resp),
+feed_env AS (
+  SELECT *,
+    CASE WHEN http_status IS NULL OR http_status >= 400 THEN 'SKIPPED'
+         WHEN j IS NULL AND NOT (http_status BETWEEN 200 AND 299) THEN 'SKIPPED'
+         WHEN j IS NULL OR json_type(j) = 'NULL' THEN 'INVALID_JSON'
+         WHEN coalesce(json_type(j, '$.data'), '') <> 'OBJECT' THEN 'INVALID_FEED_STRUCTURE'
+         WHEN coalesce(json_type(j, '$.data.stations'), '') <> 'ARRAY' THEN 'INVALID_STATION_DATA'
+         WHEN NOT ({_is_int("json_type(j, '$.last_updated')")} AND {_is_int("json_type(j, '$.ttl')")}) THEN 'INVALID_FEED_METADATA'
+    END AS feed_error,
+    strftime(fetched_at, '%Y-%m-%dT%H:%M:%S.%f') || '+00:00' AS fetched_iso
+  FROM feed_j),
+feed_el AS (
+  SELECT source_url, http_status, fetched_iso, CAST(json_extract(j, '$.last_updated') AS BIGINT) AS feed_last_updated,
+         CAST(json_extract(j, '$.ttl') AS BIGINT) AS feed_ttl, unnest(json_extract(j, '$.data.stations[*]')) AS e
+  FROM feed_env WHERE feed_error IS NULL),
+feed_el2 AS (
+  SELECT *,
+    coalesce(json_type(e) = 'OBJECT' AND json_type(e, '$.station_id') = 'VARCHAR'
+             AND {tws("json_extract_string(e, '$.station_id')")} <> ''
+             AND {_is_int("json_type(e, '$.last_reported')")} AND {_is_int("json_type(e, '$.num_bikes_available')")}
+             AND {_is_int("json_type(e, '$.num_docks_available')")} AND {_is_int("json_type(e, '$.is_installed')")}
+             AND {_is_int("json_type(e, '$.is_renting')")} AND {_is_int("json_type(e, '$.is_returning')")}
+             AND (json_type(e, '$.num_bikes_disabled') IS NULL OR json_type(e, '$.num_bikes_disabled') = 'NULL'
+                  OR {_is_int("json_type(e, '$.num_bikes_disabled')")})
+             AND (json_type(e, '$.num_docks_disabled') IS NULL OR json_type(e, '$.num_docks_disabled') = 'NULL'
+                  OR {_is_int("json_type(e, '$.num_docks_disabled')")}), false) AS valid
+  FROM feed_el)
+"""
+
+FEED_MESSAGES = {
+    "INVALID_JSON": "Station status response is not valid JSON.",
+    "INVALID_FEED_STRUCTURE": "Response data is not an object.",
+    "INVALID_STATION_DATA": "data.stations is not a list.",
+    "INVALID_FEED_METADATA": "last_updated or ttl has an invalid type.",
+    "INVALID_STATION_RECORD": "Station record is missing required fields or has invalid types.",
+}
+FEED_MSG_SQL = "CASE error_type " + " ".join(f"WHEN '{k}' THEN '{v}'" for k, v in FEED_MESSAGES.items()) + " END"
+
+
+def qf(select: str) -> str:
+    return "WITH" + FEED_CTES + select

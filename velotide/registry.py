@@ -397,3 +397,40 @@ def q_y8_record_counts(spark, root):
                             ("stream", "raw_station_status"): m.raw_status,
                             ("batch", "fct_trip"): m.fct_trip,
                             ("stream", "fct_station_status"): m.fct_station_status})
+
+
+# ------------------------------------------------------------------- feed ---
+from velotide.sources import feed as FD  # noqa: E402
+from velotide.sources.fixtures import feed_responses  # noqa: E402
+
+
+@register("feed_classify", O.qf(
+    "SELECT coalesce(feed_error, 'ENVELOPE_OK') AS error_type, count(*) AS n FROM feed_env GROUP BY 1 "
+    "UNION ALL SELECT CASE WHEN valid THEN 'VALID_STATION' ELSE 'INVALID_STATION_RECORD' END, count(*) "
+    "FROM feed_el2 GROUP BY 1"))
+def q_feed_classify(spark, root):
+    apply_job_conf(spark)
+    return FD.feed_classes(feed_responses(spark, root))
+
+
+@register("feed_events", O.qf(
+    "SELECT json_extract_string(e, '$.station_id') AS station_id, "
+    + ", ".join(f"CAST(json_extract(e, '$.{f}') AS BIGINT) AS {f}" for f in
+                ["num_bikes_available", "num_bikes_disabled", "num_docks_available", "num_docks_disabled",
+                 "is_installed", "is_renting", "is_returning", "last_reported"])
+    + ", md5(source_url || '|' || fetched_iso) AS snapshot_id, fetched_iso AS poll_time, feed_last_updated, feed_ttl "
+    "FROM feed_el2 WHERE valid"))
+def q_feed_events(spark, root):
+    apply_job_conf(spark)
+    return FD.classify_feed(feed_responses(spark, root))[0]
+
+
+@register("feed_dlq", O.qf(
+    "SELECT failed_at, source_url, http_status, error_type, " + O.FEED_MSG_SQL + " AS error_message, "
+    "'velotide-feed' AS producer_id FROM ("
+    "SELECT fetched_iso AS failed_at, source_url, http_status, feed_error AS error_type FROM feed_env "
+    "WHERE feed_error IS NOT NULL AND feed_error <> 'SKIPPED' "
+    "UNION ALL SELECT fetched_iso, source_url, http_status, 'INVALID_STATION_RECORD' FROM feed_el2 WHERE NOT valid)"))
+def q_feed_dlq(spark, root):
+    apply_job_conf(spark)
+    return FD.classify_feed(feed_responses(spark, root))[1].drop("raw_body_snippet")

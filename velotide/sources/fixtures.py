@@ -157,3 +157,56 @@ def raw_status(spark: SparkSession, root: str) -> DataFrame:
         instant_from_micros(bucket_us + 1_000_000 + eid).alias("kafka_timestamp"),
         instant_from_micros(bucket_us + 60_000_000 + F.col("replay") * 3_600_000_000).alias("ingested_at"),
     )
+
+
+# --- fixed values: feed-response fixture (event_id divisors per defect) -------
+FEED_URL = "feed://station_status/"
+FEED_EPOCH_SECONDS = 1_700_000_000
+# ----------------------------------------------------------------------------
+
+
+def _txt(c: Column) -> Column:
+    return c.cast("string")
+
+
+def feed_responses(spark: SparkSession, root: str) -> DataFrame:
+    """One fetched feed response per event: a body with two station
+    elements (the first carrying element defects), plus envelope defects and
+    failed fetches chosen by event_id."""
+    ev = load_table(spark, root, "events").select("event_id", "ts", "user_id", "value")
+    eid, uid = F.col("event_id"), F.col("user_id")
+    lu = _txt(eid + FEED_EPOCH_SECONDS)
+    fv = F.floor("value")
+    sid = (F.when(eid % 37 == 0, F.lit('"  "')).when(eid % 71 == 0, F.lit("123"))
+           .otherwise(F.concat(F.lit('"S'), _txt(uid % 10), F.lit('"'))))
+    bikes = F.when(eid % 43 == 0, F.lit("5.0")).otherwise(_txt(fv % 12))
+    docks = F.when(eid % 47 == 0, F.lit('"5"')).otherwise(_txt(F.lit(11) - fv % 12))
+    returning = F.when(eid % 41 == 0, F.lit("true")).otherwise(F.lit("1"))
+    reported = F.when(eid % 67 == 0, F.lit("99999999999999999999")).otherwise(lu)
+    bikes_dis = F.when(eid % 53 == 0, F.lit("")).otherwise(F.lit(', "num_bikes_disabled": 0'))
+    docks_dis = (F.when(eid % 59 == 0, F.lit(', "num_docks_disabled": null'))
+                 .when(eid % 61 == 0, F.lit(', "num_docks_disabled": "x"'))
+                 .otherwise(F.lit(', "num_docks_disabled": 0')))
+    first = F.when(eid % 31 == 0, F.lit("5")).otherwise(F.concat(
+        F.lit('{"station_id": '), sid, F.lit(', "num_bikes_available": '), bikes, bikes_dis,
+        F.lit(', "num_docks_available": '), docks, docks_dis,
+        F.lit(', "is_installed": 1, "is_renting": 1, "is_returning": '), returning,
+        F.lit(', "last_reported": '), reported, F.lit("}")))
+    second = F.concat(
+        F.lit('{"station_id": "S'), _txt((uid + 1) % 10),
+        F.lit('", "num_bikes_available": 3, "num_bikes_disabled": 0, "num_docks_available": 8, '
+              '"num_docks_disabled": 0, "is_installed": 1, "is_renting": 1, "is_returning": 1, "last_reported": '),
+        lu, F.lit("}"))
+    stations = (F.when(eid % 113 == 0, F.lit('{"a": 1}')).when(eid % 137 == 0, F.lit("[]"))
+                .otherwise(F.concat(F.lit("["), first, F.lit(", "), second, F.lit("]"))))
+    data = F.when(eid % 109 == 0, F.lit('"x"')).otherwise(F.concat(F.lit('{"stations": '), stations, F.lit("}")))
+    ttl = F.when(eid % 127 == 0, F.lit('"60"')).otherwise(F.lit("60"))
+    last = F.when(eid % 131 == 0, F.lit("true")).otherwise(lu)
+    body = (F.when(eid % 101 == 0, F.lit("not json {")).when(eid % 103 == 0, F.lit("null"))
+            .when(eid % 107 == 0, F.lit("[1, 2]"))
+            .otherwise(F.concat(F.lit('{"last_updated": '), last, F.lit(', "ttl": '), ttl, F.lit(', "data": '),
+                                data, F.lit("}"))))
+    status = (F.when(eid % 139 == 0, F.lit(404)).when(eid % 149 == 0, F.lit(503))
+              .when(eid % 151 == 0, F.lit(None)).otherwise(F.lit(200)).cast("int"))
+    return ev.select(F.concat(F.lit(FEED_URL), _txt(eid % 3)).alias("source_url"), status.alias("http_status"),
+                     body.alias("body"), F.col("ts").cast("timestamp").alias("fetched_at"))
