@@ -434,3 +434,25 @@ def q_feed_events(spark, root):
 def q_feed_dlq(spark, root):
     apply_job_conf(spark)
     return FD.classify_feed(feed_responses(spark, root))[1].drop("raw_body_snippet")
+
+
+# -------------------------------------------------------------- streaming ---
+from velotide.session import scratch_path  # noqa: E402
+from velotide.sources.fixtures import kafka_status_records  # noqa: E402
+from velotide.streaming import status_stream as SS  # noqa: E402
+
+
+@register("stream_raw_status", O.q(
+    "SELECT " + ", ".join(c for c in SS.RAW_STATUS_COLS if c != "ingested_at") + " FROM raw_status "
+    "WHERE kafka_offset % 199 <> 0 AND station_id IS NOT NULL AND trim(station_id) <> '' "
+    "AND last_reported IS NOT NULL AND num_bikes_available IS NOT NULL AND num_docks_available IS NOT NULL "
+    "AND is_installed IS NOT NULL AND is_renting IS NOT NULL AND is_returning IS NOT NULL"))
+def q_stream_raw_status(spark, root):
+    """The status stream end to end over a file source of Kafka records:
+    parse, structural filter, idempotent foreachBatch sink; read back."""
+    apply_job_conf(spark)
+    work = scratch_path(spark, "stream")
+    kafka_status_records(spark, root).write.parquet(f"{work}/input")
+    events = SS.status_stream(spark, "files", {"path": f"{work}/input", "maxFilesPerTrigger": "2"})
+    SS.start_status_stream(events, f"{work}/raw", f"{work}/checkpoint", {"availableNow": True}).awaitTermination()
+    return spark.read.parquet(f"{work}/raw").drop("batch_id", "ingested_at")

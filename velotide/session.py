@@ -71,3 +71,11 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
         conf_dir = tempfile.mkdtemp(prefix="velotide-ckpt-", dir=os.environ.get("TMPDIR", "/tmp"))
     sc.setCheckpointDir(conf_dir)
     return sc.getCheckpointDir() or conf_dir
+
+
+def scratch_path(spark: SparkSession, name: str) -> str:
+    """A fresh folder under the checkpoint folder (shared on a cluster) for a
+    job's intermediate files: landing copies, stream inputs, checkpoints."""
+    import uuid
+    base = ensure_checkpoint_dir(spark).rstrip("/")
+    return f"{base}/velotide-work/{name}-{uuid.uuid4().hex[:12]}"

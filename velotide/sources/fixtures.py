@@ -210,3 +210,25 @@ def feed_responses(spark: SparkSession, root: str) -> DataFrame:
               .when(eid % 151 == 0, F.lit(None)).otherwise(F.lit(200)).cast("int"))
     return ev.select(F.concat(F.lit(FEED_URL), _txt(eid % 3)).alias("source_url"), status.alias("http_status"),
                      body.alias("body"), F.col("ts").cast("timestamp").alias("fetched_at"))
+
+
+# --- fixed values: Kafka-shaped stream fixture ---------------------------------
+MALFORMED_EVERY = 199
+STREAM_ISO_FORMAT = "yyyy-MM-dd'T'HH:mm:ss.SSSSSSxxx"
+# ----------------------------------------------------------------------------
+
+
+def kafka_status_records(spark: SparkSession, root: str) -> DataFrame:
+    """The status fixture as Kafka records (key, value, topic, partition,
+    offset, timestamp); every 199th offset carries a value that is not JSON.
+    Replayed offsets appear twice, as after a producer retry."""
+    s = raw_status(spark, root)
+    event = F.to_json(F.struct(
+        "station_id", "num_bikes_available", "num_bikes_disabled", "num_docks_available", "num_docks_disabled",
+        "is_installed", "is_renting", "is_returning", "last_reported", "snapshot_id",
+        F.date_format("poll_time", STREAM_ISO_FORMAT).alias("poll_time"), "feed_last_updated", "feed_ttl"))
+    value = F.when(F.col("kafka_offset") % MALFORMED_EVERY == 0, F.lit("{not json")).otherwise(event)
+    return s.select(
+        F.col("station_id").cast("binary").alias("key"), value.cast("binary").alias("value"),
+        F.col("kafka_topic").alias("topic"), F.col("kafka_partition").cast("int").alias("partition"),
+        F.col("kafka_offset").alias("offset"), F.col("kafka_timestamp").alias("timestamp"))
