@@ -135,6 +135,9 @@ raw_stations AS (
     CASE WHEN k % 37 = 36 THEN NULL ELSE -74.0::DOUBLE + CAST(k AS DOUBLE) * 0.001::DOUBLE END AS lon,
     CAST(10 + k % 20 + n AS BIGINT) AS capacity,
     'classic' AS station_type,
+    CAST(NULL AS VARCHAR) AS rental_uris, ['KEY', 'CREDITCARD'] AS rental_methods, true AS has_kiosk,
+    CAST(NULL AS VARCHAR) AS external_id, false AS electric_bike_surcharge_waiver,
+    CAST(NULL AS VARCHAR) AS eightd_station_services, false AS eightd_has_key_dispenser,
     CAST(DATE '2024-01-01' + CAST(n AS INTEGER) AS DATE) AS snapshot_date,
     'station_information_' || strftime(CAST(DATE '2024-01-01' + CAST(n AS INTEGER) AS DATE), '%Y-%m-%d') AS batch_id
   FROM sup2),
@@ -494,3 +497,23 @@ FEED_MSG_SQL = "CASE error_type " + " ".join(f"WHEN '{k}' THEN '{v}'" for k, v i
 
 def qf(select: str) -> str:
     return "WITH" + FEED_CTES + select
+
+
+def status_model(where: str) -> str:
+    """int_station_status over the staged rows matching ``where`` (a run)."""
+    return f"""(
+  SELECT *, reason_codes = '' AS is_valid, is_installed = 1 AS is_active_station,
+         num_bikes_available = 0 AS is_empty, num_docks_available = 0 AS is_full
+  FROM (SELECT *, {_codes(STATUS_REASONS)} AS reason_codes FROM (
+    SELECT * EXCLUDE (rn) FROM (
+      SELECT *, row_number() OVER (PARTITION BY station_id, snapshot_id
+                                   ORDER BY poll_time ASC NULLS FIRST, kafka_timestamp ASC NULLS FIRST,
+                                   ingested_at ASC NULLS FIRST, num_bikes_available NULLS FIRST,
+                                   kafka_offset NULLS FIRST) AS rn
+      FROM (SELECT * EXCLUDE (rn) FROM (
+              SELECT *, row_number() OVER (PARTITION BY kafka_topic, kafka_partition, kafka_offset
+                                           ORDER BY ingested_at ASC NULLS FIRST, station_id NULLS FIRST,
+                                           num_bikes_available NULLS FIRST, snapshot_id NULLS FIRST,
+                                           poll_time NULLS FIRST, kafka_timestamp NULLS FIRST) AS rn
+              FROM stg_status WHERE {where}) WHERE rn = 1))
+    WHERE rn = 1)))"""

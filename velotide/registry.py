@@ -456,3 +456,156 @@ def q_stream_raw_status(spark, root):
     events = SS.status_stream(spark, "files", {"path": f"{work}/input", "maxFilesPerTrigger": "2"})
     SS.start_status_stream(events, f"{work}/raw", f"{work}/checkpoint", {"availableNow": True}).awaitTermination()
     return spark.read.parquet(f"{work}/raw").drop("batch_id", "ingested_at")
+
+
+# ------------------------------------------------- landing and incremental ---
+from velotide import schemas as SCH  # noqa: E402
+from velotide.operators import incremental as INC  # noqa: E402
+from velotide.plans import trips as TR  # noqa: E402
+from velotide.sources import fixtures as FX  # noqa: E402
+from velotide.sources import ingest as ING  # noqa: E402
+
+RAW_TRIP_COLS = ", ".join(f.name for f in SCH.TRIP_RAW.fields)
+FIRST_MONTH, SECOND_MONTH = "2024-01-01", "2024-02-01"
+
+
+def _land_csv_months(spark, root, compat=None, rerun_first=False):
+    """Publish the fixture trips as monthly CSV files, then land every month
+    (optionally re-running the first) and return the landed raw table."""
+    work = scratch_path(spark, "landing")
+    trips = FX.raw_trips(spark, root).filter(F.col("started_at").isNotNull())
+    months = sorted(r[0] for r in trips.select("source_month").distinct().collect())  # a few months
+    for m in months:
+        ING.write_trip_csv(trips.filter(F.col("source_month") == F.lit(m)), f"{work}/landing/source_month={m:%Y-%m}")
+    runs = months + (months[:1] if rerun_first else [])
+    for m in runs:
+        df = ING.read_trip_csv(spark, ING.batch_paths(spark, f"{work}/landing", str(m)), m)
+        ING.land_trip_batch(df, f"{work}/raw", m, compat=compat)
+    return ING.read_landed_trips(spark, f"{work}/raw", compat)
+
+
+@register("ingest_trip_batches", O.q(f"SELECT {RAW_TRIP_COLS} FROM raw_trips2 WHERE started_at IS NOT NULL"))
+def q_ingest_trip_batches(spark, root):
+    apply_job_conf(spark)
+    return _land_csv_months(spark, root)
+
+
+@register("batch_rerun", O.q(f"SELECT {RAW_TRIP_COLS} FROM raw_trips2 WHERE started_at IS NOT NULL"))
+def q_batch_rerun(spark, root):
+    """Landing the first month twice leaves one copy of it."""
+    apply_job_conf(spark)
+    return _land_csv_months(spark, root, rerun_first=True)
+
+
+@register("day_replace_compat", O.q(
+    f"SELECT {RAW_TRIP_COLS} FROM raw_trips2 WHERE started_at IS NOT NULL AND NOT ("
+    f"source_month = DATE '{FIRST_MONTH}' AND CAST(started_at AS DATE) IN (SELECT CAST(started_at AS DATE) "
+    f"FROM raw_trips2 WHERE source_month = DATE '{SECOND_MONTH}' AND started_at IS NOT NULL))"))
+def q_day_replace_compat(spark, root):
+    """The reference's day-partition loads: the later batch erases the
+    earlier batch's rows of a shared day."""
+    apply_job_conf(spark)
+    return _land_csv_months(spark, root, compat="last_batch_wins")
+
+
+@register("latest_batch", O.q(
+    "SELECT CAST(date_trunc('month', max(source_month)) AS DATE) AS latest_source_month FROM raw_trips2"))
+def q_latest_batch(spark, root):
+    apply_job_conf(spark)
+    return ING.latest_batch_frame(FX.raw_trips(spark, root))
+
+
+@register("incremental_month", O.q(f"SELECT * FROM fct_trip WHERE source_month = DATE '{FIRST_MONTH}'"))
+def q_incremental_month(spark, root):
+    return models(spark, root, source_month=FIRST_MONTH).fct_trip
+
+
+FCT_TRIP_COLS = ["ride_id", "rideable_type", "started_at", "ended_at", "start_station_id", "end_station_id",
+                 "start_station_key", "end_station_key", "duration_minutes", "start_date", "end_date",
+                 "start_date_key", "end_date_key", "start_hour", "start_latitude", "start_longitude",
+                 "end_latitude", "end_longitude", "member_casual", "source_month", "batch_id"]
+
+
+def _incremental_fct_trip(spark, root, compat=None):
+    work = scratch_path(spark, "fct_trip")
+    for m in (FIRST_MONTH, SECOND_MONTH):
+        fct = models(spark, root, source_month=m).fct_trip
+        INC.replace_partitions(fct, work, INC.trip_partitioning(compat), sort_by=["started_at"], salt_col="ride_id")
+    df = spark.read.parquet(work)
+    return df.withColumn("start_date", F.col("start_date").cast("date")).withColumn(
+        "source_month", F.col("source_month").cast("date")).select(*FCT_TRIP_COLS)
+
+
+@register("incremental_fct_trip", O.q("SELECT * FROM fct_trip"))
+def q_incremental_fct_trip(spark, root):
+    """fct_trip built batch by batch equals the full build (partitioned by
+    source month and day, no batch erases another)."""
+    return _incremental_fct_trip(spark, root)
+
+
+@register("incremental_fct_trip_compat", O.q(
+    f"SELECT * FROM fct_trip WHERE NOT (source_month = DATE '{FIRST_MONTH}' AND start_date IN ("
+    f"SELECT start_date FROM fct_trip WHERE source_month = DATE '{SECOND_MONTH}'))"))
+def q_incremental_fct_trip_compat(spark, root):
+    return _incremental_fct_trip(spark, root, compat="last_batch_wins")
+
+
+HW_FIRST_RUN_END, HW_DAY = "2024-01-20", "2024-01-19"
+
+
+@register("highwater_status", O.q(
+    f"SELECT {STATUS_SQL_COLS}, reason_codes, is_valid, is_active_station, is_empty, is_full FROM "
+    + O.status_model(f"poll_time < TIMESTAMP '{HW_FIRST_RUN_END}'")
+    + f" WHERE CAST(poll_time AS DATE) < DATE '{HW_DAY}' UNION ALL "
+    f"SELECT {STATUS_SQL_COLS}, reason_codes, is_valid, is_active_station, is_empty, is_full FROM "
+    + O.status_model(f"poll_time >= TIMESTAMP '{HW_DAY}'")))
+def q_highwater_status(spark, root):
+    """Two runs of int_station_status: the first up to 19 Jan, the second
+    from the target's high-water day on, replacing the days it touches."""
+    m = models(spark, root)
+    work = scratch_path(spark, "status")
+    stg = m.stg_status
+    first = S.station_status(stg.filter(F.col("poll_time") < F.lit(HW_FIRST_RUN_END).cast("timestamp")))
+    INC.replace_partitions(first.withColumn("poll_day", F.to_date("poll_time")), work, ["poll_day"])
+    hw = INC.high_water_day(spark, work, "poll_time")
+    second = S.station_status(stg, since_day=hw)
+    INC.replace_partitions(second.withColumn("poll_day", F.to_date("poll_time")), work, ["poll_day"])
+    return _codes(spark.read.parquet(work).drop("poll_day"))
+
+
+STATION_RAW_COLS = [f.name for f in SCH.STATION_RAW.fields]
+STATION_RAW_SQL = ", ".join(c if c != "rental_methods" else "array_to_string(rental_methods, ',') AS rental_methods"
+                            for c in STATION_RAW_COLS)
+
+
+def _station_out(df):
+    return df.withColumn("rental_methods", F.array_join("rental_methods", ",")).select(*STATION_RAW_COLS)
+
+
+@register("station_feed_landing", O.q(f"SELECT {STATION_RAW_SQL} FROM raw_stations"))
+def q_station_feed_landing(spark, root):
+    """Station snapshots published as feed documents (at most 1,000 stations
+    each), read element by element, landed by snapshot day, read back."""
+    apply_job_conf(spark)
+    work = scratch_path(spark, "stations")
+    st = FX.raw_stations(spark, root)
+    days = sorted(r[0] for r in st.select("snapshot_date").distinct().collect())  # a few days
+    elem = [F.col(f.name) for f in SCH.STATION_INFO.fields]
+    for d in days:
+        docs = (st.filter(F.col("snapshot_date") == F.lit(d))
+                .withColumn("chunk", F.floor(F.regexp_extract("station_id", "[0-9]+", 0).cast("bigint") / 1000))
+                .groupBy("chunk").agg(F.collect_list(F.struct(*elem)).alias("stations"))
+                .select(F.to_json(F.struct(F.lit(1704067200).alias("last_updated"), F.lit(60).alias("ttl"),
+                                           F.struct(F.col("stations").alias("stations")).alias("data"))).alias("value")))
+        docs.write.text(f"{work}/feed/{d}")
+        ING.land_station_snapshot(ING.read_station_feed(spark, f"{work}/feed/{d}", d, multi_line=False), f"{work}/raw")
+    landed = spark.read.parquet(f"{work}/raw/station_information")
+    return _station_out(landed)
+
+
+@register("station_ndjson_load", O.q(f"SELECT {STATION_RAW_SQL} FROM raw_stations"))
+def q_station_ndjson_load(spark, root):
+    apply_job_conf(spark)
+    work = scratch_path(spark, "ndjson")
+    FX.raw_stations(spark, root).write.json(f"{work}/stations")
+    return _station_out(ING.read_station_ndjson(spark, f"{work}/stations"))
