@@ -97,15 +97,34 @@ STATUS_RULES = [
 # ----------------------------------------------------------------------------
 
 
+REASON_TYPE = "array<struct<reason_code:string,failed_field:string,reason_detail:string>>"
+
+
 def rejections(rules: list[Rule]) -> Column:
-    """Array of the rejection structs whose condition holds, in rule order."""
+    """Array of the rejection structs whose condition holds, in rule order.
+
+    Built as a ``concat`` of zero- or one-element arrays, which Spark
+    compiles with the rest of the projection; a higher-order ``filter``
+    over an array of nullable entries would be evaluated row by row in
+    interpreted mode."""
+    empty = F.array().cast(REASON_TYPE)
     entries = [
-        F.when(r.condition(), F.struct(F.lit(r.code).alias("reason_code"),
-                                       F.lit(r.field).alias("failed_field"),
-                                       F.lit(r.detail).alias("reason_detail")))
+        F.when(r.condition(), F.array(F.struct(F.lit(r.code).alias("reason_code"),
+                                               F.lit(r.field).alias("failed_field"),
+                                               F.lit(r.detail).alias("reason_detail")))).otherwise(empty)
         for r in rules
     ]
-    return F.filter(F.array(*entries), lambda x: x.isNotNull())
+    return F.concat(*entries)
+
+
+def passes(rules: list[Rule]) -> Column:
+    """True when no rule holds (a null condition does not reject), i.e.
+    ``size(rejections(rules)) = 0`` -- as a plain predicate, so a filter on
+    it is cheap wherever the optimizer moves it."""
+    any_fail = rules[0].condition()
+    for r in rules[1:]:
+        any_fail = any_fail | r.condition()
+    return ~F.coalesce(any_fail, F.lit(False))
 
 
 def reject(df: DataFrame, rules: list[Rule], name: str = "rejection_reasons") -> DataFrame:

@@ -1,10 +1,11 @@
 """Broadcast only what is proven small.
 
 A dimension derived from the data (station identity, station dimension) has
-no static bound, so its size is *measured*: it is materialised once with a
-reliable checkpoint (``spark.checkpoint.dir``, a shared folder on a cluster,
-which also cuts the lineage so the trips are not re-read), counted, and
-broadcast only under the bound.  Above the bound the plain DataFrame is
+no static bound, so its size is *measured*: it is written once as a parquet
+table under ``spark.checkpoint.dir`` (a shared folder on a cluster; this
+also cuts the lineage, so a lost executor never re-reads the trips for it),
+counted from the file footers, and broadcast only under the bound.  (An RDD
+checkpoint of an unpersisted plan would compute it twice.)  Above the bound the plain DataFrame is
 returned and Spark plans a shuffle join.  A calendar has a bound known from
 its parameters and can use ``F.broadcast`` directly."""
 
@@ -13,16 +14,17 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from velotide.session import ensure_checkpoint_dir
+from velotide.session import scratch_path
 
 # rows a broadcast side may hold (a few hundred bytes each -> tens of MB)
 DEFAULT_MAX_ROWS = 200_000
 
 
-def materialise(df: DataFrame) -> DataFrame:
-    """Reliable checkpoint: survives executor loss, cuts the lineage."""
-    ensure_checkpoint_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
+def materialise(df: DataFrame, name: str = "dim") -> DataFrame:
+    """Write ``df`` once to the shared checkpoint folder and read it back."""
+    path = scratch_path(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.parquet(path)
 
 
 def bounded_broadcast(df: DataFrame, max_rows: int = DEFAULT_MAX_ROWS,

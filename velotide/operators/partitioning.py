@@ -1,0 +1,19 @@
+"""Input parallelism.
+
+A scan yields one task per file split; a small input stored as one row group
+(the test tables) gives a single task, and everything fused into that scan
+stage -- projections, broadcast joins, rule arrays -- runs on one core.
+``spread`` adds a round-robin repartition only when the scan has fewer
+partitions than the cluster has cores.  On a large input the scan already
+has far more splits than cores, so it is a no-op there (no extra shuffle)."""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame
+
+
+def spread(df: DataFrame, min_partitions: int | None = None) -> DataFrame:
+    target = min_partitions or df.sparkSession.sparkContext.defaultParallelism
+    if df.rdd.getNumPartitions() < target:
+        return df.repartition(target)
+    return df

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from velotide.functions.columns import date_key
-from velotide.functions.rules import STATUS_RULES, rejections
+from velotide.functions.rules import STATUS_RULES, passes, rejections
 from velotide.operators.broadcast import bounded_broadcast
 from velotide.operators.dedup import first_by
 
@@ -36,7 +36,7 @@ def dedup_logical(df: DataFrame) -> DataFrame:
 def classify_status(df: DataFrame) -> DataFrame:
     return (df.select(*STATUS_COLS)
             .withColumn("rejection_reasons", rejections(STATUS_RULES))
-            .withColumn("is_valid", F.size("rejection_reasons") == 0)
+            .withColumn("is_valid", passes(STATUS_RULES))
             .withColumn("is_active_station", F.col("is_installed") == 1)
             .withColumn("is_empty", F.col("num_bikes_available") == 0)
             .withColumn("is_full", F.col("num_docks_available") == 0))

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from velotide.functions.columns import date_key, minute_diff, row_md5
-from velotide.functions.rules import TRIP_RULES, reason_codes, rejections
+from velotide.functions.rules import TRIP_RULES, passes, reason_codes, rejections
 from velotide.operators.broadcast import bounded_broadcast
 
 TRIP_HISTORY_COLS = [
@@ -45,7 +45,7 @@ def trip_history(stg: DataFrame, identity: DataFrame, source_month=None,
                        F.col("station_key").alias("end_station_key"),
                        F.col("mapping_status").alias("end_station_mapping_status"))
     t = t.join(start, "start_station_id", "left").join(end, "end_station_id", "left")
-    return t.withColumn("is_valid_trip", F.size("rejection_reasons") == 0).select(*TRIP_HISTORY_COLS)
+    return t.withColumn("is_valid_trip", passes(TRIP_RULES)).select(*TRIP_HISTORY_COLS)
 
 
 def fct_trip(history: DataFrame, source_month=None) -> DataFrame:

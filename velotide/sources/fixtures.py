@@ -16,6 +16,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from velotide.functions.columns import epoch_micros_ntz, instant_from_micros, ntz_plus_seconds
+from velotide.operators.partitioning import spread
 from velotide.sources.tables import load_table
 
 # --- fixed values of the fixture ---------------------------------------------
@@ -57,8 +58,8 @@ def _lng(k: Column, bad: Column) -> Column:
 
 def raw_trips(spark: SparkSession, root: str) -> DataFrame:
     """The 15 columns of the raw trip table (13 CSV columns + provenance)."""
-    li = load_table(spark, root, "lineitem").select(
-        "l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_quantity", "l_returnflag", "l_linestatus")
+    li = spread(load_table(spark, root, "lineitem").select(
+        "l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_quantity", "l_returnflag", "l_linestatus"))
     sup = load_table(spark, root, "supplier").select("s_suppkey", "s_nationkey")
     start_sup = sup.select(F.col("s_suppkey").alias("l_suppkey"), F.col("s_nationkey").alias("start_nat"))
     # end stations are suppliers 0..9 only: a key range, so at most 10 rows
@@ -129,7 +130,7 @@ def raw_status(spark: SparkSession, root: str) -> DataFrame:
     """The 18 columns of the raw station_status table: one row per event,
     plus a replay (same Kafka coordinates, ingested an hour later) of every
     50th event.  The replay is an explode, so the events are scanned once."""
-    ev = load_table(spark, root, "events").select("event_id", "ts", "user_id", "value")
+    ev = spread(load_table(spark, root, "events").select("event_id", "ts", "user_id", "value"))
     eid = F.col("event_id")
     ev = ev.withColumn("replay", F.explode(F.when(eid % 50 == 0, F.array(F.lit(0), F.lit(1))).otherwise(F.array(F.lit(0)))))
     b = F.floor(epoch_micros_ntz("ts") / POLL_MICROS)
@@ -173,7 +174,7 @@ def feed_responses(spark: SparkSession, root: str) -> DataFrame:
     """One fetched feed response per event: a body with two station
     elements (the first carrying element defects), plus envelope defects and
     failed fetches chosen by event_id."""
-    ev = load_table(spark, root, "events").select("event_id", "ts", "user_id", "value")
+    ev = spread(load_table(spark, root, "events").select("event_id", "ts", "user_id", "value"))
     eid, uid = F.col("event_id"), F.col("user_id")
     lu = _txt(eid + FEED_EPOCH_SECONDS)
     fv = F.floor("value")
