@@ -81,3 +81,13 @@ def test_run_log(spark, tmp_dir):
     assert s["t2"]["attempts"] == 2 and s["t2"]["last_status"] == SUCCESS and s["t2"]["last_try"] == 2
     first = log_rows(spark, [dict(run_id="r", task_id="x", try_number=1, status=FAILED, error_message="boom")])
     assert attempt_summary(first).first()["last_error"] == "boom"
+
+
+def test_copy_ordinal_spreads_hot_group(spark):
+    from velotide.plans.trips import copy_ordinal
+    df = spark.range(0, 3000, 1, 6).select(
+        F.when(F.col("id") % 3 == 0, F.lit("hot")).otherwise(F.col("id").cast("string")).alias("k"), "id")
+    out = copy_ordinal(df, "k", ["id"])
+    hot = [r["__ordinal"] for r in out.filter("k = 'hot'").collect()]
+    assert sorted(hot) == list(range(1, 1001))
+    assert out.filter("k != 'hot'").agg(F.max("__ordinal")).first()[0] == 1

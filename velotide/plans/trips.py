@@ -63,21 +63,36 @@ def fct_trip(history: DataFrame, source_month=None) -> DataFrame:
 QUARANTINE_ID_COLS = ["batch_id", "ride_id", "started_at", "ended_at", "start_station_id", "end_station_id"]
 
 
+def copy_ordinal(df: DataFrame, key: str, order: list[str]) -> DataFrame:
+    """Number the rows sharing ``key`` 1..n without sending a group to one
+    task: rows are numbered within (key, input partition), and each
+    (key, partition) gets the offset of the partitions before it from a
+    small count table (one row per key and partition).  A group of copies
+    holding a third of all rows is spread over the tasks it came from."""
+    d = df.withColumn("__p", F.spark_partition_id())
+    w = Window.partitionBy(key, "__p").orderBy(*[F.col(c).asc_nulls_first() for c in order])
+    d = d.withColumn("__r", F.row_number().over(w))
+    counts = d.groupBy(key, "__p").agg(F.count(F.lit(1)).alias("__n"))
+    before = Window.partitionBy(key).orderBy("__p").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = counts.withColumn("__off", F.coalesce(F.sum("__n").over(before), F.lit(0))).drop("__n")
+    return d.join(offsets, [key, "__p"]).withColumn("__ordinal", F.col("__off") + F.col("__r")).drop(
+        "__p", "__r", "__off")
+
+
 def quarantine_trip(history: DataFrame, as_of) -> DataFrame:
     """Rejected trips, one row each.
 
     The id is an md5 of the identifying columns, the reason codes and the
-    row's ordinal among rows equal in all of those (deterministic, unlike a
-    random uuid); ``as_of`` replaces the wall clock so reruns are equal.  Only
-    exact repeats share a window group, and ordering them by the remaining
-    columns makes the ordinal stable."""
+    row's ordinal among rows equal in all of those (deterministic for a
+    given input, unlike a random uuid); ``as_of`` replaces the wall clock so
+    reruns are equal.  Rows equal in the id columns are numbered by
+    ``copy_ordinal``, ordered by their remaining columns."""
     bad = history.filter(~F.col("is_valid_trip")).withColumn("__codes", reason_codes("rejection_reasons"))
     basis = QUARANTINE_ID_COLS + ["__codes"]
     rest = ["start_latitude", "start_longitude", "end_latitude", "end_longitude", "member_casual", "source_month"]
-    w = Window.partitionBy(*basis).orderBy(*[F.col(c).asc_nulls_first() for c in rest])
-    bad = bad.withColumn("__n", F.row_number().over(w))
+    bad = copy_ordinal(bad.withColumn("__key", row_md5(*basis)), "__key", rest)
     return bad.select(
-        row_md5(*basis, "__n").alias("quarantine_id"),
+        row_md5(*basis, "__ordinal").alias("quarantine_id"),
         "batch_id", "ride_id", "started_at", "ended_at", "start_station_id", "end_station_id",
         F.col("rejection_reasons").alias("rejections"),
         F.size("rejection_reasons").cast("bigint").alias("rejection_count"),
