@@ -64,10 +64,10 @@ def daily_transform(spark: SparkSession, raw_trips: DataFrame, raw_stations: Dat
         by = INC.trip_partitioning(compat)
         step("int_trip_history", lambda: INC.replace_partitions(hist, f"{out}/int_trip_history", by, full_refresh,
                                                                  salt_col="ride_id"))
-        hist_t = table("int_trip_history")
-        if month is not None:
-            hist_t = INC.for_month(hist_t, month)
-        step("int_quarantine_trip", lambda: write("int_quarantine_trip", trips.quarantine_trip(hist_t, as_of)))
+        hist_all = table("int_trip_history")
+        hist_t = hist_all if month is None else INC.for_month(hist_all, month)
+        # full-rebuild table: all rejected trips, every batch
+        step("int_quarantine_trip", lambda: write("int_quarantine_trip", trips.quarantine_trip(hist_all, as_of)))
         target = f"{out}/int_station_status"
         since = None if full_refresh else INC.high_water_day(spark, target, "poll_time")
         st = status.station_status(stg_status, since).withColumn("poll_day", F.to_date("poll_time"))
@@ -80,11 +80,21 @@ def daily_transform(spark: SparkSession, raw_trips: DataFrame, raw_stations: Dat
         ds = step("dim_station", lambda: write("dim_station", dims.dim_station(stg_station)))
         ft = trips.fct_trip(hist_t)
         step("fct_trip", lambda: INC.replace_partitions(ft, f"{out}/fct_trip", by, full_refresh, salt_col="ride_id"))
-        fs = status.fct_station_status(st_t, ds, broadcast_dim=False).withColumn("poll_day", F.to_date("poll_time"))
+        fs = status.fct_station_status(st_t, ds, since_day=since, broadcast_dim=False).withColumn(
+            "poll_day", F.to_date("poll_time"))
         step("fct_station_status", lambda: INC.replace_partitions(fs, f"{out}/fct_station_status", ["poll_day"],
                                                                    full_refresh, salt_col="kafka_offset"))
         ft_t, fs_t = table("fct_trip"), table("fct_station_status").drop("poll_day")
-        step("agg_daily_trip_summary", lambda: write("agg_daily_trip_summary", marts.agg_daily_trip_summary(ft_t, dd)))
+        # daily summary: only the days this batch touched are recomputed and
+        # replaced (a month file also holds days of the next month)
+        summary = f"{out}/agg_daily_trip_summary"
+        if month is None or not INC.table_exists(spark, summary):
+            daily_in, first_daily = ft_t, True
+        else:
+            days = INC.touched_days(ft, "start_date")
+            daily_in, first_daily = ft_t.filter(F.col("start_date").isin(days)), False
+        step("agg_daily_trip_summary", lambda: INC.replace_partitions(
+            marts.agg_daily_trip_summary(daily_in, dd), summary, ["full_date"], first_daily))
         step("agg_station_activity", lambda: write("agg_station_activity", marts.agg_station_activity(ft_t)))
         step("agg_station_daily", lambda: write("agg_station_daily",
                                                 marts.agg_station_daily(ft_t, fs_t, dd, ds, broadcast_dim=False)))
