@@ -40,3 +40,12 @@ def test_stream_restart_and_replay(spark, tmp_dir):
     assert sorted(r["kafka_offset"] for r in both.collect()) == [1, 1, 5, 6]
     assert both.select("batch_id").distinct().count() == 2
     assert both.filter(F.col("ingested_at").isNull()).count() == 0
+
+
+def test_replay_dedup_within_watermark(spark, tmp_dir):
+    src, out, ck = f"{tmp_dir}/in", f"{tmp_dir}/raw", f"{tmp_dir}/ck"
+    write_records(spark, src, [(1, event("S1")), (1, event("S1")), (2, event("S2"))])
+    q = start_status_stream(status_stream(spark, "files", {"path": src}, dedup_delay="1 hour"), out, ck,
+                            {"availableNow": True})
+    q.awaitTermination()
+    assert sorted(r["kafka_offset"] for r in spark.read.parquet(out).collect()) == [1, 2]
