@@ -36,8 +36,9 @@ class Models:
 
     @classmethod
     def from_fixtures(cls, spark: SparkSession, root: str, **kw) -> "Models":
-        return cls(spark, fixtures.raw_trips(spark, root), fixtures.raw_stations(spark, root),
-                   fixtures.raw_status(spark, root), **kw)
+        """Models over the fixture views, landed once as raw tables."""
+        return cls(spark, fixtures.landed(spark, root, "trips"), fixtures.landed(spark, root, "stations"),
+                   fixtures.landed(spark, root, "status"), **kw)
 
     # staging
     @cached_property

@@ -401,7 +401,11 @@ def q_y8_record_counts(spark, root):
 
 # ------------------------------------------------------------------- feed ---
 from velotide.sources import feed as FD  # noqa: E402
-from velotide.sources.fixtures import feed_responses  # noqa: E402
+from velotide.sources.fixtures import landed  # noqa: E402
+
+
+def feed_responses(spark, root):
+    return landed(spark, root, "feed")
 
 
 @register("feed_classify", O.qf(

@@ -90,8 +90,12 @@ def envelope(responses: DataFrame) -> DataFrame:
     snippet = (F.when(e == INVALID_JSON, F.when(p.isNull(), _snippet(F.col("body"))))
                .when(e == INVALID_STATION_DATA, _snippet(F.to_json(_field(p, "$.data"))))
                .when(e.isin(INVALID_FEED_STRUCTURE, INVALID_FEED_METADATA), _snippet(F.to_json(p))))
-    return (responses.withColumn("payload", F.try_parse_json("body"))
-            .withColumn("stations", stations)
+    # The parse is the output of a one-element generator: filters on the
+    # class are then evaluated on the parsed value, instead of the optimizer
+    # substituting ``try_parse_json(body)`` into every test of a pushed-down
+    # filter (which would parse each body several times).
+    parsed = responses.select("*", F.inline(F.array(F.struct(F.try_parse_json("body").alias("payload")))))
+    return (parsed.withColumn("stations", stations)
             .withColumn("feed_error", err)
             .withColumn("feed_snippet", snippet))
 

@@ -233,3 +233,39 @@ def kafka_status_records(spark: SparkSession, root: str) -> DataFrame:
         F.col("station_id").cast("binary").alias("key"), value.cast("binary").alias("value"),
         F.col("kafka_topic").alias("topic"), F.col("kafka_partition").cast("int").alias("partition"),
         F.col("kafka_offset").alias("offset"), F.col("kafka_timestamp").alias("timestamp"))
+
+
+# --- landed fixture tables ----------------------------------------------------
+_LANDED: dict[tuple, str] = {}
+_BUILDERS = {"trips": raw_trips, "stations": raw_stations, "status": raw_status, "feed": feed_responses,
+             "kafka": kafka_status_records}
+_SOURCES = {"trips": ("lineitem", "supplier"), "stations": ("supplier",), "status": ("events",), "feed": ("events",),
+            "kafka": ("events",)}
+
+
+def _source_stamp(root: str, tables) -> tuple:
+    import os
+    out = []
+    for t in tables:
+        p = f"{root.rstrip('/')}/{t}.parquet"
+        try:
+            st = os.stat(p)
+            out.append((t, st.st_size, int(st.st_mtime)))
+        except OSError:            # not a local path: the path alone identifies it
+            out.append((t, p))
+    return tuple(out)
+
+
+def landed(spark: SparkSession, root: str, name: str) -> DataFrame:
+    """The fixture view ``name`` landed as a raw parquet table, as the
+    landing jobs do with real inputs, written once per session and source
+    version under the checkpoint folder; models then read plain columns
+    from a multi-file table instead of re-deriving the view."""
+    from velotide.session import scratch_path
+    key = (spark.sparkContext.applicationId, root, name, _source_stamp(root, _SOURCES[name]))
+    path = _LANDED.get(key)
+    if path is None:
+        path = scratch_path(spark, f"raw-{name}")
+        _BUILDERS[name](spark, root).write.parquet(path)
+        _LANDED[key] = path
+    return spark.read.parquet(path)
