@@ -64,3 +64,10 @@ def test_haversine_and_keys(spark):
     assert abs(d["m"] - 100.08) < 0.05
     assert d["k"] == 20240209
     assert len(d["h"]) == 32
+
+
+def test_run_instant_zones(spark):
+    from velotide.functions.columns import snapshot_date_of_run, source_month_of_run
+    rows = [(dt.datetime(2024, 1, 31, 18, 0),), (dt.datetime(2024, 1, 1, 3, 30),)]
+    out = spark.createDataFrame(rows, "t timestamp").select(source_month_of_run("t"), snapshot_date_of_run("t")).collect()
+    assert [tuple(r) for r in out] == [(dt.date(2024, 2, 1), dt.date(2024, 1, 31)), (dt.date(2024, 1, 1), dt.date(2023, 12, 31))]

@@ -18,6 +18,10 @@ UNICODE_WHITESPACE = (
 EARTH_RADIUS_M = 6371010.0
 # Unix epoch as wall-clock time; base for zone-free arithmetic on timestamp_ntz.
 EPOCH_NTZ = "1970-01-01 00:00:00"
+# Zones of the run instant: the trip batch month is named in the scheduler's
+# zone, the station snapshot day in the feed operator's zone.
+SOURCE_MONTH_ZONE = "Asia/Jakarta"
+SNAPSHOT_ZONE = "America/New_York"
 # ----------------------------------------------------------------------------
 
 
@@ -99,3 +103,15 @@ def ntz_plus_seconds(base: str, seconds) -> Column:
 
 def instant_from_micros(micros) -> Column:
     return F.timestamp_micros(_c(micros))
+
+
+def source_month_of_run(run_instant) -> Column:
+    """First day of the run's month in the scheduler's zone (the batch a
+    monthly run lands)."""
+    return F.trunc(F.to_date(F.from_utc_timestamp(_c(run_instant), SOURCE_MONTH_ZONE)), "month")
+
+
+def snapshot_date_of_run(run_instant) -> Column:
+    """Calendar day of the run in the feed's zone (the snapshot a daily run
+    lands)."""
+    return F.to_date(F.from_utc_timestamp(_c(run_instant), SNAPSHOT_ZONE))

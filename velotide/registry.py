@@ -613,3 +613,18 @@ def q_station_ndjson_load(spark, root):
     work = scratch_path(spark, "ndjson")
     FX.raw_stations(spark, root).write.json(f"{work}/stations")
     return _station_out(ING.read_station_ndjson(spark, f"{work}/stations"))
+
+
+# ---------------------------------------------------------- run calendars ---
+@register("run_batch_dates", O.q(
+    "SELECT poll_time AS run_instant, "
+    "CAST(date_trunc('month', CAST((poll_time AT TIME ZONE 'UTC') AT TIME ZONE 'Asia/Jakarta' AS DATE)) AS DATE) "
+    "AS source_month, CAST((poll_time AT TIME ZONE 'UTC') AT TIME ZONE 'America/New_York' AS DATE) AS snapshot_date "
+    "FROM (SELECT DISTINCT poll_time FROM raw_status)"))
+def q_run_batch_dates(spark, root):
+    """Each poll instant taken as a run instant: the trip batch month (in the
+    scheduler's zone) and the station snapshot day (in the feed's zone)."""
+    from velotide.functions.columns import snapshot_date_of_run, source_month_of_run
+    polls = models(spark, root).raw_status.select(F.col("poll_time").alias("run_instant")).distinct()
+    return polls.select("run_instant", source_month_of_run("run_instant").alias("source_month"),
+                        snapshot_date_of_run("run_instant").alias("snapshot_date"))
