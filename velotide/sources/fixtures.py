@@ -236,9 +236,10 @@ def kafka_status_records(spark: SparkSession, root: str) -> DataFrame:
 
 
 # --- landed fixture tables ----------------------------------------------------
-_LANDED: dict[tuple, str] = {}
+_LANDED: dict[tuple, tuple[str, list[str]]] = {}
 _BUILDERS = {"trips": raw_trips, "stations": raw_stations, "status": raw_status, "feed": feed_responses,
              "kafka": kafka_status_records}
+_PARTITIONS = {"trips": ["source_month"]}   # the raw trip table's batch layout
 _SOURCES = {"trips": ("lineitem", "supplier"), "stations": ("supplier",), "status": ("events",), "feed": ("events",),
             "kafka": ("events",)}
 
@@ -263,9 +264,14 @@ def landed(spark: SparkSession, root: str, name: str) -> DataFrame:
     from a multi-file table instead of re-deriving the view."""
     from velotide.session import scratch_path
     key = (spark.sparkContext.applicationId, root, name, _source_stamp(root, _SOURCES[name]))
-    path = _LANDED.get(key)
-    if path is None:
+    hit = _LANDED.get(key)
+    if hit is None:
         path = scratch_path(spark, f"raw-{name}")
-        _BUILDERS[name](spark, root).write.parquet(path)
-        _LANDED[key] = path
-    return spark.read.parquet(path)
+        df = _BUILDERS[name](spark, root)
+        # every writer task writes its own file per partition: no shuffle,
+        # and the table keeps as many splits as the job had tasks
+        df.write.partitionBy(*_PARTITIONS.get(name, [])).parquet(path)
+        hit = _LANDED[key] = (path, df.columns)
+    path, cols = hit
+    # same column order as the view (partition columns come back last)
+    return spark.read.parquet(path).select(*cols)
