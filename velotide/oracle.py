@@ -11,6 +11,7 @@ from __future__ import annotations
 from velotide.functions.columns import EARTH_RADIUS_M, UNICODE_WHITESPACE
 
 WS = "(" + " || ".join(f"chr({ord(c)})" for c in UNICODE_WHITESPACE) + ")"
+ID_BLANKS = "(" + " || ".join(f"chr({ord(c)})" for c in UNICODE_WHITESPACE + "\x1c\x1d\x1e\x1f") + ")"
 
 
 def tws(x: str) -> str:
@@ -474,7 +475,7 @@ feed_el AS (
 feed_el2 AS (
   SELECT *,
     coalesce(json_type(e) = 'OBJECT' AND json_type(e, '$.station_id') = 'VARCHAR'
-             AND {tws("json_extract_string(e, '$.station_id')")} <> ''
+             AND trim(json_extract_string(e, '$.station_id'), {ID_BLANKS}) <> ''
              AND {_is_int("json_type(e, '$.last_reported')")} AND {_is_int("json_type(e, '$.num_bikes_available')")}
              AND {_is_int("json_type(e, '$.num_docks_available')")} AND {_is_int("json_type(e, '$.is_installed')")}
              AND {_is_int("json_type(e, '$.is_renting')")} AND {_is_int("json_type(e, '$.is_returning')")}

@@ -27,7 +27,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from velotide.functions.columns import trim_ws
+from velotide.functions.columns import UNICODE_WHITESPACE
 
 # --- fixed values ------------------------------------------------------------
 INVALID_JSON = "INVALID_JSON"
@@ -47,6 +47,9 @@ REQUIRED_INTS = ["last_reported", "num_bikes_available", "num_docks_available",
                  "is_installed", "is_renting", "is_returning"]
 OPTIONAL_INTS = ["num_bikes_disabled", "num_docks_disabled"]
 SNIPPET_CHARS = 1000
+# characters a blank station id may consist of: Unicode whitespace plus the
+# four separators U+001C..U+001F, which the poller's strip() also removes
+ID_BLANKS = UNICODE_WHITESPACE + "\u001c\u001d\u001e\u001f"
 ISO_FORMAT = "yyyy-MM-dd'T'HH:mm:ss.SSSSSSxxx"
 # ----------------------------------------------------------------------------
 
@@ -103,7 +106,7 @@ def envelope(responses: DataFrame) -> DataFrame:
 def station_valid(e: Column) -> Column:
     sid = _field(e, "$.station_id")
     sid_ok = F.coalesce((F.schema_of_variant(sid) == "STRING")
-                        & (trim_ws(F.try_variant_get(sid, "$", "string")) != ""), F.lit(False))
+                        & (F.btrim(F.try_variant_get(sid, "$", "string"), F.lit(ID_BLANKS)) != ""), F.lit(False))
     ok = _is_object(e) & sid_ok
     for f in REQUIRED_INTS:
         ok = ok & _is_int(_field(e, f"$.{f}"))
