@@ -14,7 +14,6 @@ from pyspark.sql import functions as F
 
 from velotide import oracle as O
 from velotide.functions.rules import reason_codes
-from velotide.operators.dedup import first_by
 from velotide.plans import identity as I
 from velotide.plans import status as S
 from velotide.plans.models import Models
@@ -465,7 +464,6 @@ def q_stream_raw_status(spark, root):
 # ------------------------------------------------- landing and incremental ---
 from velotide import schemas as SCH  # noqa: E402
 from velotide.operators import incremental as INC  # noqa: E402
-from velotide.plans import trips as TR  # noqa: E402
 from velotide.sources import fixtures as FX  # noqa: E402
 from velotide.sources import ingest as ING  # noqa: E402
 
