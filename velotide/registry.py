@@ -441,7 +441,7 @@ def q_feed_dlq(spark, root):
 
 # -------------------------------------------------------------- streaming ---
 from velotide.session import scratch_path  # noqa: E402
-from velotide.sources.fixtures import kafka_status_records  # noqa: E402
+from velotide.sources.fixtures import landed_path  # noqa: E402
 from velotide.streaming import status_stream as SS  # noqa: E402
 
 
@@ -451,12 +451,13 @@ from velotide.streaming import status_stream as SS  # noqa: E402
     "AND last_reported IS NOT NULL AND num_bikes_available IS NOT NULL AND num_docks_available IS NOT NULL "
     "AND is_installed IS NOT NULL AND is_renting IS NOT NULL AND is_returning IS NOT NULL"))
 def q_stream_raw_status(spark, root):
-    """The status stream end to end over a file source of Kafka records:
+    """The status stream end to end over a file source of Kafka records
+    (the landed record table, read as a stream in several micro-batches):
     parse, structural filter, idempotent foreachBatch sink; read back."""
     apply_job_conf(spark)
     work = scratch_path(spark, "stream")
-    kafka_status_records(spark, root).write.parquet(f"{work}/input")
-    events = SS.status_stream(spark, "files", {"path": f"{work}/input", "maxFilesPerTrigger": "2"})
+    source = landed_path(spark, root, "kafka")
+    events = SS.status_stream(spark, "files", {"path": source, "maxFilesPerTrigger": "4"})
     SS.start_status_stream(events, f"{work}/raw", f"{work}/checkpoint", {"availableNow": True}).awaitTermination()
     return spark.read.parquet(f"{work}/raw").drop("batch_id", "ingested_at")
 

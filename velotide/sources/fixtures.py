@@ -257,6 +257,13 @@ def _source_stamp(root: str, tables) -> tuple:
     return tuple(out)
 
 
+def landed_path(spark: SparkSession, root: str, name: str) -> str:
+    """Folder of the landed fixture table ``name`` (landing it if needed)."""
+    landed(spark, root, name)
+    key = (spark.sparkContext.applicationId, root, name, _source_stamp(root, _SOURCES[name]))
+    return _LANDED[key][0]
+
+
 def landed(spark: SparkSession, root: str, name: str) -> DataFrame:
     """The fixture view ``name`` landed as a raw parquet table, as the
     landing jobs do with real inputs, written once per session and source
