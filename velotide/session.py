@@ -14,6 +14,11 @@ BASE_CONF = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
+    # size shuffle partitions by data, not by core count: set
+    # spark.sql.shuffle.partitions high on a cluster and let AQE merge
+    # partitions up to the advisory size
+    "spark.sql.adaptive.coalescePartitions.parallelismFirst": "false",
+    "spark.sql.adaptive.advisoryPartitionSizeInBytes": "128m",
     # incremental models replace only the day partitions present in the batch
     "spark.sql.sources.partitionOverwriteMode": "dynamic",
     "spark.ui.enabled": "false",
