@@ -33,15 +33,12 @@ def table_exists(spark: SparkSession, path: str) -> bool:
 
 
 def replace_partitions(df: DataFrame, path: str, by: list[str], full_refresh: bool = False,
-                       sort_by: list[str] | None = None, files_per_partition: int = 8,
-                       salt_col: str | None = None) -> str:
+                       sort_by: list[str] | None = None) -> str:
     spark = df.sparkSession
     first = full_refresh or not table_exists(spark, path)
-    keys = [F.col(c) for c in by]
-    if salt_col:
-        # a busy partition is written by several tasks, not one
-        keys.append(F.pmod(F.xxhash64(F.col(salt_col)), F.lit(files_per_partition)))
-    out = df.repartition(*keys)
+    # REBALANCE by the partition columns: AQE splits a busy partition over
+    # several writer tasks and merges small ones (advisory size)
+    out = df.hint("rebalance", *by)
     if sort_by:
         out = out.sortWithinPartitions(*sort_by)
     (out.write.mode("overwrite").option("partitionOverwriteMode", "static" if first else "dynamic")

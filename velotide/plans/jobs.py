@@ -62,8 +62,7 @@ def daily_transform(spark: SparkSession, raw_trips: DataFrame, raw_stations: Dat
         month = None if full_refresh else source_month
         hist = trips.trip_history(stg_trip, ident, month, broadcast_identity=False)
         by = INC.trip_partitioning(compat)
-        step("int_trip_history", lambda: INC.replace_partitions(hist, f"{out}/int_trip_history", by, full_refresh,
-                                                                 salt_col="ride_id"))
+        step("int_trip_history", lambda: INC.replace_partitions(hist, f"{out}/int_trip_history", by, full_refresh))
         hist_all = table("int_trip_history")
         hist_t = hist_all if month is None else INC.for_month(hist_all, month)
         # full-rebuild table: all rejected trips, every batch
@@ -71,19 +70,18 @@ def daily_transform(spark: SparkSession, raw_trips: DataFrame, raw_stations: Dat
         target = f"{out}/int_station_status"
         since = None if full_refresh else INC.high_water_day(spark, target, "poll_time")
         st = status.station_status(stg_status, since).withColumn("poll_day", F.to_date("poll_time"))
-        step("int_station_status", lambda: INC.replace_partitions(st, target, ["poll_day"], full_refresh,
-                                                                   salt_col="kafka_offset"))
+        step("int_station_status", lambda: INC.replace_partitions(st, target, ["poll_day"], full_refresh))
         st_t = table("int_station_status").drop("poll_day")
         step("int_quarantine_station_status",
              lambda: write("int_quarantine_station_status", status.quarantine_status(st_t)))
         dd = step("dim_date", lambda: write("dim_date", dims.dim_date(spark, *calendar)))
         ds = step("dim_station", lambda: write("dim_station", dims.dim_station(stg_station)))
         ft = trips.fct_trip(hist_t)
-        step("fct_trip", lambda: INC.replace_partitions(ft, f"{out}/fct_trip", by, full_refresh, salt_col="ride_id"))
+        step("fct_trip", lambda: INC.replace_partitions(ft, f"{out}/fct_trip", by, full_refresh))
         fs = status.fct_station_status(st_t, ds, since_day=since, broadcast_dim=False).withColumn(
             "poll_day", F.to_date("poll_time"))
         step("fct_station_status", lambda: INC.replace_partitions(fs, f"{out}/fct_station_status", ["poll_day"],
-                                                                   full_refresh, salt_col="kafka_offset"))
+                                                                   full_refresh))
         ft_t, fs_t = table("fct_trip"), table("fct_station_status").drop("poll_day")
         # daily summary: only the days this batch touched are recomputed and
         # replaced (a month file also holds days of the next month)

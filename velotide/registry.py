@@ -533,7 +533,7 @@ def _incremental_fct_trip(spark, root, compat=None):
     work = scratch_path(spark, "fct_trip")
     for m in (FIRST_MONTH, SECOND_MONTH):
         fct = models(spark, root, source_month=m).fct_trip
-        INC.replace_partitions(fct, work, INC.trip_partitioning(compat), sort_by=["started_at"], salt_col="ride_id")
+        INC.replace_partitions(fct, work, INC.trip_partitioning(compat), sort_by=["started_at"])
     df = spark.read.parquet(work)
     return df.withColumn("start_date", F.col("start_date").cast("date")).withColumn(
         "source_month", F.col("source_month").cast("date")).select(*FCT_TRIP_COLS)

@@ -4,8 +4,8 @@ The reference splits a month's CSVs by day in one Python process and loads
 the days one after another; here a month is one distributed job: read all
 files of the month with the declared schema (strict: a bad row, an extra or
 missing column, a quoted newline or a missing start time fails the batch),
-add provenance, and write day partitions.  A hot day is spread over
-``files_per_day`` writer tasks instead of one."""
+add provenance, and write day partitions.  A hot day is split over several
+writer tasks by AQE (REBALANCE) instead of landing in one."""
 
 from __future__ import annotations
 
@@ -64,24 +64,23 @@ def batch_paths(spark: SparkSession, root: str, source_month: str) -> list[str]:
     return sorted(files)
 
 
-def _day_layout(df: DataFrame, ts: str, files_per_day: int, salt_col: str) -> DataFrame:
+def _day_layout(df: DataFrame, ts: str) -> DataFrame:
     d = F.to_date(ts)
     out = (df.withColumn("year", F.year(d)).withColumn("month", F.month(d)).withColumn("day", F.dayofmonth(d)))
-    # (day, salt) hash partitioning: at most files_per_day files per day and
-    # no single task holding a whole busy day
-    salt = F.pmod(F.xxhash64(F.col(salt_col)), F.lit(files_per_day))
-    return out.repartition("year", "month", "day", salt)
+    # REBALANCE: partition by day, and let AQE split a busy day into several
+    # advisory-size writer tasks (and merge quiet days) -- no task holds a
+    # whole busy day and no day is scattered into tiny files
+    return out.hint("rebalance", "year", "month", "day")
 
 
-def land_trip_batch(df: DataFrame, root: str, source_month, files_per_day: int = 8,
-                    compat: str | None = None) -> str:
+def land_trip_batch(df: DataFrame, root: str, source_month, compat: str | None = None) -> str:
     """Replace the whole batch: everything under ``source_month=`` is
     deleted, then the month's day partitions are written (days that vanished
     from the batch vanish too).  ``compat='last_batch_wins'`` instead
     replaces day partitions shared by all batches, so a later batch erases
     an earlier batch's rows of the same day, as the reference's loads do."""
     month = str(source_month)[:10]
-    laid = _day_layout(df, "started_at", files_per_day, "ride_id").sortWithinPartitions("day", "started_at")
+    laid = _day_layout(df, "started_at").sortWithinPartitions("day", "started_at")
     if compat == "last_batch_wins":
         target = f"{root.rstrip('/')}/trip_history_by_day"
         (laid.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
@@ -131,7 +130,7 @@ def land_station_snapshot(df: DataFrame, root: str) -> str:
     target = f"{root.rstrip('/')}/station_information"
     d = F.col("snapshot_date")
     (df.withColumn("year", F.year(d)).withColumn("month", F.month(d)).withColumn("day", F.dayofmonth(d))
-     .repartition("year", "month", "day").sortWithinPartitions("station_id")
+     .hint("rebalance", "year", "month", "day").sortWithinPartitions("station_id")
      .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
      .partitionBy("year", "month", "day").parquet(target))
     return target
