@@ -70,9 +70,12 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
 
     On a cluster the folder comes from ``spark.checkpoint.dir`` (a shared file
     system).  Only when nothing is configured -- local tests -- a scratch
-    folder is created.
-    """
-    sc = spark.sparkContext
+    folder is created."""
+    try:
+        sc = spark.sparkContext
+    except Exception:  # remote (Connect) session: configuration only
+        conf_dir = spark.conf.get("spark.checkpoint.dir", None)
+        return conf_dir or tempfile.mkdtemp(prefix="velotide-ckpt-", dir=os.environ.get("TMPDIR", "/tmp"))
     current = sc.getCheckpointDir()
     if current:
         return current

@@ -257,10 +257,17 @@ def _source_stamp(root: str, tables) -> tuple:
     return tuple(out)
 
 
+def app_id(spark: SparkSession) -> str:
+    try:
+        return spark.sparkContext.applicationId
+    except Exception:  # remote session
+        return spark.conf.get("spark.app.id", "remote")
+
+
 def landed_path(spark: SparkSession, root: str, name: str) -> str:
     """Folder of the landed fixture table ``name`` (landing it if needed)."""
     landed(spark, root, name)
-    key = (spark.sparkContext.applicationId, root, name, _source_stamp(root, _SOURCES[name]))
+    key = (app_id(spark), root, name, _source_stamp(root, _SOURCES[name]))
     return _LANDED[key][0]
 
 
@@ -270,7 +277,7 @@ def landed(spark: SparkSession, root: str, name: str) -> DataFrame:
     version under the checkpoint folder; models then read plain columns
     from a multi-file table instead of re-deriving the view."""
     from velotide.session import scratch_path
-    key = (spark.sparkContext.applicationId, root, name, _source_stamp(root, _SOURCES[name]))
+    key = (app_id(spark), root, name, _source_stamp(root, _SOURCES[name]))
     hit = _LANDED.get(key)
     if hit is None:
         path = scratch_path(spark, f"raw-{name}")
