@@ -87,4 +87,4 @@ def test_station_feed_and_ndjson(spark, tmp_dir):
     assert ingest.read_station_ndjson(spark, ok).count() == 1
     bad = write(f"{tmp_dir}/bad.ndjson", '{"station_id": "S1", "surprise": 1, "snapshot_date": "2024-01-01", "batch_id": "b"}\n')
     with pytest.raises(Exception):
-        ingest.read_station_ndjson(spark, bad)
+        ingest.read_station_ndjson(spark, bad).collect()
