@@ -22,7 +22,7 @@ def log_rows(spark: SparkSession, rows: list[dict]) -> DataFrame:
 
 
 def append_run_log(df: DataFrame, path: str) -> None:
-    (df.withColumn("start_day", F.to_date("start_time")).sortWithinPartitions("run_id", "task_id")
+    (df.withColumn("start_day", F.to_date("start_time")).sortWithinPartitions("dag_id", "batch_id", "task_id")
      .write.mode("append").partitionBy("start_day").parquet(path))
 
 

@@ -80,7 +80,9 @@ def land_trip_batch(df: DataFrame, root: str, source_month, compat: str | None =
     replaces day partitions shared by all batches, so a later batch erases
     an earlier batch's rows of the same day, as the reference's loads do."""
     month = str(source_month)[:10]
-    laid = _day_layout(df, "started_at").sortWithinPartitions("day", "started_at")
+    # clustered within each day by batch and stations, as the raw table is
+    laid = _day_layout(df, "started_at").sortWithinPartitions(
+        "year", "month", "day", "batch_id", "start_station_id", "end_station_id")
     if compat == "last_batch_wins":
         target = f"{root.rstrip('/')}/trip_history_by_day"
         (laid.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")

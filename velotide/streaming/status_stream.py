@@ -101,7 +101,7 @@ def write_status_batch(root: str, ingested_at=None):
     def write(batch_df: DataFrame, batch_id: int) -> None:
         if batch_df.isEmpty():
             return
-        (to_raw(batch_df, ingested_at).write.mode("overwrite")
+        (to_raw(batch_df, ingested_at).sortWithinPartitions("station_id").write.mode("overwrite")
          .parquet(f"{root.rstrip('/')}/batch_id={batch_id}"))
     return write
 
