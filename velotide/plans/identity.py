@@ -124,16 +124,17 @@ def station_identity(stg_trips: DataFrame, stg_stations: DataFrame, max_m: float
                      materialize: bool = True) -> DataFrame:
     """One row per source station code: its dominant variant and resolution.
 
-    With ``materialize`` the reduced inputs of the cascade (one row per
-    code, one per station) are written once to the checkpoint folder: the
-    trips are read by exactly one job, the cascade's joins see small files
-    of known size (planned as broadcast joins), and a lost executor never
-    sends the cascade back to the trips."""
+    With ``materialize`` the reduced trip side of the cascade (one row per
+    code) is written once to the checkpoint folder: the trips are read by
+    exactly one job, the cascade's joins see a small file of known size
+    (planned as broadcast joins), and a lost executor never sends the
+    cascade back to the trips.  The reference side comes from the small
+    station table and is cheaper to recompute than to write."""
     src = prepare_sources(dominant_variant(station_variants(stg_trips)))
     ref = station_reference(stg_stations)
     if materialize:
         from velotide.operators.broadcast import materialise
-        src, ref = materialise(src, "identity-sources"), materialise(ref, "identity-reference")
+        src = materialise(src, "identity-sources")
     exact = match_exact(src, ref)
     numeric = match_numeric(src, ref, exact)
     geo = match_geo(src, ref, exact.unionByName(numeric), max_m)
