@@ -71,3 +71,11 @@ def test_run_instant_zones(spark):
     rows = [(dt.datetime(2024, 1, 31, 18, 0),), (dt.datetime(2024, 1, 1, 3, 30),)]
     out = spark.createDataFrame(rows, "t timestamp").select(source_month_of_run("t"), snapshot_date_of_run("t")).collect()
     assert [tuple(r) for r in out] == [(dt.date(2024, 2, 1), dt.date(2024, 1, 31)), (dt.date(2024, 1, 1), dt.date(2023, 12, 31))]
+
+
+def test_cluster_conf_scales_with_input():
+    from velotide.session import cluster_conf
+    big = cluster_conf(100 * 2 ** 40, total_cores=8000)          # 100 TB on 1000 executors x 8 cores
+    assert int(big["spark.sql.shuffle.partitions"]) == 409600
+    small = cluster_conf(10 * 2 ** 20, total_cores=8)
+    assert int(small["spark.sql.shuffle.partitions"]) == 16

@@ -92,3 +92,26 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     import uuid
     base = ensure_checkpoint_dir(spark).rstrip("/")
     return f"{base}/velotide-work/{name}-{uuid.uuid4().hex[:12]}"
+
+
+def cluster_conf(input_bytes: int, total_cores: int, target_partition_bytes: int = 256 << 20) -> dict:
+    """Settings for a run over ``input_bytes`` on ``total_cores`` cores.
+
+    * shuffle partitions: enough that each holds about the target size of
+      the largest shuffle (the trips, which the models shuffle at most once
+      per aggregate), and at least two waves of tasks; AQE then merges
+      small partitions and splits skewed ones.
+    * scan splits of the same target size.
+    * broadcast threshold kept at 64 MB: the broadcast sides (identity,
+      stations, calendar) are thousands of rows; anything larger is planned
+      as a shuffle join.
+    """
+    partitions = max(2 * total_cores, -(-input_bytes // target_partition_bytes))
+    return {
+        "spark.sql.shuffle.partitions": str(partitions),
+        "spark.sql.adaptive.coalescePartitions.initialPartitionNum": str(partitions),
+        "spark.sql.files.maxPartitionBytes": str(target_partition_bytes),
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(target_partition_bytes),
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": str(4 * target_partition_bytes),
+        "spark.sql.autoBroadcastJoinThreshold": str(64 << 20),
+    }
