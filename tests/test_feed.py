@@ -81,3 +81,18 @@ def test_long_snippet_is_cut(spark):
                                "source_url string, http_status int, body string, fetched_at timestamp")
     _, dlq = classify_feed(df)
     assert len(dlq.first()["raw_body_snippet"]) == 1000
+
+
+def test_feed_stream_outputs_and_restart(spark, tmp_dir):
+    from velotide.streaming.feed_stream import RESPONSE_SCHEMA, read_responses, start_feed_stream
+    t0 = dt.datetime(2024, 1, 1)
+    src, out, ck = f"{tmp_dir}/in", f"{tmp_dir}/out", f"{tmp_dir}/ck"
+    spark.createDataFrame([("u1", 200, body(), t0), ("u2", 200, "not json {", t0)], RESPONSE_SCHEMA) \
+        .coalesce(1).write.parquet(src)
+    start_feed_stream(read_responses(spark, src), out, ck, {"availableNow": True}).awaitTermination()
+    assert spark.read.parquet(f"{out}/events").count() == 1
+    assert json.loads(spark.read.parquet(f"{out}/dlq").first()["value"])["error_type"] == "INVALID_JSON"
+    spark.createDataFrame([("u3", 200, body([GOOD, GOOD]), t0)], RESPONSE_SCHEMA).coalesce(1) \
+        .write.mode("append").parquet(src)
+    start_feed_stream(read_responses(spark, src), out, ck, {"availableNow": True}).awaitTermination()
+    assert spark.read.parquet(f"{out}/events").count() == 3

@@ -627,3 +627,23 @@ def q_run_batch_dates(spark, root):
     polls = models(spark, root).raw_status.select(F.col("poll_time").alias("run_instant")).distinct()
     return polls.select("run_instant", source_month_of_run("run_instant").alias("source_month"),
                         snapshot_date_of_run("run_instant").alias("snapshot_date"))
+
+
+@register("feed_stream_events", O.qf(
+    "SELECT json_extract_string(e, '$.station_id') AS key, json_extract_string(e, '$.station_id') AS station_id, "
+    + ", ".join(f"CAST(json_extract(e, '$.{f}') AS BIGINT) AS {f}" for f in
+                ["num_bikes_available", "num_bikes_disabled", "num_docks_available", "num_docks_disabled",
+                 "is_installed", "is_renting", "is_returning", "last_reported"])
+    + ", md5(source_url || '|' || fetched_iso) AS snapshot_id, fetched_iso AS poll_time, feed_last_updated, feed_ttl "
+    "FROM feed_el2 WHERE valid"))
+def q_feed_stream_events(spark, root):
+    """The feed classifier as a stream over the landed responses (several
+    micro-batches): Kafka-shaped event records, read back and parsed."""
+    from velotide.streaming.feed_stream import read_responses, start_feed_stream
+    from velotide.streaming.status_stream import STATUS_EVENT_SCHEMA
+    apply_job_conf(spark)
+    work = scratch_path(spark, "feed-stream")
+    src = read_responses(spark, landed_path(spark, root, "feed"), {"maxFilesPerTrigger": "4"})
+    start_feed_stream(src, f"{work}/out", f"{work}/checkpoint", {"availableNow": True}).awaitTermination()
+    rec = spark.read.parquet(f"{work}/out/events")
+    return rec.select("key", F.from_json("value", STATUS_EVENT_SCHEMA).alias("e")).select("key", "e.*")
