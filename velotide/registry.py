@@ -13,11 +13,19 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from velotide import oracle as O
+from velotide import schemas as SCH
 from velotide.functions.rules import reason_codes
+from velotide.operators import incremental as INC
+from velotide.plans import analyses as Y
 from velotide.plans import identity as I
 from velotide.plans import status as S
 from velotide.plans.models import Models
-from velotide.session import apply_job_conf
+from velotide.session import apply_job_conf, scratch_path
+from velotide.sources import feed as FD
+from velotide.sources import fixtures as FX
+from velotide.sources import ingest as ING
+from velotide.sources.fixtures import landed, landed_path
+from velotide.streaming import status_stream as SS
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -297,7 +305,6 @@ for _kind in ("not_null", "unique", "accepted_values", "relationships", "grain")
 
 
 # --------------------------------------------------------------- analyses ---
-from velotide.plans import analyses as Y  # noqa: E402
 
 
 @register("y1_demand_monthly", O.q(
@@ -399,8 +406,6 @@ def q_y8_record_counts(spark, root):
 
 
 # ------------------------------------------------------------------- feed ---
-from velotide.sources import feed as FD  # noqa: E402
-from velotide.sources.fixtures import landed  # noqa: E402
 
 
 def feed_responses(spark, root):
@@ -440,9 +445,6 @@ def q_feed_dlq(spark, root):
 
 
 # -------------------------------------------------------------- streaming ---
-from velotide.session import scratch_path  # noqa: E402
-from velotide.sources.fixtures import landed_path  # noqa: E402
-from velotide.streaming import status_stream as SS  # noqa: E402
 
 
 @register("stream_raw_status", O.q(
@@ -463,10 +465,6 @@ def q_stream_raw_status(spark, root):
 
 
 # ------------------------------------------------- landing and incremental ---
-from velotide import schemas as SCH  # noqa: E402
-from velotide.operators import incremental as INC  # noqa: E402
-from velotide.sources import fixtures as FX  # noqa: E402
-from velotide.sources import ingest as ING  # noqa: E402
 
 RAW_TRIP_COLS = ", ".join(f.name for f in SCH.TRIP_RAW.fields)
 FIRST_MONTH, SECOND_MONTH = "2024-01-01", "2024-02-01"
