@@ -88,3 +88,14 @@ def test_station_feed_and_ndjson(spark, tmp_dir):
     bad = write(f"{tmp_dir}/bad.ndjson", '{"station_id": "S1", "surprise": 1, "snapshot_date": "2024-01-01", "batch_id": "b"}\n')
     with pytest.raises(Exception):
         ingest.read_station_ndjson(spark, bad).collect()
+
+
+def test_quoted_names_and_millis(spark, tmp_dir):
+    body = (HEADER + "\n"
+            + 'R1,classic_bike,2024-01-31 10:00:00.123,2024-01-31 10:05:00,"Broadway, W 60 St",1.01,B,2.01,40.5,-74.0,40.6,-74.1,member\n'
+            + 'R2,classic_bike,2024-01-31 11:00:00,2024-01-31 11:05:00.5,"A ""Plaza""",1.01,B,2.01,40.5,-74.0,40.6,-74.1,casual\n')
+    rows = {r["ride_id"]: r for r in ingest.read_trip_csv(spark, write(f"{tmp_dir}/q.csv", body), "2024-01-01").collect()}
+    assert rows["R1"]["start_station_name"] == "Broadway, W 60 St"
+    assert rows["R1"]["started_at"] == dt.datetime(2024, 1, 31, 10, 0, 0, 123000)
+    assert rows["R2"]["start_station_name"] == 'A "Plaza"'
+    assert rows["R2"]["ended_at"] == dt.datetime(2024, 1, 31, 11, 5, 0, 500000)

@@ -24,6 +24,7 @@ STATION_BATCH_PREFIX = "station_information_"
 CSV_OPTIONS = {
     "header": "true", "sep": ",", "mode": "FAILFAST", "enforceSchema": "false", "multiLine": "false",
     "encoding": "UTF-8", "timestampNTZFormat": TRIP_TIME_FORMAT,
+    "quote": '"', "escape": '"',          # RFC 4180: an embedded quote is doubled
 }
 
 
@@ -47,7 +48,7 @@ def read_trip_csv(spark: SparkSession, paths, source_month, batch_id: str | None
 def write_trip_csv(df: DataFrame, path: str) -> None:
     """Write trips as the source publishes them (used for fixtures)."""
     (df.select(*[f.name for f in schemas.TRIP_CSV.fields]).write.mode("overwrite")
-     .option("header", "true").option("timestampNTZFormat", TRIP_TIME_FORMAT)
+     .option("header", "true").option("timestampNTZFormat", TRIP_TIME_FORMAT).option("escape", '"')
      .option("ignoreLeadingWhiteSpace", "false").option("ignoreTrailingWhiteSpace", "false")
      .csv(path))
 
