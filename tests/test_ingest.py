@@ -99,3 +99,14 @@ def test_quoted_names_and_millis(spark, tmp_dir):
     assert rows["R1"]["started_at"] == dt.datetime(2024, 1, 31, 10, 0, 0, 123000)
     assert rows["R2"]["start_station_name"] == 'A "Plaza"'
     assert rows["R2"]["ended_at"] == dt.datetime(2024, 1, 31, 11, 5, 0, 500000)
+
+
+def test_station_feed_nested_fields(spark, tmp_dir):
+    doc = ('{"last_updated": 1, "ttl": 5, "data": {"stations": [{"station_id": "S1", "name": "A", "short_name": "1.01", '
+           '"region_id": 71, "lat": 40.5, "lon": -74.0, "capacity": 9, "rental_uris": {"ios": "x://a"}, '
+           '"rental_methods": ["KEY", "CREDITCARD"], "eightd_station_services": [{"id": "e1"}], '
+           '"has_kiosk": true, "electric_bike_surcharge_waiver": false, "external_id": "ext"}]}}')
+    r = ingest.read_station_feed(spark, write(f"{tmp_dir}/f.json", doc), "2024-01-02").first()
+    assert r["region_id"] == "71"
+    assert '"ios"' in r["rental_uris"] and r["rental_methods"] == ["KEY", "CREDITCARD"]
+    assert '"e1"' in r["eightd_station_services"]
