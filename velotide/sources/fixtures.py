@@ -14,6 +14,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.utils import AnalysisException
 
 from velotide.functions.columns import epoch_micros_ntz, instant_from_micros, ntz_plus_seconds
 from velotide.operators.partitioning import spread
@@ -279,13 +280,16 @@ def landed(spark: SparkSession, root: str, name: str) -> DataFrame:
     from velotide.session import scratch_path
     key = (app_id(spark), root, name, _source_stamp(root, _SOURCES[name]))
     hit = _LANDED.get(key)
-    if hit is None:
-        path = scratch_path(spark, f"raw-{name}")
-        df = _BUILDERS[name](spark, root)
-        # every writer task writes its own file per partition: no shuffle,
-        # and the table keeps as many splits as the job had tasks
-        df.write.partitionBy(*_PARTITIONS.get(name, [])).parquet(path)
-        hit = _LANDED[key] = (path, df.columns)
-    path, cols = hit
+    if hit is not None:
+        try:
+            return spark.read.parquet(hit[0]).select(*hit[1])
+        except AnalysisException:  # the scratch folder was removed: land again
+            hit = None
+    path = scratch_path(spark, f"raw-{name}")
+    df = _BUILDERS[name](spark, root)
+    # every writer task writes its own file per partition: no shuffle, and
+    # the table keeps as many splits as the job had tasks
+    df.write.partitionBy(*_PARTITIONS.get(name, [])).parquet(path)
+    _LANDED[key] = (path, df.columns)
     # same column order as the view (partition columns come back last)
-    return spark.read.parquet(path).select(*cols)
+    return spark.read.parquet(path).select(*df.columns)
