@@ -24,3 +24,10 @@ def test_land_then_daily(spark, tmp_dir):
     assert got.count() == ref.count()
     cols = ["ride_id", "start_station_key", "end_station_key", "duration_minutes", "start_date_key"]
     assert got.select(*cols).exceptAll(ref.select(*cols)).count() == 0
+
+    from velotide.plans.jobs import register_views
+    names = register_views(spark, f"{tmp_dir}/out")
+    assert "fct_trip" in names and "agg_station_daily" in names
+    n = spark.sql("SELECT count(*) FROM fct_trip f JOIN dim_date d ON f.start_date_key = d.date_key").first()[0]
+    assert n > 0
+    main(["sql", "--marts", f"{tmp_dir}/out", "SELECT count(*) AS n FROM agg_daily_trip_summary"])

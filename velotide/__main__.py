@@ -6,6 +6,7 @@
     python -m velotide stream --source kafka --option kafka.bootstrap.servers=... --option subscribe=...
                               --out DIR --checkpoint DIR [--available-now]
     python -m velotide query  NAME --sf-dir DIR [--rows 20]
+    python -m velotide sql    --marts DIR "SELECT member_casual, sum(trip_count) FROM agg_daily_trip_summary GROUP BY 1"
 """
 
 from __future__ import annotations
@@ -44,6 +45,10 @@ def main(argv=None) -> None:
     s.add_argument("--out", required=True)
     s.add_argument("--checkpoint", required=True)
     s.add_argument("--available-now", action="store_true")
+    x = sub.add_parser("sql")
+    x.add_argument("--marts", required=True)
+    x.add_argument("statement")
+    x.add_argument("--rows", type=int, default=50)
     q = sub.add_parser("query")
     q.add_argument("name")
     q.add_argument("--sf-dir", required=True)
@@ -72,6 +77,10 @@ def main(argv=None) -> None:
         events = status_stream(spark, args.source, _opts(args.option))
         q = start_status_stream(events, args.out, args.checkpoint, {"availableNow": True} if args.available_now else None)
         q.awaitTermination()
+    elif args.cmd == "sql":
+        from velotide.plans.jobs import register_views
+        register_views(spark, args.marts)
+        spark.sql(args.statement).show(args.rows, truncate=False)
     elif args.cmd == "query":
         from velotide.registry import QUERIES
         QUERIES[args.name](spark, args.sf_dir).show(args.rows, truncate=False)

@@ -109,3 +109,24 @@ def daily_transform(spark: SparkSession, raw_trips: DataFrame, raw_stations: Dat
     finally:
         if log:
             log.flush()
+
+
+MODEL_TABLES = ["int_station_identity", "int_trip_history", "int_quarantine_trip", "int_station_status",
+                "int_quarantine_station_status", "dim_date", "dim_station", "fct_trip", "fct_station_status",
+                "agg_daily_trip_summary", "agg_station_activity", "agg_station_daily", "check_report"]
+
+
+def register_views(spark: SparkSession, out_root: str) -> list[str]:
+    """Temp views over the written models, for ad-hoc Spark SQL
+    (``SELECT ... FROM fct_trip JOIN dim_date ...``).  Returns the names."""
+    from velotide.operators.incremental import table_exists
+    names = []
+    for name in MODEL_TABLES:
+        path = f"{out_root.rstrip('/')}/{name}"
+        if table_exists(spark, path):
+            df = spark.read.parquet(path)
+            if "poll_day" in df.columns:
+                df = df.drop("poll_day")
+            df.createOrReplaceTempView(name)
+            names.append(name)
+    return names
