@@ -110,3 +110,19 @@ def test_station_feed_nested_fields(spark, tmp_dir):
     assert r["region_id"] == "71"
     assert '"ios"' in r["rental_uris"] and r["rental_methods"] == ["KEY", "CREDITCARD"]
     assert '"e1"' in r["eightd_station_services"]
+
+
+def test_rerun_drops_vanished_days(spark, tmp_dir):
+    import os
+    land, raw = f"{tmp_dir}/landing", f"{tmp_dir}/raw"
+    os.makedirs(f"{land}/source_month=2024-01")
+    p = write(f"{land}/source_month=2024-01/a.csv",
+              HEADER + "\n" + row("J1") + "\n" + row("J2", "2024-01-30 10:00:00") + "\n")
+    df = ingest.read_trip_csv(spark, ingest.batch_paths(spark, land, "2024-01-01"), "2024-01-01")
+    ingest.land_trip_batch(df, raw, "2024-01-01")
+    write(p, HEADER + "\n" + row("J1") + "\n")          # the corrected file no longer has 30 January
+    df = ingest.read_trip_csv(spark, ingest.batch_paths(spark, land, "2024-01-01"), "2024-01-01")
+    ingest.land_trip_batch(df, raw, "2024-01-01")
+    landed = ingest.read_landed_trips(spark, raw)
+    assert [r["ride_id"] for r in landed.collect()] == ["J1"]
+    assert sorted(r["day"] for r in spark.read.parquet(f"{raw}/trip_history").select("day").distinct().collect()) == [31]
