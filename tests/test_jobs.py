@@ -33,3 +33,20 @@ def test_daily_transform(spark, tmp_dir):
     log = spark.read.parquet(f"{tmp_dir}/runlog")
     assert log.filter(F.col("status") != "SUCCESS").count() == 0
     assert log.select("task_id").distinct().count() == 13
+
+
+def test_status_runs_prune_raw_by_poll_day(spark, tmp_dir):
+    from velotide.streaming.status_stream import write_status_batch
+    raw = f"{tmp_dir}/raw_status"
+    write_status_batch(raw, ingested_at="2024-02-01 00:00:00")(fixtures.raw_status(spark, SF_SMALL), 0)
+    rs = spark.read.parquet(raw)
+    assert "poll_day" in rs.columns
+    trips, stations = fixtures.raw_trips(spark, SF_SMALL), fixtures.raw_stations(spark, SF_SMALL)
+    kw = dict(calendar=FIXTURE_CALENDAR, as_of=FIXTURE_AS_OF)
+    daily_transform(spark, trips, stations, rs, f"{tmp_dir}/full", full_refresh=True, **kw)
+    early = rs.filter(F.col("poll_day") < F.lit("2024-01-20").cast("date"))
+    daily_transform(spark, trips, stations, early, f"{tmp_dir}/inc", full_refresh=True, **kw)
+    daily_transform(spark, trips, stations, rs, f"{tmp_dir}/inc", source_month="2024-02-01", **kw)
+    a = spark.read.parquet(f"{tmp_dir}/full/fct_station_status")
+    b = spark.read.parquet(f"{tmp_dir}/inc/fct_station_status").select(*a.columns)
+    assert a.count() > 0 and a.exceptAll(b).count() == 0 and b.exceptAll(a).count() == 0

@@ -69,7 +69,11 @@ def daily_transform(spark: SparkSession, raw_trips: DataFrame, raw_stations: Dat
         step("int_quarantine_trip", lambda: write("int_quarantine_trip", trips.quarantine_trip(hist_all, as_of)))
         target = f"{out}/int_station_status"
         since = None if full_refresh else INC.high_water_day(spark, target, "poll_time")
-        st = status.station_status(stg_status, since).withColumn("poll_day", F.to_date("poll_time"))
+        status_in = stg_status
+        if since is not None and "poll_day" in raw_status.columns:
+            # raw status laid out by poll day: read only the days from the mark on
+            status_in = staging.stg_status(raw_status.filter(F.col("poll_day") >= F.lit(since).cast("date")))
+        st = status.station_status(status_in, since).withColumn("poll_day", F.to_date("poll_time"))
         step("int_station_status", lambda: INC.replace_partitions(st, target, ["poll_day"], full_refresh))
         st_t = table("int_station_status").drop("poll_day")
         step("int_quarantine_station_status",

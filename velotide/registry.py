@@ -461,7 +461,7 @@ def q_stream_raw_status(spark, root):
     source = landed_path(spark, root, "kafka")
     events = SS.status_stream(spark, "files", {"path": source, "maxFilesPerTrigger": "4"})
     SS.start_status_stream(events, f"{work}/raw", f"{work}/checkpoint", {"availableNow": True}).awaitTermination()
-    return spark.read.parquet(f"{work}/raw").drop("batch_id", "ingested_at")
+    return spark.read.parquet(f"{work}/raw").drop("batch_id", "poll_day", "ingested_at")
 
 
 # ------------------------------------------------- landing and incremental ---

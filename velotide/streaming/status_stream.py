@@ -97,11 +97,14 @@ def to_raw(batch: DataFrame, ingested_at=None) -> DataFrame:
 
 
 def write_status_batch(root: str, ingested_at=None):
-    """foreachBatch function: overwrite ``<root>/batch_id=<n>``."""
+    """foreachBatch function: overwrite ``<root>/batch_id=<n>``, partitioned
+    inside by ``poll_day`` (derived from each row, so a retried batch writes
+    the same folders); the daily models prune raw status by that day."""
     def write(batch_df: DataFrame, batch_id: int) -> None:
         if batch_df.isEmpty():
             return
-        (to_raw(batch_df, ingested_at).sortWithinPartitions("station_id").write.mode("overwrite")
+        raw = to_raw(batch_df, ingested_at).withColumn("poll_day", F.to_date("poll_time"))
+        (raw.sortWithinPartitions("poll_day", "station_id").write.mode("overwrite").partitionBy("poll_day")
          .parquet(f"{root.rstrip('/')}/batch_id={batch_id}"))
     return write
 
