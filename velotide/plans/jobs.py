@@ -65,8 +65,15 @@ def daily_transform(spark: SparkSession, raw_trips: DataFrame, raw_stations: Dat
         step("int_trip_history", lambda: INC.replace_partitions(hist, f"{out}/int_trip_history", by, full_refresh))
         hist_all = table("int_trip_history")
         hist_t = hist_all if month is None else INC.for_month(hist_all, month)
-        # full-rebuild table: all rejected trips, every batch
-        step("int_quarantine_trip", lambda: write("int_quarantine_trip", trips.quarantine_trip(hist_all, as_of)))
+        # rejected trips, partitioned by batch: ids never span batches, so a
+        # month run replaces only its batch; first runs, full refreshes and
+        # the compat layout (a later batch may erase rows of an earlier one)
+        # rebuild from the whole history
+        q_path = f"{out}/int_quarantine_trip"
+        rebuild = month is None or compat == "last_batch_wins" or not INC.table_exists(spark, q_path)
+        q_in = hist_all if rebuild else hist_t
+        step("int_quarantine_trip", lambda: INC.replace_partitions(
+            trips.quarantine_trip(q_in, as_of), q_path, ["batch_id"], rebuild))
         target = f"{out}/int_station_status"
         since = None if full_refresh else INC.high_water_day(spark, target, "poll_time")
         status_in = stg_status
