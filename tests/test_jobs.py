@@ -26,7 +26,8 @@ def test_daily_transform(spark, tmp_dir):
     out2 = f"{tmp_dir}/marts2"
     for month in ("2024-01-01", "2024-02-01"):
         daily_transform(spark, trips, stations, status, out2, source_month=month, **kw)
-    for name in ("fct_trip", "agg_daily_trip_summary", "int_quarantine_trip", "fct_station_status", "agg_station_daily"):
+    for name in ("fct_trip", "agg_daily_trip_summary", "int_quarantine_trip", "fct_station_status", "agg_station_daily",
+                 "int_quarantine_station_status"):
         a = spark.read.parquet(f"{out}/{name}")
         b = spark.read.parquet(f"{out2}/{name}").select(*a.columns)
         assert a.exceptAll(b).count() == 0 and b.exceptAll(a).count() == 0, name

@@ -83,8 +83,13 @@ def daily_transform(spark: SparkSession, raw_trips: DataFrame, raw_stations: Dat
         st = status.station_status(status_in, since).withColumn("poll_day", F.to_date("poll_time"))
         step("int_station_status", lambda: INC.replace_partitions(st, target, ["poll_day"], full_refresh))
         st_t = table("int_station_status").drop("poll_day")
-        step("int_quarantine_station_status",
-             lambda: write("int_quarantine_station_status", status.quarantine_status(st_t)))
+        # incremental like the status model: days from the mark are replaced
+        qs_path = f"{out}/int_quarantine_station_status"
+        qs_first = full_refresh or since is None or not INC.table_exists(spark, qs_path)
+        qs_in = st_t if qs_first else st_t.filter(F.col("poll_time") >= F.lit(since).cast("date").cast("timestamp"))
+        step("int_quarantine_station_status", lambda: INC.replace_partitions(
+            status.quarantine_status(qs_in).withColumn("poll_day", F.to_date("poll_time")), qs_path, ["poll_day"],
+            qs_first))
         dd = step("dim_date", lambda: write("dim_date", dims.dim_date(spark, *calendar)))
         ds = step("dim_station", lambda: write("dim_station", dims.dim_station(stg_station)))
         ft = trips.fct_trip(hist_t)
@@ -111,7 +116,7 @@ def daily_transform(spark: SparkSession, raw_trips: DataFrame, raw_stations: Dat
             "stg_trip_history": stg_trip, "stg_station_information": stg_station, "stg_station_status": stg_status,
             "int_station_identity": ident, "int_trip_history": table("int_trip_history"),
             "int_quarantine_trip": table("int_quarantine_trip"), "int_station_status": st_t,
-            "int_quarantine_station_status": table("int_quarantine_station_status"), "dim_date": dd,
+            "int_quarantine_station_status": table("int_quarantine_station_status").drop("poll_day"), "dim_date": dd,
             "dim_station": ds, "fct_trip": ft_t, "fct_station_status": fs_t,
         }
         report = step("checks", lambda: write("check_report", run_checks(tables, SPECS)))
@@ -136,7 +141,7 @@ def register_views(spark: SparkSession, out_root: str) -> list[str]:
         path = f"{out_root.rstrip('/')}/{name}"
         if table_exists(spark, path):
             df = spark.read.parquet(path)
-            if "poll_day" in df.columns:
+            if "poll_day" in df.columns:  # layout column of the day-partitioned models
                 df = df.drop("poll_day")
             df.createOrReplaceTempView(name)
             names.append(name)
