@@ -32,8 +32,7 @@ MAX_DISTANCE_M = 100.0
 VARIANT_COLS = ["source_station_code", "source_station_name", "source_latitude", "source_longitude"]
 
 
-def station_variants(stg_trips: DataFrame) -> DataFrame:
-    """Trips per (code, name, lat, lng), start and end ends counted together."""
+def _ends(stg_trips: DataFrame, extra: list[str]) -> DataFrame:
     ends = F.array(
         F.struct(F.col("start_station_id").alias("source_station_code"),
                  F.col("start_station_name").alias("source_station_name"),
@@ -44,12 +43,27 @@ def station_variants(stg_trips: DataFrame) -> DataFrame:
                  F.col("end_latitude").alias("source_latitude"),
                  F.col("end_longitude").alias("source_longitude")),
     )
-    return (stg_trips.select(F.inline(ends))
-            .filter(F.col("source_station_code").isNotNull())
-            .groupBy(*VARIANT_COLS)
+    return stg_trips.select(*extra, F.inline(ends)).filter(F.col("source_station_code").isNotNull())
+
+
+def station_variants(stg_trips: DataFrame) -> DataFrame:
+    """Trips per (code, name, lat, lng), start and end ends counted together."""
+    return _ends(stg_trips, []).groupBy(*VARIANT_COLS).agg(F.count(F.lit(1)).alias("trip_rows"))
+
+
+def station_variants_by_batch(stg_trips: DataFrame) -> DataFrame:
+    """The same counts per landed batch: stored partitioned by batch, a
+    month run recounts only its batch and the identity sums the stored
+    counts (a few rows per station and batch) instead of re-reading every
+    trip of every month."""
+    return (_ends(stg_trips, ["source_month"]).groupBy("source_month", *VARIANT_COLS)
             .agg(F.count(F.lit(1)).alias("trip_rows")))
 
 
+def merge_variants(by_batch: DataFrame) -> DataFrame:
+    return by_batch.groupBy(*VARIANT_COLS).agg(F.sum("trip_rows").cast("bigint").alias("trip_rows"))
+
+
 def dominant_variant(variants: DataFrame) -> DataFrame:
     """The most used variant of each code (ties: name, lat, lng ascending)."""
     return first_by(variants, ["source_station_code"], ["-trip_rows"])
@@ -121,8 +135,9 @@ def match_geo(src: DataFrame, ref: DataFrame, done: DataFrame, max_m: float = MA
 
 
 def station_identity(stg_trips: DataFrame, stg_stations: DataFrame, max_m: float = MAX_DISTANCE_M,
-                     materialize: bool = True) -> DataFrame:
+                     materialize: bool = True, variants: DataFrame | None = None) -> DataFrame:
     """One row per source station code: its dominant variant and resolution.
+    ``variants`` may be given precomputed (e.g. merged per-batch counts).
 
     With ``materialize`` the reduced trip side of the cascade (one row per
     code) is written once to the checkpoint folder: the trips are read by
@@ -130,7 +145,8 @@ def station_identity(stg_trips: DataFrame, stg_stations: DataFrame, max_m: float
     (planned as broadcast joins), and a lost executor never sends the
     cascade back to the trips.  The reference side comes from the small
     station table and is cheaper to recompute than to write."""
-    src = prepare_sources(dominant_variant(station_variants(stg_trips)))
+    counted = variants if variants is not None else station_variants(stg_trips)
+    src = prepare_sources(dominant_variant(counted))
     ref = station_reference(stg_stations)
     if materialize:
         from velotide.operators.broadcast import materialise

@@ -57,9 +57,16 @@ def daily_transform(spark: SparkSession, raw_trips: DataFrame, raw_stations: Dat
         stg_trip = staging.stg_trip(raw_trips)
         stg_station = staging.stg_station(raw_stations)
         stg_status = staging.stg_status(raw_status)
-        ident = step("int_station_identity", lambda: write("int_station_identity",
-                                                           identity.station_identity(stg_trip, stg_station)))
         month = None if full_refresh else source_month
+        # variant counts per batch: a month run recounts only its batch
+        v_path = f"{out}/int_station_variants"
+        v_first = month is None or not INC.table_exists(spark, v_path)
+        v_in = stg_trip if v_first else INC.for_month(stg_trip, month)
+        step("int_station_variants", lambda: INC.replace_partitions(
+            identity.station_variants_by_batch(v_in), v_path, ["source_month"], v_first))
+        merged = identity.merge_variants(table("int_station_variants"))
+        ident = step("int_station_identity", lambda: write("int_station_identity", identity.station_identity(
+            stg_trip, stg_station, variants=merged)))
         hist = trips.trip_history(stg_trip, ident, month, broadcast_identity=False)
         by = INC.trip_partitioning(compat)
         step("int_trip_history", lambda: INC.replace_partitions(hist, f"{out}/int_trip_history", by, full_refresh))
@@ -127,7 +134,7 @@ def daily_transform(spark: SparkSession, raw_trips: DataFrame, raw_stations: Dat
             log.flush()
 
 
-MODEL_TABLES = ["int_station_identity", "int_trip_history", "int_quarantine_trip", "int_station_status",
+MODEL_TABLES = ["int_station_variants", "int_station_identity", "int_trip_history", "int_quarantine_trip", "int_station_status",
                 "int_quarantine_station_status", "dim_date", "dim_station", "fct_trip", "fct_station_status",
                 "agg_daily_trip_summary", "agg_station_activity", "agg_station_daily", "check_report"]
 
