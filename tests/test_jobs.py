@@ -18,6 +18,7 @@ def test_daily_transform(spark, tmp_dir):
     assert report.count() == 53
     m = Models(spark, trips, stations, status)
     for name, ref in [("fct_trip", m.fct_trip), ("agg_station_daily", m.agg_station_daily),
+                      ("agg_station_activity", m.agg_station_activity),
                       ("agg_daily_trip_summary", m.agg_daily_trip_summary)]:
         got = spark.read.parquet(f"{out}/{name}")
         cols = ref.columns
@@ -26,14 +27,14 @@ def test_daily_transform(spark, tmp_dir):
     out2 = f"{tmp_dir}/marts2"
     for month in ("2024-01-01", "2024-02-01"):
         daily_transform(spark, trips, stations, status, out2, source_month=month, **kw)
-    for name in ("int_station_identity", "fct_trip", "agg_daily_trip_summary", "int_quarantine_trip", "fct_station_status", "agg_station_daily",
+    for name in ("int_station_identity", "agg_station_activity", "fct_trip", "agg_daily_trip_summary", "int_quarantine_trip", "fct_station_status", "agg_station_daily",
                  "int_quarantine_station_status"):
         a = spark.read.parquet(f"{out}/{name}")
         b = spark.read.parquet(f"{out2}/{name}").select(*a.columns)
         assert a.exceptAll(b).count() == 0 and b.exceptAll(a).count() == 0, name
     log = spark.read.parquet(f"{tmp_dir}/runlog")
     assert log.filter(F.col("status") != "SUCCESS").count() == 0
-    assert log.select("task_id").distinct().count() == 14
+    assert log.select("task_id").distinct().count() == 15
 
 
 def test_status_runs_prune_raw_by_poll_day(spark, tmp_dir):

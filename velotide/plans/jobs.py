@@ -60,7 +60,9 @@ def daily_transform(spark: SparkSession, raw_trips: DataFrame, raw_stations: Dat
         month = None if full_refresh else source_month
         # variant counts per batch: a month run recounts only its batch
         v_path = f"{out}/int_station_variants"
-        v_first = month is None or not INC.table_exists(spark, v_path)
+        # (the compat layout lets a later batch erase rows of an earlier one,
+        # so stored per-batch partials are rebuilt there)
+        v_first = month is None or compat == "last_batch_wins" or not INC.table_exists(spark, v_path)
         v_in = stg_trip if v_first else INC.for_month(stg_trip, month)
         step("int_station_variants", lambda: INC.replace_partitions(
             identity.station_variants_by_batch(v_in), v_path, ["source_month"], v_first))
@@ -116,7 +118,13 @@ def daily_transform(spark: SparkSession, raw_trips: DataFrame, raw_stations: Dat
             daily_in, first_daily = ft_t.filter(F.col("start_date").isin(days)), False
         step("agg_daily_trip_summary", lambda: INC.replace_partitions(
             marts.agg_daily_trip_summary(daily_in, dd), summary, ["full_date"], first_daily))
-        step("agg_station_activity", lambda: write("agg_station_activity", marts.agg_station_activity(ft_t)))
+        a_path = f"{out}/agg_station_activity_by_batch"
+        a_first = month is None or compat == "last_batch_wins" or not INC.table_exists(spark, a_path)
+        a_in = ft_t if a_first else INC.for_month(ft_t, month)
+        step("agg_station_activity_by_batch", lambda: INC.replace_partitions(
+            marts.station_activity_by_batch(a_in), a_path, ["source_month"], a_first))
+        step("agg_station_activity", lambda: write("agg_station_activity",
+                                                   marts.merge_station_activity(table("agg_station_activity_by_batch"))))
         step("agg_station_daily", lambda: write("agg_station_daily",
                                                 marts.agg_station_daily(ft_t, fs_t, dd, ds, broadcast_dim=False)))
         tables = {

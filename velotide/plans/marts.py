@@ -36,7 +36,7 @@ def agg_daily_trip_summary(fct_trip: DataFrame, dim_date: DataFrame, month=None)
         "total_duration_minutes")
 
 
-def _trip_ends(fct_trip: DataFrame, with_day: bool) -> DataFrame:
+def _trip_ends(fct_trip: DataFrame, with_day: bool, extra: tuple = ()) -> DataFrame:
     """Each trip as two rows: its start (started=1) and its end (ended=1)."""
     ends = F.array(
         F.struct(F.col("start_station_key").alias("station_key"),
@@ -48,7 +48,7 @@ def _trip_ends(fct_trip: DataFrame, with_day: bool) -> DataFrame:
                  F.lit(0).alias("started"), F.lit(1).alias("ended"),
                  F.lit(None).cast("bigint").alias("duration")),
     )
-    return fct_trip.select(F.inline(ends)).filter(F.col("station_key").isNotNull())
+    return fct_trip.select(*extra, F.inline(ends)).filter(F.col("station_key").isNotNull())
 
 
 def agg_station_activity(fct_trip: DataFrame) -> DataFrame:
@@ -58,6 +58,20 @@ def agg_station_activity(fct_trip: DataFrame) -> DataFrame:
     return g.withColumn("total_trip_activity", F.col("start_trip_count") + F.col("end_trip_count"))
 
 
+def station_activity_by_batch(fct_trip: DataFrame) -> DataFrame:
+    """Start and end counts per (batch, station): stored partitioned by
+    batch, so a month run recounts only its batch."""
+    return _trip_ends(fct_trip, with_day=False, extra=("source_month",)).groupBy("source_month", "station_key").agg(
+        F.sum("started").cast("bigint").alias("start_trip_count"),
+        F.sum("ended").cast("bigint").alias("end_trip_count"))
+
+
+def merge_station_activity(by_batch: DataFrame) -> DataFrame:
+    g = by_batch.groupBy("station_key").agg(F.sum("start_trip_count").cast("bigint").alias("start_trip_count"),
+                                            F.sum("end_trip_count").cast("bigint").alias("end_trip_count"))
+    return g.withColumn("total_trip_activity", F.col("start_trip_count") + F.col("end_trip_count"))
+
+
 STATION_DAILY_COLS = [
     "date_key", "full_date", "station_key", "station_name", "short_name", "region_id", "latitude",
     "longitude", "capacity", "station_type", "trips_started", "trips_ended", "total_trip_activity",
