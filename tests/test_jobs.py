@@ -34,7 +34,7 @@ def test_daily_transform(spark, tmp_dir):
         assert a.exceptAll(b).count() == 0 and b.exceptAll(a).count() == 0, name
     log = spark.read.parquet(f"{tmp_dir}/runlog")
     assert log.filter(F.col("status") != "SUCCESS").count() == 0
-    assert log.select("task_id").distinct().count() == 15
+    assert log.select("task_id").distinct().count() == 17
 
 
 def test_status_runs_prune_raw_by_poll_day(spark, tmp_dir):

@@ -125,8 +125,19 @@ def daily_transform(spark: SparkSession, raw_trips: DataFrame, raw_stations: Dat
             marts.station_activity_by_batch(a_in), a_path, ["source_month"], a_first))
         step("agg_station_activity", lambda: write("agg_station_activity",
                                                    marts.merge_station_activity(table("agg_station_activity_by_batch"))))
-        step("agg_station_daily", lambda: write("agg_station_daily",
-                                                marts.agg_station_daily(ft_t, fs_t, dd, ds, broadcast_dim=False)))
+        # station x day: trip partials by batch, status partials by day
+        tp_path, sp_path = f"{out}/agg_station_daily_trip_parts", f"{out}/agg_station_daily_status_parts"
+        tp_first = month is None or compat == "last_batch_wins" or not INC.table_exists(spark, tp_path)
+        step("agg_station_daily_trip_parts", lambda: INC.replace_partitions(
+            marts.station_day_trip_parts(ft_t if tp_first else INC.for_month(ft_t, month)), tp_path,
+            ["source_month"], tp_first))
+        sp_first = full_refresh or since is None or not INC.table_exists(spark, sp_path)
+        sp_in = fs_t if sp_first else fs_t.filter(F.col("poll_time") >= F.lit(since).cast("date").cast("timestamp"))
+        step("agg_station_daily_status_parts", lambda: INC.replace_partitions(
+            marts.station_day_status_parts(sp_in), sp_path, ["date_key"], sp_first))
+        step("agg_station_daily", lambda: write("agg_station_daily", marts.station_daily_from_parts(
+            table("agg_station_daily_trip_parts"), table("agg_station_daily_status_parts"), dd, ds,
+            broadcast_dim=False)))
         tables = {
             "stg_trip_history": stg_trip, "stg_station_information": stg_station, "stg_station_status": stg_status,
             "int_station_identity": ident, "int_trip_history": table("int_trip_history"),

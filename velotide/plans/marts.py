@@ -111,9 +111,8 @@ def station_day_rollup(fct_trip: DataFrame, fct_status: DataFrame) -> DataFrame:
         F.sum("full").alias("full_observations"))
 
 
-def agg_station_daily(fct_trip: DataFrame, fct_status: DataFrame, dim_date: DataFrame,
-                      dim_station: DataFrame, broadcast_dim: bool = True) -> DataFrame:
-    c = station_day_rollup(fct_trip, fct_status)
+def _finish_station_daily(c: DataFrame, dim_date: DataFrame, dim_station: DataFrame,
+                          broadcast_dim: bool = True) -> DataFrame:
     cal = F.broadcast(dim_date.select("date_key", "full_date"))
     st = dim_station.filter(F.col("station_key").isNotNull()).select(
         "station_key", "station_name", "short_name", "region_id", "latitude", "longitude", "capacity",
@@ -131,3 +130,64 @@ def agg_station_daily(fct_trip: DataFrame, fct_status: DataFrame, dim_date: Data
         "max_docks_available", zero("status_observations").alias("status_observations"),
         zero("empty_observations").alias("empty_observations"),
         zero("full_observations").alias("full_observations"))
+
+
+def agg_station_daily(fct_trip: DataFrame, fct_status: DataFrame, dim_date: DataFrame,
+                      dim_station: DataFrame, broadcast_dim: bool = True) -> DataFrame:
+    return _finish_station_daily(station_day_rollup(fct_trip, fct_status), dim_date, dim_station, broadcast_dim)
+
+
+# --- stored partials for incremental runs --------------------------------------
+def station_day_trip_parts(fct_trip: DataFrame) -> DataFrame:
+    """Per (batch, station, day): starts, ends, and the sum and count of the
+    starting trips' minutes.  Stored by batch; a month run recounts its own."""
+    t = _trip_ends(fct_trip, with_day=True, extra=("source_month",))
+    return t.groupBy("source_month", "station_key", "date_key").agg(
+        F.sum("started").cast("bigint").alias("trips_started"), F.sum("ended").cast("bigint").alias("trips_ended"),
+        F.sum("duration").alias("duration_sum"), F.count("duration").alias("duration_n"))
+
+
+def station_day_status_parts(fct_status: DataFrame) -> DataFrame:
+    """Per (station, day): sums, counts, minima and maxima of availability.
+    Stored by day; a status run replaces the days from its high-water mark."""
+    b, d = F.col("num_bikes_available"), F.col("num_docks_available")
+    return (fct_status.filter(F.col("station_key").isNotNull())
+            .groupBy("station_key", F.col("observation_date_key").alias("date_key"))
+            .agg(F.sum(b).alias("bikes_sum"), F.count(b).alias("bikes_n"), F.min(b).alias("min_bikes_available"),
+                 F.max(b).alias("max_bikes_available"), F.sum(d).alias("docks_sum"), F.count(d).alias("docks_n"),
+                 F.min(d).alias("min_docks_available"), F.max(d).alias("max_docks_available"),
+                 F.count(F.lit(1)).alias("status_observations"),
+                 F.count_if(F.col("is_empty")).alias("empty_observations"),
+                 F.count_if(F.col("is_full")).alias("full_observations")))
+
+
+def _ratio(num: str, den: str):
+    return F.when(F.col(den) > 0, F.col(num).cast("double") / F.col(den).cast("double"))
+
+
+def station_daily_from_parts(trip_parts: DataFrame, status_parts: DataFrame, dim_date: DataFrame,
+                             dim_station: DataFrame, broadcast_dim: bool = True) -> DataFrame:
+    """agg_station_daily from stored partials: the same rows and values as
+    the full rollup (sums of exact integer partials, then the averages)."""
+    trips = trip_parts.groupBy("station_key", "date_key").agg(
+        F.sum("trips_started").alias("trips_started"), F.sum("trips_ended").alias("trips_ended"),
+        F.sum("duration_sum").alias("total_trip_duration_minutes"), F.sum("duration_n").alias("duration_n"))
+    status_cols = ["bikes_sum", "bikes_n", "min_bikes_available", "max_bikes_available", "docks_sum", "docks_n",
+                   "min_docks_available", "max_docks_available", "status_observations", "empty_observations",
+                   "full_observations"]
+    t = trips.select("station_key", "date_key", "trips_started", "trips_ended", "total_trip_duration_minutes",
+                     "duration_n", *[F.lit(None).cast("bigint").alias(c) for c in status_cols])
+    s_ = status_parts.select("station_key", "date_key",
+                             *[F.lit(None).cast("bigint").alias(c) for c in
+                               ("trips_started", "trips_ended", "total_trip_duration_minutes", "duration_n")],
+                             *[F.col(c).cast("bigint").alias(c) for c in status_cols])
+    g = t.unionByName(s_).groupBy("station_key", "date_key").agg(
+        *[F.sum(c).alias(c) for c in ("trips_started", "trips_ended", "total_trip_duration_minutes", "duration_n",
+                                      "bikes_sum", "bikes_n", "docks_sum", "docks_n", "status_observations",
+                                      "empty_observations", "full_observations")],
+        *[F.min(c).alias(c) for c in ("min_bikes_available", "min_docks_available")],
+        *[F.max(c).alias(c) for c in ("max_bikes_available", "max_docks_available")])
+    c = (g.withColumn("avg_trip_duration_minutes", _ratio("total_trip_duration_minutes", "duration_n"))
+         .withColumn("avg_bikes_available", _ratio("bikes_sum", "bikes_n"))
+         .withColumn("avg_docks_available", _ratio("docks_sum", "docks_n")))
+    return _finish_station_daily(c, dim_date, dim_station, broadcast_dim)
