@@ -645,3 +645,31 @@ def q_feed_stream_events(spark, root):
     start_feed_stream(src, f"{work}/out", f"{work}/checkpoint", {"availableNow": True}).awaitTermination()
     rec = spark.read.parquet(f"{work}/out/events")
     return rec.select("key", F.from_json("value", STATUS_EVENT_SCHEMA).alias("e")).select("key", "e.*")
+
+
+# ------------------------------------ incremental formulations (partials) ---
+@register("station_identity_from_batches", O.q("SELECT * FROM identity"))
+def q_station_identity_from_batches(spark, root):
+    """Identity from per-batch variant counts (the daily job's incremental form)."""
+    m = models(spark, root)
+    merged = I.merge_variants(I.station_variants_by_batch(m.stg_trip))
+    return I.station_identity(m.stg_trip, m.stg_station, variants=merged)
+
+
+@register("agg_station_activity_from_parts", O.q("SELECT * FROM agg_activity"))
+def q_agg_station_activity_from_parts(spark, root):
+    from velotide.plans import marts
+    return marts.merge_station_activity(marts.station_activity_by_batch(models(spark, root).fct_trip))
+
+
+@register("agg_station_daily_from_parts", O.q(
+    "SELECT * REPLACE (" + ", ".join(f"round({c}, 6) AS {c}" for c in AVG_COLS) + ") FROM agg_station_daily"))
+def q_agg_station_daily_from_parts(spark, root):
+    from velotide.plans import marts
+    m = models(spark, root)
+    df = marts.station_daily_from_parts(marts.station_day_trip_parts(m.fct_trip),
+                                        marts.station_day_status_parts(m.fct_station_status), m.dim_date,
+                                        m.dim_station)
+    for c in AVG_COLS:
+        df = df.withColumn(c, F.round(c, 6))
+    return df
