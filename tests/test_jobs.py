@@ -52,3 +52,21 @@ def test_status_runs_prune_raw_by_poll_day(spark, tmp_dir):
     a = spark.read.parquet(f"{tmp_dir}/full/fct_station_status")
     b = spark.read.parquet(f"{tmp_dir}/inc/fct_station_status").select(*a.columns)
     assert a.count() > 0 and a.exceptAll(b).count() == 0 and b.exceptAll(a).count() == 0
+
+
+def test_run_scoped_checks(spark, tmp_dir):
+    trips, stations, status = (fixtures.raw_trips(spark, SF_SMALL), fixtures.raw_stations(spark, SF_SMALL),
+                               fixtures.raw_status(spark, SF_SMALL))
+    kw = dict(calendar=FIXTURE_CALENDAR, as_of=FIXTURE_AS_OF)
+    out = f"{tmp_dir}/m"
+    full = {(r["table"], r["column"], r["check"]): r["failures"]
+            for r in daily_transform(spark, trips, stations, status, out, full_refresh=True, **kw).collect()}
+    run = {(r["table"], r["column"], r["check"]): r["failures"]
+           for r in daily_transform(spark, trips, stations, status, out, source_month="2024-02-01",
+                                    check_scope="run", **kw).collect()}
+    assert set(run) == set(full)
+    for k, v in run.items():
+        if k[2] in ("unique", "grain") or not k[0].startswith(("int_trip", "fct_trip", "stg_trip")):
+            continue
+        assert v <= full[k], k          # the month's rows are a subset of all rows
+    assert run[("fct_trip", "ride_id", "unique")] == full[("fct_trip", "ride_id", "unique")]

@@ -39,6 +39,7 @@ def main(argv=None) -> None:
     d.add_argument("--compat")
     d.add_argument("--strict", action="store_true", help="fail when a data test fails")
     d.add_argument("--log")
+    d.add_argument("--check-scope", default="all", choices=["all", "run"])
     s = sub.add_parser("stream")
     s.add_argument("--source", default="kafka")
     s.add_argument("--option", action="append")
@@ -70,7 +71,7 @@ def main(argv=None) -> None:
             spark.read.parquet(f"{raw}/station_status"), args.out, (first, last), args.as_of,
             source_month=(args.month + "-01") if args.month and len(args.month) == 7 else args.month,
             full_refresh=args.full_refresh, compat=args.compat, severity="error" if args.strict else "warn",
-            log_path=args.log, run_id=uuid.uuid4().hex)
+            log_path=args.log, run_id=uuid.uuid4().hex, check_scope=args.check_scope)
         report.show(100, truncate=False)
     elif args.cmd == "stream":
         from velotide.streaming.status_stream import start_status_stream, status_stream
