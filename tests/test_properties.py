@@ -41,3 +41,13 @@ def test_status_dedup_idempotent(spark):
     twice = dedup_logical(dedup_technical(once))
     assert once.exceptAll(twice).count() == 0 and twice.exceptAll(once).count() == 0
     assert once.groupBy("station_id", "snapshot_id").count().filter(F.col("count") > 1).count() == 0
+
+
+def test_top_k_is_deterministic_under_ties(spark):
+    from velotide.operators.topk import top_k
+    rows = [(f"S{i}", 10 if i % 3 else 20) for i in range(30)]
+    df = spark.createDataFrame(rows, "station_key string, total long")
+    a = [r["station_key"] for r in top_k(df.repartition(7), ["total"], 12, tie=["station_key"]).collect()]
+    b = [r["station_key"] for r in top_k(df.repartition(3), ["total"], 12, tie=["station_key"]).collect()]
+    assert a == b and len(a) == 12
+    assert a[:10] == sorted(f"S{i}" for i in range(30) if i % 3 == 0)
