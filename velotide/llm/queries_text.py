@@ -6,7 +6,10 @@ from pyspark.sql import functions as F
 
 from velotide.llm.common import table
 from velotide.llm.line_dedup import line_dedup
+from velotide.llm.paragraph_dedup import paragraph_dedup
+from velotide.llm.parity_join import jaccard_components
 from velotide.llm.quality_rules import RULES, STOP_WORDS, SYMBOLS, quality_rules
+from velotide.llm.warc import round_trip
 
 _W = r"[^\x20\x09-\x0D]+"
 
@@ -68,3 +71,50 @@ FROM m GROUP BY doc_id
 
 QUERIES = {"op2_quality_rules": op2_quality_rules, "op5_line_dedup": op5_line_dedup}
 ORACLE = {"op2_quality_rules": OP2_SQL, "op5_line_dedup": OP5_SQL}
+
+
+def op3_parity_join(spark, sf_dir):
+    return jaccard_components(table(spark, sf_dir, "documents"), 3, 90)
+
+
+OP3_SQL = f"""
+WITH RECURSIVE w AS (SELECT doc_id, regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '{_W}') AS ws FROM documents),
+s AS (SELECT DISTINCT doc_id, unnest(CASE WHEN len(ws) >= 3 THEN list_transform(generate_series(1, len(ws) - 2), lambda i: ws[i] || ' ' || ws[i+1] || ' ' || ws[i+2])
+   WHEN len(ws) > 0 THEN [array_to_string(ws, ' ')] ELSE [] END) AS g FROM w),
+n AS (SELECT doc_id, count(*) AS n FROM s GROUP BY doc_id),
+i AS (SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS both FROM s a JOIN s b ON a.g = b.g AND a.doc_id < b.doc_id GROUP BY 1, 2),
+l AS (SELECT a, b FROM i JOIN n x ON x.doc_id = a JOIN n y ON y.doc_id = b WHERE 100 * both >= 90 * (x.n + y.n - both)),
+e AS (SELECT a, b FROM l UNION ALL SELECT b, a FROM l),
+r(node, root) AS (SELECT doc_id, doc_id FROM documents UNION SELECT e.b, r.root FROM r JOIN e ON e.a = r.node)
+SELECT d.doc_id, coalesce(n.n, 0) AS n_shingles, (SELECT min(root) FROM r WHERE node = d.doc_id) AS component_id
+FROM documents d LEFT JOIN n USING (doc_id)
+"""
+
+QUERIES["op3_parity_join"] = op3_parity_join
+ORACLE["op3_parity_join"] = OP3_SQL
+
+
+def op4_warc(spark, sf_dir):
+    return round_trip(spark, table(spark, sf_dir, "pages"))
+
+
+OP4_SQL = """
+WITH p AS (SELECT page_id, octet_length(encode(coalesce(html, ''))) AS payload_bytes, sha256(coalesce(html, '')) AS payload_digest FROM pages),
+o AS (SELECT payload_digest, min(page_id) AS first FROM p WHERE payload_bytes >= 100 GROUP BY 1)
+SELECT page_id, payload_bytes, payload_digest, CASE WHEN page_id > first THEN 'revisit' ELSE 'response' END AS record_type,
+  CASE WHEN page_id > first THEN first END AS refers_to
+FROM p LEFT JOIN o USING (payload_digest)
+"""
+
+QUERIES["op4_warc"] = op4_warc
+ORACLE["op4_warc"] = OP4_SQL
+
+
+def op10_substring_dedup(spark, sf_dir):
+    """Per document its text without repeated passages, and what was taken out."""
+    out = paragraph_dedup(table(spark, sf_dir, "documents"))
+    return out.select("doc_id", "text", F.col("_pd_passages").alias("n_removed"), F.col("_pd_words").alias("removed_words"),
+                      (F.col("_pd_passages") == 0).alias("unchanged"))
+
+
+QUERIES["op10_substring_dedup"] = op10_substring_dedup
