@@ -6,7 +6,9 @@ import public_tokenizers
 from pyspark.sql import functions as F
 
 from velotide.llm.common import table
+from velotide.llm.importance import importance_resampling
 from velotide.llm.packing import pack_documents
+from velotide.llm.toxicity import toxicity
 from velotide.llm.word_table import encode_decode
 
 WORD_BPE, BYTE_BPE = "word_bpe_49k.json", "byte_bpe_50k.json"
@@ -22,5 +24,13 @@ def op6_best_fit_packing(spark, sf_dir):
     return pack_documents(table(spark, sf_dir, "documents"), public_tokenizers.path(BYTE_BPE))
 
 
-QUERIES = {"op6_best_fit_packing": op6_best_fit_packing, "op8_word_bpe": op8_word_bpe}
+def op7_toxicity(spark, sf_dir):
+    return toxicity(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+def op9_importance_resampling(spark, sf_dir):
+    return importance_resampling(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+QUERIES = {"op7_toxicity": op7_toxicity, "op9_importance_resampling": op9_importance_resampling, "op6_best_fit_packing": op6_best_fit_packing, "op8_word_bpe": op8_word_bpe}
 ORACLE = {}
