@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from velotide.llm.binary_codes import near_duplicates
 from velotide.llm.common import table
 from velotide.llm.line_dedup import line_dedup
 from velotide.llm.paragraph_dedup import paragraph_dedup
@@ -118,3 +119,23 @@ def op10_substring_dedup(spark, sf_dir):
 
 
 QUERIES["op10_substring_dedup"] = op10_substring_dedup
+
+
+def op1_binary_codes(spark, sf_dir):
+    return near_duplicates(table(spark, sf_dir, "embeddings"))
+
+
+OP1_SQL = """
+WITH RECURSIVE v AS (SELECT vec_id, label, embedding::DOUBLE[] AS e FROM embeddings),
+ok AS (SELECT * FROM v WHERE label IS NOT NULL AND e IS NOT NULL AND len(list_filter(e, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+  AND len(list_filter(e, lambda x: x <> 0)) > 0),
+l AS (SELECT a.vec_id AS a, b.vec_id AS b FROM ok a JOIN ok b ON a.label = b.label AND a.vec_id <> b.vec_id AND len(a.e) = len(b.e)
+  WHERE list_cosine_similarity(a.e, b.e) >= 0.98),
+r(node, root) AS (SELECT vec_id, vec_id FROM v UNION SELECT l.b, r.root FROM r JOIN l ON l.a = r.node),
+c AS (SELECT node, min(root) AS root FROM r GROUP BY node)
+SELECT vec_id, (SELECT count(*) FROM l WHERE a = vec_id) AS n_links, c.root AS component_id, vec_id = c.root AS kept
+FROM v JOIN c ON c.node = v.vec_id
+"""
+
+QUERIES["op1_binary_codes"] = op1_binary_codes
+ORACLE["op1_binary_codes"] = OP1_SQL
