@@ -11,8 +11,8 @@ rounds over two tables, pieces without a place and sequences with a gap:
 3. what a range could not place is matched across ranges by rank: only the
    counts of each range come to the driver, which pairs the k-th open piece with
    the k-th open gap of the nearest larger ranges;
-4. pieces that found no gap open as many new sequences as their tokens fill;
-   gaps are updated and the next round begins.
+4. gaps are updated and the next round begins; once a round places few pieces,
+   those without a gap open as many new sequences as their tokens fill.
 
 Every round's tables are written to the shared folder.  Defined results: a null
 or empty text is the single end token; null ids and repeated rows are pieces of
@@ -34,7 +34,8 @@ from velotide.llm.word_table import tokenizer
 from velotide.session import scratch_path
 
 CAPACITY, END_ID = 2048, 0
-WAVES = (4, 16)  # sizes above capacity / 4 first, then above capacity / 16, then all
+WAVES = (4,)  # sizes above capacity / 4 first, then all
+PROGRESS = 0.9  # a round that leaves more of its pieces than this opens new sequences
 CACHE_WORDS, CACHE_CHARS = 400_000, 64
 # a run of white space (Unicode White_Space) and what follows it: token
 # boundaries always lie before the run's last character or earlier
@@ -194,45 +195,54 @@ def _numbered(rows: DataFrame, segments: DataFrame, part: str, rank: str) -> Dat
     return rows.join(F.broadcast(s), "part").filter((at >= 0) & (at < F.col("n"))).withColumn("match", F.col("number") + at).drop("_first", "n", "number")
 
 
-def _round(todo: DataFrame, gaps: DataFrame, ranges: int, capacity: int) -> tuple[DataFrame, DataFrame, DataFrame]:
-    """(placed (pid, seq, used), gaps (seq, gap, used), pieces still open (pid, size)) after one round."""
+CROSSED = "pid long, seq long, used int, size int, gap int"
+
+
+def _round(todo: DataFrame, gaps: DataFrame, ranges: int, capacity: int, folder: str) -> tuple[int, DataFrame, DataFrame]:
+    """(pieces left, gaps (seq, gap, used), pieces left (pid, size)) after one round.
+    ``folder`` gets the round's sweep and its matches across ranges; both tables
+    returned are read from these two."""
+    spark = todo.sparkSession
     both = todo.select(F.lit(0).alias("kind"), F.col("pid").alias("id"), F.col("size").cast("int").alias("size"), F.lit(0).alias("used")).union(
         gaps.select(F.lit(1), "seq", "gap", "used"))
     dealt = both.repartitionByRange(ranges, F.desc("size"), F.xxhash64("id", "kind")).select(
         F.spark_partition_id().alias("part"), "kind", "id", "size", "used")
-    swept = written(dealt.mapInArrow(_sweep(capacity), SWEPT), "swept")
+    dealt.mapInArrow(_sweep(capacity), SWEPT).write.parquet(f"{folder}/swept")
+    swept = spark.read.schema(SWEPT).parquet(f"{folder}/swept")
+    left, offered = (swept.filter(F.col("kind") == k) for k in (PIECE_LEFT, GAP_OFFERED))
     found = swept.filter(F.col("kind").isin(PIECE_LEFT, GAP_OFFERED)).groupBy("part").agg(
         F.count(F.when(F.col("kind") == PIECE_LEFT, 1)).alias("p"), F.count(F.when(F.col("kind") == GAP_OFFERED, 1)).alias("g")).collect()
     segments = rank_segments(sorted((r.part, r.p, r.g) for r in found))
-    placed = swept.filter(F.col("kind") == PLACED).select(F.col("id").alias("pid"), "seq", "used")
-    left = swept.filter(F.col("kind") == PIECE_LEFT)
-    offered = swept.filter(F.col("kind") == GAP_OFFERED)
-    kept = swept.filter(F.col("kind").isin(GAP_KEPT, GAP_OFFERED)).select("seq", F.col("size").alias("gap"), "used")
-    if not segments:
-        return placed, kept.filter("gap > 0"), left.select(F.col("id").alias("pid"), "size")
-    table = todo.sparkSession.createDataFrame(segments, "p_part int, p_rank long, g_part int, g_rank long, n long, number long")
+    table = spark.createDataFrame(segments, "p_part int, p_rank long, g_part int, g_rank long, n long, number long")
     a = _numbered(left, table, "p_part", "p_rank").select("match", F.col("id").alias("pid"), "size")
     b = _numbered(offered, table, "g_part", "g_rank").select("match", "seq", "used", F.col("size").alias("gap"))
-    crossed = written(a.join(b, "match").select("pid", "seq", "used", "size", "gap"), "crossed")
+    a.join(b, "match").select("pid", "seq", "used", "size", "gap").write.parquet(f"{folder}/crossed")
+    crossed = spark.read.schema(CROSSED).parquet(f"{folder}/crossed")
     taken = crossed.select("seq", (F.col("gap") - F.col("size")).alias("gap"), (F.col("used") + F.col("size")).alias("used"))
+    kept = swept.filter(F.col("kind").isin(GAP_KEPT, GAP_OFFERED)).select("seq", F.col("size").alias("gap"), "used")
     rest = kept.join(crossed.select("seq"), "seq", "left_anti").union(taken).filter("gap > 0")
     still = left.select(F.col("id").alias("pid"), "size").join(crossed.select("pid"), "pid", "left_anti")
-    return placed.union(crossed.select("pid", "seq", "used")), rest, still
+    return sum(r.p for r in found) - sum(x[4] for x in segments), rest, still
 
 
-def _opened(still: DataFrame, capacity: int) -> DataFrame:
-    """The largest open pieces, as many as the sequences all of them fill; of
-    pieces tied at the border an even share by hash.  The counts by size (at most
-    ``capacity`` of them) are looked at on the driver."""
+def _opened(still: DataFrame, capacity: int, salt: int) -> tuple[int, DataFrame]:
+    """(about how many, the largest open pieces): as many as the sequences that all
+    of them fill; of pieces tied at the border an even share by hash (few: all of them).  The counts by
+    size (at most ``capacity`` of them) are looked at on the driver."""
     by_size = sorted(((r["size"], r["n"]) for r in still.groupBy("size").agg(F.count(F.lit(1)).alias("n")).collect()), reverse=True)
-    wanted = max(-(-sum(s * n for s, n in by_size) // capacity), sum(n for s, n in by_size if 2 * s > capacity))
+    wanted = left = max(-(-sum(s * n for s, n in by_size) // capacity), sum(n for s, n in by_size if 2 * s > capacity))
     for size, n in by_size:
-        if n >= wanted:
-            share = int(1e6 * wanted / n) + 1
-            lucky = F.pmod(F.xxhash64("pid", F.lit(size)), F.lit(1_000_000)) < share
-            return still.filter((F.col("size") > size) | ((F.col("size") == size) & lucky))
-        wanted -= n
-    return still
+        if n >= left:
+            share = 1_000_000 if n <= 64 else int(1e6 * left / n) + 1
+            lucky = F.pmod(F.xxhash64("pid", F.lit(salt)), F.lit(1_000_000)) < share
+            return wanted, still.filter((F.col("size") > size) | ((F.col("size") == size) & lucky))
+        left -= n
+    return wanted, still
+
+
+def _some_fit(still: DataFrame, gaps: DataFrame) -> bool:
+    a, b = still.agg(F.min("size").alias("x")).union(gaps.agg(F.max("gap"))).collect()
+    return b.x is not None and a.x <= b.x
 
 
 def pack(items: DataFrame, capacity: int = CAPACITY) -> DataFrame:
@@ -240,30 +250,39 @@ def pack(items: DataFrame, capacity: int = CAPACITY) -> DataFrame:
     sequence gapless from 0.  A sequence is named by the piece that opened it."""
     spark = items.sparkSession
     ranges = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    path = scratch_path(spark, "places")
-    schema = "pid long, seq long, used int"
-    full = items.filter(F.col("size") >= capacity)
-    full.select("pid", F.col("pid").alias("seq"), F.lit(0).alias("used")).write.parquet(path)
+    path, rounds = scratch_path(spark, "packing"), []
+    opened = f"{path}/opened"
+    items.filter(F.col("size") >= capacity).select("pid", F.col("pid").alias("seq"), F.lit(0).alias("used")).write.parquet(opened)
     gaps = spark.createDataFrame([], "seq long, gap int, used int")
     borders = [capacity, *(capacity // w for w in WAVES), 0]
-    for high, low in zip(borders, borders[1:]):
-        todo = items.filter((F.col("size") < high if high == capacity else F.col("size") <= high) & (F.col("size") > low))
-        first = high == capacity
-        while True:
-            if first:  # nothing to fill yet
-                still, first = todo.select("pid", F.col("size").cast("int").alias("size")), False
-            else:
-                placed, gaps, still = _round(todo, gaps, ranges, capacity)
-                placed.write.mode("append").parquet(path)
-                gaps, still = written(gaps, "gaps"), written(still, "open")
-            if still.isEmpty():
+    waves = [(F.col("size") > low) & (F.col("size") < high if high == capacity else F.col("size") <= high) for high, low in zip(borders, borders[1:])]
+    counts = items.agg(*[F.count(F.when(w, 1)) for w in waves]).first()
+    any_gap = False
+    for wave, before in zip(waves, counts):
+        todo = items.filter(wave).select("pid", F.col("size").cast("int").alias("size"))
+        while before:
+            if any_gap:
+                rounds.append(f"{path}/round-{len(rounds)}")
+                left, gaps, still = _round(todo, gaps, ranges, capacity, rounds[-1])
+            else:  # nothing to fill yet
+                left, still = before, todo
+            if not left:
                 break
-            seeds = _opened(still, capacity)
-            seeds.select("pid", F.col("pid").alias("seq"), F.lit(0).alias("used")).write.mode("append").parquet(path)
-            gaps = gaps.union(seeds.select(F.col("pid").alias("seq"), (F.lit(capacity) - F.col("size")).cast("int").alias("gap"),
-                                           F.col("size").alias("used")).filter("gap > 0"))
-            todo = still.join(seeds.select("pid"), "pid", "left_anti")
-    return spark.read.schema(schema).parquet(path)
+            if left < PROGRESS * before and _some_fit(still, gaps):  # another round first
+                todo, before = still, left
+                continue
+            n, seeds = _opened(still, capacity, len(rounds))
+            seeds = written(seeds, "seeds")
+            seeds.select("pid", F.col("pid").alias("seq"), F.lit(0).alias("used")).write.mode("append").parquet(opened)
+            gaps, any_gap = gaps.union(seeds.select(F.col("pid").alias("seq"), (F.lit(capacity) - F.col("size")).cast("int").alias("gap"),
+                                                    F.col("size").alias("used")).filter("gap > 0")), True
+            todo, before = still.join(seeds.select("pid"), "pid", "left_anti"), max(1, left - n)
+    places = spark.read.schema("pid long, seq long, used int").parquet(opened)
+    if rounds:
+        swept = spark.read.schema(SWEPT).parquet(*(f"{r}/swept" for r in rounds)).filter(F.col("kind") == PLACED)
+        crossed = spark.read.schema(CROSSED).parquet(*(f"{r}/crossed" for r in rounds))
+        places = places.union(swept.select("id", "seq", "used")).union(crossed.select("pid", "seq", "used"))
+    return places
 
 
 def pack_documents(docs: DataFrame, tokenizer_path: str, capacity: int = CAPACITY) -> DataFrame:
