@@ -41,7 +41,7 @@ def vector_rows():
             for spread in (0, 0.05, 0.1, 0.14, 0.2, 0.4):
                 noise = rng.standard_normal(48)
                 v = center / np.linalg.norm(center) + spread * noise / np.linalg.norm(noise)
-                rows.append((i, [float(np.float32(x * rng.choice([1, 3]))) for x in v], label))
+                rows.append((i, [float(np.float32(x)) for x in v * rng.choice([1, 3])], label))
                 i += 1
         rows += [(i + k, rows[-1][1], label) for k in range(3)]
         i += 3

@@ -36,6 +36,7 @@ from velotide.session import scratch_path
 CAPACITY, END_ID = 2048, 0
 WAVES = (4,)  # sizes above capacity / 4 first, then all
 PROGRESS = 0.9  # a round that leaves more of its pieces than this opens new sequences
+FEW = 4096
 CACHE_WORDS, CACHE_CHARS = 400_000, 64
 # a run of white space (Unicode White_Space) and what follows it: token
 # boundaries always lie before the run's last character or earlier
@@ -227,15 +228,16 @@ def _round(todo: DataFrame, gaps: DataFrame, ranges: int, capacity: int, folder:
 
 def _opened(still: DataFrame, capacity: int, salt: int) -> tuple[int, DataFrame]:
     """(about how many, the largest open pieces): as many as the sequences that all
-    of them fill; of pieces tied at the border an even share by hash (few: all of them).  The counts by
+    of them fill; of pieces tied at the border an even share by hash (of up to ``FEW`` exactly as many).  The counts by
     size (at most ``capacity`` of them) are looked at on the driver."""
     by_size = sorted(((r["size"], r["n"]) for r in still.groupBy("size").agg(F.count(F.lit(1)).alias("n")).collect()), reverse=True)
     wanted = left = max(-(-sum(s * n for s, n in by_size) // capacity), sum(n for s, n in by_size if 2 * s > capacity))
     for size, n in by_size:
         if n >= left:
-            share = 1_000_000 if n <= 64 else int(1e6 * left / n) + 1
-            lucky = F.pmod(F.xxhash64("pid", F.lit(salt)), F.lit(1_000_000)) < share
-            return wanted, still.filter((F.col("size") > size) | ((F.col("size") == size) & lucky))
+            larger, tied, order = still.filter(F.col("size") > size), still.filter(F.col("size") == size), F.xxhash64("pid", F.lit(salt))
+            if n <= FEW:
+                return wanted, larger.union(tied.orderBy(order, "pid").limit(left))
+            return wanted, larger.union(tied.filter(F.pmod(order, F.lit(1_000_000)) < int(1e6 * left / n) + 1))
         left -= n
     return wanted, still
 
