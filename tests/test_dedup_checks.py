@@ -75,7 +75,6 @@ def test_run_log(spark, tmp_dir):
     with pytest.raises(ZeroDivisionError):
         log.task("t2", lambda: 1 / 0)
     log.task("t2", lambda: 2, try_number=2)
-    log.flush()
     s = {r["task_id"]: r for r in attempt_summary(spark.read.parquet(f"{tmp_dir}/log")).collect()}
     assert s["t1"]["attempts"] == 1 and s["t1"]["last_status"] == SUCCESS
     assert s["t2"]["attempts"] == 2 and s["t2"]["last_status"] == SUCCESS and s["t2"]["last_try"] == 2
@@ -83,11 +82,14 @@ def test_run_log(spark, tmp_dir):
     assert attempt_summary(first).first()["last_error"] == "boom"
 
 
-def test_copy_ordinal_spreads_hot_group(spark):
-    from velotide.plans.trips import copy_ordinal
-    df = spark.range(0, 3000, 1, 6).select(
-        F.when(F.col("id") % 3 == 0, F.lit("hot")).otherwise(F.col("id").cast("string")).alias("k"), "id")
-    out = copy_ordinal(df, "k", ["id"])
-    hot = [r["__ordinal"] for r in out.filter("k = 'hot'").collect()]
-    assert sorted(hot) == list(range(1, 1001))
-    assert out.filter("k != 'hot'").agg(F.max("__ordinal")).first()[0] == 1
+def test_run_log_keeps_whole_errors_and_true_attempts(spark, tmp_dir):
+    def fail():
+        raise ValueError("e" * 5000)
+
+    for n in (1, 2):
+        log = RunLogger(spark, f"{tmp_dir}/log", "run", "dag", "batch")
+        with pytest.raises(ValueError):
+            log.task("t", fail)
+        rows = spark.read.parquet(f"{tmp_dir}/log").orderBy("try_number").collect()
+        assert [r.try_number for r in rows] == list(range(1, n + 1))
+        assert all(r.error_message == "e" * 5000 and r.batch_id == "batch" for r in rows)

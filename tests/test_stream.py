@@ -42,10 +42,9 @@ def test_stream_restart_and_replay(spark, tmp_dir):
     assert both.filter(F.col("ingested_at").isNull()).count() == 0
 
 
-def test_replay_dedup_within_watermark(spark, tmp_dir):
+def test_late_first_copies_are_kept(spark, tmp_dir):
     src, out, ck = f"{tmp_dir}/in", f"{tmp_dir}/raw", f"{tmp_dir}/ck"
-    write_records(spark, src, [(1, event("S1")), (1, event("S1")), (2, event("S2"))])
-    q = start_status_stream(status_stream(spark, "files", {"path": src}, dedup_delay="1 hour"), out, ck,
-                            {"availableNow": True})
-    q.awaitTermination()
-    assert sorted(r["kafka_offset"] for r in spark.read.parquet(out).collect()) == [1, 2]
+    for records in ([(1, event("S1"))], [(3, event("S3"))], [(2, event("S2"))]):
+        write_records(spark, src, records)
+        start_status_stream(status_stream(spark, "files", {"path": src}), out, ck, {"availableNow": True}).awaitTermination()
+    assert sorted(r["kafka_offset"] for r in spark.read.parquet(out).collect()) == [1, 2, 3]

@@ -1,9 +1 @@
-from velotide.functions.columns import (canonical_name, code_to_decimal, date_key, haversine_m, minute_diff,
-                                        row_md5, second_diff, snapshot_date_of_run, source_month_of_run, trim_ws,
-                                        zero)
-from velotide.functions.rules import (STATUS_RULES, TRIP_RULES, Rule, passes, reason_codes, reject, rejections,
-                                      split_valid)
-
-__all__ = ["canonical_name", "code_to_decimal", "date_key", "haversine_m", "minute_diff", "row_md5",
-           "second_diff", "snapshot_date_of_run", "source_month_of_run", "trim_ws", "zero", "STATUS_RULES",
-           "TRIP_RULES", "Rule", "passes", "reason_codes", "reject", "rejections", "split_valid"]
+"""Column functions and rejection rules."""

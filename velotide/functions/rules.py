@@ -135,8 +135,3 @@ def reason_codes(c="rejection_reasons") -> Column:
     """Comma-joined reason codes, for reports and comparisons."""
     col = F.col(c) if isinstance(c, str) else c
     return F.array_join(F.transform(col, lambda r: r["reason_code"]), ",")
-
-
-def split_valid(df: DataFrame, flag: str) -> tuple[DataFrame, DataFrame]:
-    """(valid rows, rejected rows); the flag is never null (size(...) = 0)."""
-    return df.filter(F.col(flag)), df.filter(~F.col(flag))

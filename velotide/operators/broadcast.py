@@ -6,20 +6,15 @@ table under ``spark.checkpoint.dir`` (a shared folder on a cluster; this
 also cuts the lineage, so a lost executor never re-reads the trips for it),
 and the planner's broadcast threshold is applied to the exact size of the
 written files.  (An RDD checkpoint of an unpersisted plan would compute it
-twice.)  Above the bound the plain DataFrame is
-returned and Spark plans a shuffle join.  A calendar has a bound known from
+twice.)  Above the bound Spark plans a shuffle join.  A calendar has a bound known from
 its parameters and can use ``F.broadcast`` directly."""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 
 from velotide.session import scratch_path
 
-# rows a broadcast side may hold when a row bound is asked for
-DEFAULT_MAX_ROWS = 200_000
-
 
 def materialise(df: DataFrame, name: str = "dim") -> DataFrame:
     """Write ``df`` once to the shared checkpoint folder and read it back."""
@@ -28,17 +23,9 @@ def materialise(df: DataFrame, name: str = "dim") -> DataFrame:
     return df.sparkSession.read.parquet(path)
 
 
-def bounded_broadcast(df: DataFrame, max_rows: int | None = None, checkpoint: bool = True) -> DataFrame:
-    """A join side that is broadcast only when proven small.
-
-    Default: the side is written once (``materialise``) and returned as a
-    parquet scan, whose exact byte size the planner compares with
-    ``spark.sql.autoBroadcastJoinThreshold`` -- broadcast below it, a
-    shuffle join above it, and no extra job to measure it.  With
-    ``max_rows`` the rows are counted instead and the broadcast is hinted
-    under that bound."""
-    if checkpoint:
-        df = materialise(df)
-    if max_rows is None:
-        return df
-    return F.broadcast(df) if df.count() <= max_rows else df
+def bounded_broadcast(df: DataFrame) -> DataFrame:
+    """A join side that is broadcast only when proven small: it is written once
+    (``materialise``) and returned as a parquet scan, whose exact byte size the
+    planner compares with ``spark.sql.autoBroadcastJoinThreshold`` -- broadcast
+    below it, a shuffle join above it."""
+    return materialise(df)

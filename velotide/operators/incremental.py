@@ -3,11 +3,13 @@
 * ``replace_partitions``: first run (or ``full_refresh``) writes the whole
   table; later runs use dynamic partition overwrite, which deletes and
   rewrites exactly the partitions present in the new data.
-* predicates that pick a run's input -- ``for_month`` (one landed batch),
-  ``in_calendar_month``, ``since_high_water_day`` -- are plain filters with
-  literals, so they reach the scan as partition filters.  The high-water
-  mark is read from the target first (one scalar) and truncated to the day,
-  so the whole last day is reprocessed, not only its last poll time.
+* ``replace_whole`` replaces one batch: what the table held for the batch and
+  the new data lacks (a day, a station) goes with it; ``drop_partitions`` does
+  so for days of tables laid out by day.
+* predicates that pick a run's input -- ``for_month`` (one landed batch) and
+  the high-water day -- are filters with literals on partition columns, so
+  they prune the scan.  The mark is the target's greatest partition day, so
+  the whole last day is reprocessed, not only its last poll time.
 
 Trip models are partitioned by (source_month, day) by default so that two
 month files that share a day (a month file holds a few trips of the next
@@ -46,6 +48,25 @@ def replace_partitions(df: DataFrame, path: str, by: list[str], full_refresh: bo
     return path
 
 
+def replace_whole(df: DataFrame, path: str, col: str, value, by: list[str] | None = None) -> str:
+    """Replace everything the table holds for ``col = value`` with ``df``: the
+    value's own folder is overwritten as a whole, so partitions (and values)
+    that the new data no longer has go too.  ``by`` partitions inside it."""
+    out = df.drop(col).hint("rebalance", *(by or []))
+    writer = out.write.mode("overwrite").option("partitionOverwriteMode", "static")
+    (writer.partitionBy(*by) if by else writer).parquet(f"{path}/{col}={value}")
+    return path
+
+
+def drop_partitions(spark: SparkSession, path: str, col: str, values) -> None:
+    """Delete the folders of partition values that no longer exist in the source."""
+    if values:
+        hadoop_path = spark._jvm.org.apache.hadoop.fs.Path
+        fs = hadoop_path(path).getFileSystem(spark._jsc.hadoopConfiguration())
+        for v in values:
+            fs.delete(hadoop_path(f"{path}/{col}={v}"), True)
+
+
 def trip_partitioning(compat: str | None = None) -> list[str]:
     return ["start_date"] if compat == "last_batch_wins" else ["source_month", "start_date"]
 
@@ -54,23 +75,12 @@ def for_month(df: DataFrame, month, col: str = "source_month") -> DataFrame:
     return df.filter(F.col(col) == F.lit(month).cast("date"))
 
 
-def in_calendar_month(df: DataFrame, col: str, month) -> DataFrame:
-    m = F.trunc(F.lit(month).cast("date"), "month")
-    return df.filter((F.col(col) >= m) & (F.col(col) < F.add_months(m, 1)))
-
-
 def high_water_day(spark: SparkSession, path: str, col: str):
-    """Day of the latest ``col`` in the target table, or None (no table)."""
+    """Greatest value of the partition column ``col`` of the target table, or
+    None (no table): no data column is read."""
     if not table_exists(spark, path):
         return None
-    return spark.read.parquet(path).agg(F.max(F.to_date(col))).first()[0]
-
-
-def since_high_water_day(df: DataFrame, target_path: str, col: str) -> DataFrame:
-    day = high_water_day(df.sparkSession, target_path, col)
-    if day is None:
-        return df
-    return df.filter(F.col(col) >= F.lit(day).cast("date").cast(df.schema[col].dataType))
+    return spark.read.parquet(path).agg(F.max(col)).first()[0]
 
 
 def touched_days(df: DataFrame, col: str) -> list[dt.date]:

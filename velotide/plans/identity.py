@@ -111,8 +111,12 @@ def match_exact(src: DataFrame, ref: DataFrame) -> DataFrame:
     return _unique(cand, EXACT)
 
 
-def match_numeric(src: DataFrame, ref: DataFrame, done: DataFrame) -> DataFrame:
-    open_codes = src.join(done.select("source_station_code"), "source_station_code", "left_anti")
+def _open(src: DataFrame, done: DataFrame | None) -> DataFrame:
+    return src if done is None else src.join(done.select("source_station_code"), "source_station_code", "left_anti")
+
+
+def match_numeric(src: DataFrame, ref: DataFrame, done: DataFrame | None = None) -> DataFrame:
+    open_codes = _open(src, done)
     cand = open_codes.select("source_station_code", F.col("source_station_code_numeric").alias("num")).join(
         ref.select(F.col("short_name_numeric").alias("num"), "station_key"), "num")
     return _unique(cand, NUMERIC)
@@ -122,8 +126,8 @@ def _valid_point(lat, lon):
     return F.col(lat).between(-90, 90) & F.col(lon).between(-180, 180)
 
 
-def match_geo(src: DataFrame, ref: DataFrame, done: DataFrame, max_m: float = MAX_DISTANCE_M) -> DataFrame:
-    open_codes = (src.join(done.select("source_station_code"), "source_station_code", "left_anti")
+def match_geo(src: DataFrame, ref: DataFrame, done: DataFrame | None = None, max_m: float = MAX_DISTANCE_M) -> DataFrame:
+    open_codes = (_open(src, done)
                   .filter(F.col("source_latitude").isNotNull() & F.col("source_longitude").isNotNull()))
     cand = open_codes.select("source_station_code", "canonical_name", "source_latitude", "source_longitude").join(
         ref.select("canonical_name", "station_key", "latitude", "longitude"), "canonical_name")
@@ -151,11 +155,14 @@ def station_identity(stg_trips: DataFrame, stg_stations: DataFrame, max_m: float
     if materialize:
         from velotide.operators.broadcast import materialise
         src = materialise(src, "identity-sources")
-    exact = match_exact(src, ref)
-    numeric = match_numeric(src, ref, exact)
-    geo = match_geo(src, ref, exact.unionByName(numeric), max_m)
-    matches = exact.unionByName(numeric).unionByName(geo)
-    return (src.join(matches, "source_station_code", "left")
+    # a method's unique match depends on its own code only, so the first method
+    # that has one decides: three left joins, no anti joins and no union
+    found = src
+    for k, m in enumerate((match_exact(src, ref), match_numeric(src, ref), match_geo(src, ref, max_m=max_m))):
+        found = found.join(m.select("source_station_code", F.struct("station_key", "mapping_method").alias(f"__m{k}")),
+                           "source_station_code", "left")
+    return (found.withColumn("__m", F.coalesce("__m0", "__m1", "__m2"))
+            .select(*VARIANT_COLS, "trip_rows", F.col("__m.station_key"), F.col("__m.mapping_method"))
             .select(*VARIANT_COLS, "trip_rows", "station_key", "mapping_method",
                     F.when(F.col("station_key").isNotNull(), F.lit(MATCHED)).otherwise(F.lit(UNRESOLVED))
                     .alias("mapping_status")))

@@ -47,7 +47,8 @@ def daily_transform(spark: SparkSession, raw_trips: DataFrame, raw_stations: Dat
     still read the whole key columns (a new row may collide with an old one).
     The default ``"all"`` tests whole tables, as the original does."""
     out = out_root.rstrip("/")
-    log = RunLogger(spark, log_path, run_id or uuid.uuid4().hex, "daily_transform") if log_path else None
+    batch_id = ingest.trip_batch_name(source_month) if source_month else None
+    log = RunLogger(spark, log_path, run_id or uuid.uuid4().hex, "daily_transform", batch_id) if log_path else None
 
     def step(name, fn):
         return log.task(name, fn) if log else fn()
@@ -59,120 +60,138 @@ def daily_transform(spark: SparkSession, raw_trips: DataFrame, raw_stations: Dat
         df.write.mode("overwrite").option("partitionOverwriteMode", "static").parquet(f"{out}/{name}")
         return table(name)
 
-    try:
-        stg_trip = staging.stg_trip(raw_trips)
-        stg_station = staging.stg_station(raw_stations)
-        stg_status = staging.stg_status(raw_status)
-        month = None if full_refresh else source_month
-        # variant counts per batch: a month run recounts only its batch
-        v_path = f"{out}/int_station_variants"
-        # (the compat layout lets a later batch erase rows of an earlier one,
-        # so stored per-batch partials are rebuilt there)
-        v_first = month is None or compat == "last_batch_wins" or not INC.table_exists(spark, v_path)
-        v_in = stg_trip if v_first else INC.for_month(stg_trip, month)
-        step("int_station_variants", lambda: INC.replace_partitions(
-            identity.station_variants_by_batch(v_in), v_path, ["source_month"], v_first))
-        merged = identity.merge_variants(table("int_station_variants"))
-        ident = step("int_station_identity", lambda: write("int_station_identity", identity.station_identity(
-            stg_trip, stg_station, variants=merged)))
-        hist = trips.trip_history(stg_trip, ident, month, broadcast_identity=False)
-        by = INC.trip_partitioning(compat)
-        step("int_trip_history", lambda: INC.replace_partitions(hist, f"{out}/int_trip_history", by, full_refresh))
-        hist_all = table("int_trip_history")
-        hist_t = hist_all if month is None else INC.for_month(hist_all, month)
-        # rejected trips, partitioned by batch: ids never span batches, so a
-        # month run replaces only its batch; first runs, full refreshes and
-        # the compat layout (a later batch may erase rows of an earlier one)
-        # rebuild from the whole history
-        q_path = f"{out}/int_quarantine_trip"
-        rebuild = month is None or compat == "last_batch_wins" or not INC.table_exists(spark, q_path)
-        q_in = hist_all if rebuild else hist_t
-        step("int_quarantine_trip", lambda: INC.replace_partitions(
-            trips.quarantine_trip(q_in, as_of), q_path, ["batch_id"], rebuild))
-        target = f"{out}/int_station_status"
-        since = None if full_refresh else INC.high_water_day(spark, target, "poll_time")
-        status_in = stg_status
-        if since is not None and "poll_day" in raw_status.columns:
-            # raw status laid out by poll day: read only the days from the mark on
-            status_in = staging.stg_status(raw_status.filter(F.col("poll_day") >= F.lit(since).cast("date")))
-        st = status.station_status(status_in, since).withColumn("poll_day", F.to_date("poll_time"))
-        step("int_station_status", lambda: INC.replace_partitions(st, target, ["poll_day"], full_refresh))
-        st_t = table("int_station_status").drop("poll_day")
-        # incremental like the status model: days from the mark are replaced
-        qs_path = f"{out}/int_quarantine_station_status"
-        qs_first = full_refresh or since is None or not INC.table_exists(spark, qs_path)
-        qs_in = st_t if qs_first else st_t.filter(F.col("poll_time") >= F.lit(since).cast("date").cast("timestamp"))
-        step("int_quarantine_station_status", lambda: INC.replace_partitions(
-            status.quarantine_status(qs_in).withColumn("poll_day", F.to_date("poll_time")), qs_path, ["poll_day"],
-            qs_first))
-        dd = step("dim_date", lambda: write("dim_date", dims.dim_date(spark, *calendar)))
-        ds = step("dim_station", lambda: write("dim_station", dims.dim_station(stg_station)))
-        ft = trips.fct_trip(hist_t)
-        step("fct_trip", lambda: INC.replace_partitions(ft, f"{out}/fct_trip", by, full_refresh))
-        fs = status.fct_station_status(st_t, ds, since_day=since, broadcast_dim=False).withColumn(
-            "poll_day", F.to_date("poll_time"))
-        step("fct_station_status", lambda: INC.replace_partitions(fs, f"{out}/fct_station_status", ["poll_day"],
-                                                                   full_refresh))
-        ft_t, fs_t = table("fct_trip"), table("fct_station_status").drop("poll_day")
-        # daily summary: only the days this batch touched are recomputed and
-        # replaced (a month file also holds days of the next month)
-        summary = f"{out}/agg_daily_trip_summary"
-        if month is None or not INC.table_exists(spark, summary):
-            daily_in, first_daily = ft_t, True
-        else:
-            days = INC.touched_days(ft, "start_date")
-            daily_in, first_daily = ft_t.filter(F.col("start_date").isin(days)), False
-        step("agg_daily_trip_summary", lambda: INC.replace_partitions(
-            marts.agg_daily_trip_summary(daily_in, dd), summary, ["full_date"], first_daily))
-        a_path = f"{out}/agg_station_activity_by_batch"
-        a_first = month is None or compat == "last_batch_wins" or not INC.table_exists(spark, a_path)
-        a_in = ft_t if a_first else INC.for_month(ft_t, month)
-        step("agg_station_activity_by_batch", lambda: INC.replace_partitions(
-            marts.station_activity_by_batch(a_in), a_path, ["source_month"], a_first))
-        step("agg_station_activity", lambda: write("agg_station_activity",
-                                                   marts.merge_station_activity(table("agg_station_activity_by_batch"))))
-        # station x day: trip partials by batch, status partials by day
-        tp_path, sp_path = f"{out}/agg_station_daily_trip_parts", f"{out}/agg_station_daily_status_parts"
-        tp_first = month is None or compat == "last_batch_wins" or not INC.table_exists(spark, tp_path)
-        step("agg_station_daily_trip_parts", lambda: INC.replace_partitions(
-            marts.station_day_trip_parts(ft_t if tp_first else INC.for_month(ft_t, month)), tp_path,
-            ["source_month"], tp_first))
-        sp_first = full_refresh or since is None or not INC.table_exists(spark, sp_path)
-        sp_in = fs_t if sp_first else fs_t.filter(F.col("poll_time") >= F.lit(since).cast("date").cast("timestamp"))
-        step("agg_station_daily_status_parts", lambda: INC.replace_partitions(
-            marts.station_day_status_parts(sp_in), sp_path, ["date_key"], sp_first))
-        step("agg_station_daily", lambda: write("agg_station_daily", marts.station_daily_from_parts(
-            table("agg_station_daily_trip_parts"), table("agg_station_daily_status_parts"), dd, ds,
-            broadcast_dim=False)))
-        tables = {
-            "stg_trip_history": stg_trip, "stg_station_information": stg_station, "stg_station_status": stg_status,
-            "int_station_identity": ident, "int_trip_history": table("int_trip_history"),
-            "int_quarantine_trip": table("int_quarantine_trip"), "int_station_status": st_t,
-            "int_quarantine_station_status": table("int_quarantine_station_status").drop("poll_day"), "dim_date": dd,
-            "dim_station": ds, "fct_trip": ft_t, "fct_station_status": fs_t,
-        }
-        if check_scope == "run" and month is not None:
-            in_run = dict(tables)
-            for t in ("stg_trip_history", "int_trip_history", "fct_trip"):
-                in_run[t] = INC.for_month(tables[t], month)
-            if since is not None:
-                day = F.lit(since).cast("date").cast("timestamp")
-                for t in ("stg_station_status", "int_station_status", "int_quarantine_station_status",
-                          "fct_station_status"):
-                    in_run[t] = tables[t].filter(F.col("poll_time") >= day)
-            batch = ingest.trip_batch_id(month)
-            in_run["int_quarantine_trip"] = tables["int_quarantine_trip"].filter(F.col("batch_id") == batch)
-            row_specs = [c for c in SPECS if c.check in ("not_null", "accepted_values", "relationships")]
-            key_specs = [c for c in SPECS if c.check in ("unique", "grain")]
-            checks = run_checks(in_run, row_specs).unionByName(run_checks(tables, key_specs))
-        else:
-            checks = run_checks(tables, SPECS)
-        report = step("checks", lambda: write("check_report", checks))
-        assert_checks(report, severity)
-        return report
-    finally:
-        if log:
-            log.flush()
+    def replace_month(name, df, col, value, by=None):
+        """One batch of a table, with all it held before."""
+        return INC.replace_whole(df, f"{out}/{name}", col, value, by)
+
+    stg_trip = staging.stg_trip(raw_trips)
+    stg_station = staging.stg_station(raw_stations)
+    stg_status = staging.stg_status(raw_status)
+    # the first run builds everything that has landed, whatever month it is asked for
+    built = all(INC.table_exists(spark, f"{out}/{t}") for t in ("int_trip_history", "fct_trip"))
+    month = source_month if built and not full_refresh else None
+    # variant counts per batch: a month run recounts only its batch
+    v_path = f"{out}/int_station_variants"
+    # (the compat layout lets a later batch erase rows of an earlier one,
+    # so stored per-batch partials are rebuilt there)
+    v_first = month is None or compat == "last_batch_wins" or not INC.table_exists(spark, v_path)
+    v_in = stg_trip if v_first else INC.for_month(stg_trip, month)
+    variants = identity.station_variants_by_batch(v_in)
+    step("int_station_variants", lambda: INC.replace_partitions(variants, v_path, ["source_month"], True) if v_first
+         else replace_month("int_station_variants", variants, "source_month", month))
+    merged = identity.merge_variants(table("int_station_variants"))
+    ident = step("int_station_identity", lambda: write("int_station_identity", identity.station_identity(
+        stg_trip, stg_station, variants=merged)))
+    hist = trips.trip_history(stg_trip, ident, month, broadcast_identity=False)
+    by = INC.trip_partitioning(compat)
+    old_days = []
+    whole_month = month is not None and compat != "last_batch_wins"
+    if month is not None:
+        old_days = INC.touched_days(INC.for_month(table("fct_trip"), month), "start_date")
+    step("int_trip_history", lambda: replace_month("int_trip_history", hist, "source_month", month, ["start_date"]) if whole_month
+         else INC.replace_partitions(hist, f"{out}/int_trip_history", by, month is None))
+    hist_all = table("int_trip_history")
+    hist_t = hist_all if month is None else INC.for_month(hist_all, month)
+    # rejected trips, partitioned by batch: ids never span batches, so a
+    # month run replaces only its batch; first runs, full refreshes and
+    # the compat layout (a later batch may erase rows of an earlier one)
+    # rebuild from the whole history
+    q_path = f"{out}/int_quarantine_trip"
+    rebuild = month is None or compat == "last_batch_wins" or not INC.table_exists(spark, q_path)
+    q_in = hist_all if rebuild else hist_t
+    rejected = trips.quarantine_trip(q_in, as_of)
+    step("int_quarantine_trip", lambda: INC.replace_partitions(rejected, q_path, ["batch_id"], True) if rebuild
+         else replace_month("int_quarantine_trip", rejected, "batch_id", batch_id))
+    target = f"{out}/int_station_status"
+    since = None if full_refresh else INC.high_water_day(spark, target, "poll_day")
+    status_raw = raw_status
+    if since is not None:
+        # raw status laid out by poll day: read only the days from the mark on
+        day = F.lit(since).cast("date")
+        status_raw = raw_status.filter(F.col("poll_day") >= day if "poll_day" in raw_status.columns
+                                       else F.col("poll_time") >= day.cast("timestamp"))
+    status_in = staging.stg_status(status_raw)
+    st = status.station_status(status_in, since).withColumn("poll_day", F.to_date("poll_time"))
+    step("int_station_status", lambda: INC.replace_partitions(st, target, ["poll_day"], full_refresh))
+    st_t = table("int_station_status")  # with its partition day, so that filters on it prune
+
+    def from_mark(df):
+        return df if since is None else df.filter(F.col("poll_day") >= F.lit(since).cast("date"))
+
+    # incremental like the status model: days from the mark are replaced
+    qs_path = f"{out}/int_quarantine_station_status"
+    qs_first = full_refresh or since is None or not INC.table_exists(spark, qs_path)
+    qs_in = st_t if qs_first else from_mark(st_t)
+    step("int_quarantine_station_status", lambda: INC.replace_partitions(
+        status.quarantine_status(qs_in).withColumn("poll_day", F.to_date("poll_time")), qs_path, ["poll_day"],
+        qs_first))
+    dd = step("dim_date", lambda: write("dim_date", dims.dim_date(spark, *calendar)))
+    ds = step("dim_station", lambda: write("dim_station", dims.dim_station(stg_station)))
+    ft = trips.fct_trip(hist_t)
+    step("fct_trip", lambda: replace_month("fct_trip", ft, "source_month", month, ["start_date"]) if whole_month
+         else INC.replace_partitions(ft, f"{out}/fct_trip", by, month is None))
+    fs = status.fct_station_status(from_mark(st_t), ds, broadcast_dim=False).withColumn("poll_day", F.to_date("poll_time"))
+    step("fct_station_status", lambda: INC.replace_partitions(fs, f"{out}/fct_station_status", ["poll_day"],
+                                                               full_refresh))
+    ft_t, fs_t = table("fct_trip"), table("fct_station_status")
+    # daily summary: only the days this batch touched are recomputed and
+    # replaced (a month file also holds days of the next month)
+    summary = f"{out}/agg_daily_trip_summary"
+    if month is None or not INC.table_exists(spark, summary):
+        daily_in, first_daily = ft_t, True
+    else:
+        # days of the batch before and after it was landed again; a day
+        # that no trip is left on goes
+        days = sorted({*old_days, *INC.touched_days(ft, "start_date")})
+        daily_in, first_daily = ft_t.filter(F.col("start_date").isin(days)), False
+        INC.drop_partitions(spark, summary, "full_date", set(days) - set(INC.touched_days(daily_in, "start_date")))
+    step("agg_daily_trip_summary", lambda: INC.replace_partitions(
+        marts.agg_daily_trip_summary(daily_in, dd), summary, ["full_date"], first_daily))
+    a_path = f"{out}/agg_station_activity_by_batch"
+    a_first = month is None or compat == "last_batch_wins" or not INC.table_exists(spark, a_path)
+    a_in = ft_t if a_first else INC.for_month(ft_t, month)
+    activity = marts.station_activity_by_batch(a_in)
+    step("agg_station_activity_by_batch", lambda: INC.replace_partitions(activity, a_path, ["source_month"], True) if a_first
+         else replace_month("agg_station_activity_by_batch", activity, "source_month", month))
+    step("agg_station_activity", lambda: write("agg_station_activity",
+                                               marts.merge_station_activity(table("agg_station_activity_by_batch"))))
+    # station x day: trip partials by batch, status partials by day
+    tp_path, sp_path = f"{out}/agg_station_daily_trip_parts", f"{out}/agg_station_daily_status_parts"
+    tp_first = month is None or compat == "last_batch_wins" or not INC.table_exists(spark, tp_path)
+    parts = marts.station_day_trip_parts(ft_t if tp_first else INC.for_month(ft_t, month))
+    step("agg_station_daily_trip_parts", lambda: INC.replace_partitions(parts, tp_path, ["source_month"], True) if tp_first
+         else replace_month("agg_station_daily_trip_parts", parts, "source_month", month))
+    sp_first = full_refresh or since is None or not INC.table_exists(spark, sp_path)
+    sp_in = fs_t if sp_first else from_mark(fs_t)
+    step("agg_station_daily_status_parts", lambda: INC.replace_partitions(
+        marts.station_day_status_parts(sp_in), sp_path, ["date_key"], sp_first))
+    step("agg_station_daily", lambda: write("agg_station_daily", marts.station_daily_from_parts(
+        table("agg_station_daily_trip_parts"), table("agg_station_daily_status_parts"), dd, ds,
+        broadcast_dim=False)))
+    tables = {
+        "stg_trip_history": stg_trip, "stg_station_information": stg_station, "stg_station_status": stg_status,
+        "int_station_identity": ident, "int_trip_history": table("int_trip_history"),
+        "int_quarantine_trip": table("int_quarantine_trip"), "int_station_status": st_t,
+        "int_quarantine_station_status": table("int_quarantine_station_status"), "dim_date": dd,
+        "dim_station": ds, "fct_trip": ft_t, "fct_station_status": fs_t,
+    }
+    if check_scope == "run" and month is not None:
+        in_run = dict(tables)
+        for t in ("stg_trip_history", "int_trip_history", "fct_trip"):
+            in_run[t] = INC.for_month(tables[t], month)
+        if since is not None:
+            for t in ("int_station_status", "int_quarantine_station_status", "fct_station_status"):
+                in_run[t] = from_mark(tables[t])
+            in_run["stg_station_status"] = staging.stg_status(status_raw)
+        in_run["int_quarantine_trip"] = tables["int_quarantine_trip"].filter(F.col("batch_id") == batch_id)
+        row_specs = [c for c in SPECS if c.check in ("not_null", "accepted_values", "relationships")]
+        key_specs = [c for c in SPECS if c.check in ("unique", "grain")]
+        checks = run_checks(in_run, row_specs).unionByName(run_checks(tables, key_specs))
+    else:
+        checks = run_checks(tables, SPECS)
+    report = step("checks", lambda: write("check_report", checks))
+    assert_checks(report, severity)
+    return report
 
 
 MODEL_TABLES = ["int_station_variants", "int_station_identity", "int_trip_history", "int_quarantine_trip", "int_station_status",

@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from velotide import schemas
+from velotide.operators.incremental import table_exists
 
 # --- fixed values ------------------------------------------------------------
 RUNNING, SUCCESS, FAILED = "RUNNING", "SUCCESS", "FAILED"
@@ -36,28 +37,27 @@ def attempt_summary(log: DataFrame) -> DataFrame:
 
 
 class RunLogger:
-    """Collects attempt records of one job run and appends them at the end
-    (or on failure) -- the records are few, one per task attempt."""
+    """Appends one record per task attempt, as soon as the attempt ends.  A
+    retried run (same ``run_id``) counts on: its attempts follow those in the log."""
 
     def __init__(self, spark: SparkSession, path: str, run_id: str, dag_id: str, batch_id: str | None = None):
         self.spark, self.path, self.run_id, self.dag_id, self.batch_id = spark, path, run_id, dag_id, batch_id
-        self.rows: list[dict] = []
+        self.tries: dict[str, int] = {}
+        if table_exists(spark, path):  # a run has a few dozen tasks
+            done = spark.read.parquet(path).filter(F.col("run_id") == run_id).groupBy("task_id").agg(F.max("try_number").alias("n"))
+            self.tries = {r.task_id: r.n for r in done.collect()}
 
-    def task(self, task_id: str, fn, try_number: int = 1):
+    def task(self, task_id: str, fn, try_number: int | None = None):
+        n = self.tries[task_id] = try_number or self.tries.get(task_id, 0) + 1
         start = dt.datetime.now(dt.timezone.utc)
         try:
             out = fn()
             status, err = SUCCESS, None
             return out
         except Exception as e:  # logged, then re-raised
-            status, err = FAILED, str(e)[:1000]
+            status, err = FAILED, str(e)
             raise
         finally:
-            self.rows.append(dict(run_id=self.run_id, dag_id=self.dag_id, batch_id=self.batch_id, task_id=task_id,
-                                  try_number=try_number, start_time=start, end_time=dt.datetime.now(dt.timezone.utc),
-                                  status=status, error_message=err))
-
-    def flush(self) -> None:
-        if self.rows:
-            append_run_log(log_rows(self.spark, self.rows), self.path)
-            self.rows = []
+            row = dict(run_id=self.run_id, dag_id=self.dag_id, batch_id=self.batch_id, task_id=task_id, try_number=n,
+                       start_time=start, end_time=dt.datetime.now(dt.timezone.utc), status=status, error_message=err)
+            append_run_log(log_rows(self.spark, [row]), self.path)

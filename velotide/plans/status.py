@@ -59,11 +59,8 @@ FCT_STATUS_COLS = [
 ]
 
 
-def fct_station_status(status: DataFrame, dim_station: DataFrame, since_day=None,
-                       broadcast_dim: bool = True) -> DataFrame:
+def fct_station_status(status: DataFrame, dim_station: DataFrame, broadcast_dim: bool = True) -> DataFrame:
     s = status.filter(F.col("is_valid"))
-    if since_day is not None:
-        s = s.filter(F.col("poll_time") >= F.lit(since_day).cast("date").cast("timestamp"))
     dim = dim_station.select("station_id", "station_key").filter(F.col("station_id").isNotNull())
     if broadcast_dim:
         dim = bounded_broadcast(dim)

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from velotide.functions.columns import date_key, minute_diff, row_md5
@@ -26,6 +26,12 @@ def derive_trips(stg: DataFrame) -> DataFrame:
             .withColumn("start_hour", F.hour("started_at").cast("bigint")))
 
 
+def _spread_null(code: str) -> Column:
+    """Join key of a station code: missing codes, which match nothing, are dealt
+    over many values instead of meeting in one shuffle partition."""
+    return F.coalesce(F.col(code), F.concat(F.lit("\u0000"), F.pmod(F.xxhash64("ride_id"), F.lit(4096)).cast("string")))
+
+
 def trip_history(stg: DataFrame, identity: DataFrame, source_month=None,
                  broadcast_identity: bool = True) -> DataFrame:
     """Every staged trip (valid or not) with its rejection reasons and both
@@ -38,13 +44,14 @@ def trip_history(stg: DataFrame, identity: DataFrame, source_month=None,
     ident = identity.select("source_station_code", "station_key", "mapping_status")
     if broadcast_identity:
         ident = bounded_broadcast(ident)
-    start = ident.select(F.col("source_station_code").alias("start_station_id"),
+    start = ident.select(F.col("source_station_code").alias("__start"),
                          F.col("station_key").alias("start_station_key"),
                          F.col("mapping_status").alias("start_station_mapping_status"))
-    end = ident.select(F.col("source_station_code").alias("end_station_id"),
+    end = ident.select(F.col("source_station_code").alias("__end"),
                        F.col("station_key").alias("end_station_key"),
                        F.col("mapping_status").alias("end_station_mapping_status"))
-    t = t.join(start, "start_station_id", "left").join(end, "end_station_id", "left")
+    t = t.withColumn("__start", _spread_null("start_station_id")).withColumn("__end", _spread_null("end_station_id"))
+    t = t.join(start, "__start", "left").join(end, "__end", "left")
     return t.withColumn("is_valid_trip", passes(TRIP_RULES)).select(*TRIP_HISTORY_COLS)
 
 
@@ -63,36 +70,21 @@ def fct_trip(history: DataFrame, source_month=None) -> DataFrame:
 QUARANTINE_ID_COLS = ["batch_id", "ride_id", "started_at", "ended_at", "start_station_id", "end_station_id"]
 
 
-def copy_ordinal(df: DataFrame, key: str, order: list[str]) -> DataFrame:
-    """Number the rows sharing ``key`` 1..n without sending a group to one
-    task: rows are numbered within (key, input partition), and each
-    (key, partition) gets the offset of the partitions before it from a
-    small count table (one row per key and partition).  A group of copies
-    holding a third of all rows is spread over the tasks it came from."""
-    d = df.withColumn("__p", F.spark_partition_id())
-    w = Window.partitionBy(key, "__p").orderBy(*[F.col(c).asc_nulls_first() for c in order])
-    d = d.withColumn("__r", F.row_number().over(w))
-    counts = d.groupBy(key, "__p").agg(F.count(F.lit(1)).alias("__n"))
-    before = Window.partitionBy(key).orderBy("__p").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = counts.withColumn("__off", F.coalesce(F.sum("__n").over(before), F.lit(0))).drop("__n")
-    return d.join(offsets, [key, "__p"]).withColumn("__ordinal", F.col("__off") + F.col("__r")).drop(
-        "__p", "__r", "__off")
-
-
 def quarantine_trip(history: DataFrame, as_of) -> DataFrame:
     """Rejected trips, one row each.
 
     The id is an md5 of the identifying columns, the reason codes and the
     row's ordinal among rows equal in all of those (deterministic for a
     given input, unlike a random uuid); ``as_of`` replaces the wall clock so
-    reruns are equal.  Rows equal in the id columns are numbered by
-    ``copy_ordinal``, ordered by their remaining columns."""
-    bad = history.filter(~F.col("is_valid_trip")).withColumn("__codes", reason_codes("rejection_reasons"))
-    basis = QUARANTINE_ID_COLS + ["__codes"]
-    rest = ["start_latitude", "start_longitude", "end_latitude", "end_longitude", "member_casual", "source_month"]
-    bad = copy_ordinal(bad.withColumn("__key", row_md5(*basis)), "__key", rest)
-    return bad.select(
-        row_md5(*basis, "__ordinal").alias("quarantine_id"),
+    reruns are equal.  Every output column is a function of that basis, so
+    copies are counted (one shuffle, combined map-side) and written out again
+    with the ordinals 1..n: no window, and no dependence on partitions."""
+    bad = history.filter(~F.col("is_valid_trip"))
+    copies = bad.groupBy(*QUARANTINE_ID_COLS, "rejection_reasons").agg(F.count(F.lit(1)).alias("__n"))
+    each = (copies.withColumn("__codes", reason_codes("rejection_reasons"))
+            .withColumn("__ordinal", F.explode(F.sequence(F.lit(1).cast("bigint"), F.col("__n")))))
+    return each.select(
+        row_md5(*QUARANTINE_ID_COLS, "__codes", "__ordinal").alias("quarantine_id"),
         "batch_id", "ride_id", "started_at", "ended_at", "start_station_id", "end_station_id",
         F.col("rejection_reasons").alias("rejections"),
         F.size("rejection_reasons").cast("bigint").alias("rejection_count"),

@@ -568,7 +568,7 @@ def q_highwater_status(spark, root):
     stg = m.stg_status
     first = S.station_status(stg.filter(F.col("poll_time") < F.lit(HW_FIRST_RUN_END).cast("timestamp")))
     INC.replace_partitions(first.withColumn("poll_day", F.to_date("poll_time")), work, ["poll_day"])
-    hw = INC.high_water_day(spark, work, "poll_time")
+    hw = INC.high_water_day(spark, work, "poll_day")
     second = S.station_status(stg, since_day=hw)
     INC.replace_partitions(second.withColumn("poll_day", F.to_date("poll_time")), work, ["poll_day"])
     return _codes(spark.read.parquet(work).drop("poll_day"))

@@ -2,7 +2,10 @@
 
 from __future__ import annotations
 
+import atexit
 import os
+import re
+import shutil
 import tempfile
 
 from pyspark.sql import SparkSession
@@ -43,45 +46,68 @@ def get_session(master: str | None = None, app: str = "velotide",
     b = SparkSession.builder.appName(app)
     if master:
         b = b.master(master)
-    conf = dict(BASE_CONF)
+    asked = dict(extra or {})
     if shuffle_partitions is not None:
-        conf["spark.sql.shuffle.partitions"] = str(shuffle_partitions)
-    conf.update(extra or {})
-    for k, v in conf.items():
+        asked["spark.sql.shuffle.partitions"] = str(shuffle_partitions)
+    given = _launcher_conf()
+    for k, v in ({k: v for k, v in BASE_CONF.items() if k not in given} | asked).items():
         b = b.config(k, v)
     spark = b.getOrCreate()
     # an already running session keeps its static settings; SQL ones can be set
-    for k, v in conf.items():
+    for k, v in asked.items():
         if k.startswith("spark.sql."):
             spark.conf.set(k, v)
+    apply_job_conf(spark)
     ensure_checkpoint_dir(spark)
     return spark
 
 
+def _launcher_conf() -> set[str]:
+    """Keys the launcher gave (--conf, spark-defaults.conf), or a running context has."""
+    from pyspark import SparkConf, SparkContext
+
+    if SparkContext._active_spark_context is not None:
+        return {k for k, _ in SparkContext._active_spark_context.getConf().getAll()}
+    SparkContext._ensure_initialized()
+    return {k for k, _ in SparkConf().getAll()}
+
+
+# what results depend on: always set; the other settings only when nobody gave them
+REQUIRED_CONF = ("spark.sql.session.timeZone", "spark.sql.sources.partitionOverwriteMode")
+
+
 def apply_job_conf(spark: SparkSession) -> None:
-    """Set the SQL settings the models rely on, on a session made elsewhere."""
+    """Set the SQL settings the models rely on, on a session made elsewhere;
+    tuning values that the launcher gave stay."""
+    given = _launcher_conf()
     for k, v in BASE_CONF.items():
-        if k.startswith("spark.sql."):
+        if k.startswith("spark.sql.") and (k in REQUIRED_CONF or k not in given):
             spark.conf.set(k, v)
 
 
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
-    """Return the reliable checkpoint folder, setting one only when unset.
+    """Return the reliable checkpoint folder.
 
     On a cluster the folder comes from ``spark.checkpoint.dir`` (a shared file
-    system).  Only when nothing is configured -- local tests -- a scratch
-    folder is created."""
+    system) and must be set: executors cannot share a machine-local folder.
+    Only under a local master a temporary folder is made, and removed when the
+    driver's Python ends."""
     try:
         sc = spark.sparkContext
     except Exception:  # remote (Connect) session: configuration only
         conf_dir = spark.conf.get("spark.checkpoint.dir", None)
-        return conf_dir or tempfile.mkdtemp(prefix="velotide-ckpt-", dir=os.environ.get("TMPDIR", "/tmp"))
+        if not conf_dir:
+            raise ValueError("spark.checkpoint.dir must name a shared folder") from None
+        return conf_dir
     current = sc.getCheckpointDir()
     if current:
         return current
     conf_dir = spark.conf.get("spark.checkpoint.dir", None) or sc.getConf().get("spark.checkpoint.dir", None)
     if not conf_dir:
+        if not re.fullmatch(r"local(\[.*\])?", sc.master):
+            raise ValueError("spark.checkpoint.dir must name a shared folder")
         conf_dir = tempfile.mkdtemp(prefix="velotide-ckpt-", dir=os.environ.get("TMPDIR", "/tmp"))
+        atexit.register(shutil.rmtree, conf_dir, ignore_errors=True)
     sc.setCheckpointDir(conf_dir)
     return sc.getCheckpointDir() or conf_dir
 

@@ -170,14 +170,3 @@ def publish(events: DataFrame, key: str = "station_id") -> DataFrame:
 
 def dlq_records(dlq: DataFrame) -> DataFrame:
     return dlq.select(F.to_json(F.struct(*DLQ_FIELDS)).alias("value"))
-
-
-def write_topic(records: DataFrame, sink: str = "kafka", options: dict | None = None) -> None:
-    """Write key/value records to a Kafka topic (``options``: bootstrap
-    servers and ``topic``) or, with ``sink='files'``, to parquet files of
-    the same columns at ``options['path']``."""
-    opts = dict(options or {})
-    if sink == "kafka":
-        records.write.format("kafka").options(**opts).save()
-    else:
-        records.write.mode("append").parquet(opts.pop("path"))

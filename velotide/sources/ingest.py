@@ -28,6 +28,11 @@ CSV_OPTIONS = {
 }
 
 
+def trip_batch_name(source_month) -> str:
+    """``trip_batch_id`` of a month given as text or date."""
+    return f"{TRIP_BATCH_PREFIX}{str(source_month)[:7]}"
+
+
 def trip_batch_id(source_month) -> F.Column:
     return F.concat(F.lit(TRIP_BATCH_PREFIX), F.date_format(F.lit(source_month).cast("date"), "yyyy-MM"))
 

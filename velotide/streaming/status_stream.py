@@ -118,18 +118,9 @@ def start_status_stream(events: DataFrame, root: str, checkpoint: str, trigger:
     return w.start()
 
 
-def dedup_replays(events: DataFrame, delay: str = "1 hour") -> DataFrame:
-    """Drop a replayed Kafka message (same topic, partition, offset) seen
-    again within ``delay`` of the first copy.  State is kept per key only
-    until the watermark passes, so it stays bounded; older replays still
-    reach the raw table and the technical dedup removes them in batch."""
-    return (events.withWatermark("kafka_timestamp", delay)
-            .dropDuplicatesWithinWatermark(["kafka_topic", "kafka_partition", "kafka_offset"]))
-
-
-def status_stream(spark: SparkSession, source: str, options: dict, dedup_delay: str | None = None) -> DataFrame:
-    """Source -> parse -> structural filter (-> optional replay dedup).
-    A rate limit is an option of the source (``maxOffsetsPerTrigger`` for
-    Kafka, ``maxFilesPerTrigger`` for files)."""
-    events = structural_filter(parse_status(read_status_stream(spark, source, options)))
-    return dedup_replays(events, dedup_delay) if dedup_delay else events
+def status_stream(spark: SparkSession, source: str, options: dict) -> DataFrame:
+    """Source -> parse -> structural filter.  Replayed messages are not dropped
+    here (a watermark would drop late first copies too): the technical dedup of
+    the batch models removes them.  A rate limit is an option of the source
+    (``maxOffsetsPerTrigger`` for Kafka, ``maxFilesPerTrigger`` for files)."""
+    return structural_filter(parse_status(read_status_stream(spark, source, options)))
