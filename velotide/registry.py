@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 
 from velotide import oracle as O
 from velotide import schemas as SCH
-from velotide.functions.rules import reason_codes
+from velotide.functions.rules import STATUS_RULES, TRIP_RULES, reason_codes
 from velotide.operators import incremental as INC
 from velotide.plans import analyses as Y
 from velotide.plans import identity as I
@@ -673,3 +673,68 @@ def q_agg_station_daily_from_parts(spark, root):
     for c in AVG_COLS:
         df = df.withColumn(c, F.round(c, 6))
     return df
+
+
+# ------------------------------------------------ rejections, field by field ---
+def _rule_values(rules) -> str:
+    quoted = lambda x: "'" + x.replace("'", "''") + "'"
+    rows = ", ".join(f"({quoted(r.code)}, {quoted(r.field)}, {quoted(r.detail)})" for r in rules)
+    return f"(VALUES {rows}) AS r(reason_code, failed_field, reason_detail)"
+
+
+def _rejections(df, keys):
+    return df.select(*keys, F.inline("rejection_reasons"))
+
+
+@register("trip_rejections", O.q(
+    "SELECT ride_id, batch_id, r.reason_code, r.failed_field, r.reason_detail FROM ("
+    "SELECT ride_id, batch_id, unnest(string_split(reason_codes, ',')) AS code FROM trip_history WHERE reason_codes <> '') "
+    f"JOIN {_rule_values(TRIP_RULES)} ON r.reason_code = code"))
+def q_trip_rejections(spark, root):
+    return _rejections(models(spark, root).trip_history, ["ride_id", "batch_id"])
+
+
+@register("status_rejections", O.q(
+    "SELECT station_id, snapshot_id, r.reason_code, r.failed_field, r.reason_detail FROM ("
+    "SELECT station_id, snapshot_id, unnest(string_split(reason_codes, ',')) AS code FROM status_cls WHERE reason_codes <> '') "
+    f"JOIN {_rule_values(STATUS_RULES)} ON r.reason_code = code"))
+def q_status_rejections(spark, root):
+    return _rejections(models(spark, root).station_status, ["station_id", "snapshot_id"])
+
+
+# --------------------------------------------------------------- daily job ---
+def _daily(spark, root, out, trips, month):
+    from velotide.plans.jobs import daily_transform
+    from velotide.plans.models import FIXTURE_AS_OF, FIXTURE_CALENDAR
+    daily_transform(spark, trips, landed(spark, root, "stations"), landed(spark, root, "status"), out,
+                    calendar=FIXTURE_CALENDAR, as_of=FIXTURE_AS_OF, source_month=month)
+
+
+@register("first_run_month", O.q("SELECT * FROM fct_trip"))
+def q_first_run_month(spark, root):
+    """The daily job's first run, asked for one month: builds all that has landed."""
+    apply_job_conf(spark)
+    out = scratch_path(spark, "first-run")
+    _daily(spark, root, out, landed(spark, root, "trips"), SECOND_MONTH)
+    return spark.read.parquet(f"{out}/fct_trip").select(*FCT_TRIP_COLS)
+
+
+GONE_DAY = "2024-02-05"
+
+
+@register("batch_reland", O.q(
+    "SELECT f.start_date_key AS date_key, d.full_date, f.member_casual, count(*) AS trip_count, "
+    "CAST(sum(f.duration_minutes) AS BIGINT) AS total_duration_minutes "
+    "FROM fct_trip f JOIN dim_date d ON f.start_date_key = d.date_key "
+    f"WHERE NOT (f.source_month = DATE '{SECOND_MONTH}' AND f.start_date = DATE '{GONE_DAY}') "
+    "GROUP BY f.start_date_key, d.full_date, f.member_casual"))
+def q_batch_reland(spark, root):
+    """A month landed again without one of its days: the month run leaves none
+    of that day's trips in the fact and its daily summary."""
+    apply_job_conf(spark)
+    out, trips = scratch_path(spark, "reland"), landed(spark, root, "trips")
+    _daily(spark, root, out, trips, None)
+    gone = (F.col("source_month") == F.lit(SECOND_MONTH).cast("date")) & (F.to_date("started_at") == F.lit(GONE_DAY).cast("date"))
+    _daily(spark, root, out, trips.filter(~F.coalesce(gone, F.lit(False))), SECOND_MONTH)
+    return spark.read.parquet(f"{out}/agg_daily_trip_summary").select(
+        "date_key", F.col("full_date").cast("date").alias("full_date"), "member_casual", "trip_count", "total_duration_minutes")
