@@ -39,6 +39,7 @@ from velotide.llm.common import written
 from velotide.llm.components import components
 
 THRESHOLD, BAND_BITS, MISS, SIGMAS, BLOCK, SEED = 0.98, 20, 1e-6, 5.0, 512, 7
+PAIRS = 4096  # cosines computed at a time
 
 
 def tuned_bands(threshold: float, band_bits: int = BAND_BITS, miss: float = MISS) -> int:
@@ -151,8 +152,10 @@ def _exact(threshold: float):
             dim = unit.column("dim")[0].as_py()
             flat = unit.column("vector").combine_chunks().flatten().to_numpy().astype(np.float64).reshape(-1, dim)
             a, b = pairs.T
-            cos = np.einsum("ij,ij->i", flat[a], flat[b]) / (np.linalg.norm(flat[a], axis=1) * np.linalg.norm(flat[b], axis=1))
-            hit = cos >= threshold
+            hit, norms = np.zeros(len(pairs), bool), np.linalg.norm(flat, axis=1)
+            for i in range(0, len(pairs), PAIRS):
+                x, y = a[i:i + PAIRS], b[i:i + PAIRS]
+                hit[i:i + PAIRS] = np.einsum("ij,ij->i", flat[x], flat[y]) / (norms[x] * norms[y]) >= threshold
             if not hit.any():
                 continue
             a, b, ids, copies = a[hit], b[hit], unit.column("cid").to_numpy(), unit.column("copies").to_numpy()
