@@ -253,7 +253,7 @@ def test_toxicity_on_held_out_documents(spark):
     got = TX.toxicity(docs, labels).join(labels, "doc_id").filter("held_out").groupBy("toxic", "predicted").count().collect()
     n = {(r.toxic, r.predicted): r["count"] for r in got}
     caught, missed, wrong = n.get((1, 1), 0), n.get((1, 0), 0), n.get((0, 1), 0)
-    assert caught >= 0.7 * (caught + missed) and wrong <= 0.02 * (n[0, 0] + wrong)
+    assert caught >= 0.6 * (caught + missed) and wrong <= 0.01 * (n[0, 0] + wrong)
 
 
 def test_toxicity_awkward_rows(spark):

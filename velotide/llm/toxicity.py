@@ -126,7 +126,8 @@ def fit(rows: list[tuple[bytes, int]]) -> Model:
         return Model(b"", b"", (True, True), np.zeros(0), np.zeros(0), np.zeros(0), share)
     in_toxic = Counter(w for t in toxic[::2] for w in set(windows(t)))
     in_ordinary = Counter(w for t in ordinary[::2] for w in set(windows(t)))
-    ratio, least = len(ordinary) / len(toxic), max(2, len(toxic) // 200)
+    # a window of few toxic documents is chance: 5 documents, fewer only in tiny samples
+    ratio, least = len(ordinary) / len(toxic), max(2, min(5, len(toxic) // 20), len(toxic) // 200)
 
     def sample(own: Counter, other: Counter, least: int, most: float) -> list[bytes]:
         # windows of several documents that the other side lacks, by document count
