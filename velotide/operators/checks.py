@@ -1,11 +1,12 @@
 """Column and grain checks, reported as DataFrame(table, column, check, failures).
 
 * not_null / accepted_values: all checks of one table in ONE aggregate pass
-  (a row of counters, then ``stack`` into report rows).
+  (a row of counters, then ``inline`` into report rows); a table that is a
+  filter of another one (``Derived``) is counted in that one's pass.
 * unique: values that occur more than once (nulls skipped); a hash aggregate
   with map-side combine, so a hot value is counted, never gathered.
-* relationships: child rows whose non-null key is missing in the parent, as a
-  ``left_anti`` join against the parent's distinct keys.
+* relationships: child rows whose non-null key is missing in the parent; all
+  of a child's relationships in one pass of left joins to the parents' keys.
 * grain: groups of the given keys with more than one row.
 
 The report has one row per check (bounded by the spec list), so raising on it
@@ -15,7 +16,7 @@ from __future__ import annotations
 
 from typing import NamedTuple, Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 REPORT_COLS = ["table", "column", "check", "failures"]
@@ -56,17 +57,25 @@ def _row(table: str, column: str, check: str, failures) -> DataFrame:
                            F.lit(check).alias("check"), F.col("failures").cast("bigint").alias("failures"))
 
 
-def _scan_checks(df: DataFrame, table: str, checks: Sequence[Check]) -> DataFrame:
+class Derived(NamedTuple):
+    """A tested table that is a filter and projection of another one: its
+    row-level checks are counted in the other table's pass."""
+    base: str
+    where: Column
+    columns: dict[str, Column] = {}
+
+
+def _scan_checks(df: DataFrame, checks: Sequence[Check], derived: dict[str, Derived]) -> DataFrame:
     counters = []
     for i, c in enumerate(checks):
-        col = F.col(c.column)
+        d = derived.get(c.table)
+        col = d.columns.get(c.column, F.col(c.column)) if d else F.col(c.column)
         bad = col.isNull() if c.check == "not_null" else (col.isNotNull() & ~col.isin(*c.values))
-        counters.append(F.count_if(bad).alias(f"c{i}"))
+        counters.append(F.count_if(d.where & bad if d else bad).alias(f"c{i}"))
     sums = df.agg(*counters)
-    rows = F.array(*[F.struct(F.lit(c.column).alias("column"), F.lit(c.check).alias("check"),
-                              F.col(f"c{i}").alias("failures")) for i, c in enumerate(checks)])
-    return sums.select(F.inline(rows)).select(F.lit(table).alias("table"), "column", "check",
-                                              F.col("failures").cast("bigint").alias("failures"))
+    rows = F.array(*[F.struct(F.lit(c.table).alias("table"), F.lit(c.column).alias("column"), F.lit(c.check).alias("check"),
+                              F.col(f"c{i}").cast("bigint").alias("failures")) for i, c in enumerate(checks)])
+    return sums.select(F.inline(rows))
 
 
 def _unique(df: DataFrame, c: Check) -> DataFrame:
@@ -74,10 +83,17 @@ def _unique(df: DataFrame, c: Check) -> DataFrame:
     return _row(c.table, c.column, c.check, dup.agg(F.count(F.lit(1)).alias("failures")))
 
 
-def _relationship(df: DataFrame, parent: DataFrame, c: Check) -> DataFrame:
-    keys = parent.select(F.col(c.field).alias(c.column)).filter(F.col(c.column).isNotNull()).distinct()
-    orphans = df.select(c.column).filter(F.col(c.column).isNotNull()).join(keys, c.column, "left_anti")
-    return _row(c.table, c.column, c.check, orphans.agg(F.count(F.lit(1)).alias("failures")))
+def _relationships(df: DataFrame, tables: dict[str, DataFrame], checks: Sequence[Check]) -> DataFrame:
+    """All relationships of one child table in one pass: a left join to each
+    parent's keys, then one row of counters."""
+    child = df.select(*dict.fromkeys(c.column for c in checks))
+    for i, c in enumerate(checks):
+        keys = tables[c.to].select(F.col(c.field).alias(f"k{i}")).filter(F.col(c.field).isNotNull()).distinct()
+        child = child.join(keys, child[c.column] == keys[f"k{i}"], "left")
+    sums = child.agg(*[F.count_if(F.col(c.column).isNotNull() & F.col(f"k{i}").isNull()).alias(f"c{i}") for i, c in enumerate(checks)])
+    rows = F.array(*[F.struct(F.lit(c.table).alias("table"), F.lit(c.column).alias("column"), F.lit(c.check).alias("check"),
+                              F.col(f"c{i}").cast("bigint").alias("failures")) for i, c in enumerate(checks)])
+    return sums.select(F.inline(rows))
 
 
 def _grain(df: DataFrame, c: Check) -> DataFrame:
@@ -85,19 +101,21 @@ def _grain(df: DataFrame, c: Check) -> DataFrame:
     return _row(c.table, c.column, c.check, dup.agg(F.count(F.lit(1)).alias("failures")))
 
 
-def run_checks(tables: dict[str, DataFrame], specs: Sequence[Check]) -> DataFrame:
+def run_checks(tables: dict[str, DataFrame], specs: Sequence[Check], derived: dict[str, Derived] | None = None) -> DataFrame:
+    derived = derived or {}
     parts: list[DataFrame] = []
-    by_table: dict[str, list[Check]] = {}
+    scans: dict[str, list[Check]] = {}
+    links: dict[str, list[Check]] = {}
     for c in specs:
         if c.check in ("not_null", "accepted_values"):
-            by_table.setdefault(c.table, []).append(c)
-    for t, cs in by_table.items():
-        parts.append(_scan_checks(tables[t], t, cs))
+            scans.setdefault(derived[c.table].base if c.table in derived else c.table, []).append(c)
+        elif c.check == "relationships":
+            links.setdefault(c.table, []).append(c)
+    parts += [_scan_checks(tables[t], cs, derived) for t, cs in scans.items()]
+    parts += [_relationships(tables[t], tables, cs) for t, cs in links.items()]
     for c in specs:
         if c.check == "unique":
             parts.append(_unique(tables[c.table], c))
-        elif c.check == "relationships":
-            parts.append(_relationship(tables[c.table], tables[c.to], c))
         elif c.check == "grain":
             parts.append(_grain(tables[c.table], c))
     out = parts[0]

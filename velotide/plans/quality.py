@@ -3,11 +3,14 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
-from velotide.operators.checks import (Check, accepted, grain, not_null, relationship, run_checks,
+from velotide.functions.columns import date_key, row_md5
+from velotide.operators.checks import (Check, Derived, accepted, grain, not_null, relationship, run_checks,
                                        unique)
 from velotide.plans.identity import EXACT, GEO, MATCHED, NUMERIC, UNRESOLVED
 from velotide.plans.models import Models
+from velotide.plans.trips import QUARANTINE_ID_COLS
 from velotide.functions.rules import RIDER_TYPES
 
 # --- fixed values: the test suite (table, column, test) -------------------------
@@ -85,7 +88,24 @@ def model_tables(m: Models, names=None) -> dict[str, DataFrame]:
     return {t: getattr(m, attr) for t, attr in TABLE_MODELS.items() if names is None or t in names}
 
 
+def derived_tables(m: Models) -> dict[str, Derived]:
+    """Trip history holds every staged trip, and the fact and the quarantine are
+    filters of it (likewise for status): one pass over each serves them all."""
+    valid, ok = F.col("is_valid_trip"), F.col("is_valid")
+    return {
+        "stg_trip_history": Derived("int_trip_history", F.lit(True)),
+        "fct_trip": Derived("int_trip_history", valid, {"start_date_key": date_key("start_date"), "end_date_key": date_key("end_date")}),
+        "int_quarantine_trip": Derived("int_trip_history", ~valid, {
+            "quarantine_id": row_md5(*QUARANTINE_ID_COLS), "quarantined_at": F.lit(m.as_of).cast("timestamp")}),
+        "fct_station_status": Derived("int_station_status", ok, {"observation_date_key": date_key(F.to_date("poll_time"))}),
+        "int_quarantine_station_status": Derived("int_station_status", ~ok, {
+            "quarantine_id": F.md5(F.concat_ws("|", "station_id", "snapshot_id")), "invalid_at": F.col("poll_time")}),
+    }
+
+
 def run_model_checks(m: Models, kinds: tuple[str, ...] | None = None) -> DataFrame:
     specs = [s for s in SPECS if kinds is None or s.check in kinds]
-    needed = {s.table for s in specs} | {s.to for s in specs if s.to}
-    return run_checks(model_tables(m, needed), specs)
+    derived = derived_tables(m)
+    needed = {s.to for s in specs if s.to} | {
+        derived[s.table].base if s.table in derived and s.check in ("not_null", "accepted_values") else s.table for s in specs}
+    return run_checks(model_tables(m, needed), specs, derived)
