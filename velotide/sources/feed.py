@@ -116,50 +116,60 @@ def station_valid(e: Column) -> Column:
     return ok
 
 
-def classify_feed(responses: DataFrame, producer_id: str = "velotide-feed") -> tuple[DataFrame, DataFrame]:
-    """(events, dlq).  ``events`` has the 13 event fields (poll_time as ISO
-    text); ``dlq`` the 7 dead-letter fields.  The snapshot id is an md5 of
-    the response's url and fetch time, so a replayed response gets the same
-    id (and the logical dedup downstream removes it)."""
-    env = envelope(responses)
-    fetched_iso = F.date_format("fetched_at", ISO_FORMAT)
-    feed_dlq = env.filter(F.col("feed_error").isNotNull() & (F.col("feed_error") != SKIPPED)).select(
-        fetched_iso.alias("failed_at"), "source_url", "http_status", F.col("feed_error").alias("error_type"),
-        F.col("feed_snippet").alias("raw_body_snippet"))
-    good = env.filter(F.col("feed_error").isNull()).select(
-        "source_url", "http_status", "fetched_at",
-        F.try_variant_get("payload", "$.last_updated", "bigint").alias("feed_last_updated"),
-        F.try_variant_get("payload", "$.ttl", "bigint").alias("feed_ttl"),
-        F.posexplode("stations").alias("pos", "e"))
-    good = good.withColumn("valid", station_valid(F.col("e")))
-    rec_dlq = good.filter(~F.col("valid")).select(
-        fetched_iso.alias("failed_at"), "source_url", "http_status", F.lit(INVALID_STATION_RECORD).alias("error_type"),
-        _snippet(F.to_json("e")).alias("raw_body_snippet"))
-    msg = F.create_map(*[x for k, v in ERROR_MESSAGES.items() for x in (F.lit(k), F.lit(v))])
-    dlq = feed_dlq.unionByName(rec_dlq).select(
-        "failed_at", "source_url", "http_status", "error_type", msg[F.col("error_type")].alias("error_message"),
-        "raw_body_snippet", F.lit(producer_id).alias("producer_id"))
-    e = F.col("e")
-    events = good.filter(F.col("valid")).select(
+EVENT, DEAD, SKIP = "event", "dlq", "skipped"
+
+
+def classified(responses: DataFrame) -> DataFrame:
+    """One row per station record, and one per response without any: a single
+    scan and a single parse that both outputs are filters of.  ``kind`` is the
+    output a row belongs to, ``feed_error`` the class of a rejected envelope or
+    record, ``pos`` the record's place in its response (null: no record)."""
+    env = envelope(responses).withColumn("stations", F.when(F.col("feed_error").isNull(), F.col("stations")))
+    rows = env.select("source_url", "http_status", "fetched_at", "payload", "feed_error", "feed_snippet",
+                      F.posexplode_outer("stations").alias("pos", "e"))
+    rows = rows.withColumn("valid", F.when(F.col("pos").isNotNull(), station_valid(F.col("e"))))
+    error = F.when(F.col("valid") == F.lit(False), F.lit(INVALID_STATION_RECORD)).otherwise(F.col("feed_error"))
+    kind = (F.when(F.col("valid"), F.lit(EVENT)).when(error.isNull() | (error == SKIPPED), F.lit(SKIP)).otherwise(F.lit(DEAD)))
+    return rows.withColumn("kind", kind).withColumn("error_type", error)
+
+
+def feed_events(rows: DataFrame) -> DataFrame:
+    """The 13 event fields (poll_time as ISO text).  The snapshot id is an md5 of
+    the response's url and fetch time, so a replayed response gets the same id
+    (and the logical dedup downstream removes it)."""
+    e, fetched_iso = F.col("e"), F.date_format("fetched_at", ISO_FORMAT)
+    return rows.filter(F.col("kind") == EVENT).select(
         F.try_variant_get(e, "$.station_id", "string").alias("station_id"),
         *[F.try_variant_get(e, f"$.{f}", "bigint").alias(f) for f in
           ["num_bikes_available", "num_bikes_disabled", "num_docks_available", "num_docks_disabled",
            "is_installed", "is_renting", "is_returning", "last_reported"]],
         F.md5(F.concat_ws("|", "source_url", fetched_iso)).alias("snapshot_id"),
         fetched_iso.alias("poll_time"),
-        "feed_last_updated", "feed_ttl")
-    return events, dlq
+        F.try_variant_get("payload", "$.last_updated", "bigint").alias("feed_last_updated"),
+        F.try_variant_get("payload", "$.ttl", "bigint").alias("feed_ttl"))
+
+
+def feed_dlq(rows: DataFrame, producer_id: str = "velotide-feed") -> DataFrame:
+    """The 7 dead-letter fields of rejected responses and records."""
+    msg = F.create_map(*[x for k, v in ERROR_MESSAGES.items() for x in (F.lit(k), F.lit(v))])
+    snippet = F.when(F.col("pos").isNull(), F.col("feed_snippet")).otherwise(_snippet(F.to_json("e")))
+    return rows.filter(F.col("kind") == DEAD).select(
+        F.date_format("fetched_at", ISO_FORMAT).alias("failed_at"), "source_url", "http_status", "error_type",
+        msg[F.col("error_type")].alias("error_message"), snippet.alias("raw_body_snippet"), F.lit(producer_id).alias("producer_id"))
+
+
+def classify_feed(responses: DataFrame, producer_id: str = "velotide-feed") -> tuple[DataFrame, DataFrame]:
+    """(events, dlq), each one scan of the responses when consumed alone."""
+    rows = classified(responses)
+    return feed_events(rows), feed_dlq(rows, producer_id)
 
 
 def feed_classes(responses: DataFrame) -> DataFrame:
-    """Responses per envelope class and elements per record class."""
-    env = envelope(responses)
-    feed = env.groupBy(F.coalesce("feed_error", F.lit("ENVELOPE_OK")).alias("error_type")).agg(
-        F.count(F.lit(1)).alias("n"))
-    elems = (env.filter(F.col("feed_error").isNull()).select(F.explode("stations").alias("e"))
-             .groupBy(F.when(station_valid(F.col("e")), F.lit("VALID_STATION")).otherwise(F.lit(INVALID_STATION_RECORD))
-                      .alias("error_type")).agg(F.count(F.lit(1)).alias("n")))
-    return feed.unionByName(elems)
+    """Responses per envelope class and records per record class, in one pass."""
+    response = F.when(F.col("pos").isNull() | (F.col("pos") == 0), F.coalesce("feed_error", F.lit("ENVELOPE_OK")))
+    record = F.when(F.col("pos").isNotNull(), F.when(F.col("valid"), F.lit("VALID_STATION")).otherwise(F.lit(INVALID_STATION_RECORD)))
+    classes = classified(responses).select(F.explode(F.array_compact(F.array(response, record))).alias("error_type"))
+    return classes.groupBy("error_type").agg(F.count(F.lit(1)).alias("n"))
 
 
 def publish(events: DataFrame, key: str = "station_id") -> DataFrame:

@@ -5,8 +5,8 @@ Streaming job.
         events: Kafka-shaped records (key = station id, value = JSON event)
         dlq:    JSON dead-letter records
 
-Each micro-batch is classified once (the batch is persisted for its two
-outputs) and both outputs overwrite ``batch_id=<n>`` folders, so a batch
+Each micro-batch is parsed and classified once (the classified rows are
+persisted for their two outputs) and both outputs overwrite ``batch_id=<n>`` folders, so a batch
 replayed after a crash does not duplicate records.  With ``sink='kafka'``
 the same records go to two topics instead."""
 
@@ -15,7 +15,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.types import IntegerType, StringType, StructField, StructType, TimestampType
 
-from velotide.sources.feed import classify_feed, dlq_records, publish
+from velotide.sources.feed import classified, dlq_records, feed_dlq, feed_events, publish
 
 RESPONSE_SCHEMA = StructType([
     StructField("source_url", StringType()),
@@ -35,10 +35,9 @@ def write_feed_batch(out_root: str, producer_id: str = "velotide-feed", sink: st
     root = out_root.rstrip("/")
 
     def write(batch_df: DataFrame, batch_id: int) -> None:
-        batch_df.persist()
+        rows = classified(batch_df).persist()
         try:
-            events, dlq = classify_feed(batch_df, producer_id)
-            ev, dl = publish(events), dlq_records(dlq)
+            ev, dl = publish(feed_events(rows)), dlq_records(feed_dlq(rows, producer_id))
             if sink == "kafka":
                 opts = dict(kafka_options or {})
                 ev.write.format("kafka").options(**opts).option("topic", events_topic).save()
@@ -47,7 +46,7 @@ def write_feed_batch(out_root: str, producer_id: str = "velotide-feed", sink: st
                 ev.write.mode("overwrite").parquet(f"{root}/events/batch_id={batch_id}")
                 dl.write.mode("overwrite").parquet(f"{root}/dlq/batch_id={batch_id}")
         finally:
-            batch_df.unpersist()
+            rows.unpersist()
     return write
 
 
