@@ -48,3 +48,20 @@ def test_late_first_copies_are_kept(spark, tmp_dir):
         write_records(spark, src, records)
         start_status_stream(status_stream(spark, "files", {"path": src}), out, ck, {"availableNow": True}).awaitTermination()
     assert sorted(r["kafka_offset"] for r in spark.read.parquet(out).collect()) == [1, 2, 3]
+
+
+def test_closed_days_are_compacted(spark, tmp_dir):
+    from velotide.streaming.status_stream import compact_closed_days
+    src, out, ck = f"{tmp_dir}/in", f"{tmp_dir}/raw", f"{tmp_dir}/ck"
+    for k in (1, 2, 3):
+        write_records(spark, src, [(k, event(f"S{k}"))])
+        start_status_stream(status_stream(spark, "files", {"path": src}), out, ck, {"availableNow": True}).awaitTermination()
+    before = spark.read.parquet(out)
+    day = before.first().poll_day
+    rows = sorted(map(str, before.drop("batch_id").collect()))
+    assert compact_closed_days(spark, out, day) == []
+    assert compact_closed_days(spark, out, day + dt.timedelta(days=1)) == [day]
+    after = spark.read.parquet(out)
+    assert sorted(map(str, after.select(*before.drop("batch_id").columns).collect())) == rows
+    assert after.select("batch_id").distinct().count() == 1
+    assert all(f"poll_day={day}/batch_id=" in f for f in after.inputFiles())

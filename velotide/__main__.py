@@ -14,7 +14,7 @@ from __future__ import annotations
 import argparse
 import uuid
 
-from velotide.session import get_session
+from velotide.session import cluster_conf, get_session
 
 
 def _opts(pairs):
@@ -23,6 +23,7 @@ def _opts(pairs):
 
 def main(argv=None) -> None:
     ap = argparse.ArgumentParser(prog="velotide")
+    ap.add_argument("--size", metavar="INPUT_BYTES:CORES", help="size shuffles and splits for this input and cluster")
     sub = ap.add_subparsers(dest="cmd", required=True)
     a = sub.add_parser("land")
     a.add_argument("--landing", required=True)
@@ -55,7 +56,8 @@ def main(argv=None) -> None:
     q.add_argument("--sf-dir", required=True)
     q.add_argument("--rows", type=int, default=20)
     args = ap.parse_args(argv)
-    spark = get_session(app=f"velotide-{args.cmd}")
+    sizing = cluster_conf(*map(int, args.size.split(":"))) if args.size else None
+    spark = get_session(app=f"velotide-{args.cmd}", extra=sizing)
 
     if args.cmd == "land":
         from velotide.plans.jobs import land_month

@@ -14,6 +14,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from velotide.plans import dims, identity, marts, staging, status, trips
+from velotide.operators.incremental import table_exists
+from velotide.session import scratch_path
 from velotide.sources import fixtures
 
 # --- fixed values: calendar used with the fixture data ------------------------
@@ -23,6 +25,8 @@ FIXTURE_CALENDAR = ("2024-01-01", "2024-02-10")
 FIXTURE_AS_OF = "2024-03-01 00:00:00"
 # ----------------------------------------------------------------------------
 
+_WRITTEN: dict = {}
+
 
 class Models:
     def __init__(self, spark: SparkSession, raw_trips: DataFrame, raw_stations: DataFrame,
@@ -33,12 +37,26 @@ class Models:
         self.calendar, self.as_of = calendar, as_of
         self.source_month, self.status_since = source_month, status_since
         self.broadcast_dims = broadcast_dims
+        self.shared: tuple | None = None
 
     @classmethod
     def from_fixtures(cls, spark: SparkSession, root: str, **kw) -> "Models":
         """Models over the fixture views, landed once as raw tables."""
-        return cls(spark, fixtures.landed(spark, root, "trips"), fixtures.landed(spark, root, "stations"),
-                   fixtures.landed(spark, root, "status"), **kw)
+        m = cls(spark, fixtures.landed(spark, root, "trips"), fixtures.landed(spark, root, "stations"),
+                fixtures.landed(spark, root, "status"), **kw)
+        m.shared = (fixtures.landed_path(spark, root, "trips"), fixtures.landed_path(spark, root, "stations"))
+        return m
+
+    def _once(self, name: str, make) -> DataFrame:
+        """A small model of landed inputs, written once per input version: a scan
+        of known size for every query that joins it."""
+        if self.shared is None:
+            return make()
+        path = _WRITTEN.get((name, self.shared))
+        if path is None or not table_exists(self.spark, path):
+            path = _WRITTEN[name, self.shared] = scratch_path(self.spark, name)
+            make().write.parquet(path)
+        return self.spark.read.parquet(path)
 
     # staging
     @cached_property
@@ -56,12 +74,12 @@ class Models:
     # intermediate
     @cached_property
     def station_identity(self) -> DataFrame:
-        return identity.station_identity(self.stg_trip, self.stg_station)
+        return self._once("station-identity", lambda: identity.station_identity(self.stg_trip, self.stg_station))
 
     @cached_property
     def trip_history(self) -> DataFrame:
         return trips.trip_history(self.stg_trip, self.station_identity, self.source_month,
-                                  broadcast_identity=self.broadcast_dims)
+                                  broadcast_identity=self.broadcast_dims and self.shared is None)
 
     @cached_property
     def quarantine_trip(self) -> DataFrame:
@@ -82,7 +100,7 @@ class Models:
 
     @cached_property
     def dim_station(self) -> DataFrame:
-        return dims.dim_station(self.stg_station)
+        return self._once("station-dimension", lambda: dims.dim_station(self.stg_station))
 
     @cached_property
     def fct_trip(self) -> DataFrame:
@@ -91,7 +109,7 @@ class Models:
     @cached_property
     def fct_station_status(self) -> DataFrame:
         return status.fct_station_status(self.station_status, self.dim_station,
-                                         broadcast_dim=self.broadcast_dims)
+                                         broadcast_dim=self.broadcast_dims and self.shared is None)
 
     # aggregates
     @cached_property
@@ -105,7 +123,7 @@ class Models:
     @cached_property
     def agg_station_daily(self) -> DataFrame:
         return marts.agg_station_daily(self.fct_trip, self.fct_station_status, self.dim_date,
-                                       self.dim_station, broadcast_dim=self.broadcast_dims)
+                                       self.dim_station, broadcast_dim=self.broadcast_dims and self.shared is None)
 
     def data_calendar(self) -> DataFrame:
         """Calendar from the first to the last trip day, bounds found by Spark."""

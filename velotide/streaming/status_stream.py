@@ -6,8 +6,8 @@
   timestamp as ``kafka_*``) and parses the JSON value with the explicit
   13-field schema; a malformed value becomes a null struct and is dropped by
   the structural filter (counts that are not integers parse as null too).
-* ``write_status_batch`` stamps ``ingested_at`` and overwrites the folder
-  ``batch_id=<n>``: a micro-batch replayed after a crash rewrites the same
+* ``write_status_batch`` stamps ``ingested_at`` and overwrites the folders
+  ``poll_day=<d>/batch_id=<n>``: a micro-batch replayed after a crash rewrites the same
   folder instead of appending a second copy (the technical dedup downstream
   stays as the second line).
 * Progress is the checkpoint's; the trigger is a parameter (default: as fast
@@ -20,6 +20,9 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import (BinaryType, IntegerType, LongType, StringType, StructField, StructType,
                                TimestampType)
 
+from velotide.operators.broadcast import materialise
+from velotide.operators.incremental import drop_partitions, replace_whole
+
 STATUS_EVENT_SCHEMA = StructType([
     StructField("station_id", StringType()),
     StructField("num_bikes_available", LongType()),
@@ -97,18 +100,39 @@ def to_raw(batch: DataFrame, ingested_at=None) -> DataFrame:
 
 
 def write_status_batch(root: str, ingested_at=None):
-    """foreachBatch function: overwrite ``<root>/batch_id=<n>``, partitioned
-    inside by ``poll_day`` (derived from each row, so a retried batch writes
-    the same folders); the daily models prune raw status by that day."""
+    """foreachBatch function: overwrite ``<root>/poll_day=<d>/batch_id=<n>``.
+    The day comes from each row, so a retried batch replaces the same folders;
+    it is outermost, so the daily models list and read only the days they need.
+    A day's rows are brought together before the write (one file, or several of
+    advisory size)."""
     def write(batch_df: DataFrame, batch_id: int) -> None:
-        if batch_df.isEmpty():
-            return
-        raw = to_raw(batch_df, ingested_at).withColumn("poll_day", F.to_date("poll_time"))
-        (raw.sortWithinPartitions("poll_day", "station_id").write.mode("overwrite").partitionBy("poll_day")
-         .parquet(f"{root.rstrip('/')}/batch_id={batch_id}"))
+        raw = to_raw(batch_df, ingested_at).withColumn("poll_day", F.to_date("poll_time")).withColumn("batch_id", F.lit(batch_id))
+        (raw.hint("rebalance", "poll_day").sortWithinPartitions("poll_day", "station_id").write.mode("overwrite")
+         .option("partitionOverwriteMode", "dynamic").partitionBy("poll_day", "batch_id").parquet(root.rstrip("/")))
     return write
 
 
+def compact_closed_days(spark: SparkSession, root: str, before) -> list:
+    """Merge the batch folders of each day before ``before`` into the day's last
+    batch folder; returns the days merged.  The stream must be past these days
+    (it replays its last batch only).  The merged rows are written before the
+    other folders go: a crash in between leaves copies, which the technical
+    dedup of the batch models removes."""
+    root, done = root.rstrip("/"), []
+    raw = spark.read.parquet(root)
+    days = raw.filter(F.col("poll_day") < F.lit(before).cast("date")).select("poll_day", "batch_id").distinct()
+    folders: dict = {}
+    for r in days.collect():  # partition values only
+        folders.setdefault(r.poll_day, []).append(r.batch_id)
+    for day, batches in sorted(folders.items()):
+        if len(batches) > 1:
+            copy = materialise(raw.filter(F.col("poll_day") == F.lit(day)).drop("poll_day", "batch_id"), "closed-day")
+            replace_whole(copy.withColumn("batch_id", F.lit(max(batches))), f"{root}/poll_day={day}", "batch_id", max(batches))
+            drop_partitions(spark, f"{root}/poll_day={day}", "batch_id", sorted(set(batches) - {max(batches)}))
+            done.append(day)
+    return done
+
+
 def start_status_stream(events: DataFrame, root: str, checkpoint: str, trigger: dict | None = None,
                         ingested_at=None):
     w = (events.writeStream.foreachBatch(write_status_batch(root, ingested_at))
