@@ -35,7 +35,7 @@ def land_month(spark: SparkSession, landing_root: str, raw_root: str, source_mon
 
 def daily_transform(spark: SparkSession, raw_trips: DataFrame, raw_stations: DataFrame, raw_status: DataFrame,
                     out_root: str, calendar: tuple[str, str], as_of: str, source_month: str | None = None,
-                    full_refresh: bool = False, compat: str | None = None, severity: str = "warn",
+                    full_refresh: bool = False, compat: str | None = None, severity: str = "warn", summary_window: str = "days",
                     log_path: str | None = None, run_id: str | None = None, check_scope: str = "all") -> DataFrame:
     """staging -> identity -> trip history -> quarantine; status -> quarantine;
     dimensions -> facts -> aggregates; then the data checks.  Returns the
@@ -45,7 +45,12 @@ def daily_transform(spark: SparkSession, raw_trips: DataFrame, raw_stations: Dat
     values, relationships) on the rows this run wrote -- the month's batch
     and the status days from the mark -- while uniqueness and grain tests
     still read the whole key columns (a new row may collide with an old one).
-    The default ``"all"`` tests whole tables, as the original does."""
+    The default ``"all"`` tests whole tables, as the original does.
+
+    ``summary_window``: a month run refreshes the daily summary on the days its
+    batch touches (``"days"``) or, as the original, on the days of that calendar
+    month (``"calendar_month"``; a month file's trips of the next month then wait
+    for that month's run)."""
     out = out_root.rstrip("/")
     batch_id = ingest.trip_batch_name(source_month) if source_month else None
     log = RunLogger(spark, log_path, run_id or uuid.uuid4().hex, "daily_transform", batch_id) if log_path else None
@@ -137,8 +142,11 @@ def daily_transform(spark: SparkSession, raw_trips: DataFrame, raw_stations: Dat
     # daily summary: only the days this batch touched are recomputed and
     # replaced (a month file also holds days of the next month)
     summary = f"{out}/agg_daily_trip_summary"
+    window = None
     if month is None or not INC.table_exists(spark, summary):
         daily_in, first_daily = ft_t, True
+    elif summary_window == "calendar_month":
+        daily_in, first_daily, window = ft_t, False, month
     else:
         # days of the batch before and after it was landed again; a day
         # that no trip is left on goes
@@ -146,7 +154,7 @@ def daily_transform(spark: SparkSession, raw_trips: DataFrame, raw_stations: Dat
         daily_in, first_daily = ft_t.filter(F.col("start_date").isin(days)), False
         INC.drop_partitions(spark, summary, "full_date", set(days) - set(INC.touched_days(daily_in, "start_date")))
     step("agg_daily_trip_summary", lambda: INC.replace_partitions(
-        marts.agg_daily_trip_summary(daily_in, dd), summary, ["full_date"], first_daily))
+        marts.agg_daily_trip_summary(daily_in, dd, window), summary, ["full_date"], first_daily))
     a_path = f"{out}/agg_station_activity_by_batch"
     a_first = month is None or compat == "last_batch_wins" or not INC.table_exists(spark, a_path)
     a_in = ft_t if a_first else INC.for_month(ft_t, month)

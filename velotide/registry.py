@@ -134,11 +134,11 @@ def q_station_dominant(spark, root):
 
 
 @register("station_reference", O.q(
-    "SELECT station_key, short_name, station_name, latitude, longitude, CAST(short_num AS DOUBLE) AS short_name_numeric, "
+    "SELECT station_key, short_name, station_name, latitude, longitude, CAST(short_num AS VARCHAR) AS short_name_numeric, "
     "canonical_name FROM ref"))
 def q_station_reference(spark, root):
     return I.station_reference(models(spark, root).stg_station).withColumn(
-        "short_name_numeric", F.col("short_name_numeric").cast("double"))
+        "short_name_numeric", F.col("short_name_numeric").cast("string"))
 
 
 @register("canonical_names", O.q(
@@ -155,7 +155,7 @@ def q_canonical_names(spark, root):
 
 
 @register("code_decimal", O.q(
-    f"SELECT code AS source_station_code, CAST({O.code_num('code')} AS DOUBLE) AS code_numeric FROM ("
+    f"SELECT code AS source_station_code, CAST({O.code_num('code')} AS VARCHAR) AS code_numeric FROM ("
     "SELECT start_station_id AS code FROM stg_trip UNION SELECT end_station_id FROM stg_trip "
     "UNION SELECT short_name FROM stg_station)"))
 def q_code_decimal(spark, root):
@@ -165,7 +165,7 @@ def q_code_decimal(spark, root):
              .unionByName(m.stg_trip.select(F.col("end_station_id").alias("source_station_code")))
              .unionByName(m.stg_station.select(F.col("short_name").alias("source_station_code"))).distinct())
     return codes.select("source_station_code",
-                        code_to_decimal("source_station_code").cast("double").alias("code_numeric"))
+                        code_to_decimal("source_station_code").cast("string").alias("code_numeric"))
 
 
 def _sources(spark, root):
@@ -738,3 +738,23 @@ def q_batch_reland(spark, root):
     _daily(spark, root, out, trips.filter(~F.coalesce(gone, F.lit(False))), SECOND_MONTH)
     return spark.read.parquet(f"{out}/agg_daily_trip_summary").select(
         "date_key", F.col("full_date").cast("date").alias("full_date"), "member_casual", "trip_count", "total_duration_minutes")
+
+
+@register("agg_daily_month_window", O.q(
+    f"SELECT * FROM agg_daily WHERE full_date >= DATE '{SECOND_MONTH}' AND full_date < DATE '{SECOND_MONTH}' + INTERVAL 1 MONTH"))
+def q_agg_daily_month_window(spark, root):
+    from velotide.plans.marts import agg_daily_trip_summary
+    m = models(spark, root)
+    return agg_daily_trip_summary(m.fct_trip, m.dim_date, SECOND_MONTH)
+
+
+@register("stream_replayed_batch", ORACLE["stream_raw_status"])
+def q_stream_replayed_batch(spark, root):
+    """One micro-batch written twice, as after a crash: the second write replaces the first."""
+    apply_job_conf(spark)
+    work = scratch_path(spark, "replay")
+    records = spark.read.parquet(landed_path(spark, root, "kafka"))
+    write = SS.write_status_batch(f"{work}/raw")
+    for _ in range(2):
+        write(SS.structural_filter(SS.parse_status(records)), 7)
+    return spark.read.parquet(f"{work}/raw").drop("batch_id", "poll_day", "ingested_at")
