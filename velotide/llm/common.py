@@ -28,12 +28,6 @@ def written(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
-def spread(df: DataFrame) -> DataFrame:
-    """Deal rows out evenly (round robin), for a stage whose cost per row is
-    far above its cost to move; used on slim rows only."""
-    return df.repartition(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")))
-
-
 def as_key(col) -> F.Column:
     """Null ids sort last and count as one id."""
     return F.coalesce(F.col(col).cast("long"), F.lit((1 << 63) - 1))

@@ -15,7 +15,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from velotide.llm.common import LOWER, SPACES, UPPER
+from velotide.llm.common import SPACES, UPPER
 
 SYMBOLS = "#*$%&|<>"
 WINDOW = 5
