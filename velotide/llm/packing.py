@@ -36,7 +36,7 @@ from velotide.session import scratch_path
 CAPACITY, END_ID = 2048, 0
 WAVES = (4,)  # sizes above capacity / 4 first, then all
 PROGRESS = 0.9  # a round that leaves more of its pieces than this opens new sequences
-FEW = 4096
+FEW, RANGE_ROWS = 4096, 50_000  # rows of a range: a round has as many tasks as its rows need
 CACHE_WORDS, CACHE_CHARS = 400_000, 64
 # a run of white space (Unicode White_Space) and what follows it: token
 # boundaries always lie before the run's last character or earlier
@@ -251,7 +251,6 @@ def pack(items: DataFrame, capacity: int = CAPACITY) -> DataFrame:
     """(pid, seq, used) for ``items`` (pid, size): places without overlap, each
     sequence gapless from 0.  A sequence is named by the piece that opened it."""
     spark = items.sparkSession
-    ranges = int(spark.conf.get("spark.sql.shuffle.partitions"))
     path, rounds = scratch_path(spark, "packing"), []
     opened = f"{path}/opened"
     items.filter(F.col("size") >= capacity).select("pid", F.col("pid").alias("seq"), F.lit(0).alias("used")).write.parquet(opened)
@@ -259,13 +258,13 @@ def pack(items: DataFrame, capacity: int = CAPACITY) -> DataFrame:
     borders = [capacity, *(capacity // w for w in WAVES), 0]
     waves = [(F.col("size") > low) & (F.col("size") < high if high == capacity else F.col("size") <= high) for high, low in zip(borders, borders[1:])]
     counts = items.agg(*[F.count(F.when(w, 1)) for w in waves]).first()
-    any_gap = False
+    in_gaps = 0  # at most so many gaps: one per sequence opened
     for wave, before in zip(waves, counts):
         todo = items.filter(wave).select("pid", F.col("size").cast("int").alias("size"))
         while before:
-            if any_gap:
+            if in_gaps:
                 rounds.append(f"{path}/round-{len(rounds)}")
-                left, gaps, still = _round(todo, gaps, ranges, capacity, rounds[-1])
+                left, gaps, still = _round(todo, gaps, 1 + (before + in_gaps) // RANGE_ROWS, capacity, rounds[-1])
             else:  # nothing to fill yet
                 left, still = before, todo
             if not left:
@@ -276,8 +275,8 @@ def pack(items: DataFrame, capacity: int = CAPACITY) -> DataFrame:
             n, seeds = _opened(still, capacity, len(rounds))
             seeds = written(seeds, "seeds")
             seeds.select("pid", F.col("pid").alias("seq"), F.lit(0).alias("used")).write.mode("append").parquet(opened)
-            gaps, any_gap = gaps.union(seeds.select(F.col("pid").alias("seq"), (F.lit(capacity) - F.col("size")).cast("int").alias("gap"),
-                                                    F.col("size").alias("used")).filter("gap > 0")), True
+            gaps, in_gaps = gaps.union(seeds.select(F.col("pid").alias("seq"), (F.lit(capacity) - F.col("size")).cast("int").alias("gap"),
+                                                    F.col("size").alias("used")).filter("gap > 0")), in_gaps + n
             todo, before = still.join(seeds.select("pid"), "pid", "left_anti"), max(1, left - n)
     places = spark.read.schema("pid long, seq long, used int").parquet(opened)
     if rounds:
