@@ -14,10 +14,11 @@ band too.
 Equal sets are one class, joined through its 64-bit signature.  All sets that
 agree in a chunk share that chunk's smallest signature, so grouping by it keeps
 every colliding pair while a set appears once per group however many chunks it
-shares.  Groups are compared in blocks: the Hamming distance of the sets'
-parity sketches bounds the difference from below and rules pairs out, the rest
-is verified exactly on the whole sets.  Each block returns a spanning forest of
-its links: no table of pairs within a group is ever made.
+shares.  Groups are compared in blocks, first on parity sketches alone (about a
+bit per member): their Hamming distance bounds the difference from below and
+rules pairs out.  Members with a pair left come back with their texts and those
+pairs are verified exactly on the whole sets.  Each block returns a spanning
+forest of its links: no table of pairs within a group is ever made.
 
 Defined results: a null or empty text has an empty set, linked with nothing; a
 text shorter than n words is one shingle; null ids are never linked and keep a
@@ -37,7 +38,7 @@ from velotide.llm.blocks import block_units, jaccard_forest, runs
 from velotide.llm.common import written
 from velotide.llm.components import components
 
-BLOCK = 512
+BLOCK, SKETCH_BITS = 512, 1 << 16
 
 
 def band_bounds() -> np.ndarray:
@@ -76,12 +77,21 @@ def chunk_keys(members: np.ndarray, band: int, percent: int) -> np.ndarray:
         return grams.mix(value + grams.mix(filled * np.uint64(64) + np.uint64(band)))
 
 
+def bands_of(size: int, percent: int) -> list[int]:
+    """The band of a set's size, and the next one if a partner may lie there."""
+    band = int(np.searchsorted(BOUNDS, size, "right")) - 1
+    return [band, band + 1] if 100 * size >= percent * int(BOUNDS[band + 1]) else [band]
+
+
 def set_keys(members: np.ndarray, percent: int) -> np.ndarray:
-    band = int(np.searchsorted(BOUNDS, len(members), "right")) - 1
-    keys = chunk_keys(members, band, percent)
-    if 100 * len(members) >= percent * int(BOUNDS[band + 1]):
-        keys = np.concatenate([keys, chunk_keys(members, band + 1, percent)])
-    return keys
+    return np.concatenate([chunk_keys(members, b, percent) for b in bands_of(len(members), percent)])
+
+
+def sketch(members: np.ndarray, band: int) -> bytes:
+    """Parity bits of a set, as many as the band's largest size (at most SKETCH_BITS)."""
+    bits = min(SKETCH_BITS, 64 * -(-int(BOUNDS[band + 1]) // 64))
+    odd = np.bincount((grams.mix(members) % np.uint64(bits)).astype(np.int64), minlength=bits) & 1
+    return np.packbits(odd.astype(np.uint8)).tobytes()
 
 
 def signature(members: np.ndarray) -> tuple[int, int]:
@@ -90,42 +100,51 @@ def signature(members: np.ndarray) -> tuple[int, int]:
         return int(m.sum(dtype=np.uint64).view(np.int64)), int(np.bitwise_xor.reduce(grams.mix(m)).view(np.int64))
 
 
-def _heads(n: int):
+def _heads(n: int, percent: int):
     def rows(batches):
         for b in batches:
             size, s1, s2 = [np.zeros(b.num_rows, np.int64) for _ in range(3)]
+            own, upper = [None] * b.num_rows, [None] * b.num_rows
             for k, members in grams.shingle_sets(grams.text_column(b), n):
                 size[k] = len(members)
                 if len(members):
                     s1[k], s2[k] = signature(members)
-            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(size), pa.array(s1), pa.array(s2)],
-                                             names=["doc_id", "n", "s1", "s2"])
+                    band, *more = bands_of(len(members), percent)
+                    own[k] = sketch(members, band)
+                    upper[k] = sketch(members, band + 1) if more else None
+            band = np.searchsorted(BOUNDS, size, "right") - 1
+            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(size), pa.array(s1), pa.array(s2), pa.array(band.astype(np.int32)),
+                                              pa.array(own, pa.binary()), pa.array(upper, pa.binary())],
+                                             names=["doc_id", "n", "s1", "s2", "band", "own", "upper"])
     return rows
 
 
 def _keys(n: int, percent: int):
     def rows(batches):
         for b in batches:
-            seen, keys, owners = set(), [], []
+            seen, keys, owners, bands = set(), [], [], []
             for _, members in grams.shingle_sets(grams.text_column(b), n):
                 if len(members) and (s := signature(members)) not in seen:  # copies in a batch emit once
                     seen.add(s)
-                    keys.append(set_keys(members, percent))
-                    owners.append(np.full(len(keys[-1]), s[0], np.int64))
+                    for band in bands_of(len(members), percent):
+                        keys.append(chunk_keys(members, band, percent))
+                        owners.append(np.full(len(keys[-1]), s[0], np.int64))
+                        bands.append(np.full(len(keys[-1]), band, np.int32))
             if keys:
                 yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(keys).view(np.int64)),
-                                                  pa.array(np.concatenate(owners))], names=["key", "s1"])
+                                                  pa.array(np.concatenate(owners)), pa.array(np.concatenate(bands))], names=["key", "s1", "band"])
     return rows
 
 
 def stars(batches):
     """(p, x) for every distinct x sharing a key with a smaller p, the smallest of
-    the key, from a stream sorted by (key, s1); once per batch."""
+    the key, from a stream sorted by (key, s1); once per batch.  A third column
+    (of the key, such as its band) goes along."""
     key = low = None
     for b in batches:
         if not b.num_rows:
             continue
-        k, s = b.column(0).to_numpy(), b.column(1).to_numpy()
+        k, s, *more = (c.to_numpy() for c in b.columns)
         first = np.concatenate([[True], k[1:] != k[:-1]])
         if k[0] == key:
             first[0] = False
@@ -134,14 +153,48 @@ def stars(batches):
         key, low = k[-1], p[-1]
         hit = p != s
         if hit.any():
-            pairs = np.unique(np.stack([p[hit], s[hit]], 1), axis=0)
-            yield pa.RecordBatch.from_arrays([pa.array(pairs[:, 0]), pa.array(pairs[:, 1])], names=["p", "x"])
+            pairs = np.unique(np.stack([p[hit], s[hit], *(m[hit].astype(np.int64) for m in more)], 1), axis=0)
+            yield pa.RecordBatch.from_arrays([pa.array(c) for c in pairs.T], names=["p", "x", "band"][:pairs.shape[1]])
+
+
+def sketch_pairs(unit: pa.Table, percent: int) -> np.ndarray:
+    """Rows of a unit with a pair that sizes and sketches do not rule out."""
+    sizes, words = unit.column("n").to_numpy(), unit.column("sketch").to_pylist()
+    if len(set(map(len, words))) > 1:  # two groups whose names collided: nothing is ruled out here
+        return np.arange(len(words))
+    bits = np.frombuffer(b"".join(words), np.uint64).reshape(len(words), -1)
+    cross = unit.column("gi")[0].as_py() != unit.column("gj")[0].as_py()
+    mine, keep = unit.column("mine").to_numpy(), np.zeros(len(words), bool)
+    for i in range(len(words) - 1):
+        low, high = np.minimum(sizes[i], sizes[i + 1:]), np.maximum(sizes[i], sizes[i + 1:])
+        near = 100 * low >= percent * high
+        if cross:
+            near &= mine[i + 1:] != mine[i]
+        at = np.flatnonzero(near) + i + 1
+        if len(at):
+            far = np.bitwise_count(bits[at] ^ bits[i]).sum(axis=1, dtype=np.int64)
+            at = at[(100 + percent) * far <= (100 - percent) * (sizes[i] + sizes[at])]
+            keep[at] = True
+            keep[i] |= len(at) > 0
+    return np.flatnonzero(keep)
+
+
+UNIT = ["p", "gi", "gj"]
+
+
+def _survivors(percent: int):
+    def rows(batches):
+        for unit in runs(batches, UNIT):
+            left = sketch_pairs(unit, percent)
+            if len(left):
+                yield from unit.select([*UNIT, "mine", "doc_id"]).take(pa.array(left)).combine_chunks().to_batches()
+    return rows
 
 
 def _verify(n: int, percent: int):
     def rows(batches):
         unzip = zstandard.ZstdDecompressor()
-        for unit in runs(batches, ["p", "gi", "gj"]):
+        for unit in runs(batches, UNIT):
             ids = unit.column("doc_id").to_numpy()
             texts = pa.array([unzip.decompress(z.as_py()) for z in unit.column("z")], pa.large_binary())
             sets = [s for _, s in grams.shingle_sets(texts.cast(pa.large_string()), n)]
@@ -168,18 +221,27 @@ def jaccard_links(docs: DataFrame, n: int = 3, percent: int = 90) -> tuple[DataF
     if not 70 <= percent <= 100:
         raise ValueError("bands of one half hold similarities of 70 percent and more")
     texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
-    heads = written(texts.mapInArrow(_heads(n), "doc_id long, n long, s1 long, s2 long"), "sets")
+    heads = written(texts.mapInArrow(_heads(n, percent), "doc_id long, n long, s1 long, s2 long, band int, own binary, upper binary"), "sets")
     reps = heads.filter("n > 0").groupBy("n", "s1", "s2").agg(F.min("doc_id").alias("doc_id"))
-    keys = texts.mapInArrow(_keys(n, percent), "key long, s1 long")
-    star = written(keys.repartition("key").sortWithinPartitions("key", "s1").mapInArrow(stars, "p long, x long").distinct(), "stars")
-    members = star.union(star.select("p", F.col("p").alias("x")).distinct())
-    members = members.join(reps.select("doc_id", F.col("s1").alias("x")), "x").select("p", "doc_id")
-    units = block_units(members, "p", "doc_id", BLOCK)
+    keys = texts.mapInArrow(_keys(n, percent), "key long, s1 long, band int")
+    star = written(keys.repartition("key").sortWithinPartitions("key", "s1").mapInArrow(
+        stars, "p long, x long, band long").distinct(), "stars")
+    members = star.union(star.select("p", F.col("p").alias("x"), "band").distinct())
+    # one group per smallest signature and band: its sketches have one length
+    members = members.select(F.xxhash64("p", "band").alias("p"), "x", "band")
+    sketches = heads.join(reps.select("doc_id", "n", "s1", "s2"), ["doc_id", "n", "s1", "s2"], "left_semi").dropDuplicates(["doc_id"])
+    sketches = sketches.select("doc_id", "n", F.col("s1").alias("x"), F.inline(F.array(
+        F.struct(F.col("band").cast("long").alias("band"), F.col("own").alias("sketch")),
+        F.struct((F.col("band") + 1).cast("long").alias("band"), F.col("upper").alias("sketch"))))).filter("sketch IS NOT NULL")
+    members = members.join(sketches, ["x", "band"]).select("p", "doc_id", "n", "sketch")
+    units = block_units(members, "p", "doc_id", BLOCK).select(*UNIT, "mine", "doc_id", "n", "sketch")
+    left = units.repartition(*UNIT).sortWithinPartitions(*UNIT).mapInArrow(
+        _survivors(percent), "p long, gi int, gj int, mine int, doc_id long")
     packed = texts.mapInArrow(zipped, "doc_id long, z binary")
     # a repeated row of one document adds an equal set to its unit: no new component
-    units = units.join(packed, "doc_id").repartition("p", "gi", "gj").sortWithinPartitions("p", "gi", "gj")
-    links = units.select("p", "gi", "gj", "mine", "doc_id", "z").mapInArrow(_verify(n, percent), "a long, b long")
-    return heads, links
+    left = left.join(packed, "doc_id").repartition(*UNIT).sortWithinPartitions(*UNIT)
+    links = left.select(*UNIT, "mine", "doc_id", "z").mapInArrow(_verify(n, percent), "a long, b long")
+    return heads.select("doc_id", "n", "s1", "s2"), links
 
 
 def jaccard_components(docs: DataFrame, n: int = 3, percent: int = 90) -> DataFrame:
