@@ -268,6 +268,16 @@ def test_toxicity_awkward_rows(spark):
     assert not TX.toxicity(docs.limit(0), labels).collect()
 
 
+def test_ordinary_words_train_whatever_their_first_letter(monkeypatch):
+    trained = []
+    monkeypatch.setattr(TX, "_train", lambda samples: trained.append(set(samples)) or (b" ".join(sorted(set(samples))[:50]) or b" ", True))
+    rng, common = random.Random(5), [f"{c}{k}" for c in "abz" for k in range(2000)] + ["été", "жук"]
+    ordinary = [" ".join(rng.sample(common, len(common))).encode() for _ in range(40)]
+    toxic = [" ".join(f"t{rng.randrange(40)}" for _ in range(30)).encode() for _ in range(10)]
+    TX.fit([(t, 0) for t in ordinary] + [(t, 1) for t in toxic])
+    assert len(trained) == 2 and trained[1] == {f" {w} ".encode() for w in common}
+
+
 # ------------------------------------------------------ importance resampling ---
 def test_kth_largest(spark):
     rng = random.Random(2)

@@ -134,7 +134,7 @@ def fit(rows: list[tuple[bytes, int]]) -> Model:
         return [b" " + w + b" " for w in sorted(own) if own[w] >= least and other[w] <= most * own[w] for _ in range(min(own[w], 20))]
 
     t_dict, t_raw = _train(sample(in_toxic, in_ordinary, least, 0))
-    o_dict, o_raw = _train(sample(in_ordinary, in_toxic, max(2, least), 3 / ratio)[:100_000])
+    o_dict, o_raw = _train(sample(in_ordinary, in_toxic, max(2, least), 3 / ratio))
     cells = Cells(o_dict, t_dict, (o_raw, t_raw))
     held = [(t, 1) for t in toxic[1::2]] + [(t, 0) for t in ordinary[1::2]]
     x, y = features(np.array([cells.counts(t) for t, _ in held])), np.array([y for _, y in held], float)
