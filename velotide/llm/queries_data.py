@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import public_tokenizers
+
+from velotide.llm.alignment import align_tokenizers
 from velotide.llm.common import table
 from velotide.llm.pii import personal_data
 from velotide.llm.prefix_trie import prefix_trie
@@ -16,6 +19,14 @@ def op11_pii(spark, sf_dir):
 QUERIES["op11_pii"] = op11_pii
 
 
+def op12_alignment(spark, sf_dir):
+    return align_tokenizers(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"),
+                            public_tokenizers.path("piece_bpe_32k.model"))
+
+
+QUERIES["op12_alignment"] = op12_alignment
+
+
 def op13_prefix_trie(spark, sf_dir):
     return prefix_trie(table(spark, sf_dir, "conversations"))
 
