@@ -13,13 +13,17 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from velotide.llm.common import written
+
 
 def block_units(members: DataFrame, key: str, member: str, block: int) -> DataFrame:
     """(key, gi, gj, mine, columns of members): one row for each unit a member
     takes part in.  ``mine`` is its block; units with gi = gj compare a block
     with itself, others only across."""
+    # only groups of more than one block need their size: a short table, joined by
+    # the planner without a shuffle of the members where it is small
     sizes = members.groupBy(key).agg(F.ceil(F.count(F.lit(1)) / F.lit(block)).cast("int").alias("_nb"))
-    m = members.join(sizes, key)
+    m = members.join(written(sizes.filter("_nb > 1"), "group-sizes"), key, "left").fillna(1, ["_nb"])
     mine = F.pmod(F.xxhash64(member, F.lit(11)), F.col("_nb")).cast("int")
     m = m.withColumn("mine", mine).withColumn("_other", F.explode(F.sequence(F.lit(0), F.col("_nb") - 1)))
     return m.withColumn("gi", F.least("mine", "_other")).withColumn("gj", F.greatest("mine", "_other")).drop("_nb", "_other")

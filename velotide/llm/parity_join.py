@@ -3,13 +3,18 @@
 Two sets of sizes a and b with Jaccard similarity of ``percent`` or more differ
 in at most d = (100 - percent)(a + b) / (100 + percent) members.  Sizes are cut
 into bands; in a band whose largest size is m, a set's members are dealt by hash
-over C = D + 1 + E chunks, D being the bound for two sets of size m, and each
+over C = D + 1 + E + F chunks, D being the bound for two sets of size m, and each
 chunk is the XOR of its members' hashes.  The d differing members touch at most
-D chunks, so linked sets agree in E + 1 chunks or more (pigeonhole).  Agreeing
+D chunks, so linked sets agree in E + F + 1 chunks or more (pigeonhole).  Agreeing
 on an empty chunk says nothing, so empty chunks are only emitted by a set with
-more than E of them: a pair that agreed on empty chunks alone would have E + 1
-each and still meets.  A set whose partner may lie in the next band joins that
-band too.
+more than E of them: a pair agrees in F + 1 emitted keys or more either way.  A
+set whose partner may lie in the next band joins that band too.
+
+Keys held by one set only are done with.  Of the others each set passes over its
+F most frequent ones (by the number of sets, then by the key): of F + 1 agreed
+keys the rarest has F more frequent ones in either set, so it stays in both and no
+link is lost.  A set with F such keys or fewer has no link at all, and what many
+sets share (a common line alone in its chunk) forms no group.
 
 Equal sets are one class, joined through its 64-bit signature.  All sets that
 agree in a chunk share that chunk's smallest signature, so grouping by it keeps
@@ -30,7 +35,7 @@ from __future__ import annotations
 import numpy as np
 import pyarrow as pa
 import zstandard
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from velotide.llm import grams
@@ -39,6 +44,7 @@ from velotide.llm.common import written
 from velotide.llm.components import components
 
 BLOCK, SKETCH_BITS = 512, 1 << 16
+MOST = 1 << 16  # sets of a key are counted so far; keys with more are equally frequent
 
 
 def band_bounds() -> np.ndarray:
@@ -52,18 +58,19 @@ def band_bounds() -> np.ndarray:
 BOUNDS = band_bounds()
 
 
-def chunk_plan(band: int, percent: int) -> tuple[int, int]:
-    """(chunks, empty chunks passed over) of a band; (0, 0) where only equal sets link."""
+def chunk_plan(band: int, percent: int) -> tuple[int, int, int]:
+    """(chunks, empty chunks passed over, frequent keys passed over) of a band;
+    zeros where only equal sets link."""
     most = (100 - percent) * 2 * (int(BOUNDS[band + 1]) - 1) // (100 + percent)
     if not most:
-        return 0, 0
-    spare = 2 + most // 100
-    return most + 1 + spare, spare
+        return 0, 0, 0
+    spare, frequent = 2 + most // 100, 1 + most // 5
+    return most + 1 + spare + frequent, spare, frequent
 
 
 def chunk_keys(members: np.ndarray, band: int, percent: int) -> np.ndarray:
     """Join keys of a sorted set in a band."""
-    chunks, spare = chunk_plan(band, percent)
+    chunks, spare, _ = chunk_plan(band, percent)
     if not chunks:
         return np.zeros(0, np.uint64)
     at = ((members >> np.uint64(32)) * np.uint64(chunks)) >> np.uint64(32)  # ascending, as the members are
@@ -136,6 +143,47 @@ def _keys(n: int, percent: int):
     return rows
 
 
+def _shared_keys(batches):
+    """(key, s1, band, sets) of the keys with several sets, each set once, from a
+    stream sorted by (key, s1)."""
+    def rows(key, s1, band, sets):
+        return pa.RecordBatch.from_arrays([pa.array(key), pa.array(s1), pa.array(band), pa.array(sets)], names=["key", "s1", "band", "sets"])
+
+    held, full = None, None  # rows of the last key, which may go on; a key known to have MOST sets
+    for b in batches:
+        if not b.num_rows:
+            continue
+        k, s, band = (c.to_numpy() for c in b.columns)
+        if held is not None:
+            k, s, band = (np.concatenate(x) for x in zip(held, (k, s, band)))
+        new = np.ones(len(k), bool)
+        new[1:] = (k[1:] != k[:-1]) | (s[1:] != s[:-1])
+        k, s, band = k[new], s[new], band[new]
+        first = np.flatnonzero(np.concatenate([[True], k[1:] != k[:-1]]))
+        count = np.diff(np.append(first, len(k)))
+        # the last key waits for the next batch, or goes on with its number of sets settled
+        keep = slice(first[-1], None)
+        sets = np.repeat(np.minimum(count, MOST), count)
+        sets[k == full] = MOST  # its other sets went by before
+        if count[-1] > MOST or k[-1] == full:
+            full, keep = k[-1], slice(len(k) - 1, None)
+        out = np.flatnonzero(sets[:keep.start] > 1)
+        held = (k[keep], s[keep], band[keep])
+        if len(out):
+            yield rows(k[out], s[out], band[out], sets[out])
+    if held is not None and (len(held[0]) > 1 or held[0][0] == full):
+        yield rows(*held, np.full(len(held[0]), MOST if held[0][0] == full else len(held[0]), np.int64))
+
+
+def rare_keys(keys: DataFrame, percent: int) -> DataFrame:
+    """(key, s1, band): the shared keys of each set without its most frequent ones."""
+    shared = keys.repartition("key").sortWithinPartitions("key", "s1").mapInArrow(_shared_keys, "key long, s1 long, band int, sets long")
+    plans = [chunk_plan(band, percent)[2] for band in range(len(BOUNDS) - 1)]
+    passed = F.get(F.array(*map(F.lit, plans)), F.col("band"))
+    rank = F.row_number().over(Window.partitionBy("s1", "band").orderBy(F.desc("sets"), "key"))
+    return shared.withColumn("rank", rank).filter(F.col("rank") > passed).select("key", "s1", "band")
+
+
 def stars(batches):
     """(p, x) for every distinct x sharing a key with a smaller p, the smallest of
     the key, from a stream sorted by (key, s1); once per batch.  A third column
@@ -224,7 +272,7 @@ def jaccard_links(docs: DataFrame, n: int = 3, percent: int = 90) -> tuple[DataF
     heads = written(texts.mapInArrow(_heads(n, percent), "doc_id long, n long, s1 long, s2 long, band int, own binary, upper binary"), "sets")
     reps = heads.filter("n > 0").groupBy("n", "s1", "s2").agg(F.min("doc_id").alias("doc_id"))
     keys = texts.mapInArrow(_keys(n, percent), "key long, s1 long, band int")
-    star = written(keys.repartition("key").sortWithinPartitions("key", "s1").mapInArrow(
+    star = written(rare_keys(keys, percent).repartition("key").sortWithinPartitions("key", "s1").mapInArrow(
         stars, "p long, x long, band long").distinct(), "stars")
     members = star.union(star.select("p", F.col("p").alias("x"), "band").distinct())
     # one group per smallest signature and band: its sketches have one length
@@ -237,7 +285,8 @@ def jaccard_links(docs: DataFrame, n: int = 3, percent: int = 90) -> tuple[DataF
     units = block_units(members, "p", "doc_id", BLOCK).select(*UNIT, "mine", "doc_id", "n", "sketch")
     left = units.repartition(*UNIT).sortWithinPartitions(*UNIT).mapInArrow(
         _survivors(percent), "p long, gi int, gj int, mine int, doc_id long")
-    packed = texts.mapInArrow(zipped, "doc_id long, z binary")
+    # written, so that the planner knows how few they are before it would shuffle all texts
+    left, packed = written(left, "survivors"), texts.mapInArrow(zipped, "doc_id long, z binary")
     # a repeated row of one document adds an equal set to its unit: no new component
     left = left.join(packed, "doc_id").repartition(*UNIT).sortWithinPartitions(*UNIT)
     links = left.select(*UNIT, "mine", "doc_id", "z").mapInArrow(_verify(n, percent), "a long, b long")
