@@ -19,6 +19,8 @@ _RNG = np.random.default_rng(20240229)
 _TABLE = _RNG.integers(1, 1 << 63, 256, dtype=np.uint64) | np.uint64(1)
 _LOWER_TABLE = _TABLE.copy()
 _LOWER_TABLE[65:91] = _TABLE[97:123]
+_SECOND_TABLE = _RNG.integers(1, 1 << 63, 256, dtype=np.uint64) | np.uint64(1)
+_SECOND_TABLE[65:91] = _SECOND_TABLE[97:123]
 _SPACE = np.zeros(256, bool)
 _SPACE[[9, 10, 11, 12, 13, 32]] = True
 _BASE = 0x9E3779B97F4A7C15 | 1
@@ -67,9 +69,10 @@ def groups(texts: pa.Array) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]
         i = j
 
 
-def words(data: np.ndarray, offsets: np.ndarray, lower: bool = True):
+def words(data: np.ndarray, offsets: np.ndarray, lower: bool = True, second: bool = False):
     """Hashes of all words, their first and end byte, and for each row the index
-    of its first word (one more entry at the end).  No word crosses rows."""
+    of its first word (one more entry at the end).  No word crosses rows.
+    ``second`` gives other, independent hashes of the words in lower case."""
     gap = _SPACE[data]
     prev = np.ones(len(data), bool)
     prev[1:] = gap[:-1]
@@ -83,7 +86,7 @@ def words(data: np.ndarray, offsets: np.ndarray, lower: bool = True):
     p, q = _grown(len(data))
     with np.errstate(over="ignore"):
         sums = np.zeros(len(data) + 1, np.uint64)
-        np.cumsum((_LOWER_TABLE if lower else _TABLE)[data] * p[:len(data)], out=sums[1:])
+        np.cumsum((_SECOND_TABLE if second else _LOWER_TABLE if lower else _TABLE)[data] * p[:len(data)], out=sums[1:])
         hashes = mix((sums[ends] - sums[starts]) * q[starts])
     return hashes, starts, ends, np.searchsorted(starts, offsets)
 
