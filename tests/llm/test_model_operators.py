@@ -209,6 +209,25 @@ def test_pack_is_gapless_and_near_best_fit(spark, kind):
     assert not PK.pack(df.limit(0)).collect()
 
 
+@pytest.mark.parametrize("rows", [60, 300])
+def test_pack_in_many_ranges(spark, monkeypatch, rows):
+    # ranges of a few rows: rounds, matches across ranges and the last range
+    monkeypatch.setattr(PK, "RANGE_ROWS", rows)
+    rng = random.Random(rows)
+    sizes = [min(2048, int(rng.lognormvariate(6.3, 0.9)) + 1) for _ in range(900)] + [1500] * 300
+    items = dict(enumerate(sizes))
+    df = spark.createDataFrame(list(items.items()), "pid long, size long")
+    n = check_packing([tuple(r) for r in PK.pack(df).collect()], items)
+    assert n <= 1.05 * best_fit_decreasing(sizes) + 5
+
+
+def test_pack_takes_few_jobs(spark):
+    before = set(spark.sparkContext.statusTracker().getJobIdsForGroup(None))
+    df = spark.createDataFrame([(k, 1 + k * 37 % 2048) for k in range(3000)], "pid long, size long")
+    PK.pack(df).collect()
+    assert len(set(spark.sparkContext.statusTracker().getJobIdsForGroup(None)) - before) <= 30
+
+
 def test_rank_segments_pair_nearest_larger_ranges():
     got = PK.rank_segments([(0, 0, 2), (1, 1, 3), (2, 5, 0), (3, 1, 1)])
     assert got == [(1, 0, 0, 0, 1, 0), (2, 0, 1, 0, 3, 1), (2, 3, 0, 1, 1, 4)]

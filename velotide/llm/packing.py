@@ -8,11 +8,14 @@ rounds over two tables, pieces without a place and sequences with a gap:
    third of all pieces have spans several ranges);
 2. sweep each range from its largest piece down: a piece takes the smallest gap
    that holds it (its successor), and the gap's rest stays on offer;
-3. what a range could not place is matched across ranges by rank: only the
-   counts of each range come to the driver, which pairs the k-th open piece with
-   the k-th open gap of the nearest larger ranges;
+3. what a range could not place is matched across ranges by rank: the counts by
+   range and size come to the driver (a range holds few sizes), which pairs the k-th
+   open piece with the k-th open gap of the nearest larger ranges;
 4. gaps are updated and the next round begins; once a round places few pieces,
-   those without a gap open as many new sequences as their tokens fill.
+   those without a gap open about as many new sequences as their tokens fill: the
+   largest ones, of pieces tied at the border an even share by hash;
+5. when all that is left is no more than one range, its sweep ends the work: a
+   piece without a gap opens a sequence there (best-fit decreasing).
 
 Every round's tables are written to the shared folder.  Defined results: a null
 or empty text is the single end token; null ids and repeated rows are pieces of
@@ -23,6 +26,8 @@ from __future__ import annotations
 import re
 import zlib
 from array import array
+from functools import reduce
+from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
@@ -36,7 +41,7 @@ from velotide.session import scratch_path
 CAPACITY, END_ID = 2048, 0
 WAVES = (4,)  # sizes above capacity / 4 first, then all
 PROGRESS = 0.9  # a round that leaves more of its pieces than this opens new sequences
-FEW, RANGE_ROWS = 4096, 50_000  # rows of a range: a round has as many tasks as its rows need
+RANGE_ROWS = 100_000  # rows of a range: a round has as many tasks as its rows need
 CACHE_WORDS, CACHE_CHARS = 500_000, 64
 # a run of white space (Unicode White_Space) and what follows it: token
 # boundaries always lie before the run's last character or earlier
@@ -143,10 +148,11 @@ def pieces(docs: DataFrame, tokenizer_path: str, capacity: int = CAPACITY) -> Da
     return written(p.withColumn("pid", F.monotonically_increasing_id()), "pieces")
 
 
-def best_fit(sizes, ids, gaps, seqs, used, capacity: int):
+def best_fit(sizes, ids, gaps, seqs, used, capacity: int, opening: bool = False):
     """Pieces in falling order of size into the gaps: (placed (piece, sequence,
     offset), pieces left, {gap: [(sequence, used)]} after it).  One bit per
-    possible gap tells in one step the smallest that holds a piece."""
+    possible gap tells in one step the smallest that holds a piece.  With ``opening``
+    a piece without a gap opens a sequence."""
     shelf: dict[int, list[tuple[int, int]]] = {}
     mask = 0
     for g, s, u in zip(gaps, seqs, used):
@@ -155,6 +161,10 @@ def best_fit(sizes, ids, gaps, seqs, used, capacity: int):
     placed, left = [], []
     for size, i in zip(sizes, ids):
         above = mask >> size
+        if not above and opening:
+            shelf.setdefault(capacity, []).append((i, 0))
+            mask |= 1 << capacity
+            above = mask >> size
         if not above:
             left.append((i, size))
             continue
@@ -173,7 +183,7 @@ SWEPT = "part int, kind int, rank long, id long, size int, used int, seq long"
 PLACED, PIECE_LEFT, GAP_OFFERED, GAP_KEPT = range(4)
 
 
-def _sweep(capacity: int):
+def _sweep(capacity: int, opening: bool = False):
     """One range: kind 0 piece placed, 1 piece left, 2 gap on offer to smaller ranges, 3 other gap."""
     def run(batches):
         cols = [np.concatenate(c) for c in zip(*([b.column(i).to_numpy() for i in range(5)] for b in batches if b.num_rows))]
@@ -183,7 +193,7 @@ def _sweep(capacity: int):
         is_gap = kind == 1
         order = np.argsort(-size[~is_gap], kind="stable")
         p_size, p_id = size[~is_gap][order].tolist(), ident[~is_gap][order].tolist()
-        placed, left, shelf = best_fit(p_size, p_id, size[is_gap].tolist(), ident[is_gap].tolist(), used[is_gap].tolist(), capacity)
+        placed, left, shelf = best_fit(p_size, p_id, size[is_gap].tolist(), ident[is_gap].tolist(), used[is_gap].tolist(), capacity, opening)
         floor = int(size.min())
         rows = [(PLACED, 0, i, 0, u, s) for i, s, u in placed]
         rows += [(PIECE_LEFT, r, i, n, 0, 0) for r, (i, n) in enumerate(left)]
@@ -220,70 +230,91 @@ def rank_segments(counts: list[tuple[int, int, int]]) -> list[tuple[int, int, in
     return out
 
 
-def _numbered(rows: DataFrame, segments: DataFrame, part: str, rank: str) -> DataFrame:
-    s = segments.select(F.col(part).alias("part"), F.col(rank).alias("_first"), "n", "number")
-    at = F.col("rank") - F.col("_first")
-    return rows.join(F.broadcast(s), "part").filter((at >= 0) & (at < F.col("n"))).withColumn("match", F.col("number") + at).drop("_first", "n", "number")
+def _numbered(rows: DataFrame, segments: DataFrame) -> DataFrame:
+    """Rows with a match number: those whose rank lies in a segment of their range."""
+    at = F.col("rank") - F.col("first")
+    return rows.join(segments, ["part", "kind"]).filter((at >= 0) & (at < F.col("n"))).withColumn("match", F.col("number") + at)
 
 
+SEGMENT = "part int, kind int, first long, n long, number long, matched long"
 CROSSED = "pid long, seq long, used int, size int, gap int"
 
 
-def _round(todo: DataFrame, gaps: DataFrame, ranges: int, capacity: int, folder: str) -> tuple[int, DataFrame, DataFrame]:
-    """(pieces left, gaps (seq, gap, used), pieces left (pid, size)) after one round.
-    ``folder`` gets the round's sweep and its matches across ranges; both tables
-    returned are read from these two."""
-    spark = todo.sparkSession
-    both = todo.select(F.lit(0).alias("kind"), F.col("pid").alias("id"), F.col("size").cast("int").alias("size"), F.lit(0).alias("used")).union(
+def _both(todo: DataFrame, gaps: DataFrame) -> DataFrame:
+    return todo.select(F.lit(0).alias("kind"), F.col("pid").alias("id"), F.col("size").cast("int").alias("size"), F.lit(0).alias("used")).union(
         gaps.select(F.lit(1), "seq", "gap", "used"))
-    dealt = both.repartitionByRange(ranges, F.desc("size"), F.xxhash64("id", "kind")).select(
+
+
+class Left(NamedTuple):
+    """What a round leaves: pieces (pid, size) and gaps (seq, gap, used), how many
+    pieces of each size, at most how many gaps and how large."""
+
+    pieces: DataFrame
+    gaps: DataFrame
+    by_size: dict[int, int]
+    n_gaps: int
+    largest: int
+
+
+def _round(todo: DataFrame, gaps: DataFrame, ranges: int, capacity: int, folder: str) -> Left:
+    """One round.  ``folder`` gets its sweep and its matches across ranges; both
+    tables left are read from these two."""
+    spark = todo.sparkSession
+    dealt = _both(todo, gaps).repartitionByRange(ranges, F.desc("size"), F.xxhash64("id", "kind")).select(
         F.spark_partition_id().alias("part"), "kind", "id", "size", "used")
     dealt.mapInArrow(_sweep(capacity), SWEPT).write.parquet(f"{folder}/swept")
     swept = spark.read.schema(SWEPT).parquet(f"{folder}/swept")
     left, offered = (swept.filter(F.col("kind") == k) for k in (PIECE_LEFT, GAP_OFFERED))
-    found = swept.filter(F.col("kind").isin(PIECE_LEFT, GAP_OFFERED)).groupBy("part").agg(
-        F.count(F.when(F.col("kind") == PIECE_LEFT, 1)).alias("p"), F.count(F.when(F.col("kind") == GAP_OFFERED, 1)).alias("g")).collect()
-    segments = rank_segments(sorted((r.part, r.p, r.g) for r in found))
-    table = spark.createDataFrame(segments, "p_part int, p_rank long, g_part int, g_rank long, n long, number long")
-    a = _numbered(left, table, "p_part", "p_rank").select("match", F.col("id").alias("pid"), "size")
-    b = _numbered(offered, table, "g_part", "g_rank").select("match", "seq", "used", F.col("size").alias("gap"))
-    a.join(b, "match").select("pid", "seq", "used", "size", "gap").write.parquet(f"{folder}/crossed")
-    crossed = spark.read.schema(CROSSED).parquet(f"{folder}/crossed")
-    taken = crossed.select("seq", (F.col("gap") - F.col("size")).alias("gap"), (F.col("used") + F.col("size")).alias("used"))
+    found = swept.filter(F.col("kind") != PLACED).groupBy("part", "kind", "size").agg(F.count(F.lit(1)).alias("n")).collect()
+    counts = {(r.part, r.kind): 0 for r in found}
+    for r in found:
+        counts[r.part, r.kind] += r.n
+    segments = rank_segments([(p, counts.get((p, PIECE_LEFT), 0), counts.get((p, GAP_OFFERED), 0)) for p in sorted({r.part for r in found})])
     # a range's pieces and gaps are matched from rank 0 on: the rest needs no join
-    gone = {}
+    gone: dict[tuple[int, int], int] = {}
     for p_part, _, g_part, _, n, _ in segments:
         gone[p_part, PIECE_LEFT] = gone.get((p_part, PIECE_LEFT), 0) + n
         gone[g_part, GAP_OFFERED] = gone.get((g_part, GAP_OFFERED), 0) + n
-    firsts = spark.createDataFrame([(*k, n) for k, n in gone.items()], "part int, kind int, matched long")
-    open_rows = swept.filter(F.col("kind") != PLACED).join(F.broadcast(firsts), ["part", "kind"], "left").filter(
+    by_size, largest, matched = {}, 0, dict(gone)
+    # pieces are ranked from the largest on, gaps from the smallest
+    for r in sorted(found, key=lambda r: -r.size if r.kind == PIECE_LEFT else r.size):
+        taken = min(r.n, matched.get((r.part, r.kind), 0))
+        matched[r.part, r.kind] = matched.get((r.part, r.kind), 0) - taken
+        if r.kind == PIECE_LEFT and r.n > taken:
+            by_size[r.size] = by_size.get(r.size, 0) + r.n - taken
+        if r.kind != PIECE_LEFT:
+            largest = max(largest, r.size - 1 if taken == r.n else r.size)
+    rows = [x for p, p_rank, g, g_rank, n, number in segments
+            for x in ((p, PIECE_LEFT, p_rank, n, number, gone[p, PIECE_LEFT]), (g, GAP_OFFERED, g_rank, n, number, gone[g, GAP_OFFERED]))]
+    # written, so that the planner knows their size and broadcasts them below its threshold
+    table = written(spark.createDataFrame(rows, SEGMENT), "segments")
+    a = _numbered(left, table).select("match", F.col("id").alias("pid"), "size")
+    b = _numbered(offered, table).select("match", "seq", "used", F.col("size").alias("gap"))
+    a.join(b, "match").select("pid", "seq", "used", "size", "gap").write.parquet(f"{folder}/crossed")
+    crossed = spark.read.schema(CROSSED).parquet(f"{folder}/crossed")
+    taken = crossed.select("seq", (F.col("gap") - F.col("size")).alias("gap"), (F.col("used") + F.col("size")).alias("used"))
+    matched = table.filter("first = 0").select("part", "kind", "matched")
+    open_rows = swept.filter(F.col("kind") != PLACED).join(matched, ["part", "kind"], "left").filter(
         F.col("matched").isNull() | (F.col("rank") >= F.col("matched")))
     rest = open_rows.filter(F.col("kind") != PIECE_LEFT).select("seq", F.col("size").alias("gap"), "used").union(taken).filter("gap > 0")
     still = open_rows.filter(F.col("kind") == PIECE_LEFT).select(F.col("id").alias("pid"), "size")
-    return sum(r.p for r in found) - sum(x[4] for x in segments), rest, still
-
-
-def _opened(still: DataFrame, capacity: int, salt: int) -> tuple[int, Column]:
-    """(about how many, condition for the largest open pieces): as many as the sequences that all
-    of them fill; of pieces tied at the border an even share by hash (of up to ``FEW`` exactly as many).  The counts by
-    size (at most ``capacity`` of them) are looked at on the driver."""
-    by_size = sorted(((r["size"], r["n"]) for r in still.groupBy("size").agg(F.count(F.lit(1)).alias("n")).collect()), reverse=True)
-    wanted = left = max(-(-sum(s * n for s, n in by_size) // capacity), sum(n for s, n in by_size if 2 * s > capacity))
-    for size, n in by_size:
-        if n >= left:
-            tied, order = still.filter(F.col("size") == size), F.xxhash64("pid", F.lit(salt))
-            if n <= FEW:  # at most FEW ids
-                lucky = F.col("pid").isin([r.pid for r in tied.orderBy(order, "pid").limit(left).select("pid").collect()])
-            else:
-                lucky = F.pmod(order, F.lit(1_000_000)) < int(1e6 * left / n) + 1
-            return wanted, (F.col("size") > size) | ((F.col("size") == size) & lucky)
-        left -= n
-    return wanted, F.lit(True)
+    n_gaps = sum(n for (_, kind), n in counts.items() if kind != PIECE_LEFT)
+    return Left(still, rest, by_size, n_gaps, largest)
 
 
-def _some_fit(still: DataFrame, gaps: DataFrame) -> bool:
-    a, b = still.agg(F.min("size").alias("x")).union(gaps.agg(F.max("gap"))).collect()
-    return b.x is not None and a.x <= b.x
+def _opened(by_size: dict[int, int], capacity: int, salt: int) -> tuple[dict[int, int], Column]:
+    """(pieces by size that open sequences, their condition): the largest, about as
+    many as the sequences that all of them fill."""
+    wanted = max(-(-sum(s * n for s, n in by_size.items()) // capacity), sum(n for s, n in by_size.items() if 2 * s > capacity))
+    chosen: dict[int, int] = {}
+    for size in sorted(by_size, reverse=True):
+        n = by_size[size]
+        if n >= wanted:
+            chosen[size] = wanted
+            share = F.pmod(F.xxhash64("pid", F.lit(salt)), F.lit(1 << 40)) < int((1 << 40) * wanted / n) + 1
+            return chosen, (F.col("size") > size) | ((F.col("size") == size) & share)
+        chosen[size], wanted = n, wanted - n
+    return chosen, F.lit(True)
 
 
 def pack(items: DataFrame, capacity: int = CAPACITY) -> DataFrame:
@@ -291,37 +322,48 @@ def pack(items: DataFrame, capacity: int = CAPACITY) -> DataFrame:
     sequence gapless from 0.  A sequence is named by the piece that opened it."""
     spark = items.sparkSession
     path, rounds = scratch_path(spark, "packing"), []
-    opened = f"{path}/opened"
-    items.filter(F.col("size") >= capacity).select("pid", F.col("pid").alias("seq"), F.lit(0).alias("used")).write.parquet(opened)
-    gaps = spark.createDataFrame([], "seq long, gap int, used int")
+    sizes = dict(sorted((r["size"], r["n"]) for r in items.groupBy("size").agg(F.count(F.lit(1)).alias("n")).collect()))
     borders = [capacity, *(capacity // w for w in WAVES), 0]
-    waves = [(F.col("size") > low) & (F.col("size") < high if high == capacity else F.col("size") <= high) for high, low in zip(borders, borders[1:])]
-    counts = items.agg(*[F.count(F.when(w, 1)) for w in waves]).first()
-    in_gaps = 0  # at most so many gaps: one per sequence opened
-    for wave, before in zip(waves, counts):
-        todo = items.filter(wave).select("pid", F.col("size").cast("int").alias("size"))
-        while before:
-            if in_gaps:
-                rounds.append(f"{path}/round-{len(rounds)}")
-                left, gaps, still = _round(todo, gaps, 1 + (before + in_gaps) // RANGE_ROWS, capacity, rounds[-1])
-            else:  # nothing to fill yet
-                left, still = before, todo
-            if not left:
+    waves = list(zip(borders[1:], borders))
+    full = items.filter(F.col("size") >= capacity).select("pid", F.col("pid").alias("seq"), F.lit(0).alias("used"))
+    seeds, gaps = [full], spark.createDataFrame([], "seq long, gap int, used int")
+    pieces = items.filter(F.col("size") < capacity).select("pid", F.col("size").cast("int").alias("size"))
+    unplaced, n_gaps, finished = sum(n for s, n in sizes.items() if s < capacity), 0, None
+    for low, high in waves:
+        todo = pieces.filter((F.col("size") > low) & (F.col("size") <= high))
+        by_size = {s: n for s, n in sizes.items() if low < s <= high and s < capacity}
+        while by_size:
+            before = sum(by_size.values())
+            if unplaced + n_gaps <= RANGE_ROWS:
+                # the rest of this wave and all later ones
+                dealt = _both(todo.union(pieces.filter(F.col("size") <= low)), gaps).repartition(F.lit(0))
+                dealt.select(F.lit(0).alias("part"), "kind", "id", "size", "used").mapInArrow(_sweep(capacity, True), SWEPT).write.parquet(f"{path}/last")
+                finished = f"{path}/last"
                 break
-            if left < PROGRESS * before and _some_fit(still, gaps):  # another round first
-                todo, before = still, left
-                continue
-            n, chosen = _opened(still, capacity, len(rounds))
-            seeds = written(still.filter(chosen), "seeds")
-            seeds.select("pid", F.col("pid").alias("seq"), F.lit(0).alias("used")).write.mode("append").parquet(opened)
-            gaps, in_gaps = gaps.union(seeds.select(F.col("pid").alias("seq"), (F.lit(capacity) - F.col("size")).cast("int").alias("gap"),
-                                                    F.col("size").alias("used")).filter("gap > 0")), in_gaps + n
-            todo, before = still.filter(~chosen), max(1, left - n)
-    places = spark.read.schema("pid long, seq long, used int").parquet(opened)
+            fits = False
+            if n_gaps:
+                rounds.append(f"{path}/round-{len(rounds)}")
+                left = _round(todo, gaps, 1 + (before + n_gaps) // RANGE_ROWS, capacity, rounds[-1])
+                todo, gaps, by_size, n_gaps = left.pieces, left.gaps, left.by_size, left.n_gaps
+                unplaced -= before - sum(by_size.values())
+                fits = bool(by_size) and sum(by_size.values()) < PROGRESS * before and min(by_size) <= left.largest
+            if by_size and not fits:  # else another round first
+                chosen, condition = _opened(by_size, capacity, len(seeds))
+                new = written(todo.filter(condition), "seeds")
+                seeds.append(new.select("pid", F.col("pid").alias("seq"), F.lit(0).alias("used")))
+                gaps = gaps.union(new.select(F.col("pid").alias("seq"), (F.lit(capacity) - F.col("size")).cast("int").alias("gap"), F.col("size").alias("used")))
+                todo, opened = todo.filter(~condition), sum(chosen.values())
+                n_gaps, unplaced = n_gaps + opened, unplaced - opened
+                # of the tied size about as many as counted: the next round counts anew
+                by_size = {s: n - chosen.get(s, 0) for s, n in by_size.items() if n > chosen.get(s, 0)}
+        if finished:
+            break
+    places = reduce(DataFrame.union, seeds)
+    if rounds or finished:
+        swept = spark.read.schema(SWEPT).parquet(*(f"{r}/swept" for r in rounds), *([finished] if finished else [])).filter(F.col("kind") == PLACED)
+        places = places.union(swept.select("id", "seq", "used"))
     if rounds:
-        swept = spark.read.schema(SWEPT).parquet(*(f"{r}/swept" for r in rounds)).filter(F.col("kind") == PLACED)
-        crossed = spark.read.schema(CROSSED).parquet(*(f"{r}/crossed" for r in rounds))
-        places = places.union(swept.select("id", "seq", "used")).union(crossed.select("pid", "seq", "used"))
+        places = places.union(spark.read.schema(CROSSED).parquet(*(f"{r}/crossed" for r in rounds)).select("pid", "seq", "used"))
     return places
 
 
