@@ -4,6 +4,7 @@ daily transform over the raw tables; the fact equals the in-memory model."""
 from pyspark.sql import functions as F
 
 from tests.conftest import SF_SMALL
+from velotide.operators.versions import read_table
 from velotide.__main__ import main
 from velotide.plans.models import Models
 from velotide.sources import fixtures, ingest
@@ -19,7 +20,7 @@ def test_land_then_daily(spark, tmp_dir):
     fixtures.raw_status(spark, SF_SMALL).write.parquet(f"{tmp_dir}/raw/station_status/batch_id=0")
     main(["daily", "--raw", f"{tmp_dir}/raw", "--out", f"{tmp_dir}/out", "--calendar", "2024-01-01:2024-02-10",
           "--as-of", "2024-03-01 00:00:00", "--full-refresh"])
-    got = spark.read.parquet(f"{tmp_dir}/out/fct_trip")
+    got = read_table(spark, f"{tmp_dir}/out/fct_trip")
     ref = Models.from_fixtures(spark, SF_SMALL).fct_trip
     assert got.count() == ref.count()
     cols = ["ride_id", "start_station_key", "end_station_key", "duration_minutes", "start_date_key"]

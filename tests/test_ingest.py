@@ -5,6 +5,7 @@ import datetime as dt
 import pytest
 from pyspark.sql import functions as F
 
+from velotide.operators.versions import read_table
 from velotide.sources import ingest
 
 HEADER = ("ride_id,rideable_type,started_at,ended_at,start_station_name,start_station_id,end_station_name,"
@@ -125,4 +126,4 @@ def test_rerun_drops_vanished_days(spark, tmp_dir):
     ingest.land_trip_batch(df, raw, "2024-01-01")
     landed = ingest.read_landed_trips(spark, raw)
     assert [r["ride_id"] for r in landed.collect()] == ["J1"]
-    assert sorted(r["day"] for r in spark.read.parquet(f"{raw}/trip_history").select("day").distinct().collect()) == [31]
+    assert sorted(r["day"] for r in read_table(spark, f"{raw}/trip_history").select("day").distinct().collect()) == [31]

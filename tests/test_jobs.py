@@ -4,6 +4,7 @@ reruns are stable, the incremental run by month equals the full build."""
 from pyspark.sql import functions as F
 
 from tests.conftest import SF_SMALL
+from velotide.operators.versions import read_table
 from velotide.plans.jobs import daily_transform
 from velotide.plans.models import FIXTURE_AS_OF, FIXTURE_CALENDAR, Models
 from velotide.sources import fixtures
@@ -20,7 +21,7 @@ def test_daily_transform(spark, tmp_dir):
     for name, ref in [("fct_trip", m.fct_trip), ("agg_station_daily", m.agg_station_daily),
                       ("agg_station_activity", m.agg_station_activity),
                       ("agg_daily_trip_summary", m.agg_daily_trip_summary)]:
-        got = spark.read.parquet(f"{out}/{name}")
+        got = read_table(spark, f"{out}/{name}")
         cols = ref.columns
         assert got.select(*cols).exceptAll(ref).count() == 0 and ref.exceptAll(got.select(*cols)).count() == 0, name
     # incremental runs, month by month, give the same fact table
@@ -29,8 +30,8 @@ def test_daily_transform(spark, tmp_dir):
         daily_transform(spark, trips, stations, status, out2, source_month=month, **kw)
     for name in ("int_station_identity", "agg_station_activity", "fct_trip", "agg_daily_trip_summary", "int_quarantine_trip", "fct_station_status", "agg_station_daily",
                  "int_quarantine_station_status"):
-        a = spark.read.parquet(f"{out}/{name}")
-        b = spark.read.parquet(f"{out2}/{name}").select(*a.columns)
+        a = read_table(spark, f"{out}/{name}")
+        b = read_table(spark, f"{out2}/{name}").select(*a.columns)
         assert a.exceptAll(b).count() == 0 and b.exceptAll(a).count() == 0, name
     log = spark.read.parquet(f"{tmp_dir}/runlog")
     assert log.filter(F.col("status") != "SUCCESS").count() == 0
@@ -49,8 +50,8 @@ def test_status_runs_prune_raw_by_poll_day(spark, tmp_dir):
     early = rs.filter(F.col("poll_day") < F.lit("2024-01-20").cast("date"))
     daily_transform(spark, trips, stations, early, f"{tmp_dir}/inc", full_refresh=True, **kw)
     daily_transform(spark, trips, stations, rs, f"{tmp_dir}/inc", source_month="2024-02-01", **kw)
-    a = spark.read.parquet(f"{tmp_dir}/full/fct_station_status")
-    b = spark.read.parquet(f"{tmp_dir}/inc/fct_station_status").select(*a.columns)
+    a = read_table(spark, f"{tmp_dir}/full/fct_station_status")
+    b = read_table(spark, f"{tmp_dir}/inc/fct_station_status").select(*a.columns)
     assert a.count() > 0 and a.exceptAll(b).count() == 0 and b.exceptAll(a).count() == 0
 
 

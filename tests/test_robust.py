@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from tests.conftest import SF_SMALL
 from tests.oracle_check import compare, duck
+from velotide.operators.versions import read_table
 from velotide.plans import identity, staging, status, trips
 from velotide.plans.jobs import daily_transform
 from velotide.plans.models import FIXTURE_AS_OF, FIXTURE_CALENDAR
@@ -53,8 +54,8 @@ def test_quarantine_keeps_every_rejected_row(spark, no_broadcast):
 
 def marts_equal(spark, a, b, names):
     for name in names:
-        x = spark.read.parquet(f"{a}/{name}")
-        y = spark.read.parquet(f"{b}/{name}").select(*x.columns)
+        x = read_table(spark, f"{a}/{name}")
+        y = read_table(spark, f"{b}/{name}").select(*x.columns)
         assert x.exceptAll(y).isEmpty() and y.exceptAll(x).isEmpty(), name
 
 
@@ -74,7 +75,7 @@ def test_first_month_run_is_a_full_build_and_a_batch_landed_again_leaves_nothing
     daily_transform(spark, raw, stations, polls, full, **kw)
     daily_transform(spark, raw, stations, polls, inc, source_month="2024-02-01", **kw)
     marts_equal(spark, full, inc, TABLES)
-    hist = spark.read.parquet(f"{full}/int_trip_history")
+    hist = read_table(spark, f"{full}/int_trip_history")
     bad = hist.filter("NOT is_valid_trip").select("ride_id").distinct()
     month = F.col("source_month") == F.lit("2024-02-01").cast("date")
     day = F.coalesce(F.to_date("started_at") == F.lit("2024-02-05").cast("date"), F.lit(False))

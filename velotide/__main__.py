@@ -61,17 +61,17 @@ def main(argv=None) -> None:
 
     if args.cmd == "land":
         from velotide.plans.jobs import land_month
-        month = args.month if len(args.month) > 7 else args.month + "-01"
-        print(land_month(spark, args.landing, args.raw, month, compat=args.compat))
+        print(land_month(spark, args.landing, args.raw, args.month, compat=args.compat))
     elif args.cmd == "daily":
         from velotide.plans.jobs import daily_transform
+        from velotide.operators.versions import read_table
         from velotide.sources.ingest import read_landed_trips
         first, last = args.calendar.split(":")
         raw = args.raw.rstrip("/")
         report = daily_transform(
-            spark, read_landed_trips(spark, raw, args.compat), spark.read.parquet(f"{raw}/station_information"),
+            spark, read_landed_trips(spark, raw, args.compat), read_table(spark, f"{raw}/station_information"),
             spark.read.parquet(f"{raw}/station_status"), args.out, (first, last), args.as_of,
-            source_month=(args.month + "-01") if args.month and len(args.month) == 7 else args.month,
+            source_month=args.month,
             full_refresh=args.full_refresh, compat=args.compat, severity="error" if args.strict else "warn",
             log_path=args.log, run_id=uuid.uuid4().hex, check_scope=args.check_scope)
         report.show(100, truncate=False)

@@ -3,6 +3,9 @@ they stay inside whole-stage codegen and cost nothing beyond the projection."""
 
 from __future__ import annotations
 
+import datetime as dt
+import re
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -115,3 +118,14 @@ def snapshot_date_of_run(run_instant) -> Column:
     """Calendar day of the run in the feed's zone (the snapshot a daily run
     lands)."""
     return F.to_date(F.from_utc_timestamp(_c(run_instant), SNAPSHOT_ZONE))
+
+
+def as_month(value) -> dt.date:
+    """Day 1 of a month given as ``YYYY-MM``, ``YYYY-MM-DD``, date or timestamp."""
+    if isinstance(value, dt.date):  # a datetime is one, too
+        return dt.date(value.year, value.month, 1)
+    text = str(value)
+    if not re.fullmatch(r"\d{4}-\d{2}(-\d{2})?", text):
+        raise ValueError(f"not a month: {text!r} (YYYY-MM or YYYY-MM-DD)")
+    day = dt.date.fromisoformat(text if len(text) > 7 else f"{text}-01")
+    return day.replace(day=1)

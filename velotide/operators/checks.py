@@ -16,7 +16,7 @@ from __future__ import annotations
 
 from typing import NamedTuple, Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
 REPORT_COLS = ["table", "column", "check", "failures"]
@@ -124,6 +124,23 @@ def run_checks(tables: dict[str, DataFrame], specs: Sequence[Check], derived: di
     return out
 
 
+def observed(df: DataFrame, table: str, specs: Sequence[Check]):
+    """(``df``, observation): the not-null and accepted-value tests of a table are
+    counted while ``df`` is written; ``observed_report`` reads them afterwards."""
+    own = [c for c in specs if c.table == table and c.check in ("not_null", "accepted_values")]
+    if not own:
+        return df, (None, own)
+    seen = Observation()
+    bad = [F.col(c.column).isNull() if c.check == "not_null" else F.col(c.column).isNotNull() & ~F.col(c.column).isin(*c.values) for c in own]
+    return df.observe(seen, *[F.count_if(b).alias(f"c{i}") for i, b in enumerate(bad)]), (seen, own)
+
+
+def observed_report(spark, observations) -> DataFrame:
+    """Report rows of finished writes (one per test)."""
+    rows = [(c.table, c.column, c.check, seen.get[f"c{i}"]) for seen, own in observations for i, c in enumerate(own)]
+    return spark.createDataFrame(rows, "table string, column string, check string, failures long")
+
+
 class CheckFailed(Exception):
     pass
 

@@ -486,6 +486,29 @@ feed_el2 AS (
   FROM feed_el)
 """
 
+
+
+def _sorted_json(x: str) -> str:
+    """A JSON value without blanks, an object's keys in order (two levels, as the feed has below an element)."""
+    pairs = f"list_transform(list_sort(json_keys({x})), lambda k: '\"' || k || '\":' || CAST(json_extract({x}, '$.\"' || k || '\"') AS VARCHAR))"
+    return f"CASE WHEN json_type({x}) = 'OBJECT' THEN '{{' || array_to_string({pairs}, ',') || '}}' ELSE CAST({x} AS VARCHAR) END"
+
+
+# the rejected part of a response, cut to 1,000 characters
+_STATIONS = (f"CASE WHEN json_type(j, '$.data.stations') = 'ARRAY' THEN '[' || array_to_string(list_transform(json_extract(j, '$.data.stations[*]'), "
+             f"lambda e: {_sorted_json('e')}), ',') || ']' ELSE {_sorted_json("json_extract(j, '$.data.stations')")} END")
+_DATA = f"CASE WHEN json_type(j, '$.data') = 'OBJECT' THEN '{{\"stations\":' || {_STATIONS} || '}}' ELSE CAST(json_extract(j, '$.data') AS VARCHAR) END"
+_BODY = (f"CASE WHEN json_type(j) = 'OBJECT' THEN '{{\"data\":' || {_DATA} || ',\"last_updated\":' || CAST(json_extract(j, '$.last_updated') AS VARCHAR) "
+         f"|| ',\"ttl\":' || CAST(json_extract(j, '$.ttl') AS VARCHAR) || '}}' ELSE CAST(json_extract(j, '$') AS VARCHAR) END")
+# the variant writes a number such as 5.0 as 5
+FEED_DLQ_SQL = f"""
+SELECT * REPLACE (regexp_replace(raw_body_snippet, ':([0-9]+)[.]0([,}}])', ':\\1\\2', 'g') AS raw_body_snippet) FROM (
+SELECT fetched_iso AS failed_at, source_url, http_status, feed_error AS error_type,
+  left(CASE WHEN feed_error = 'INVALID_JSON' THEN CASE WHEN j IS NULL THEN body END
+       WHEN feed_error = 'INVALID_STATION_DATA' THEN {_DATA} ELSE {_BODY} END, 1000) AS raw_body_snippet
+FROM (SELECT * REPLACE (CAST(j AS JSON) AS j) FROM feed_env) WHERE feed_error IS NOT NULL AND feed_error <> 'SKIPPED'
+UNION ALL SELECT fetched_iso, source_url, http_status, 'INVALID_STATION_RECORD', left({_sorted_json('e')}, 1000) FROM feed_el2 WHERE NOT valid)"""
+
 FEED_MESSAGES = {
     "INVALID_JSON": "Station status response is not valid JSON.",
     "INVALID_FEED_STRUCTURE": "Response data is not an object.",

@@ -1,11 +1,15 @@
 """Jobs: the monthly landing and the daily transform, end to end.
 
-Each model is written as a table (parquet under ``out_root``) and the next
-models read it back, so lineage is cut at every model: a lost executor
-costs at most one model's recomputation, and the small models (identity,
-dimensions) come back with exact file sizes that the planner's broadcast
-threshold checks.  Incremental models replace only the partitions the run
-touches; full-rebuild models overwrite."""
+Each model is written as a table under ``out_root`` and the next models read it
+back, so lineage is cut at every model: a lost executor costs at most one
+model's recomputation, and the small models (identity, dimensions) come back
+with exact file sizes that the planner's broadcast threshold checks.
+
+Incremental models are versioned tables (``operators/versions.py``): a run stands
+for a set of batches or days and replaces exactly these in one step, those it
+has no rows for included.  A run that fails leaves every table as it was or as
+it was meant to be.  A table without rows (nothing was rejected) is a table.
+Full-rebuild models overwrite."""
 
 from __future__ import annotations
 
@@ -14,11 +18,12 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from velotide.functions.columns import as_month
 from velotide.operators import incremental as INC
-from velotide.operators.checks import assert_checks
+from velotide.operators.checks import assert_checks, run_checks
+from velotide.operators.versions import NULL_VALUE, VersionedTable, open_table, read_table
 from velotide.plans import dims, identity, marts, staging, status, trips
 from velotide.plans.quality import SPECS
-from velotide.operators.checks import run_checks
 from velotide.plans.runlog import RunLogger
 from velotide.sources import ingest
 
@@ -52,136 +57,109 @@ def daily_transform(spark: SparkSession, raw_trips: DataFrame, raw_stations: Dat
     month (``"calendar_month"``; a month file's trips of the next month then wait
     for that month's run)."""
     out = out_root.rstrip("/")
+    source_month = str(as_month(source_month)) if source_month is not None else None
     batch_id = ingest.trip_batch_name(source_month) if source_month else None
     log = RunLogger(spark, log_path, run_id or uuid.uuid4().hex, "daily_transform", batch_id) if log_path else None
 
     def step(name, fn):
         return log.task(name, fn) if log else fn()
 
-    def table(name):
-        return spark.read.parquet(f"{out}/{name}")
-
     def write(name, df):
+        """A model rebuilt as a whole; read back by its schema, rows or none."""
         df.write.mode("overwrite").option("partitionOverwriteMode", "static").parquet(f"{out}/{name}")
-        return table(name)
+        return spark.read.schema(df.schema).parquet(f"{out}/{name}")
 
-    def replace_month(name, df, col, value, by=None):
-        """One batch of a table, with all it held before."""
-        return INC.replace_whole(df, f"{out}/{name}", col, value, by)
+    def versioned(name, unit, inner=()):
+        return VersionedTable(spark, f"{out}/{name}", unit, inner)
+
+    def replace(table, df, covers=None):
+        name = table.path.rsplit("/", 1)[1]
+        step(name, lambda: table.replace(df, covers))
+        return table.read()
 
     stg_trip = staging.stg_trip(raw_trips)
     stg_station = staging.stg_station(raw_stations)
-    stg_status = staging.stg_status(raw_status)
+    last_wins = compat == "last_batch_wins"
+    # the compat layout lets a later batch erase a day of an earlier one; then a day is
+    # the unit that is replaced, and what is stored per batch is rebuilt
+    trip_unit = ("start_date", []) if last_wins else ("source_month", ["start_date"])
+    t_hist, t_fact = versioned("int_trip_history", *trip_unit), versioned("fct_trip", *trip_unit)
     # the first run builds everything that has landed, whatever month it is asked for
-    built = all(INC.table_exists(spark, f"{out}/{t}") for t in ("int_trip_history", "fct_trip"))
-    month = source_month if built and not full_refresh else None
+    month = source_month if t_hist.exists() and t_fact.exists() and not full_refresh else None
+    by_batch = None if month is None or last_wins else [month]
+    by_trip_unit = None if month is None else "present" if last_wins else [month]
+
+    def per_batch(table, make, rows):
+        """A table of partials by batch: the month's from its rows, or all anew."""
+        whole = by_batch is None or not table.exists()
+        return replace(table, make(rows if whole else INC.for_month(rows, month)), None if whole else by_batch)
+
     # variant counts per batch: a month run recounts only its batch
-    v_path = f"{out}/int_station_variants"
-    # (the compat layout lets a later batch erase rows of an earlier one,
-    # so stored per-batch partials are rebuilt there)
-    v_first = month is None or compat == "last_batch_wins" or not INC.table_exists(spark, v_path)
-    v_in = stg_trip if v_first else INC.for_month(stg_trip, month)
-    variants = identity.station_variants_by_batch(v_in)
-    step("int_station_variants", lambda: INC.replace_partitions(variants, v_path, ["source_month"], True) if v_first
-         else replace_month("int_station_variants", variants, "source_month", month))
-    merged = identity.merge_variants(table("int_station_variants"))
+    variants = per_batch(versioned("int_station_variants", "source_month"), identity.station_variants_by_batch, stg_trip)
+    merged = identity.merge_variants(variants)
     ident = step("int_station_identity", lambda: write("int_station_identity", identity.station_identity(
         stg_trip, stg_station, variants=merged)))
-    hist = trips.trip_history(stg_trip, ident, month, broadcast_identity=False)
-    by = INC.trip_partitioning(compat)
-    old_days = []
-    whole_month = month is not None and compat != "last_batch_wins"
-    if month is not None:
-        old_days = INC.touched_days(INC.for_month(table("fct_trip"), month), "start_date")
-    step("int_trip_history", lambda: replace_month("int_trip_history", hist, "source_month", month, ["start_date"]) if whole_month
-         else INC.replace_partitions(hist, f"{out}/int_trip_history", by, month is None))
-    hist_all = table("int_trip_history")
+    old_days = INC.touched_days(INC.for_month(t_fact.read(), month), "start_date") if month is not None else []
+    hist_all = replace(t_hist, trips.trip_history(stg_trip, ident, month, broadcast_identity=False), by_trip_unit)
     hist_t = hist_all if month is None else INC.for_month(hist_all, month)
-    # rejected trips, partitioned by batch: ids never span batches, so a
-    # month run replaces only its batch; first runs, full refreshes and
-    # the compat layout (a later batch may erase rows of an earlier one)
-    # rebuild from the whole history
-    q_path = f"{out}/int_quarantine_trip"
-    rebuild = month is None or compat == "last_batch_wins" or not INC.table_exists(spark, q_path)
-    q_in = hist_all if rebuild else hist_t
-    rejected = trips.quarantine_trip(q_in, as_of)
-    step("int_quarantine_trip", lambda: INC.replace_partitions(rejected, q_path, ["batch_id"], True) if rebuild
-         else replace_month("int_quarantine_trip", rejected, "batch_id", batch_id))
-    target = f"{out}/int_station_status"
-    since = None if full_refresh else INC.high_water_day(spark, target, "poll_day")
-    status_raw = raw_status
+    # rejected trips by batch: ids never span batches, so a month run replaces only its batch
+    t_rejected = versioned("int_quarantine_trip", "batch_id")
+    whole = by_batch is None or not t_rejected.exists()
+    q_trip = replace(t_rejected, trips.quarantine_trip(hist_all if whole else hist_t, as_of), None if whole else [batch_id])
+
+    # status: the days from the mark on are replaced, also those that have no rows any more
+    t_status = versioned("int_station_status", "poll_day")
+    since = None if full_refresh else high_water_day(t_status)
+    status_raw, from_day = raw_status, None
     if since is not None:
         # raw status laid out by poll day: read only the days from the mark on
         day = F.lit(since).cast("date")
         status_raw = raw_status.filter(F.col("poll_day") >= day if "poll_day" in raw_status.columns
                                        else F.col("poll_time") >= day.cast("timestamp"))
-    status_in = staging.stg_status(status_raw)
-    st = status.station_status(status_in, since).withColumn("poll_day", F.to_date("poll_time"))
-    step("int_station_status", lambda: INC.replace_partitions(st, target, ["poll_day"], full_refresh))
-    st_t = table("int_station_status")  # with its partition day, so that filters on it prune
-
-    def from_mark(df):
-        return df if since is None else df.filter(F.col("poll_day") >= F.lit(since).cast("date"))
-
-    # incremental like the status model: days from the mark are replaced
-    qs_path = f"{out}/int_quarantine_station_status"
-    qs_first = full_refresh or since is None or not INC.table_exists(spark, qs_path)
-    qs_in = st_t if qs_first else from_mark(st_t)
-    step("int_quarantine_station_status", lambda: INC.replace_partitions(
-        status.quarantine_status(qs_in).withColumn("poll_day", F.to_date("poll_time")), qs_path, ["poll_day"],
-        qs_first))
+
+        def from_day(value):
+            return value != NULL_VALUE and value >= since
+    stg_status = staging.stg_status(raw_status)
+    st = status.station_status(staging.stg_status(status_raw), since).withColumn("poll_day", F.to_date("poll_time"))
+    st_t = replace(t_status, st, from_day)
+
+    def per_day(name, make, rows, key="poll_day"):
+        """A table by day made from the status rows from the mark on, or all anew."""
+        table = versioned(name, key)
+        whole = from_day is None or not table.exists()
+        covers = None if whole else from_day if key == "poll_day" else lambda v: v != NULL_VALUE and v >= since.replace("-", "")
+        return replace(table, make(rows if whole else rows.filter(F.col("poll_day") >= F.lit(since).cast("date"))), covers)
+
+    def with_day(df):
+        return df.withColumn("poll_day", F.to_date("poll_time"))
+
+    q_status = per_day("int_quarantine_station_status", lambda rows: with_day(status.quarantine_status(rows)), st_t)
     dd = step("dim_date", lambda: write("dim_date", dims.dim_date(spark, *calendar)))
     ds = step("dim_station", lambda: write("dim_station", dims.dim_station(stg_station)))
-    ft = trips.fct_trip(hist_t)
-    step("fct_trip", lambda: replace_month("fct_trip", ft, "source_month", month, ["start_date"]) if whole_month
-         else INC.replace_partitions(ft, f"{out}/fct_trip", by, month is None))
-    fs = status.fct_station_status(from_mark(st_t), ds, broadcast_dim=False).withColumn("poll_day", F.to_date("poll_time"))
-    step("fct_station_status", lambda: INC.replace_partitions(fs, f"{out}/fct_station_status", ["poll_day"],
-                                                               full_refresh))
-    ft_t, fs_t = table("fct_trip"), table("fct_station_status")
+    ft_t = replace(t_fact, trips.fct_trip(hist_t), by_trip_unit)
+    fs_t = per_day("fct_station_status", lambda rows: with_day(status.fct_station_status(rows, ds, broadcast_dim=False)), st_t)
     # daily summary: only the days this batch touched are recomputed and
     # replaced (a month file also holds days of the next month)
-    summary = f"{out}/agg_daily_trip_summary"
-    window = None
-    if month is None or not INC.table_exists(spark, summary):
-        daily_in, first_daily = ft_t, True
+    t_summary = versioned("agg_daily_trip_summary", "full_date")
+    if month is None or not t_summary.exists():
+        replace(t_summary, marts.agg_daily_trip_summary(ft_t, dd, None))
     elif summary_window == "calendar_month":
-        daily_in, first_daily, window = ft_t, False, month
+        replace(t_summary, marts.agg_daily_trip_summary(ft_t, dd, month), "present")
     else:
-        # days of the batch before and after it was landed again; a day
-        # that no trip is left on goes
-        days = sorted({*old_days, *INC.touched_days(ft, "start_date")})
-        daily_in, first_daily = ft_t.filter(F.col("start_date").isin(days)), False
-        INC.drop_partitions(spark, summary, "full_date", set(days) - set(INC.touched_days(daily_in, "start_date")))
-    step("agg_daily_trip_summary", lambda: INC.replace_partitions(
-        marts.agg_daily_trip_summary(daily_in, dd, window), summary, ["full_date"], first_daily))
-    a_path = f"{out}/agg_station_activity_by_batch"
-    a_first = month is None or compat == "last_batch_wins" or not INC.table_exists(spark, a_path)
-    a_in = ft_t if a_first else INC.for_month(ft_t, month)
-    activity = marts.station_activity_by_batch(a_in)
-    step("agg_station_activity_by_batch", lambda: INC.replace_partitions(activity, a_path, ["source_month"], True) if a_first
-         else replace_month("agg_station_activity_by_batch", activity, "source_month", month))
-    step("agg_station_activity", lambda: write("agg_station_activity",
-                                               marts.merge_station_activity(table("agg_station_activity_by_batch"))))
+        # days of the batch before and after it was landed again
+        days = sorted({*old_days, *INC.touched_days(INC.for_month(ft_t, month), "start_date")})
+        replace(t_summary, marts.agg_daily_trip_summary(ft_t.filter(F.col("start_date").isin(days)), dd, None), days)
+    activity = per_batch(versioned("agg_station_activity_by_batch", "source_month"), marts.station_activity_by_batch, ft_t)
+    step("agg_station_activity", lambda: write("agg_station_activity", marts.merge_station_activity(activity)))
     # station x day: trip partials by batch, status partials by day
-    tp_path, sp_path = f"{out}/agg_station_daily_trip_parts", f"{out}/agg_station_daily_status_parts"
-    tp_first = month is None or compat == "last_batch_wins" or not INC.table_exists(spark, tp_path)
-    parts = marts.station_day_trip_parts(ft_t if tp_first else INC.for_month(ft_t, month))
-    step("agg_station_daily_trip_parts", lambda: INC.replace_partitions(parts, tp_path, ["source_month"], True) if tp_first
-         else replace_month("agg_station_daily_trip_parts", parts, "source_month", month))
-    sp_first = full_refresh or since is None or not INC.table_exists(spark, sp_path)
-    sp_in = fs_t if sp_first else from_mark(fs_t)
-    step("agg_station_daily_status_parts", lambda: INC.replace_partitions(
-        marts.station_day_status_parts(sp_in), sp_path, ["date_key"], sp_first))
+    trip_parts = per_batch(versioned("agg_station_daily_trip_parts", "source_month"), marts.station_day_trip_parts, ft_t)
+    status_parts = per_day("agg_station_daily_status_parts", marts.station_day_status_parts, fs_t, "date_key")
     step("agg_station_daily", lambda: write("agg_station_daily", marts.station_daily_from_parts(
-        table("agg_station_daily_trip_parts"), table("agg_station_daily_status_parts"), dd, ds,
-        broadcast_dim=False)))
+        trip_parts, status_parts, dd, ds, broadcast_dim=False)))
     tables = {
         "stg_trip_history": stg_trip, "stg_station_information": stg_station, "stg_station_status": stg_status,
-        "int_station_identity": ident, "int_trip_history": table("int_trip_history"),
-        "int_quarantine_trip": table("int_quarantine_trip"), "int_station_status": st_t,
-        "int_quarantine_station_status": table("int_quarantine_station_status"), "dim_date": dd,
-        "dim_station": ds, "fct_trip": ft_t, "fct_station_status": fs_t,
+        "int_station_identity": ident, "int_trip_history": hist_all, "int_quarantine_trip": q_trip, "int_station_status": st_t,
+        "int_quarantine_station_status": q_status, "dim_date": dd, "dim_station": ds, "fct_trip": ft_t, "fct_station_status": fs_t,
     }
     if check_scope == "run" and month is not None:
         in_run = dict(tables)
@@ -189,9 +167,9 @@ def daily_transform(spark: SparkSession, raw_trips: DataFrame, raw_stations: Dat
             in_run[t] = INC.for_month(tables[t], month)
         if since is not None:
             for t in ("int_station_status", "int_quarantine_station_status", "fct_station_status"):
-                in_run[t] = from_mark(tables[t])
+                in_run[t] = tables[t].filter(F.col("poll_day") >= F.lit(since).cast("date"))
             in_run["stg_station_status"] = staging.stg_status(status_raw)
-        in_run["int_quarantine_trip"] = tables["int_quarantine_trip"].filter(F.col("batch_id") == batch_id)
+        in_run["int_quarantine_trip"] = q_trip.filter(F.col("batch_id") == batch_id)
         row_specs = [c for c in SPECS if c.check in ("not_null", "accepted_values", "relationships")]
         key_specs = [c for c in SPECS if c.check in ("unique", "grain")]
         checks = run_checks(in_run, row_specs).unionByName(run_checks(tables, key_specs))
@@ -202,6 +180,16 @@ def daily_transform(spark: SparkSession, raw_trips: DataFrame, raw_stations: Dat
     return report
 
 
+def high_water_day(table: VersionedTable) -> str | None:
+    """Greatest day a table by day holds, from its manifest; None without any."""
+    return max((v for v in table.live() if v != NULL_VALUE), default=None)
+
+
+def read_model(spark: SparkSession, out_root: str, name: str) -> DataFrame:
+    """A model as the daily job left it."""
+    return read_table(spark, f"{out_root.rstrip('/')}/{name}")
+
+
 MODEL_TABLES = ["int_station_variants", "int_station_identity", "int_trip_history", "int_quarantine_trip", "int_station_status",
                 "int_quarantine_station_status", "dim_date", "dim_station", "fct_trip", "fct_station_status",
                 "agg_daily_trip_summary", "agg_station_activity", "agg_station_daily", "check_report"]
@@ -210,12 +198,11 @@ MODEL_TABLES = ["int_station_variants", "int_station_identity", "int_trip_histor
 def register_views(spark: SparkSession, out_root: str) -> list[str]:
     """Temp views over the written models, for ad-hoc Spark SQL
     (``SELECT ... FROM fct_trip JOIN dim_date ...``).  Returns the names."""
-    from velotide.operators.incremental import table_exists
     names = []
     for name in MODEL_TABLES:
         path = f"{out_root.rstrip('/')}/{name}"
-        if table_exists(spark, path):
-            df = spark.read.parquet(path)
+        if open_table(spark, path) or INC.table_exists(spark, path):
+            df = read_table(spark, path)
             if "poll_day" in df.columns:  # layout column of the day-partitioned models
                 df = df.drop("poll_day")
             df.createOrReplaceTempView(name)

@@ -52,11 +52,12 @@ class Models:
         of known size for every query that joins it."""
         if self.shared is None:
             return make()
-        path = _WRITTEN.get((name, self.shared))
+        path, schema = _WRITTEN.get((name, self.shared), (None, None))
         if path is None or not table_exists(self.spark, path):
-            path = _WRITTEN[name, self.shared] = scratch_path(self.spark, name)
-            make().write.parquet(path)
-        return self.spark.read.parquet(path)
+            df = make()
+            path, schema = _WRITTEN[name, self.shared] = scratch_path(self.spark, name), df.schema
+            df.write.parquet(path)
+        return self.spark.read.schema(schema).parquet(path)
 
     # staging
     @cached_property

@@ -4,6 +4,7 @@ told apart by try_number), appended to a table partitioned by start day."""
 from __future__ import annotations
 
 import datetime as dt
+import warnings
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -12,7 +13,7 @@ from velotide import schemas
 from velotide.operators.incremental import table_exists
 
 # --- fixed values ------------------------------------------------------------
-RUNNING, SUCCESS, FAILED = "RUNNING", "SUCCESS", "FAILED"
+RUNNING, SUCCESS, FAILED, UNFINISHED = "RUNNING", "SUCCESS", "FAILED", "UNFINISHED"
 # ----------------------------------------------------------------------------
 
 
@@ -36,28 +37,60 @@ def attempt_summary(log: DataFrame) -> DataFrame:
         F.max_by("error_message", "try_number").alias("last_error"))
 
 
+def attempts(ends: DataFrame, starts: DataFrame) -> DataFrame:
+    """One row per attempt (run, task, try): its end if there is one; an attempt that
+    started and never ended (its driver died) is UNFINISHED."""
+    key = ["run_id", "task_id", "try_number"]
+    both = starts.select(*schemas.RUN_LOG.names).unionByName(ends.select(*schemas.RUN_LOG.names))
+    ended = F.col("status") != RUNNING
+    # an end carries all of the attempt; of a start and an end the end counts
+    last = F.max_by(F.struct(*[c for c in schemas.RUN_LOG.names if c not in key]), F.struct(ended.cast("int"), "end_time"))
+    out = both.groupBy(*key).agg(last.alias("r")).select(*key, "r.*")
+    return out.withColumn("status", F.when(F.col("status") == RUNNING, F.lit(UNFINISHED)).otherwise(F.col("status"))).select(*schemas.RUN_LOG.names)
+
+
+def read_attempts(spark: SparkSession, path: str) -> DataFrame:
+    """The attempts of a log folder as RunLogger writes it."""
+    none = spark.createDataFrame([], schemas.RUN_LOG)
+    ends, starts = (spark.read.parquet(p) if table_exists(spark, p) else none for p in (path, f"{path}_started"))
+    return attempts(ends, starts)
+
+
 class RunLogger:
-    """Appends one record per task attempt, as soon as the attempt ends.  A
-    retried run (same ``run_id``) counts on: its attempts follow those in the log."""
+    """Appends a record when an attempt starts (``<path>_started``) and one when it
+    ends (``path``).  A retried run (same ``run_id``) counts on: its attempts follow
+    those in the log, unfinished ones included.  A log that cannot be read or
+    written is warned about; it neither fails a task nor hides a task's error."""
 
     def __init__(self, spark: SparkSession, path: str, run_id: str, dag_id: str, batch_id: str | None = None):
         self.spark, self.path, self.run_id, self.dag_id, self.batch_id = spark, path, run_id, dag_id, batch_id
         self.tries: dict[str, int] = {}
-        if table_exists(spark, path):  # a run has a few dozen tasks
-            done = spark.read.parquet(path).filter(F.col("run_id") == run_id).groupBy("task_id").agg(F.max("try_number").alias("n"))
+        try:  # a run has a few dozen tasks
+            done = read_attempts(spark, path).filter(F.col("run_id") == run_id).groupBy("task_id").agg(F.max("try_number").alias("n"))
             self.tries = {r.task_id: r.n for r in done.collect()}
+        except Exception as e:
+            warnings.warn(f"run log {path} cannot be read: {e}")
+
+    def _append(self, path: str, **fields) -> None:
+        row = dict(run_id=self.run_id, dag_id=self.dag_id, batch_id=self.batch_id, **fields)
+        try:
+            append_run_log(log_rows(self.spark, [row]), path)
+        except Exception as e:
+            warnings.warn(f"run log {path} cannot be written: {e}")
 
     def task(self, task_id: str, fn, try_number: int | None = None):
         n = self.tries[task_id] = try_number or self.tries.get(task_id, 0) + 1
         start = dt.datetime.now(dt.timezone.utc)
+        self._append(f"{self.path}_started", task_id=task_id, try_number=n, start_time=start, status=RUNNING)
+
+        def ended(status, error):
+            self._append(self.path, task_id=task_id, try_number=n, start_time=start, end_time=dt.datetime.now(dt.timezone.utc),
+                         status=status, error_message=error)
+
         try:
             out = fn()
-            status, err = SUCCESS, None
-            return out
-        except Exception as e:  # logged, then re-raised
-            status, err = FAILED, str(e)
+        except Exception as e:
+            ended(FAILED, str(e))
             raise
-        finally:
-            row = dict(run_id=self.run_id, dag_id=self.dag_id, batch_id=self.batch_id, task_id=task_id, try_number=n,
-                       start_time=start, end_time=dt.datetime.now(dt.timezone.utc), status=status, error_message=err)
-            append_run_log(log_rows(self.spark, [row]), self.path)
+        ended(SUCCESS, None)
+        return out

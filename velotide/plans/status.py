@@ -21,16 +21,16 @@ STATUS_COLS = [
 ]
 
 
-def dedup_technical(stg: DataFrame) -> DataFrame:
+def dedup_technical(stg: DataFrame, within: tuple[str, ...] = ()) -> DataFrame:
     """Drop Kafka replays: first ingested copy of each (topic, partition,
     offset).  Rows with null coordinates form one group (as in SQL)."""
-    return first_by(stg, KAFKA_KEY, ["ingested_at"])
+    return first_by(stg, [*KAFKA_KEY, *within], ["ingested_at"])
 
 
-def dedup_logical(df: DataFrame) -> DataFrame:
+def dedup_logical(df: DataFrame, within: tuple[str, ...] = ()) -> DataFrame:
     """One observation per (station, snapshot): earliest poll, then Kafka
     time, then ingestion time."""
-    return first_by(df, OBSERVATION_KEY, ["poll_time", "kafka_timestamp", "ingested_at"])
+    return first_by(df, [*OBSERVATION_KEY, *within], ["poll_time", "kafka_timestamp", "ingested_at"])
 
 
 def classify_status(df: DataFrame) -> DataFrame:
@@ -51,6 +51,16 @@ def station_status(stg: DataFrame, since_day=None) -> DataFrame:
     return classify_status(dedup_logical(dedup_technical(s)))
 
 
+def status_by_day(raw: DataFrame) -> DataFrame:
+    """Observations of whole days, each day by itself: copies meet within their day
+    only, so a day can be computed again without the others."""
+    from velotide.plans.staging import stg_status
+
+    days = stg_status(raw).withColumn("poll_day", F.to_date("poll_time"))
+    once = dedup_logical(dedup_technical(days, ("poll_day",)), ("poll_day",))
+    return classify_status(once).withColumn("poll_day", F.to_date("poll_time"))
+
+
 FCT_STATUS_COLS = [
     "station_id", "station_key", "snapshot_id", "poll_time", "observation_date_key", "last_reported",
     "num_bikes_available", "num_bikes_disabled", "num_docks_available", "num_docks_disabled", "is_installed",

@@ -55,6 +55,36 @@ def trip_history(stg: DataFrame, identity: DataFrame, source_month=None,
     return t.withColumn("is_valid_trip", passes(TRIP_RULES)).select(*TRIP_HISTORY_COLS)
 
 
+HUBS = 64  # codes of a role that may count as hubs: a bound on what is broadcast
+
+
+def hub_codes(trips: DataFrame, column: str, k: int = HUBS) -> list[str]:
+    """The commonest station codes of a role, by a sketch of fixed size in one pass.
+    Which codes it names decides the plan only, never the result."""
+    top = trips.agg(F.expr(f"approx_top_k({column}, {k}, {100 * k})").alias("top")).first().top
+    return [r["item"] for r in top or [] if r["item"] is not None]
+
+
+def trip_history_hubs(stg: DataFrame, identity: DataFrame, k: int = HUBS) -> DataFrame:
+    """``trip_history`` for an identity too large to broadcast: a hub's trips take
+    their station from a broadcast of at most ``k`` codes and are dealt evenly over
+    the shuffle of the others, instead of meeting in one task."""
+    t = derive_trips(stg).withColumn("rejection_reasons", rejections(TRIP_RULES))
+    ident = identity.select(F.col("source_station_code").alias("__code"), F.struct("station_key", "mapping_status").alias("__station"))
+    for role in ("start", "end"):
+        code = f"{role}_station_id"
+        hubs = hub_codes(stg, code, k)
+        found = ident.filter(F.col("__code").isin(hubs)).select(F.col("__code").alias("__hub"), F.col("__station").alias("__of_hub"))
+        spread = F.when(F.col(code).isin(hubs), F.lit(None)).otherwise(F.col(code))
+        t = t.join(F.broadcast(found), F.col(code) == F.col("__hub"), "left").withColumn("__own", spread)
+        t = t.withColumn("__own", _spread_null("__own"))
+        t = t.join(ident.hint("shuffle_merge"), F.col("__own") == F.col("__code"), "left")
+        station = F.coalesce("__of_hub", "__station")
+        t = t.withColumn(f"{role}_station_key", station["station_key"]).withColumn(
+            f"{role}_station_mapping_status", station["mapping_status"]).drop("__hub", "__of_hub", "__own", "__code", "__station")
+    return t.withColumn("is_valid_trip", passes(TRIP_RULES)).select(*TRIP_HISTORY_COLS)
+
+
 def fct_trip(history: DataFrame, source_month=None) -> DataFrame:
     t = history.filter(F.col("is_valid_trip"))
     if source_month is not None:

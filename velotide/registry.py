@@ -19,6 +19,7 @@ from velotide.operators import incremental as INC
 from velotide.plans import analyses as Y
 from velotide.plans import identity as I
 from velotide.plans import status as S
+from velotide.plans.jobs import daily_transform, read_model
 from velotide.plans.models import Models
 from velotide.session import apply_job_conf, scratch_path
 from velotide.sources import feed as FD
@@ -434,14 +435,22 @@ def q_feed_events(spark, root):
 
 
 @register("feed_dlq", O.qf(
-    "SELECT failed_at, source_url, http_status, error_type, " + O.FEED_MSG_SQL + " AS error_message, "
-    "'velotide-feed' AS producer_id FROM ("
-    "SELECT fetched_iso AS failed_at, source_url, http_status, feed_error AS error_type FROM feed_env "
-    "WHERE feed_error IS NOT NULL AND feed_error <> 'SKIPPED' "
-    "UNION ALL SELECT fetched_iso, source_url, http_status, 'INVALID_STATION_RECORD' FROM feed_el2 WHERE NOT valid)"))
+    "SELECT failed_at, source_url, http_status, error_type, " + O.FEED_MSG_SQL + " AS error_message, raw_body_snippet, "
+    "'velotide-feed' AS producer_id FROM (" + O.FEED_DLQ_SQL + ")"))
 def q_feed_dlq(spark, root):
     apply_job_conf(spark)
-    return FD.classify_feed(feed_responses(spark, root))[1].drop("raw_body_snippet")
+    return FD.classify_feed(feed_responses(spark, root))[1]
+
+
+@register("feed_dlq_records", O.qf(
+    "SELECT '{' || array_to_string(list_filter([" + ", ".join(
+        f"'\"{c}\":' || CAST(to_json({c}) AS VARCHAR)" for c in FD.DLQ_FIELDS)
+    + "], lambda x: x IS NOT NULL), ',') || '}' AS value FROM ("
+    "SELECT *, " + O.FEED_MSG_SQL + " AS error_message, 'velotide-feed' AS producer_id FROM (" + O.FEED_DLQ_SQL + "))"))
+def q_feed_dlq_records(spark, root):
+    """Dead letters as they are sent: one JSON text each."""
+    apply_job_conf(spark)
+    return FD.dlq_records(FD.classify_feed(feed_responses(spark, root))[1])
 
 
 # -------------------------------------------------------------- streaming ---
@@ -600,8 +609,7 @@ def q_station_feed_landing(spark, root):
                                            F.struct(F.col("stations").alias("stations")).alias("data"))).alias("value")))
         docs.write.text(f"{work}/feed/{d}")
         ING.land_station_snapshot(ING.read_station_feed(spark, f"{work}/feed/{d}", d, multi_line=False), f"{work}/raw")
-    landed = spark.read.parquet(f"{work}/raw/station_information")
-    return _station_out(landed)
+    return _station_out(ING.landed_stations(spark, f"{work}/raw").read())
 
 
 @register("station_ndjson_load", O.q(f"SELECT {STATION_RAW_SQL} FROM raw_stations"))
@@ -704,7 +712,6 @@ def q_status_rejections(spark, root):
 
 # --------------------------------------------------------------- daily job ---
 def _daily(spark, root, out, trips, month):
-    from velotide.plans.jobs import daily_transform
     from velotide.plans.models import FIXTURE_AS_OF, FIXTURE_CALENDAR
     daily_transform(spark, trips, landed(spark, root, "stations"), landed(spark, root, "status"), out,
                     calendar=FIXTURE_CALENDAR, as_of=FIXTURE_AS_OF, source_month=month)
@@ -716,7 +723,7 @@ def q_first_run_month(spark, root):
     apply_job_conf(spark)
     out = scratch_path(spark, "first-run")
     _daily(spark, root, out, landed(spark, root, "trips"), SECOND_MONTH)
-    return spark.read.parquet(f"{out}/fct_trip").select(*FCT_TRIP_COLS)
+    return read_model(spark, out, "fct_trip").select(*FCT_TRIP_COLS)
 
 
 GONE_DAY = "2024-02-05"
@@ -736,7 +743,7 @@ def q_batch_reland(spark, root):
     _daily(spark, root, out, trips, None)
     gone = (F.col("source_month") == F.lit(SECOND_MONTH).cast("date")) & (F.to_date("started_at") == F.lit(GONE_DAY).cast("date"))
     _daily(spark, root, out, trips.filter(~F.coalesce(gone, F.lit(False))), SECOND_MONTH)
-    return spark.read.parquet(f"{out}/agg_daily_trip_summary").select(
+    return read_model(spark, out, "agg_daily_trip_summary").select(
         "date_key", F.col("full_date").cast("date").alias("full_date"), "member_casual", "trip_count", "total_duration_minutes")
 
 
@@ -758,3 +765,179 @@ def q_stream_replayed_batch(spark, root):
     for _ in range(2):
         write(SS.structural_filter(SS.parse_status(records)), 7)
     return spark.read.parquet(f"{work}/raw").drop("batch_id", "poll_day", "ingested_at")
+
+
+# ------------------------------------------- replacement, history, late data ---
+@register("batch_swap", O.q(
+    f"SELECT {RAW_TRIP_COLS} FROM raw_trips2 WHERE started_at IS NOT NULL AND NOT ("
+    f"source_month = DATE '{SECOND_MONTH}' AND CAST(started_at AS DATE) = DATE '{GONE_DAY}')"))
+def q_batch_swap(spark, root):
+    """Two months landed; a new load of the first stops between its write and its
+    publication, one of the second (without one of its days) goes through."""
+    apply_job_conf(spark)
+    work = scratch_path(spark, "swap")
+    trips = landed(spark, root, "trips").filter("started_at IS NOT NULL")
+    of = lambda m: trips.filter(F.col("source_month") == F.lit(m).cast("date"))
+    for m in (FIRST_MONTH, SECOND_MONTH):
+        ING.land_trip_batch(of(m), work, m)
+    raw, d = ING.landed_trips(spark, work), F.to_date("started_at")
+    half = of(FIRST_MONTH).filter(F.xxhash64("ride_id") % 2 == 0)
+    raw.stage(half.withColumn("year", F.year(d)).withColumn("month", F.month(d)).withColumn("day", F.dayofmonth(d)))
+    ING.land_trip_batch(of(SECOND_MONTH).filter(d != F.lit(GONE_DAY).cast("date")), work, SECOND_MONTH)
+    return ING.read_landed_trips(spark, work)
+
+
+_CLEAN_TRIP = ("ride_id IS NOT NULL AND started_at IS NOT NULL AND ended_at IS NOT NULL AND ended_at > started_at "
+               "AND coalesce(start_lat BETWEEN -90 AND 90, true) AND coalesce(start_lng BETWEEN -180 AND 180, true) "
+               "AND coalesce(end_lat BETWEEN -90 AND 90, true) AND coalesce(end_lng BETWEEN -180 AND 180, true) "
+               "AND coalesce(lower(trim(member_casual)) IN ('member', 'casual'), true)")
+_CLEAN_STATUS = ("station_id IS NOT NULL AND snapshot_id IS NOT NULL AND num_bikes_available >= 0 AND num_docks_available >= 0 "
+                 "AND is_installed IN (0, 1) AND is_renting IN (0, 1) AND is_returning IN (0, 1)")
+
+
+@register("clean_first_run", O.q(
+    f"SELECT 'fct_trip' AS model, count(*) AS records FROM raw_trips2 WHERE {_CLEAN_TRIP} "
+    "UNION ALL SELECT 'int_quarantine_trip', 0 UNION ALL SELECT 'int_quarantine_station_status', 0 "
+    f"UNION ALL SELECT 'fct_station_status', count(*) FROM (SELECT DISTINCT station_id, snapshot_id FROM raw_status WHERE {_CLEAN_STATUS})"))
+def q_clean_first_run(spark, root):
+    """The daily job's first run and a month run on rows of which none is rejected."""
+    from velotide.plans.models import FIXTURE_AS_OF, FIXTURE_CALENDAR
+    apply_job_conf(spark)
+    out = scratch_path(spark, "clean")
+    trips, status = landed(spark, root, "trips").filter(_CLEAN_TRIP), landed(spark, root, "status").filter(_CLEAN_STATUS)
+    for month in (None, SECOND_MONTH[:7]):
+        daily_transform(spark, trips, landed(spark, root, "stations"), status, out, calendar=FIXTURE_CALENDAR, as_of=FIXTURE_AS_OF, source_month=month)
+    return Y.record_counts({("", m): read_model(spark, out, m) for m in (
+        "fct_trip", "int_quarantine_trip", "int_quarantine_station_status", "fct_station_status")}).select(F.col("layer").alias("model"), "records")
+
+
+@register("stream_dedup", "SELECT DISTINCT * FROM (" + ORACLE["stream_raw_status"] + ")")
+def q_stream_dedup(spark, root):
+    """The status stream with replays dropped by the set of seen offsets, over
+    several micro-batches, merged between them; first copies that come late stay."""
+    from velotide.streaming.offsets import SeenOffsets
+    apply_job_conf(spark)
+    work = scratch_path(spark, "stream-dedup")
+    events = SS.status_stream(spark, "files", {"path": landed_path(spark, root, "kafka"), "maxFilesPerTrigger": "2"})
+    SS.start_status_stream(events, f"{work}/raw", f"{work}/checkpoint", {"availableNow": True}, seen_path=f"{work}/seen").awaitTermination()
+    seen = SeenOffsets(spark, f"{work}/seen")
+    seen.compact(max(map(int, seen.table.live())))
+    # the same records again, a later micro-batch: nothing in it is new
+    again = SS.structural_filter(SS.parse_status(spark.read.parquet(landed_path(spark, root, "kafka"))))
+    SS.write_status_batch(f"{work}/raw", seen_path=f"{work}/seen")(again, 1_000_000)
+    return spark.read.parquet(f"{work}/raw").drop("batch_id", "poll_day", "ingested_at")
+
+
+@register("check_unique_incremental", O.q(
+    "SELECT source_month, count(*) AS failures FROM (SELECT DISTINCT f.source_month, f.ride_id FROM fct_trip f JOIN ("
+    "SELECT ride_id, min(source_month) AS m, max(source_month) AS l, count(*) AS n FROM fct_trip WHERE ride_id IS NOT NULL GROUP BY ride_id HAVING count(*) > 1) d "
+    "ON d.ride_id = f.ride_id WHERE EXISTS (SELECT 1 FROM fct_trip g WHERE g.ride_id = f.ride_id AND g.source_month <= f.source_month "
+    "GROUP BY g.ride_id HAVING count(*) > 1)) GROUP BY source_month"))
+def q_check_unique_incremental(spark, root):
+    """Ride ids of each month that occur again in it or in a month before, against
+    a store of sorted hash buckets that is joined without being shuffled."""
+    import uuid
+
+    from velotide.operators.keystore import KeyStore
+    fct = models(spark, root).fct_trip
+    work = scratch_path(spark, "keys")
+    store, out = KeyStore(spark, f"ride_keys_{uuid.uuid4().hex[:10]}", work), []
+    for m in (FIRST_MONTH, SECOND_MONTH):
+        store.add(INC.for_month(fct, m), "ride_id", m)
+        found = store.repeated(m)
+        out.append((m, found.count()))
+    store.drop()
+    return spark.createDataFrame([r for r in out if r[1]], "month string, failures long").select(
+        F.col("month").cast("date").alias("source_month"), "failures")
+
+
+LATE_DAYS, LOST_DAY = ("2024-01-05", "2024-01-12"), "2024-01-20"
+_BY_DAY = (O.status_model(f"CAST(poll_time AS DATE) <> DATE '{LOST_DAY}'")
+           .replace("PARTITION BY station_id, snapshot_id", "PARTITION BY station_id, snapshot_id, CAST(poll_time AS DATE)")
+           .replace("PARTITION BY kafka_topic, kafka_partition, kafka_offset",
+                    "PARTITION BY kafka_topic, kafka_partition, kafka_offset, CAST(poll_time AS DATE)"))
+
+
+@register("late_status_days", O.q(
+    f"SELECT {STATUS_SQL_COLS}, reason_codes, is_valid, is_active_station, is_empty, is_full FROM {_BY_DAY}"))
+def q_late_status_days(spark, root):
+    """Status observations kept up to date with the raw folders: rows that come late
+    for two old days, and a day whose folders are taken away, recompute just those."""
+    from velotide.operators.changes import refresh_changed_days
+    from velotide.operators.versions import VersionedTable
+    apply_job_conf(spark)
+    work = scratch_path(spark, "late")
+    raw = landed(spark, root, "status").withColumn("poll_day", F.to_date("poll_time"))
+    late = F.col("poll_day").isin(*[F.lit(d).cast("date") for d in LATE_DAYS]) & (F.col("kafka_offset") % 3 == 0)
+    target = VersionedTable(spark, f"{work}/status", "poll_day")
+
+    def land(rows, batch_id):
+        rows.withColumn("batch_id", F.lit(batch_id)).write.mode("append").partitionBy("poll_day", "batch_id").parquet(f"{work}/raw")
+
+    def refresh():
+        return refresh_changed_days(spark, f"{work}/raw", target, S.status_by_day, f"{work}/state")
+
+    land(raw.filter(~late), 0)
+    refresh()
+    land(raw.filter(late), 1)
+    days = refresh()
+    if set(days) != set(LATE_DAYS):
+        raise AssertionError(f"recomputed {days}")
+    INC.drop_partitions(spark, f"{work}/raw", "poll_day", [LOST_DAY])
+    refresh()
+    return _codes(target.read().drop("poll_day"))
+
+
+@register("trip_history_hubs", ORACLE["trip_history"])
+def q_trip_history_hubs(spark, root):
+    """Trip history with the identity joined by shuffle and hub codes by a small broadcast."""
+    from velotide.plans.trips import trip_history_hubs
+    m = models(spark, root)
+    return _codes(trip_history_hubs(m.stg_trip, m.station_identity))
+
+
+@register("check_on_write", ORACLE["check_not_null"])
+def q_check_on_write(spark, root):
+    """Not-null tests counted while the tables are written: no second read."""
+    from velotide.operators.checks import observed, observed_report
+    from velotide.plans.quality import SPECS, model_tables
+    m = models(spark, root)
+    specs = [c for c in SPECS if c.check == "not_null"]
+    work, seen = scratch_path(spark, "checked"), []
+    for name, df in model_tables(m, {c.table for c in specs}).items():
+        out, observation = observed(df, name, specs)
+        out.write.parquet(f"{work}/{name}")
+        seen.append(observation)
+    return observed_report(spark, seen)
+
+
+_ATTEMPT = ("'run-' || CAST(event_id % 40 AS VARCHAR) AS run_id, 'task-' || CAST(user_id % 9 AS VARCHAR) AS task_id, "
+            "CAST(floor(event_id / 40) % 4 + 1 AS BIGINT) AS try_number")
+
+
+@register("run_log_attempts", f"""
+WITH a AS (SELECT {_ATTEMPT}, ts, event_id FROM events),
+s AS (SELECT run_id, task_id, try_number, max(event_id) AS event_id FROM a GROUP BY ALL),
+e AS (SELECT run_id, task_id, try_number, CASE WHEN event_id % 5 = 0 THEN 'UNFINISHED' WHEN event_id % 3 = 0 THEN 'FAILED' ELSE 'SUCCESS' END AS status,
+      CASE WHEN event_id % 5 <> 0 AND event_id % 3 = 0 THEN 'error ' || CAST(event_id AS VARCHAR) END AS error_message FROM s)
+SELECT run_id, task_id, count(*) AS attempts, max(try_number) AS last_try, arg_max(status, try_number) AS last_status,
+  (SELECT x.error_message FROM e x WHERE x.run_id = e.run_id AND x.task_id = e.task_id ORDER BY try_number DESC LIMIT 1) AS last_error
+FROM e GROUP BY run_id, task_id""")
+def q_run_log_attempts(spark, root):
+    """Attempts from start and end records: every fifth has a start only (its driver died)."""
+    from velotide.plans.runlog import FAILED, RUNNING, SUCCESS, attempt_summary, attempts
+    from velotide.sources.tables import load_table
+    apply_job_conf(spark)
+    e = load_table(spark, root, "events")
+    key = [F.concat(F.lit("run-"), (F.col("event_id") % 40).cast("string")).alias("run_id"), F.concat(F.lit("task-"), (F.col("user_id") % 9).cast("string")).alias("task_id"),
+           (F.floor(F.col("event_id") / 40) % 4 + 1).cast("long").alias("try_number")]
+    last = e.select(*key, "event_id", "ts").groupBy("run_id", "task_id", "try_number").agg(
+        F.max("event_id").alias("event_id"), F.max_by("ts", "event_id").cast("timestamp").alias("start_time"))
+    null = lambda t: F.lit(None).cast(t)
+    shared = ["run_id", F.lit("daily").alias("dag_id"), F.lit("batch").alias("batch_id"), "task_id", "try_number", "start_time"]
+    starts = last.select(*shared, null("timestamp").alias("end_time"), F.lit(RUNNING).alias("status"), null("string").alias("error_message"))
+    failed = F.col("event_id") % 3 == 0
+    ends = last.filter("event_id % 5 <> 0").select(
+        *shared, (F.col("start_time") + F.expr("INTERVAL 1 MINUTE")).alias("end_time"), F.when(failed, F.lit(FAILED)).otherwise(F.lit(SUCCESS)).alias("status"),
+        F.when(failed, F.concat(F.lit("error "), F.col("event_id").cast("string"))).alias("error_message"))
+    return attempt_summary(attempts(ends, starts))

@@ -100,7 +100,9 @@ def envelope(responses: DataFrame) -> DataFrame:
     parsed = responses.select("*", F.inline(F.array(F.struct(F.try_parse_json("body").alias("payload")))))
     return (parsed.withColumn("stations", stations)
             .withColumn("feed_error", err)
-            .withColumn("feed_snippet", snippet))
+            .withColumn("feed_snippet", snippet)
+            .withColumn("feed_last_updated", F.try_variant_get(p, "$.last_updated", "bigint"))
+            .withColumn("feed_ttl", F.try_variant_get(p, "$.ttl", "bigint")))
 
 
 def station_valid(e: Column) -> Column:
@@ -123,9 +125,11 @@ def classified(responses: DataFrame) -> DataFrame:
     """One row per station record, and one per response without any: a single
     scan and a single parse that both outputs are filters of.  ``kind`` is the
     output a row belongs to, ``feed_error`` the class of a rejected envelope or
-    record, ``pos`` the record's place in its response (null: no record)."""
+    record, ``pos`` the record's place in its response (null: no record).  What a
+    record needs of its response is taken before the list is exploded: a row
+    carries its own element, never the whole body."""
     env = envelope(responses).withColumn("stations", F.when(F.col("feed_error").isNull(), F.col("stations")))
-    rows = env.select("source_url", "http_status", "fetched_at", "payload", "feed_error", "feed_snippet",
+    rows = env.select("source_url", "http_status", "fetched_at", "feed_last_updated", "feed_ttl", "feed_error", "feed_snippet",
                       F.posexplode_outer("stations").alias("pos", "e"))
     rows = rows.withColumn("valid", F.when(F.col("pos").isNotNull(), station_valid(F.col("e"))))
     error = F.when(F.col("valid") == F.lit(False), F.lit(INVALID_STATION_RECORD)).otherwise(F.col("feed_error"))
@@ -145,8 +149,7 @@ def feed_events(rows: DataFrame) -> DataFrame:
            "is_installed", "is_renting", "is_returning", "last_reported"]],
         F.md5(F.concat_ws("|", "source_url", fetched_iso)).alias("snapshot_id"),
         fetched_iso.alias("poll_time"),
-        F.try_variant_get("payload", "$.last_updated", "bigint").alias("feed_last_updated"),
-        F.try_variant_get("payload", "$.ttl", "bigint").alias("feed_ttl"))
+        "feed_last_updated", "feed_ttl")
 
 
 def feed_dlq(rows: DataFrame, producer_id: str = "velotide-feed") -> DataFrame:

@@ -5,7 +5,8 @@ the days one after another; here a month is one distributed job: read all
 files of the month with the declared schema (strict: a bad row, an extra or
 missing column, a quoted newline or a missing start time fails the batch),
 add provenance, and write day partitions.  A hot day is split over several
-writer tasks by AQE (REBALANCE) instead of landing in one."""
+writer tasks by AQE (REBALANCE) instead of landing in one.  Raw tables are
+versioned: a batch or day is replaced in one step (``operators/versions.py``)."""
 
 from __future__ import annotations
 
@@ -14,6 +15,8 @@ from pyspark.sql import functions as F
 from pyspark.sql.utils import AnalysisException
 
 from velotide import schemas
+from velotide.functions.columns import as_month
+from velotide.operators.versions import VersionedTable
 
 # --- fixed values ------------------------------------------------------------
 TRIP_TIME_FORMAT = "yyyy-MM-dd HH:mm:ss[.SSS]"
@@ -30,11 +33,11 @@ CSV_OPTIONS = {
 
 def trip_batch_name(source_month) -> str:
     """``trip_batch_id`` of a month given as text or date."""
-    return f"{TRIP_BATCH_PREFIX}{str(source_month)[:7]}"
+    return f"{TRIP_BATCH_PREFIX}{as_month(source_month):%Y-%m}"
 
 
 def trip_batch_id(source_month) -> F.Column:
-    return F.concat(F.lit(TRIP_BATCH_PREFIX), F.date_format(F.lit(source_month).cast("date"), "yyyy-MM"))
+    return F.lit(trip_batch_name(source_month))
 
 
 def read_trip_csv(spark: SparkSession, paths, source_month, batch_id: str | None = None) -> DataFrame:
@@ -43,7 +46,7 @@ def read_trip_csv(spark: SparkSession, paths, source_month, batch_id: str | None
     the job on the first row without one (a blank or unparsable value)."""
     paths = [paths] if isinstance(paths, str) else list(paths)
     df = spark.read.schema(schemas.TRIP_CSV).options(**CSV_OPTIONS).csv(paths)
-    month = F.trunc(F.lit(source_month).cast("date"), "month")
+    month = F.lit(as_month(source_month))
     bid = F.lit(batch_id) if batch_id else trip_batch_id(source_month)
     checked = F.when(F.assert_true(F.col("started_at").isNotNull(),
                                    F.lit("started_at is missing or unparsable")).isNull(), F.col("started_at"))
@@ -60,7 +63,7 @@ def write_trip_csv(df: DataFrame, path: str) -> None:
 
 def batch_paths(spark: SparkSession, root: str, source_month: str) -> list[str]:
     """All CSV files of one month (``<root>/source_month=YYYY-MM/``), sorted."""
-    month = str(source_month)[:7]
+    month = f"{as_month(source_month):%Y-%m}"
     try:
         files = spark.read.text(f"{root.rstrip('/')}/source_month={month}/*.csv").inputFiles()
     except AnalysisException:
@@ -70,40 +73,34 @@ def batch_paths(spark: SparkSession, root: str, source_month: str) -> list[str]:
     return sorted(files)
 
 
-def _day_layout(df: DataFrame, ts: str) -> DataFrame:
-    d = F.to_date(ts)
-    out = (df.withColumn("year", F.year(d)).withColumn("month", F.month(d)).withColumn("day", F.dayofmonth(d)))
-    # REBALANCE: partition by day, and let AQE split a busy day into several
-    # advisory-size writer tasks (and merge quiet days) -- no task holds a
-    # whole busy day and no day is scattered into tiny files
-    return out.hint("rebalance", "year", "month", "day")
+def landed_trips(spark: SparkSession, root: str, compat: str | None = None) -> VersionedTable:
+    """The raw trip table: replaced batch by batch, or, with
+    ``compat='last_batch_wins'``, day by day."""
+    if compat == "last_batch_wins":
+        return VersionedTable(spark, f"{root.rstrip('/')}/trip_history_by_day", "start_day")
+    return VersionedTable(spark, f"{root.rstrip('/')}/trip_history", "source_month", ["year", "month", "day"])
 
 
 def land_trip_batch(df: DataFrame, root: str, source_month, compat: str | None = None) -> str:
-    """Replace the whole batch: everything under ``source_month=`` is
-    deleted, then the month's day partitions are written (days that vanished
-    from the batch vanish too).  ``compat='last_batch_wins'`` instead
+    """Replace the whole batch in one step: the month's day partitions are written
+    aside and published together (days that vanished from the batch vanish too; a
+    load that fails leaves the old ones).  ``compat='last_batch_wins'`` instead
     replaces day partitions shared by all batches, so a later batch erases
     an earlier batch's rows of the same day, as the reference's loads do."""
-    month = str(source_month)[:10]
+    month = str(as_month(source_month))
+    table = landed_trips(df.sparkSession, root, compat)
     # clustered within each day by batch and stations, as the raw table is
-    laid = _day_layout(df, "started_at").sortWithinPartitions(
-        "year", "month", "day", "batch_id", "start_station_id", "end_station_id")
+    clustering = ["batch_id", "start_station_id", "end_station_id"]
     if compat == "last_batch_wins":
-        target = f"{root.rstrip('/')}/trip_history_by_day"
-        (laid.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-         .partitionBy("year", "month", "day").parquet(target))
-        return target
-    target = f"{root.rstrip('/')}/trip_history/source_month={month}"
-    (laid.drop("source_month").write.mode("overwrite").option("partitionOverwriteMode", "static")
-     .partitionBy("year", "month", "day").parquet(target))
-    return target
+        table.replace(df.withColumn("start_day", F.to_date("started_at")), "present", clustering)
+    else:
+        d = F.to_date("started_at")
+        table.replace(df.withColumn("year", F.year(d)).withColumn("month", F.month(d)).withColumn("day", F.dayofmonth(d)), [month], clustering)
+    return table.path
 
 
 def read_landed_trips(spark: SparkSession, root: str, compat: str | None = None) -> DataFrame:
-    path = f"{root.rstrip('/')}/trip_history" + ("_by_day" if compat == "last_batch_wins" else "")
-    df = spark.read.option("basePath", path).parquet(path)
-    return df.select(*[f.name for f in schemas.TRIP_RAW.fields])
+    return landed_trips(spark, root, compat).read().select(*[f.name for f in schemas.TRIP_RAW.fields])
 
 
 def read_station_feed(spark: SparkSession, path, snapshot_date, batch_id: str | None = None,
@@ -131,15 +128,13 @@ def read_station_ndjson(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.text(path).select(row.alias("r")).select("r.*")
 
 
+def landed_stations(spark: SparkSession, root: str) -> VersionedTable:
+    return VersionedTable(spark, f"{root.rstrip('/')}/station_information", "snapshot_date")
+
+
 def land_station_snapshot(df: DataFrame, root: str) -> str:
-    """Replace the snapshot days present in ``df`` (other days untouched)."""
-    target = f"{root.rstrip('/')}/station_information"
-    d = F.col("snapshot_date")
-    (df.withColumn("year", F.year(d)).withColumn("month", F.month(d)).withColumn("day", F.dayofmonth(d))
-     .hint("rebalance", "year", "month", "day").sortWithinPartitions("station_id")
-     .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-     .partitionBy("year", "month", "day").parquet(target))
-    return target
+    """Replace the snapshot days present in ``df`` in one step (other days untouched)."""
+    return landed_stations(df.sparkSession, root).replace(df, "present", ["station_id"]).path
 
 
 def latest_batch_frame(raw_trips: DataFrame) -> DataFrame:

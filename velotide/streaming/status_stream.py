@@ -22,6 +22,7 @@ from pyspark.sql.types import (BinaryType, IntegerType, LongType, StringType, St
 
 from velotide.operators.broadcast import materialise
 from velotide.operators.incremental import drop_partitions, replace_whole
+from velotide.streaming.offsets import SeenOffsets
 
 STATUS_EVENT_SCHEMA = StructType([
     StructField("station_id", StringType()),
@@ -99,19 +100,31 @@ def to_raw(batch: DataFrame, ingested_at=None) -> DataFrame:
             .withColumn("ingested_at", stamp).select(*RAW_STATUS_COLS))
 
 
-def write_status_batch(root: str, ingested_at=None):
+def write_status_batch(root: str, ingested_at=None, seen_path: str | None = None):
     """foreachBatch function: overwrite ``<root>/poll_day=<d>/batch_id=<n>``.
+    With ``seen_path`` replayed offsets are dropped (``streaming/offsets.py``).
     The day comes from each row, so a retried batch replaces the same folders;
     it is outermost, so the daily models list and read only the days they need.
     A day's rows are brought together before the write (one file, or several of
     advisory size)."""
     def write(batch_df: DataFrame, batch_id: int) -> None:
-        raw = to_raw(batch_df, ingested_at).withColumn("poll_day", F.to_date("poll_time")).withColumn("batch_id", F.lit(batch_id))
+        seen = SeenOffsets(batch_df.sparkSession, seen_path) if seen_path else None
+        rows = seen.first_copies(batch_df, batch_id) if seen else batch_df
+        raw = to_raw(rows, ingested_at).withColumn("poll_day", F.to_date("poll_time")).withColumn("batch_id", F.lit(batch_id))
         (raw.hint("rebalance", "poll_day").sortWithinPartitions("poll_day", "station_id").write.mode("overwrite")
          .option("partitionOverwriteMode", "dynamic").partitionBy("poll_day", "batch_id").parquet(root.rstrip("/")))
+        if seen:  # what was written; a crash before this line replays the batch into the same folders
+            seen.record(_batch_rows(batch_df.sparkSession, root, batch_id), batch_id)
     return write
 
 
+def _batch_rows(spark: SparkSession, root: str, batch_id: int) -> DataFrame:
+    """The rows a micro-batch has written (one folder per day)."""
+    layout = StructType([*(StructField(c, t) for c, t in (("kafka_topic", StringType()), ("kafka_partition", LongType()), ("kafka_offset", LongType()))),
+                         StructField("poll_day", StringType()), StructField("batch_id", LongType())])
+    return spark.read.schema(layout).parquet(root.rstrip("/")).filter(F.col("batch_id") == batch_id)
+
+
 def compact_closed_days(spark: SparkSession, root: str, before) -> list:
     """Merge the batch folders of each day before ``before`` into the day's last
     batch folder; returns the days merged.  The stream must be past these days
@@ -134,8 +147,8 @@ def compact_closed_days(spark: SparkSession, root: str, before) -> list:
 
 
 def start_status_stream(events: DataFrame, root: str, checkpoint: str, trigger: dict | None = None,
-                        ingested_at=None):
-    w = (events.writeStream.foreachBatch(write_status_batch(root, ingested_at))
+                        ingested_at=None, seen_path: str | None = None):
+    w = (events.writeStream.foreachBatch(write_status_batch(root, ingested_at, seen_path))
          .option("checkpointLocation", checkpoint))
     if trigger:
         w = w.trigger(**trigger)
@@ -143,8 +156,8 @@ def start_status_stream(events: DataFrame, root: str, checkpoint: str, trigger:
 
 
 def status_stream(spark: SparkSession, source: str, options: dict) -> DataFrame:
-    """Source -> parse -> structural filter.  Replayed messages are not dropped
-    here (a watermark would drop late first copies too): the technical dedup of
-    the batch models removes them.  A rate limit is an option of the source
+    """Source -> parse -> structural filter.  Replayed messages are dropped by the
+    writer if it is given a ``seen_path`` (no watermark: that would drop late first
+    copies too), else by the technical dedup of the batch models.  A rate limit is an option of the source
     (``maxOffsetsPerTrigger`` for Kafka, ``maxFilesPerTrigger`` for files)."""
     return structural_filter(parse_status(read_status_stream(spark, source, options)))
