@@ -55,6 +55,34 @@ def runs(batches: Iterable[pa.RecordBatch], keys: list[str]) -> Iterator[pa.Tabl
         yield pa.concat_tables(held)
 
 
+def lots(batches: Iterable[pa.RecordBatch], keys: list[str], rows: int = 8192) -> Iterator[tuple[pa.Table, np.ndarray]]:
+    """Whole units of a stream sorted by ``keys``, about ``rows`` rows together: a
+    table and where its units start (one more entry at the end)."""
+    held: list[pa.Table] = []
+    size = 0
+
+    def cuts(t: pa.Table) -> np.ndarray:
+        new = np.ones(t.num_rows, bool)
+        new[1:] = False
+        for c in (t.column(k).to_numpy() for k in keys):
+            new[1:] |= c[1:] != c[:-1]
+        return np.flatnonzero(new)
+
+    for batch in batches:
+        if batch.num_rows:
+            held.append(pa.Table.from_batches([batch]))
+            size += batch.num_rows
+        if size >= rows:
+            t = pa.concat_tables(held)
+            starts = cuts(t)
+            held, size = [t.slice(starts[-1])], t.num_rows - int(starts[-1])  # the last unit may go on
+            if len(starts) > 1:
+                yield t.slice(0, starts[-1]), starts
+    if size:
+        t = pa.concat_tables(held)
+        yield t, np.append(cuts(t), t.num_rows)
+
+
 class Forest:
     """Union-find over the rows of a unit."""
 
@@ -82,6 +110,20 @@ def parity_sketches(sets: list[np.ndarray]) -> np.ndarray:
     return out
 
 
+def small_forest(sets: list[frozenset], sides, percent: int) -> Iterator[tuple[int, int]]:
+    """``jaccard_forest`` for a few sets: every pair is compared as it is."""
+    forest = Forest(len(sets))
+    for i, a in enumerate(sets):
+        for j in range(i + 1, len(sets)):
+            b = sets[j]
+            low, high = sorted((len(a), len(b)))
+            if low and 100 * low >= percent * high and (sides is None or sides[i] != sides[j]):
+                both = len(a & b)
+                if 100 * both >= percent * (low + high - both) and forest.find(i) != forest.find(j):
+                    forest.join(i, j)
+                    yield i, j
+
+
 def jaccard_forest(sets: list[np.ndarray], sides: np.ndarray | None, percent: int) -> Iterator[tuple[int, int]]:
     """Links (row, row) with 100 |A and B| >= percent |A or B| that join the rows
     into the same trees as all such links would.  Sizes and sketch distances
