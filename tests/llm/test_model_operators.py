@@ -255,6 +255,12 @@ def test_word_table_equals_the_tokenizer(spark, monkeypatch, tmp_dir):
     rows = corpus() + [(600, "I'm <|startoftext|>x y<|endoftext|>"), (601, "café ́a  wide ÀB ΑΣ Σ̇"), (602, "x" * 50_000)]
     df = documents(spark, rows, clash=True)
     df.repartition(3).write.parquet(f"{tmp_dir}/docs")
+    monkeypatch.setattr(WT, "BLOCK_ROWS", 5)
+    for most in (1 << 20, 30):  # a task that forgets its words encodes them again
+        monkeypatch.setattr(WT, "MAX_WORDS", most)
+        again = WT.encode_decode(spark.read.parquet(f"{tmp_dir}/docs"), path).select("doc_id", "ids").collect()
+        assert sorted((str(r.doc_id), bytes(r.ids)) for r in again) == sorted(
+            (str(i), np.array(t.encode(text or "", add_special_tokens=False).ids, "<u4").tobytes()) for i, text in rows)
     for source in (df, spark.read.parquet(f"{tmp_dir}/docs")):  # written first; a plain scan
         got = WT.encode_decode(source, path).collect()
         seen = sorted((str(r.doc_id), bytes(r.ids), r.decoded) for r in got)
