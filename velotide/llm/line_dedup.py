@@ -1,11 +1,12 @@
 """Line dedup over levelled sorted runs of line hashes.
 
-``LineRuns`` is the store: each run is a parquet table of 128-bit line hashes,
-range-partitioned and sorted by hash.  A new batch is anti-joined against all
-runs (merge joins on the hash), its lines seen before are dropped, and its new
-hashes become a run of level 0.  Once a level holds ``fan_out`` runs they are
-merged into one sorted run of the next level, so a store of n batches has at
-most ``fan_out * log(n)`` runs.  Within a batch the smallest document holding a
+``LineRuns`` is the store: each run is a table of 128-bit line hashes in hash
+buckets, every bucket one file sorted by hash.  A new batch is dealt into the same
+buckets once and merge-joined with each run bucket by bucket: no run is shuffled
+or sorted again.  Lines seen before are dropped, and the batch's new hashes become
+a run of level 0.  Once a level holds ``fan_out`` runs and another batch comes,
+they are merged into one run of the next level, so a store of n batches has at most
+``fan_out * log(n)`` runs.  Within a batch the smallest document holding a
 line keeps it; batches come in ascending ranges of doc_id, so over all batches
 the smallest document keeps every line.
 
@@ -19,44 +20,88 @@ with ``_ld_``)."""
 
 from __future__ import annotations
 
+import uuid
+from contextlib import contextmanager
+from functools import reduce
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from velotide.llm.common import LOWER, SPACES, UPPER, as_key, written
 from velotide.session import scratch_path
 
-MIN_CHARS = 10
+MIN_CHARS, BATCHES = 10, 6
 HASH = ["h1", "h2"]
 
 
 class LineRuns:
-    """Levelled sorted runs in a folder of the shared file system."""
+    """Levelled sorted runs: bucketed tables over folders of the shared file system."""
 
-    def __init__(self, spark: SparkSession, fan_out: int = 4):
+    def __init__(self, spark: SparkSession, fan_out: int = 4, buckets: int | None = None):
         self.spark, self.fan_out = spark, fan_out
+        self.buckets = buckets or int(spark.conf.get("spark.sql.shuffle.partitions"))
         self.levels: list[list[str]] = []
+        self.paths: dict[str, str] = {}
+
+    def dealt(self, df: DataFrame) -> DataFrame:
+        """Rows in the store's buckets: one task per bucket."""
+        return df.repartition(self.buckets, *HASH)
 
     def _write(self, df: DataFrame, level: int) -> None:
         while len(self.levels) <= level:
             self.levels.append([])
-        path = scratch_path(self.spark, f"line-run-{level}")
-        df.repartitionByRange(*HASH).sortWithinPartitions(*HASH).write.parquet(path)
-        self.levels[level].append(path)
+        name = f"line_run_{level}_{uuid.uuid4().hex[:12]}"
+        self.paths[name] = scratch_path(self.spark, f"line-run-{level}")
+        self.dealt(df).write.bucketBy(self.buckets, *HASH).sortBy(*HASH).option("path", self.paths[name]).saveAsTable(name)
+        self.levels[level].append(name)
 
-    def _read(self, paths: list[str]) -> DataFrame:
-        return self.spark.read.schema("h1 long, h2 long").parquet(*paths)
+    def runs(self) -> list[str]:
+        return [name for level in self.levels for name in level]
 
     def all(self) -> DataFrame | None:
-        paths = [p for level in self.levels for p in level]
-        return self._read(paths) if paths else None
+        tables = [self.spark.table(name) for name in self.runs()]
+        return reduce(DataFrame.union, tables) if tables else None
+
+    def with_seen(self, dealt: DataFrame) -> DataFrame:
+        """Rows in the store's buckets with ``seen``: whether a run holds their hash."""
+        seen = F.lit(False)
+        for k, name in enumerate(self.runs()):
+            run = self.spark.table(name).select(*HASH, F.lit(True).alias(f"_in{k}")).hint("merge")
+            dealt, seen = dealt.join(run, HASH, "left"), seen | F.col(f"_in{k}").isNotNull()
+        out = dealt.withColumn("seen", seen)
+        return out.drop(*[c for c in out.columns if c.startswith("_in")])
 
     def add(self, new: DataFrame) -> None:
-        self._write(new.select(*HASH), 0)
+        """Merge full levels, then add a run: a run is merged when there is more to come."""
         level = 0
-        while len(self.levels[level]) >= self.fan_out:
+        while level < len(self.levels) and len(self.levels[level]) >= self.fan_out:
             merged, self.levels[level] = self.levels[level], []
-            self._write(self._read(merged), level + 1)  # runs are disjoint: a merge, no dedup
+            # runs are disjoint: the merge needs no dedup.  Read as plain files, so that
+            # the new run is dealt anew and has one file per bucket
+            files = self.spark.read.schema("h1 long, h2 long").parquet(*[self.paths[name] for name in merged])
+            self._write(files, level + 1)
+            self._drop(merged)
             level += 1
+        self._write(new.select(*HASH), 0)
+
+    def _drop(self, names: list[str]) -> None:
+        for name in names:
+            self.spark.sql(f"DROP TABLE IF EXISTS {name}")  # the catalog's entry; its files stay
+
+    def close(self) -> None:
+        self._drop(self.runs())
+
+
+@contextmanager
+def sorted_buckets(spark: SparkSession):
+    """Bucket files of one task each are read as sorted, as they are."""
+    name = "spark.sql.legacy.bucketedTableScan.outputOrdering"
+    before = spark.conf.get(name, "false")
+    spark.conf.set(name, "true")
+    try:
+        yield
+    finally:
+        spark.conf.set(name, before)
 
 
 def line_key(line):
@@ -80,11 +125,11 @@ def batch_bounds(docs: DataFrame, batches: int) -> list[int]:
     return sorted({int(x) for x in found or []})
 
 
-def dropped_lines(docs: DataFrame, batches: int = 4, min_chars: int = MIN_CHARS, fan_out: int = 4,
+def dropped_lines(docs: DataFrame, batches: int = BATCHES, min_chars: int = MIN_CHARS, fan_out: int = 4,
                   runs: LineRuns | None = None) -> DataFrame:
     """(doc, row, positions dropped in ascending order), for texts that lose a line."""
     spark = docs.sparkSession
-    runs = runs or LineRuns(spark, fan_out)
+    store = runs or LineRuns(spark, fan_out)
     bounds = batch_bounds(docs, batches)
     batch = F.lit(0)
     for b in bounds:
@@ -93,24 +138,23 @@ def dropped_lines(docs: DataFrame, batches: int = 4, min_chars: int = MIN_CHARS,
     hashed_lines(docs, min_chars).withColumn("batch", batch).write.partitionBy("batch").parquet(path)
     lines = spark.read.schema("doc long, row long, pos int, h1 long, h2 long, batch int").parquet(path)
     out = None
-    for b in range(len(bounds) + 1):
-        mine = lines.filter(F.col("batch") == b).drop("batch")
-        owners = mine.groupBy(*HASH).agg(F.min("doc").alias("first"), F.max("doc").alias("last"))
-        seen = runs.all()
-        if seen is None:
-            owners = owners.withColumn("seen", F.lit(False))
-        else:
-            owners = owners.join(seen.withColumn("seen", F.lit(True)), HASH, "left").withColumn("seen", F.coalesce("seen", F.lit(False)))
-        owners = written(owners, "line-owners")
-        runs.add(owners.filter(~F.col("seen")))
-        rule = owners.filter(F.col("seen") | (F.col("first") != F.col("last")))
-        lost = mine.join(rule, HASH).filter(F.col("seen") | (F.col("doc") != F.col("first"))).select("doc", "row", "pos")
-        out = lost if out is None else out.unionByName(lost)
+    with sorted_buckets(spark):
+        for b in range(len(bounds) + 1):
+            mine = lines.filter(F.col("batch") == b).drop("batch")
+            owners = store.dealt(mine.groupBy(*HASH).agg(F.min("doc").alias("first"), F.max("doc").alias("last")))
+            owners = written(store.with_seen(owners), "line-owners")
+            if b < len(bounds):  # nothing comes after the last batch
+                store.add(owners.filter(~F.col("seen")))
+            rule = owners.filter(F.col("seen") | (F.col("first") != F.col("last")))
+            lost = mine.join(rule, HASH).filter(F.col("seen") | (F.col("doc") != F.col("first"))).select("doc", "row", "pos")
+            out = lost if out is None else out.unionByName(lost)
+    if runs is None:
+        store.close()
     # distinct: repeated rows of one document name a position more than once
     return out.groupBy("doc", "row").agg(F.sort_array(F.collect_set("pos")).alias("positions"))
 
 
-def line_dedup(docs: DataFrame, batches: int = 4, min_chars: int = MIN_CHARS) -> DataFrame:
+def line_dedup(docs: DataFrame, batches: int = BATCHES, min_chars: int = MIN_CHARS) -> DataFrame:
     """``docs`` with repeated lines taken out of ``text``, and ``_ld_lines`` (lines
     before) and ``_ld_dropped`` (lines taken out).  The kept lines are the slices
     between the dropped positions: one linear pass over the array of lines."""
