@@ -133,6 +133,43 @@ def test_archives_are_plain_zip_files_with_gzip_members(spark, tmp_dir):
     assert payloads[7] == rows[6][2].encode() and payloads[5] == b""
 
 
+def foreign_record(name, payload, kind="response", refers=None):
+    block = (b"HTTP/1.1 200 OK\r\n\r\n" if kind != "resource" else b"") + (payload if kind != "revisit" else b"")
+    head = f"WARC/1.0\r\nwarc-type: {kind}\r\nWARC-Record-ID: {name}\r\nWARC-Payload-Digest: sha1:ABC\r\n"
+    head += f"WARC-Refers-To: {refers}\r\n" if refers else ""
+    return f"{head}Content-Length:{len(block)}\r\n\r\n".encode() + block + b"\r\n\r\n"
+
+
+@pytest.mark.parametrize("zip64", [False, True])
+def test_packages_with_several_members_and_foreign_ids(spark, tmp_dir, zip64):
+    one = [gzip.compress(foreign_record(f"<urn:uuid:{k}>", b"p%d" % k)) for k in range(4)]
+    two = [gzip.compress(foreign_record("<urn:uuid:r>", b"", "revisit", "<urn:uuid:1>")), gzip.compress(foreign_record("<urn:uuid:9>", b"x" * 200_000))]
+    three = [foreign_record("<urn:uuid:plain>", b"\r\n\r\nWARC/1.0", "resource"), foreign_record("<urn:page:7>", b"own")]
+    index = b"".join(b'com,example)/ 2024 {"filename": "a.warc.gz", "offset": "%d", "length": %d}\n' % (sum(map(len, one[:k])), len(x)) for k, x in enumerate(one))
+    with open(f"{tmp_dir}/x.wacz", "wb") as f:
+        w = ZipWriter(f, zip64=zip64)
+        for name, data in (("datapackage.json", b"{}"), ("archive/a.warc.gz", b"".join(one)), ("indexes/a.cdx.gz", gzip.compress(b"!meta\n" + index)),
+                           ("indexes/again.cdxj", index), ("archive/b.warc.gz", b"".join(two)), ("archive/c.warc", b"".join(three))):
+            w.begin(name)
+            w.write(data)
+            w.end()
+        w.close()
+    got = {r.record_id: r for r in WA.read_archives(spark.createDataFrame([(f"{tmp_dir}/x.wacz",)], "archive string"), payloads=True).collect()}
+    assert sorted(got) == sorted([f"<urn:uuid:{k}>" for k in (0, 1, 2, 3, 9, "r", "plain")] + ["<urn:page:7>"])
+    assert got["<urn:uuid:3>"].payload == b"p3" and got["<urn:uuid:9>"].payload_bytes == 200_000 and got["<urn:uuid:3>"].payload_digest == "sha1:ABC"
+    assert (got["<urn:uuid:r>"].record_type, got["<urn:uuid:r>"].refers_to_record, got["<urn:uuid:r>"].payload) == ("revisit", "<urn:uuid:1>", None)
+    assert got["<urn:uuid:plain>"].payload == b"\r\n\r\nWARC/1.0" and got["<urn:page:7>"].page_id == 7 and got["<urn:uuid:0>"].page_id is None
+
+
+def test_index_that_points_nowhere_fails():
+    members = {"archive/a.warc.gz": (0, 10, 0), "archive/b.warc.gz": (10, 10, 0)}
+    with pytest.raises(ValueError):
+        list(WA.index_entries(b'{"offset": 0, "length": 5}', members))
+    with pytest.raises(ValueError):
+        list(WA.index_entries(b'{"filename": "c.warc.gz", "offset": 0, "length": 5}', members))
+    assert list(WA.index_entries(b'k {"filename": "x/b.warc.gz", "offset": "3", "length": "5"}', members)) == [("archive/b.warc.gz", 3, 5)]
+
+
 @pytest.mark.parametrize("zip64", [False, True])
 def test_zip_directory_of_own_and_foreign_files(zip64):
     own = io.BytesIO()
