@@ -5,13 +5,13 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from velotide.functions.columns import date_key, row_md5
+from velotide.functions.columns import date_key
 from velotide.operators.checks import (Check, Derived, accepted, grain, not_null, relationship, run_checks,
                                        unique)
+from velotide.plans import status, trips
 from velotide.plans.identity import EXACT, GEO, MATCHED, NUMERIC, UNRESOLVED
 from velotide.plans.models import Models
-from velotide.plans.trips import QUARANTINE_ID_COLS
-from velotide.functions.rules import RIDER_TYPES
+from velotide.functions.rules import RIDER_TYPES, reason_codes
 
 # --- fixed values: the test suite (table, column, test) -------------------------
 SPECS: list[Check] = [
@@ -96,10 +96,11 @@ def derived_tables(m: Models) -> dict[str, Derived]:
         "stg_trip_history": Derived("int_trip_history", F.lit(True)),
         "fct_trip": Derived("int_trip_history", valid, {"start_date_key": date_key("start_date"), "end_date_key": date_key("end_date")}),
         "int_quarantine_trip": Derived("int_trip_history", ~valid, {
-            "quarantine_id": row_md5(*QUARANTINE_ID_COLS), "quarantined_at": F.lit(m.as_of).cast("timestamp")}),
+            # the models' own expressions; a row's ordinal is never null
+            "quarantine_id": trips.quarantine_id(reason_codes("rejection_reasons"), F.lit(1)), "quarantined_at": trips.quarantined_at(m.as_of)}),
         "fct_station_status": Derived("int_station_status", ok, {"observation_date_key": date_key(F.to_date("poll_time"))}),
         "int_quarantine_station_status": Derived("int_station_status", ~ok, {
-            "quarantine_id": F.md5(F.concat_ws("|", "station_id", "snapshot_id")), "invalid_at": F.col("poll_time")}),
+            "quarantine_id": status.quarantine_id(), "invalid_at": F.col("poll_time")}),
     }
 
 

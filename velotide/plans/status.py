@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from velotide.functions.columns import date_key
@@ -79,10 +79,7 @@ def fct_station_status(status: DataFrame, dim_station: DataFrame, broadcast_dim:
             .select(*FCT_STATUS_COLS))
 
 
-def quarantine_status(status: DataFrame) -> DataFrame:
-    """Rejected observations; the id is an md5 of station, snapshot and Kafka
-    coordinates, so a rerun produces the same ids."""
-    bad = status.filter(~F.col("is_valid"))
+def quarantine_id() -> Column:
     basis = F.concat_ws(
         "|",
         F.coalesce(F.col("station_id"), F.lit("<NULL>")),
@@ -90,8 +87,15 @@ def quarantine_status(status: DataFrame) -> DataFrame:
         F.coalesce(F.col("kafka_topic"), F.lit("<NULL>")),
         F.coalesce(F.col("kafka_partition"), F.lit(-1)).cast("string"),
         F.coalesce(F.col("kafka_offset"), F.lit(-1)).cast("string"))
+    return F.md5(basis)
+
+
+def quarantine_status(status: DataFrame) -> DataFrame:
+    """Rejected observations; the id is an md5 of station, snapshot and Kafka
+    coordinates, so a rerun produces the same ids."""
+    bad = status.filter(~F.col("is_valid"))
     return bad.select(
-        F.md5(basis).alias("quarantine_id"), "station_id", "snapshot_id", "last_reported", "poll_time",
+        quarantine_id().alias("quarantine_id"), "station_id", "snapshot_id", "last_reported", "poll_time",
         "kafka_topic", "kafka_partition", "kafka_offset",
         F.col("rejection_reasons").alias("rejections"),
         F.size("rejection_reasons").cast("bigint").alias("rejection_count"),

@@ -100,6 +100,14 @@ def fct_trip(history: DataFrame, source_month=None) -> DataFrame:
 QUARANTINE_ID_COLS = ["batch_id", "ride_id", "started_at", "ended_at", "start_station_id", "end_station_id"]
 
 
+def quarantine_id(codes: Column, ordinal: Column) -> Column:
+    return row_md5(*QUARANTINE_ID_COLS, codes, ordinal)
+
+
+def quarantined_at(as_of) -> Column:
+    return F.lit(as_of).cast("timestamp")
+
+
 def quarantine_trip(history: DataFrame, as_of) -> DataFrame:
     """Rejected trips, one row each.
 
@@ -114,9 +122,9 @@ def quarantine_trip(history: DataFrame, as_of) -> DataFrame:
     each = (copies.withColumn("__codes", reason_codes("rejection_reasons"))
             .withColumn("__ordinal", F.explode(F.sequence(F.lit(1).cast("bigint"), F.col("__n")))))
     return each.select(
-        row_md5(*QUARANTINE_ID_COLS, "__codes", "__ordinal").alias("quarantine_id"),
+        quarantine_id(F.col("__codes"), F.col("__ordinal")).alias("quarantine_id"),
         "batch_id", "ride_id", "started_at", "ended_at", "start_station_id", "end_station_id",
         F.col("rejection_reasons").alias("rejections"),
         F.size("rejection_reasons").cast("bigint").alias("rejection_count"),
-        F.lit(as_of).cast("timestamp").alias("quarantined_at"),
+        quarantined_at(as_of).alias("quarantined_at"),
     )

@@ -20,6 +20,7 @@ from velotide.plans import analyses as Y
 from velotide.plans import identity as I
 from velotide.plans import status as S
 from velotide.plans.jobs import daily_transform, read_model
+from velotide.plans.trips import fct_trip, trip_history
 from velotide.plans.models import Models
 from velotide.session import apply_job_conf, scratch_path
 from velotide.sources import feed as FD
@@ -941,3 +942,42 @@ def q_run_log_attempts(spark, root):
         *shared, (F.col("start_time") + F.expr("INTERVAL 1 MINUTE")).alias("end_time"), F.when(failed, F.lit(FAILED)).otherwise(F.lit(SUCCESS)).alias("status"),
         F.when(failed, F.concat(F.lit("error "), F.col("event_id").cast("string"))).alias("error_message"))
     return attempt_summary(attempts(ends, starts))
+
+
+@register("identity_change", ORACLE["trip_history"])
+def q_identity_change(spark, root):
+    """Trips written with the identity of half the stations, brought to that of all
+    of them: only batches with a changed code are written again."""
+    from velotide.operators.versions import VersionedTable
+    from velotide.plans.rekey import apply_identity
+    m = models(spark, root)
+    work = scratch_path(spark, "rekey")
+    half = m.stg_station.filter(F.xxhash64("station_id") % 2 == 0)
+    old = I.station_identity(m.stg_trip, half)
+    history, fact = (VersionedTable(spark, f"{work}/{t}", "source_month", ["start_date"]) for t in ("history", "fact"))
+    history.replace(trip_history(m.stg_trip, old, broadcast_identity=False))
+    fact.replace(fct_trip(history.read()))
+    apply_identity(m.stg_trip, I.station_variants_by_batch(m.stg_trip), old, m.station_identity, history, fact)
+    return _codes(history.read())
+
+
+@register("stream_compacted", ORACLE["stream_raw_status"])
+def q_stream_compacted(spark, root):
+    """The status stream through a commit log: merged between micro-batches, and a
+    merge that stops before its publication changes nothing."""
+    from velotide.streaming.commits import StreamTable
+    apply_job_conf(spark)
+    work = scratch_path(spark, "commits")
+    out = StreamTable(spark, f"{work}/raw")
+    events = SS.status_stream(spark, "files", {"path": landed_path(spark, root, "kafka"), "maxFilesPerTrigger": "2"})
+
+    def write(batch, batch_id):
+        out.write_batch()(batch, batch_id)
+        if batch_id == 1:
+            day, slots = sorted(out.small_slots("2024-01-10").items())[0]
+            out.merge(day, slots)  # and stops
+            out.compact("2024-01-10")
+
+    events.writeStream.foreachBatch(write).option("checkpointLocation", f"{work}/checkpoint").trigger(availableNow=True).start().awaitTermination()
+    out.compact("2024-01-15")
+    return out.read().drop("ingested_at")
