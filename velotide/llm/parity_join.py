@@ -285,10 +285,13 @@ def jaccard_links(docs: DataFrame, n: int = 3, percent: int = 90) -> tuple[DataF
     units = block_units(members, "p", "doc_id", BLOCK).select(*UNIT, "mine", "doc_id", "n", "sketch")
     left = units.repartition(*UNIT).sortWithinPartitions(*UNIT).mapInArrow(
         _survivors(percent), "p long, gi int, gj int, mine int, doc_id long")
-    # written, so that the planner knows how few they are before it would shuffle all texts
-    left, packed = written(left, "survivors"), texts.mapInArrow(zipped, "doc_id long, z binary")
+    # written, so that the planner knows how many documents are left: only their texts
+    # travel, and these are joined in one way at every size
+    left = written(left, "survivors")
+    some = written(left.select("doc_id").distinct(), "survivor-ids")
+    packed = texts.join(some, "doc_id", "left_semi").select("doc_id", "text").mapInArrow(zipped, "doc_id long, z binary")
     # a repeated row of one document adds an equal set to its unit: no new component
-    left = left.join(packed, "doc_id").repartition(*UNIT).sortWithinPartitions(*UNIT)
+    left = left.hint("merge").join(packed, "doc_id").repartition(*UNIT).sortWithinPartitions(*UNIT)
     links = left.select(*UNIT, "mine", "doc_id", "z").mapInArrow(_verify(n, percent), "a long, b long")
     return heads.select("doc_id", "n", "s1", "s2"), links
 
