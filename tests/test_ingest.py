@@ -83,7 +83,7 @@ def test_station_feed_and_ndjson(spark, tmp_dir):
     with pytest.raises(Exception):
         ingest.read_station_feed(spark, empty, "2024-01-02").collect()
     target = ingest.land_station_snapshot(df, f"{tmp_dir}/raw")
-    assert spark.read.parquet(target).count() == 1
+    assert read_table(spark, target).count() == 1
     ok = write(f"{tmp_dir}/ok.ndjson", '{"station_id": "S1", "snapshot_date": "2024-01-01", "batch_id": "b"}\n')
     assert ingest.read_station_ndjson(spark, ok).count() == 1
     bad = write(f"{tmp_dir}/bad.ndjson", '{"station_id": "S1", "surprise": 1, "snapshot_date": "2024-01-01", "batch_id": "b"}\n')
