@@ -37,6 +37,7 @@ LENGTHS, SPREAD = 25, 15  # window lengths are cut at 24, differences at +-15
 CELLS = LENGTHS * (2 * SPREAD + 1)
 SHRINK, PENALTY = 10, 30.0
 MEMO_WORDS = 300_000
+MARKS, COPIES = 4, 20  # shingles that tell a near copy; how often a window of many documents trains at most
 PARAMETERS = dict(min_match=4, format=zstd.FORMAT_ZSTD1_MAGICLESS, write_content_size=0, write_checksum=0, write_dict_id=0)
 
 
@@ -97,7 +98,7 @@ def _without_near_copies(rows: list[tuple[bytes, int]]) -> list[tuple[bytes, int
     out = []
     for text, label in rows:
         w = text.split()
-        marks = sorted({zlib.crc32(b" ".join(w[i:i + 5])) for i in range(max(1, len(w) - 4))})[:4]
+        marks = sorted({zlib.crc32(b" ".join(w[i:i + 5])) for i in range(max(1, len(w) - 4))})[:MARKS]
         if not seen.intersection(marks):
             out.append((text, label))
             seen.update(marks)
@@ -131,7 +132,7 @@ def fit(rows: list[tuple[bytes, int]]) -> Model:
 
     def sample(own: Counter, other: Counter, least: int, most: float) -> list[bytes]:
         # windows of several documents that the other side lacks, by document count
-        return [b" " + w + b" " for w in sorted(own) if own[w] >= least and other[w] <= most * own[w] for _ in range(min(own[w], 20))]
+        return [b" " + w + b" " for w in sorted(own) if own[w] >= least and other[w] <= most * own[w] for _ in range(min(own[w], COPIES))]
 
     t_dict, t_raw = _train(sample(in_toxic, in_ordinary, least, 0))
     o_dict, o_raw = _train(sample(in_ordinary, in_toxic, max(2, least), 3 / ratio))
