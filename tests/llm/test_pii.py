@@ -75,6 +75,27 @@ def test_disguises_are_found_at_their_source_offsets():
             assert (kind, wanted) in found, (text, found)
 
 
+def test_odd_letters_and_neighbouring_pieces_keep_offsets():
+    for text in ("x [at] [dot] y (at) (dot) z", "four \u017fix five \u0130 s\u0130x \u017f\u0130x four FIVE", "[at] [at] [dot]", "(dot)", "K at \u212a dot com"):
+        plain, passes = pii.normalise(text)
+        for x in range(len(plain)):
+            a, b = x, x + 1
+            for p in reversed(passes):
+                a, b = p.start(a), p.end(b)
+            assert 0 <= a < b <= len(text)
+        pii.disguised(text, pii.detect(text))
+    text = "card \u017feven \u017fix four three 4111 1111 1111 ok"
+    assert pii.spelled(text)[0] == "card 7 6 4 3 4111 1111 1111 ok"
+
+
+@settings(max_examples=300, deadline=None)
+@given(st.lists(st.sampled_from(["[at]", " at ", "(dot)", " dot ", "four", "\u017fix", "plus ", "7", " ", "-", ",", "\u200b", "\uff11", "x", "@", ".", "4111", "é"]), max_size=25))
+def test_any_mixture_maps_back_into_the_text(parts):
+    text = "".join(parts)
+    for s in pii.disguised(text, pii.detect(text)):
+        assert 0 <= s.start < s.end <= len(text)
+
+
 def test_prose_is_left_alone():
     for text in ("look at it dot and go", "see me at example.com", "erin at it. Thes of ones", "one or two of the three, four at most",
                  "un deux trois", "les 10 – 20 at home", "call at nine one one", "a · b • c — d", "Привет, мир. Это о том, что @ нет",

@@ -158,6 +158,7 @@ def rewrite(text: str, matches: Iterator[tuple[int, int, str]]) -> tuple[str, Ed
     """Text with the ascending (start, end, new) pieces put in, and the edits."""
     edits, out, at, size = Edits(), [], 0, 0
     for a, b, new in matches:
+        a = max(a, at)  # a blank between two pieces goes with the first
         out += (text[at:a], new)
         size += a - at
         edits.add(a, b, size, size + len(new))
@@ -235,6 +236,12 @@ _HAS_DOT = re.compile(rf"\.|{_DOT_WORD}", re.I)
 _LETTERS = re.compile(r"[^\W\d_]+")
 
 
+def _digit(word: str) -> str | None:
+    """The digit of a word as the pattern matches it: any case, also of letters such
+    as a long s or a dotted capital I."""
+    return _VALUE.get(unicodedata.normalize("NFKC", word).casefold().replace("\u0307", ""))
+
+
 def _spelled(text: str):
     for run in _RUN.finditer(text):
         tokens = list(_EACH.finditer(text, run.end("plus") if run["plus"] else run.start(), run.end()))
@@ -244,8 +251,8 @@ def _spelled(text: str):
         if run["plus"]:
             yield *run.span("plus"), "+"
         for t, after in zip(tokens, [*tokens[1:], None]):
-            if not t.group().isdigit():
-                yield *t.span(), _VALUE[t.group().lower()]
+            if not t.group().isdigit() and (digit := _digit(t.group())):
+                yield *t.span(), digit
             if after is not None:
                 gap, a, b = text[t.end():after.start()].strip(), t.end(), after.start()
                 new = ("" if dotted else " ") if gap in ("", ",") else "-" if gap == "-" else text[a:b]
