@@ -23,7 +23,6 @@ their own; no documents give no pieces.  Extra columns are ignored."""
 
 from __future__ import annotations
 
-import re
 import zlib
 from array import array
 from functools import reduce
@@ -42,20 +41,13 @@ CAPACITY, END_ID = 2048, 0
 WAVES = (4,)  # sizes above capacity / 4 first, then all
 PROGRESS = 0.9  # a round that leaves more of its pieces than this opens new sequences
 RANGE_ROWS = 100_000  # rows of a range: a round has as many tasks as its rows need
-CACHE_WORDS, CACHE_CHARS = 500_000, 64
-# a run of white space (Unicode White_Space) and what follows it: token
-# boundaries always lie before the run's last character or earlier
-_WS = "\t\n\x0b\x0c\r \x85\xa0  -     　"
-_SEGMENT = re.compile(f"[{_WS}]*[^{_WS}]+|[{_WS}]+")
-_CACHES: dict[int, object] = {}
 SPECIAL = "<|"  # texts that may hold a special token's string are encoded whole
 PIECE = "pid long, doc_id long, piece int, start long, length long, ids_crc32 long"
 
 
 def _ranks_encoder(source: str):
     """A rank-merge encoder over the vocabulary of a byte-level BPE file: the same
-    ids as the ``tokenizers`` library for text without special tokens, at less than
-    half the cost for short segments."""
+    ids as the ``tokenizers`` library for text without special tokens."""
     import json
 
     import public_tokenizers
@@ -70,42 +62,18 @@ def _ranks_encoder(source: str):
     return tiktoken.Encoding("byte-level", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens={})
 
 
-class SegmentCache:
-    """Segment -> ids in two generations of ``CACHE_WORDS`` each: frequent segments
-    stay when a generation is full."""
-
-    def __init__(self, source: str):
-        self.whole, self.ranks = tokenizer(source), _ranks_encoder(source)
-        self.young: dict[str, bytes] = {}
-        self.old: dict[str, bytes] = {}
-
-    def ids(self, text: str) -> bytes:
-        if SPECIAL in text or len(text) > 1000:
-            return array("I", self.whole.encode(text, add_special_tokens=False).ids).tobytes()
-        return array("I", self.ranks.encode_ordinary(text)).tobytes()
-
-    def __getitem__(self, segment: str) -> bytes:
-        found = self.young.get(segment)
-        if found is None:
-            found = self.old.get(segment)
-            if found is None:
-                found = self.ids(segment)
-            if len(segment) <= CACHE_CHARS:
-                if len(self.young) >= CACHE_WORDS:
-                    self.young, self.old = {}, self.young
-                self.young[segment] = found
-        return found
-
-
-def segment_ids(texts: list[str], source: str) -> list[bytes]:
-    """Ids (little-endian unsigned 32-bit) of each text, segment by segment."""
-    cache = _CACHES.get(hash(source))
-    if cache is None:
-        cache = _CACHES[hash(source)] = SegmentCache(source)
-    out = []
-    for x in texts:
-        out.append(cache.ids(x) if SPECIAL in x else b"".join(map(cache.__getitem__, _SEGMENT.findall(x))))
-    return out
+_ENCODERS: dict[int, tuple] = {}
+
+
+def text_ids(texts: list[str], source: str) -> list[bytes]:
+    """Ids (little-endian unsigned 32-bit) of each text.  Texts that may hold a special
+    token's string are encoded by the ``tokenizers`` library, which knows it; for all
+    others the vocabulary's ranks give the same ids at a fifth of the cost."""
+    key = hash(source)
+    if key not in _ENCODERS:
+        _ENCODERS[key] = tokenizer(source), _ranks_encoder(source)
+    whole, ranks = _ENCODERS[key]
+    return [array("I", whole.encode(x, add_special_tokens=False).ids if SPECIAL in x else ranks.encode_ordinary(x)).tobytes() for x in texts]
 
 
 def cut(length: int, capacity: int) -> list[tuple[int, int]]:
@@ -129,7 +97,7 @@ def _pieces(source, capacity: int):
                     group.append(texts[j].as_py() or "")
                     n, j = n + len(group[-1]), j + 1
                 rows = []
-                for doc, ids in zip(b.column(0).slice(i, j - i).to_pylist(), segment_ids(group, source.value)):
+                for doc, ids in zip(b.column(0).slice(i, j - i).to_pylist(), text_ids(group, source.value)):
                     ids += end
                     rows += [(doc, k, s, m, zlib.crc32(memoryview(ids)[4 * s:4 * (s + m)]))
                              for k, (s, m) in enumerate(cut(len(ids) // 4, capacity))]
