@@ -5,8 +5,10 @@ and without a watermark: an offset that comes late but for the first time is
 new, however old it is, and a replay is dropped, however late.  Contiguous offsets
 are one interval, so the set stays small.
 
-Intervals end at multiples of ``CHUNK``, so that looking up an offset is a join on
-(topic, partition, chunk) with a comparison inside a chunk.  Each micro-batch
+Intervals end at multiples of ``CHUNK``.  Offsets are looked up in one pass over a
+chunk in offset order: one is seen if an interval that begins before it reaches it.
+So the work grows with offsets and intervals, not with their product, also where
+offsets have gaps and every one is an interval of its own.  Each micro-batch
 publishes its own intervals under its batch id; a batch that is replayed after a
 crash is compared with the batches before it, not with itself.  ``compact`` merges
 the intervals of closed batches and publishes them as one entry.
@@ -59,10 +61,13 @@ class SeenOffsets:
         """Rows of a micro-batch whose offset no earlier batch has, each offset once."""
         known = " AND ".join(f"{c} IS NOT NULL" for c in KEY)
         fresh = first_by(batch.filter(known), KEY, ["kafka_timestamp"])
-        seen = self.before(batch_id).select(*[F.col(c).alias(f"_{c}") for c in GROUP], "first", "last")
-        same = [F.col(c) == F.col(f"_{c}") for c in GROUP]
-        fresh = with_chunk(fresh).join(seen, [*same, F.col("kafka_offset").between(F.col("first"), F.col("last"))], "left_anti").drop("chunk")
-        return fresh.unionByName(batch.filter(f"NOT ({known})"))
+        fresh = with_chunk(fresh).withColumn("at", F.col("kafka_offset")).withColumn("last", F.lit(None).cast("long"))
+        seen = self.before(batch_id).select(*GROUP, F.col("first").alias("at"), "last")
+        # intervals before the offsets they may hold; an interval's row has no offset
+        upto = Window.partitionBy(*GROUP).orderBy("at", F.col("last").desc_nulls_last()).rowsBetween(Window.unboundedPreceding, 0)
+        met = fresh.unionByName(seen, allowMissingColumns=True).withColumn("reach", F.max("last").over(upto))
+        new = met.filter(F.col("kafka_offset").isNotNull() & (F.col("reach").isNull() | (F.col("reach") < F.col("at"))))
+        return new.select(*batch.columns).unionByName(batch.filter(f"NOT ({known})"))
 
     def record(self, rows: DataFrame, batch_id: int) -> None:
         """Publish the offsets of what the batch has written."""
