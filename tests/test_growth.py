@@ -35,3 +35,22 @@ def test_offsets_with_gaps_are_looked_up_without_a_join(spark, tmp_dir):
     assert got == sorted([*want, ("t", None, 5), (None, 0, 5)], key=str)
     assert new.columns == messages(spark, rows).columns
     assert "Join" not in plan(new)
+
+
+def event(station, day):
+    return json.dumps({"station_id": station, "poll_time": f"2024-01-0{day}T10:00:00+00:00", "snapshot_id": "p", "feed_last_updated": 1, "feed_ttl": 60,
+                       **{c: 1 for c in [*SS.REQUIRED, "num_bikes_disabled", "num_docks_disabled"]}})
+
+
+def records(spark, rows):
+    return spark.createDataFrame([(None, v.encode(), "status.v1", 0, o, T) for o, v in rows], SS.KAFKA_RECORD_SCHEMA)
+
+
+def test_compaction_beside_a_stream_of_several_batches(spark, tmp_dir, monkeypatch):
+    import velotide.registry as R
+    for k in range(8):  # two files a batch: four batches
+        records(spark, [(10 * k + d, event(f"S{d}", d)) for d in (1, 2, 3)]).coalesce(1).write.mode("append").parquet(f"{tmp_dir}/kafka")
+    monkeypatch.setattr(R, "landed_path", lambda *a: f"{tmp_dir}/kafka")
+    rows = R.QUERIES["stream_compacted"](spark, tmp_dir)
+    assert sorted(r.kafka_offset for r in rows.collect()) == sorted(10 * k + d for k in range(8) for d in (1, 2, 3))
+    assert any(".merged" in f for f in rows.inputFiles())

@@ -971,12 +971,14 @@ def q_stream_compacted(spark, root):
     out = StreamTable(spark, f"{work}/raw")
     events = SS.status_stream(spark, "files", {"path": landed_path(spark, root, "kafka"), "maxFilesPerTrigger": "2"})
 
+    merged = []
+
     def write(batch, batch_id):
         out.write_batch()(batch, batch_id)
-        if batch_id == 1:
-            day, slots = sorted(out.small_slots("2024-01-10").items())[0]
-            out.merge(day, slots)  # and stops
-            out.compact("2024-01-10")
+        small = sorted(out.small_slots("2024-01-10").items())
+        if small and not merged:  # the first time that a day has several batches the stream is past
+            out.merge(*small[0])  # and stops
+            merged.extend(out.compact("2024-01-10"))
 
     events.writeStream.foreachBatch(write).option("checkpointLocation", f"{work}/checkpoint").trigger(availableNow=True).start().awaitTermination()
     out.compact("2024-01-15")
