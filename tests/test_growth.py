@@ -54,3 +54,15 @@ def test_compaction_beside_a_stream_of_several_batches(spark, tmp_dir, monkeypat
     rows = R.QUERIES["stream_compacted"](spark, tmp_dir)
     assert sorted(r.kafka_offset for r in rows.collect()) == sorted(10 * k + d for k in range(8) for d in (1, 2, 3))
     assert any(".merged" in f for f in rows.inputFiles())
+
+
+def test_codes_and_stations_of_one_name_are_not_paired(spark, monkeypatch):
+    n, paired, unique = 20, [], I._unique
+    src = spark.createDataFrame([(f"X{k}", "Twin St & 1 Ave", 40.0, -74.0, None, "1 ave & twin st") for k in range(n)] + [("Y", "Own St", 41.0, -74.0, None, "own st")],
+                                "source_station_code string, source_station_name string, source_latitude double, source_longitude double, "
+                                "source_station_code_numeric decimal(38,9), canonical_name string")
+    ref = spark.createDataFrame([(f"S{k}", f"{k}.01", 40.0, -74.0, "1 ave & twin st") for k in range(n)] + [("T", "t", 41.0, -74.0, "own st"), ("U", None, 41.0, -74.0, None)],
+                                "station_key string, short_name string, latitude double, longitude double, canonical_name string")
+    monkeypatch.setattr(I, "_unique", lambda c, *a: (paired.append(c.count()), unique(c, *a))[1])
+    assert [tuple(r) for r in I.match_geo(src, ref).collect()] == [("Y", "T", I.GEO)]
+    assert paired == [n + 1]

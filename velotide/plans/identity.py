@@ -93,10 +93,19 @@ def station_reference(stg_stations: DataFrame) -> DataFrame:
     )
 
 
+def _by_key(ref: DataFrame, key: str, *cols: str) -> DataFrame:
+    """The reference with one row per key and how many stations have it.  Codes meet
+    this instead of the stations: a name that many codes and many stations share
+    would make a pair of each.  The other columns are a station's own only where
+    the key has one station; codes of the other keys are ambiguous in any case."""
+    return ref.filter(F.col(key).isNotNull()).groupBy(key).agg(
+        F.count(F.lit(1)).alias("stations"), *[F.min(c).alias(c) for c in cols])
+
+
 def _unique(candidates: DataFrame, method: str, extra_filter=None) -> DataFrame:
     """Codes with exactly one candidate (count taken before ``extra_filter``)."""
     agg = candidates.groupBy("source_station_code").agg(
-        F.count(F.lit(1)).alias("candidate_count"),
+        F.sum("stations").alias("candidate_count"),
         F.min("station_key").alias("station_key"),
         *([F.min("distance_m").alias("distance_m")] if "distance_m" in candidates.columns else []))
     keep = F.col("candidate_count") == 1
@@ -107,7 +116,7 @@ def _unique(candidates: DataFrame, method: str, extra_filter=None) -> DataFrame:
 
 def match_exact(src: DataFrame, ref: DataFrame) -> DataFrame:
     cand = src.select("source_station_code").join(
-        ref.select(F.col("short_name").alias("source_station_code"), "station_key"), "source_station_code")
+        _by_key(ref, "short_name", "station_key").withColumnRenamed("short_name", "source_station_code"), "source_station_code")
     return _unique(cand, EXACT)
 
 
@@ -118,7 +127,7 @@ def _open(src: DataFrame, done: DataFrame | None) -> DataFrame:
 def match_numeric(src: DataFrame, ref: DataFrame, done: DataFrame | None = None) -> DataFrame:
     open_codes = _open(src, done)
     cand = open_codes.select("source_station_code", F.col("source_station_code_numeric").alias("num")).join(
-        ref.select(F.col("short_name_numeric").alias("num"), "station_key"), "num")
+        _by_key(ref, "short_name_numeric", "station_key").withColumnRenamed("short_name_numeric", "num"), "num")
     return _unique(cand, NUMERIC)
 
 
@@ -130,7 +139,7 @@ def match_geo(src: DataFrame, ref: DataFrame, done: DataFrame | None = None, max
     open_codes = (_open(src, done)
                   .filter(F.col("source_latitude").isNotNull() & F.col("source_longitude").isNotNull()))
     cand = open_codes.select("source_station_code", "canonical_name", "source_latitude", "source_longitude").join(
-        ref.select("canonical_name", "station_key", "latitude", "longitude"), "canonical_name")
+        _by_key(ref, "canonical_name", "station_key", "latitude", "longitude"), "canonical_name")
     # a coordinate outside the globe has no distance (the warehouse would fail)
     dist = F.when(_valid_point("source_latitude", "source_longitude") & _valid_point("latitude", "longitude"),
                   haversine_m("source_latitude", "source_longitude", "latitude", "longitude"))
