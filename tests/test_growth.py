@@ -66,3 +66,13 @@ def test_codes_and_stations_of_one_name_are_not_paired(spark, monkeypatch):
     monkeypatch.setattr(I, "_unique", lambda c, *a: (paired.append(c.count()), unique(c, *a))[1])
     assert [tuple(r) for r in I.match_geo(src, ref).collect()] == [("Y", "T", I.GEO)]
     assert paired == [n + 1]
+
+
+def test_partitions_are_written_without_a_sort(spark, tmp_dir):
+    key = "spark.sql.maxConcurrentOutputFileWriters"
+    before, df = spark.conf.get(key), spark.range(0, 1000, 1, 3).withColumn("part", F.col("id") % 7)
+    with open_writers(spark, 2):  # fewer than there are values
+        assert spark.conf.get(key) == "2"
+        df.write.partitionBy("part").parquet(f"{tmp_dir}/t")
+    assert spark.conf.get(key) == before
+    assert sorted(map(tuple, spark.read.parquet(f"{tmp_dir}/t").select("id", "part").collect())) == [(i, i % 7) for i in range(1000)]

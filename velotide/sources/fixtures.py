@@ -17,6 +17,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.utils import AnalysisException
 
 from velotide.functions.columns import epoch_micros_ntz, instant_from_micros, ntz_plus_seconds
+from velotide.session import open_writers
 from velotide.sources.tables import load_table
 
 # --- fixed values of the fixture ---------------------------------------------
@@ -288,7 +289,8 @@ def landed(spark: SparkSession, root: str, name: str) -> DataFrame:
     df = _BUILDERS[name](spark, root)
     # every writer task writes its own file per partition: no shuffle, and
     # the table keeps as many splits as the job had tasks
-    df.write.partitionBy(*_PARTITIONS.get(name, [])).parquet(path)
+    with open_writers(spark):
+        df.write.partitionBy(*_PARTITIONS.get(name, [])).parquet(path)
     _LANDED[key] = (path, df.columns)
     # same column order as the view (partition columns come back last)
     return spark.read.parquet(path).select(*df.columns)
