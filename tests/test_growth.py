@@ -56,6 +56,12 @@ def test_compaction_beside_a_stream_of_several_batches(spark, tmp_dir, monkeypat
     assert any(".merged" in f for f in rows.inputFiles())
 
 
+def test_a_status_value_is_parsed_once(spark):
+    df = SS.structural_filter(SS.parse_status(records(spark, [(1, event("S1", 1)), (2, "{broken"), (3, event(" ", 1)), (4, "null"), (5, "[]")])))
+    assert [r.kafka_offset for r in df.collect()] == [1]
+    assert plan(df).count("from_json") == 1
+
+
 def test_codes_and_stations_of_one_name_are_not_paired(spark, monkeypatch):
     n, paired, unique = 20, [], I._unique
     src = spark.createDataFrame([(f"X{k}", "Twin St & 1 Ave", 40.0, -74.0, None, "1 ave & twin st") for k in range(n)] + [("Y", "Own St", 41.0, -74.0, None, "own st")],

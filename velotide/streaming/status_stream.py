@@ -67,13 +67,16 @@ def read_status_stream(spark: SparkSession, source: str = "kafka", options: dict
 
 
 def parse_status(records: DataFrame) -> DataFrame:
+    """The value is parsed as the output of a one-element generator: the tests of
+    the structural filter are then made on the parsed fields, instead of each of
+    them parsing the value again."""
     return records.select(
         F.col("topic").alias("kafka_topic"),
         F.col("partition").cast("bigint").alias("kafka_partition"),
         F.col("offset").cast("bigint").alias("kafka_offset"),
         F.col("timestamp").alias("kafka_timestamp"),
-        F.from_json(F.col("value").cast("string"), STATUS_EVENT_SCHEMA).alias("station"),
-    ).select("kafka_topic", "kafka_partition", "kafka_offset", "kafka_timestamp", "station.*")
+        F.inline(F.array(F.from_json(F.col("value").cast("string"), STATUS_EVENT_SCHEMA))),
+    )
 
 
 def structural_filter(df: DataFrame) -> DataFrame:
