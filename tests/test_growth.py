@@ -82,3 +82,34 @@ def test_partitions_are_written_without_a_sort(spark, tmp_dir):
         df.write.partitionBy("part").parquet(f"{tmp_dir}/t")
     assert spark.conf.get(key) == before
     assert sorted(map(tuple, spark.read.parquet(f"{tmp_dir}/t").select("id", "part").collect())) == [(i, i % 7) for i in range(1000)]
+
+
+def test_gzip_trip_files_are_found_and_read(spark, tmp_dir):
+    row = ("R1", "classic_bike", T, T + dt.timedelta(minutes=5), 'A "x", St', "1", "B", "2", 40.0, -74.0, 40.1, -74.1, "member")
+    df = spark.createDataFrame([row], ingest.schemas.TRIP_CSV)
+    for name, how in (("a", "gzip"), ("b", "none")):
+        ingest.write_trip_csv(df, f"{tmp_dir}/{name}/source_month=2024-01", how)
+        paths = ingest.batch_paths(spark, f"{tmp_dir}/{name}", "2024-01-01")
+        assert paths and all(p.endswith(".gz") == (how == "gzip") for p in paths)
+        assert [tuple(r)[:13] for r in ingest.read_trip_csv(spark, paths, "2024-01-01").collect()] == [row]
+
+
+def test_a_feed_batch_of_one_file_is_dealt_to_all_cores(spark, tmp_dir):
+    from velotide.streaming.feed_stream import RESPONSE_SCHEMA, write_feed_batch
+    station = json.dumps({"station_id": "S1", **{c: 1 for c in SS.REQUIRED}})
+    body = '{"last_updated": 1, "ttl": 60, "data": {"stations": [' + station + ']}}'
+    rows = [(f"feed://{k}", 200, body, T) for k in range(60)] + [("feed://0", 200, body, T), ("feed://x", 200, None, T), (None, 200, body, None)]
+    batch = spark.createDataFrame(rows, RESPONSE_SCHEMA).coalesce(1)
+    write_feed_batch(tmp_dir)(batch, 0)
+    events = spark.read.parquet(f"{tmp_dir}/events")
+    assert events.count() == 62 and spark.read.parquet(f"{tmp_dir}/dlq").count() == 1
+    assert len(events.inputFiles()) > 1 or spark.sparkContext.defaultParallelism == 1
+
+
+def test_the_version_is_added_after_the_shuffle(spark, tmp_dir):
+    from velotide.operators.versions import VERSION, VersionedTable
+    table = VersionedTable(spark, f"{tmp_dir}/t", "day", ["part"])
+    table.replace(spark.range(20).selectExpr("id", "'2024-01-0' || (id % 3) AS day", "id % 2 AS part"), sort_by=["id"])
+    assert table.read().count() == 20 and VERSION not in table.read().columns
+    table.replace(spark.range(5).selectExpr("id", "'2024-01-01' AS day", "id AS part"), ["2024-01-01"])
+    assert table.read().filter("day = '2024-01-01'").count() == 5

@@ -35,7 +35,10 @@ def write_feed_batch(out_root: str, producer_id: str = "velotide-feed", sink: st
     root = out_root.rstrip("/")
 
     def write(batch_df: DataFrame, batch_id: int) -> None:
-        rows = classified(batch_df).persist()
+        # a micro-batch is a few files, each read by one task: the responses are dealt
+        # to all cores before they are parsed
+        cores = batch_df.sparkSession.sparkContext.defaultParallelism
+        rows = classified(batch_df.repartition(cores, *batch_df.columns)).persist()
         try:
             ev, dl = publish(feed_events(rows)), dlq_records(feed_dlq(rows, producer_id))
             if sink == "kafka":
