@@ -487,7 +487,7 @@ def _land_csv_months(spark, root, compat=None, rerun_first=False):
     trips = FX.raw_trips(spark, root).filter(F.col("started_at").isNotNull())
     months = sorted(r[0] for r in trips.select("source_month").distinct().collect())  # a few months
     for m in months:
-        ING.write_trip_csv(trips.filter(F.col("source_month") == F.lit(m)), f"{work}/landing/source_month={m:%Y-%m}")
+        ING.write_trip_csv(trips.filter(F.col("source_month") == F.lit(m)), f"{work}/landing/source_month={m:%Y-%m}", "gzip")
     runs = months + (months[:1] if rerun_first else [])
     for m in runs:
         df = ING.read_trip_csv(spark, ING.batch_paths(spark, f"{work}/landing", str(m)), m)

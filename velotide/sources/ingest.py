@@ -53,19 +53,19 @@ def read_trip_csv(spark: SparkSession, paths, source_month, batch_id: str | None
     return df.withColumn("started_at", checked).withColumn("source_month", month).withColumn("batch_id", bid)
 
 
-def write_trip_csv(df: DataFrame, path: str) -> None:
+def write_trip_csv(df: DataFrame, path: str, compression: str = "none") -> None:
     """Write trips as the source publishes them (used for fixtures)."""
     (df.select(*[f.name for f in schemas.TRIP_CSV.fields]).write.mode("overwrite")
-     .option("header", "true").option("timestampNTZFormat", TRIP_TIME_FORMAT).option("escape", '"')
+     .option("header", "true").option("timestampNTZFormat", TRIP_TIME_FORMAT).option("escape", '"').option("compression", compression)
      .option("ignoreLeadingWhiteSpace", "false").option("ignoreTrailingWhiteSpace", "false")
      .csv(path))
 
 
 def batch_paths(spark: SparkSession, root: str, source_month: str) -> list[str]:
-    """All CSV files of one month (``<root>/source_month=YYYY-MM/``), sorted."""
+    """All CSV files of one month (``<root>/source_month=YYYY-MM/``), plain or gzip, sorted."""
     month = f"{as_month(source_month):%Y-%m}"
     try:
-        files = spark.read.text(f"{root.rstrip('/')}/source_month={month}/*.csv").inputFiles()
+        files = spark.read.text(f"{root.rstrip('/')}/source_month={month}/*.{{csv,csv.gz}}").inputFiles()
     except AnalysisException:
         files = []
     if not files:
