@@ -12,6 +12,7 @@ its parameters and can use ``F.broadcast`` directly."""
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 from velotide.session import scratch_path
 
@@ -29,3 +30,15 @@ def bounded_broadcast(df: DataFrame) -> DataFrame:
     planner compares with ``spark.sql.autoBroadcastJoinThreshold`` -- broadcast
     below it, a shuffle join above it."""
     return materialise(df)
+
+
+BROADCAST_ROWS = 1_000_000  # of a few short columns each: about 100 MB as a hash table
+
+
+def counted_broadcast(df: DataFrame, most: int = BROADCAST_ROWS) -> tuple[DataFrame, bool]:
+    """A narrow join side written once, and whether it has at most ``most`` rows; then
+    it is broadcast whatever the planner's threshold, since a shuffle would move
+    the whole large side.  Above the bound the planner decides."""
+    kept = materialise(df)
+    small = kept.count() <= most
+    return (F.broadcast(kept) if small else kept), small

@@ -19,14 +19,18 @@ from __future__ import annotations
 
 import json
 import uuid
+from contextlib import nullcontext
 from typing import Callable, Iterable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructType
 
+from velotide.session import open_writers
+
 VERSION = "version"
 NULL_VALUE = "__HIVE_DEFAULT_PARTITION__"  # Spark's folder name of a null partition value
+VALUES_OF_A_SPLIT = 32  # partition values a scan task meets at most: files of 4 MB (open cost) in a split of 128 MB
 
 
 class ConcurrentPublish(RuntimeError):
@@ -35,10 +39,11 @@ class ConcurrentPublish(RuntimeError):
 
 class VersionedTable:
     """``unit`` is the partition column that is replaced as a whole, ``inner`` the
-    partition columns inside it."""
+    partition columns inside it.  Files are written with ``codec`` (None: the session's)."""
 
-    def __init__(self, spark: SparkSession, path: str, unit: str, inner: Iterable[str] = ()):
+    def __init__(self, spark: SparkSession, path: str, unit: str, inner: Iterable[str] = (), codec: str | None = None):
         self.spark, self.path, self.unit, self.inner = spark, path.rstrip("/"), unit, list(inner)
+        self.options = {"compression": codec} if codec else {}
 
     # ---------------------------------------------------------- manifests ---
     def _fs(self):
@@ -76,15 +81,19 @@ class VersionedTable:
         return m["live"] if m else {}
 
     # ------------------------------------------------------------- writing ---
-    def stage(self, df: DataFrame, sort_by: Iterable[str] = ()) -> str:
-        """Write ``df`` under a version id of its own; no reader sees it yet."""
+    def stage(self, df: DataFrame, sort_by: Iterable[str] = (), laid_out: bool = False) -> str:
+        """Write ``df`` under a version id of its own; no reader sees it yet.
+        ``laid_out``: a task's rows are of few partition values already (read from
+        a table of the same layout, or dealt by it before), so they are not shuffled."""
         version = uuid.uuid4().hex
         by = [self.unit, *self.inner]
         # REBALANCE: a busy partition is split over several writer tasks, quiet ones are merged
-        out = df.hint("rebalance", *by).withColumn(VERSION, F.lit(version))  # not shuffled with every row
+        out = df if laid_out else df.hint("rebalance", *by)
+        out = out.withColumn(VERSION, F.lit(version))  # not shuffled with every row
         if sort_by:
             out = out.sortWithinPartitions(*by, *sort_by)
-        out.write.mode("append").partitionBy(self.unit, VERSION, *self.inner).parquet(f"{self.path}/data")
+        with open_writers(self.spark, VALUES_OF_A_SPLIT) if laid_out else nullcontext():
+            out.write.mode("append").partitionBy(self.unit, VERSION, *self.inner).options(**self.options).parquet(f"{self.path}/data")
         return version
 
     def staged_values(self, version: str) -> list[str]:
@@ -125,9 +134,9 @@ class VersionedTable:
             fs.delete(part, False)
             raise ConcurrentPublish(f"{self.path}: manifest {number} is there already")
 
-    def replace(self, df: DataFrame, covers=None, sort_by: Iterable[str] = (), note: dict | None = None) -> "VersionedTable":
+    def replace(self, df: DataFrame, covers=None, sort_by: Iterable[str] = (), note: dict | None = None, laid_out: bool = False) -> "VersionedTable":
         """Stage and publish.  ``covers="present"``: the values that ``df`` has."""
-        version = self.stage(df, sort_by)
+        version = self.stage(df, sort_by, laid_out)
         self.publish(version, df.schema, self.staged_values(version) if covers == "present" else covers, note)
         return self
 

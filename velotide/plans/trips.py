@@ -16,6 +16,11 @@ TRIP_HISTORY_COLS = [
     "end_latitude", "end_longitude", "member_casual", "rejection_reasons", "is_valid_trip",
     "source_month", "batch_id",
 ]
+# what a trip's history takes from staging; everything else is derived or looked up
+STAGED_COLS = [
+    "ride_id", "rideable_type", "started_at", "ended_at", "start_station_id", "end_station_id", "start_latitude",
+    "start_longitude", "end_latitude", "end_longitude", "member_casual", "source_month", "batch_id",
+]
 
 
 def derive_trips(stg: DataFrame) -> DataFrame:

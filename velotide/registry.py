@@ -949,14 +949,14 @@ def q_identity_change(spark, root):
     """Trips written with the identity of half the stations, brought to that of all
     of them: only batches with a changed code are written again."""
     from velotide.operators.versions import VersionedTable
-    from velotide.plans.rekey import apply_identity
+    from velotide.plans.rekey import apply_identity, write_fact, write_history
     m = models(spark, root)
     work = scratch_path(spark, "rekey")
     half = m.stg_station.filter(F.xxhash64("station_id") % 2 == 0)
     old = I.station_identity(m.stg_trip, half)
-    history, fact = (VersionedTable(spark, f"{work}/{t}", "source_month", ["start_date"]) for t in ("history", "fact"))
-    history.replace(trip_history(m.stg_trip, old, broadcast_identity=False))
-    fact.replace(fct_trip(history.read()))
+    history, fact = (VersionedTable(spark, f"{work}/{t}", "source_month", ["start_date"], codec="zstd") for t in ("history", "fact"))
+    write_history(m.stg_trip, old, history)
+    write_fact(history, fact)
     apply_identity(m.stg_trip, I.station_variants_by_batch(m.stg_trip), old, m.station_identity, history, fact)
     return _codes(history.read())
 
