@@ -20,7 +20,6 @@ from velotide.plans import analyses as Y
 from velotide.plans import identity as I
 from velotide.plans import status as S
 from velotide.plans.jobs import daily_transform, read_model
-from velotide.plans.trips import fct_trip, trip_history
 from velotide.plans.models import Models
 from velotide.session import apply_job_conf, scratch_path
 from velotide.sources import feed as FD
