@@ -14,13 +14,14 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from velotide.session import scratch_path
+from velotide.session import freed_shuffles, scratch_path
 
 
 def materialise(df: DataFrame, name: str = "dim") -> DataFrame:
     """Write ``df`` once to the shared checkpoint folder and read it back."""
     path = scratch_path(df.sparkSession, name)
-    df.write.parquet(path)
+    with freed_shuffles(df.sparkSession):
+        df.write.parquet(path)
     return df.sparkSession.read.parquet(path)
 
 

@@ -26,7 +26,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructType
 
-from velotide.session import open_writers
+from velotide.session import freed_shuffles, open_writers
 
 VERSION = "version"
 NULL_VALUE = "__HIVE_DEFAULT_PARTITION__"  # Spark's folder name of a null partition value
@@ -92,7 +92,7 @@ class VersionedTable:
         out = out.withColumn(VERSION, F.lit(version))  # not shuffled with every row
         if sort_by:
             out = out.sortWithinPartitions(*by, *sort_by)
-        with open_writers(self.spark, VALUES_OF_A_SPLIT) if laid_out else nullcontext():
+        with freed_shuffles(self.spark), open_writers(self.spark, VALUES_OF_A_SPLIT) if laid_out else nullcontext():
             out.write.mode("append").partitionBy(self.unit, VERSION, *self.inner).options(**self.options).parquet(f"{self.path}/data")
         return version
 

@@ -24,7 +24,9 @@ from velotide.operators.checks import assert_checks, run_checks
 from velotide.operators.versions import NULL_VALUE, VersionedTable, open_table, read_table
 from velotide.plans import dims, identity, marts, staging, status, trips
 from velotide.plans.quality import SPECS
+from velotide.plans.rekey import write_history
 from velotide.plans.runlog import RunLogger
+from velotide.session import freed_shuffles
 from velotide.sources import ingest
 
 
@@ -66,15 +68,16 @@ def daily_transform(spark: SparkSession, raw_trips: DataFrame, raw_stations: Dat
 
     def write(name, df):
         """A model rebuilt as a whole; read back by its schema, rows or none."""
-        df.write.mode("overwrite").option("partitionOverwriteMode", "static").parquet(f"{out}/{name}")
+        with freed_shuffles(spark):
+            df.write.mode("overwrite").option("partitionOverwriteMode", "static").parquet(f"{out}/{name}")
         return spark.read.schema(df.schema).parquet(f"{out}/{name}")
 
     def versioned(name, unit, inner=()):
-        return VersionedTable(spark, f"{out}/{name}", unit, inner)
+        return VersionedTable(spark, f"{out}/{name}", unit, inner, codec="zstd")
 
-    def replace(table, df, covers=None):
+    def replace(table, df, covers=None, laid_out=False):
         name = table.path.rsplit("/", 1)[1]
-        step(name, lambda: table.replace(df, covers))
+        step(name, lambda: table.replace(df, covers, laid_out=laid_out))
         return table.read()
 
     stg_trip = staging.stg_trip(raw_trips)
@@ -100,7 +103,10 @@ def daily_transform(spark: SparkSession, raw_trips: DataFrame, raw_stations: Dat
     ident = step("int_station_identity", lambda: write("int_station_identity", identity.station_identity(
         stg_trip, stg_station, variants=merged)))
     old_days = INC.touched_days(INC.for_month(t_fact.read(), month), "start_date") if month is not None else []
-    hist_all = replace(t_hist, trips.trip_history(stg_trip, ident, month, broadcast_identity=False), by_trip_unit)
+    # trips are brought together by day as staged, once; the fact reads them as they lie
+    staged = stg_trip if month is None else INC.for_month(stg_trip, month)
+    step("int_trip_history", lambda: write_history(staged, ident, t_hist, by_trip_unit))
+    hist_all = t_hist.read()
     hist_t = hist_all if month is None else INC.for_month(hist_all, month)
     # rejected trips by batch: ids never span batches, so a month run replaces only its batch
     t_rejected = versioned("int_quarantine_trip", "batch_id")
@@ -136,7 +142,7 @@ def daily_transform(spark: SparkSession, raw_trips: DataFrame, raw_stations: Dat
     q_status = per_day("int_quarantine_station_status", lambda rows: with_day(status.quarantine_status(rows)), st_t)
     dd = step("dim_date", lambda: write("dim_date", dims.dim_date(spark, *calendar)))
     ds = step("dim_station", lambda: write("dim_station", dims.dim_station(stg_station)))
-    ft_t = replace(t_fact, trips.fct_trip(hist_t), by_trip_unit)
+    ft_t = replace(t_fact, trips.fct_trip(hist_t), by_trip_unit, laid_out=True)
     fs_t = per_day("fct_station_status", lambda rows: with_day(status.fct_station_status(rows, ds, broadcast_dim=False)), st_t)
     # daily summary: only the days this batch touched are recomputed and
     # replaced (a month file also holds days of the next month)
