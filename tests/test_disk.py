@@ -60,3 +60,22 @@ def test_writes_leave_no_shuffle_files(spark, tmp_dir):
         time.sleep(0.2)
     assert not shuffle_files(spark) - before
     assert kept.count() == VersionedTable(spark, f"{tmp_dir}/t", "day").read().count() == 20_000
+
+
+def test_landed_inputs_are_packed_and_trips_not_shuffled(spark, tmp_dir):
+    root = f"{tmp_dir}/in"
+    line = spark.createDataFrame([(k, k % 40, k % 12, k % 7, float(k % 50), "NRA"[k % 3], "OF"[k % 2]) for k in range(1, 200)] + [(5, None, 3, 1, 1.0, "N", "O"), (6, 7, None, 1, 1.0, "N", None)],
+                                 "l_orderkey long, l_partkey long, l_suppkey long, l_linenumber int, l_quantity double, l_returnflag string, l_linestatus string")
+    line.write.parquet(f"{root}/lineitem.parquet")
+    spark.createDataFrame([(k, k % 5) for k in range(12)] + [(3, 4), (None, 1)], "s_suppkey long, s_nationkey int").write.parquet(f"{root}/supplier.parquet")
+    key = "spark.sql.autoBroadcastJoinThreshold"
+    before = spark.conf.get(key)
+    spark.conf.set(key, "-1")
+    try:
+        rows = fixtures.raw_trips(spark, root)
+        assert "Exchange hashpartitioning" not in rows._jdf.queryExecution().executedPlan().toString()
+        trips = fixtures.landed(spark, root, "trips")
+    finally:
+        spark.conf.set(key, before)
+    assert sorted(map(str, trips.collect())) == sorted(map(str, rows.collect())) and rows.count() > 199
+    assert all(f.endswith(".zstd.parquet") for f in trips.inputFiles())

@@ -36,10 +36,14 @@ def bounded_broadcast(df: DataFrame) -> DataFrame:
 BROADCAST_ROWS = 1_000_000  # of a few short columns each: about 100 MB as a hash table
 
 
-def counted_broadcast(df: DataFrame, most: int = BROADCAST_ROWS) -> tuple[DataFrame, bool]:
-    """A narrow join side written once, and whether it has at most ``most`` rows; then
+def small_broadcast(kept: DataFrame, most: int = BROADCAST_ROWS) -> tuple[DataFrame, bool]:
+    """A narrow join side that is stored, and whether it has at most ``most`` rows; then
     it is broadcast whatever the planner's threshold, since a shuffle would move
     the whole large side.  Above the bound the planner decides."""
-    kept = materialise(df)
     small = kept.count() <= most
     return (F.broadcast(kept) if small else kept), small
+
+
+def counted_broadcast(df: DataFrame, most: int = BROADCAST_ROWS) -> tuple[DataFrame, bool]:
+    """``small_broadcast`` of a side that is written once for it."""
+    return small_broadcast(materialise(df), most)

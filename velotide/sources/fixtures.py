@@ -17,6 +17,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.utils import AnalysisException
 
 from velotide.functions.columns import epoch_micros_ntz, instant_from_micros, ntz_plus_seconds
+from velotide.operators.broadcast import small_broadcast
 from velotide.session import open_writers
 from velotide.sources.tables import load_table
 
@@ -62,7 +63,7 @@ def raw_trips(spark: SparkSession, root: str) -> DataFrame:
     li = load_table(spark, root, "lineitem").select(
         "l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_quantity", "l_returnflag", "l_linestatus")
     sup = load_table(spark, root, "supplier").select("s_suppkey", "s_nationkey")
-    start_sup = sup.select(F.col("s_suppkey").alias("l_suppkey"), F.col("s_nationkey").alias("start_nat"))
+    start_sup, _ = small_broadcast(sup.select(F.col("s_suppkey").alias("l_suppkey"), F.col("s_nationkey").alias("start_nat")))
     # end stations are suppliers 0..9 only: a key range, so at most 10 rows
     end_sup = F.broadcast(sup.filter(F.col("s_suppkey").between(0, 9))
                           .select(F.col("s_suppkey").alias("end_k"), F.col("s_nationkey").alias("end_nat")))
@@ -290,7 +291,7 @@ def landed(spark: SparkSession, root: str, name: str) -> DataFrame:
     # every writer task writes its own file per partition: no shuffle, and
     # the table keeps as many splits as the job had tasks
     with open_writers(spark):
-        df.write.partitionBy(*_PARTITIONS.get(name, [])).parquet(path)
+        df.write.partitionBy(*_PARTITIONS.get(name, [])).option("compression", "zstd").parquet(path)
     _LANDED[key] = (path, df.columns)
     # same column order as the view (partition columns come back last)
     return spark.read.parquet(path).select(*df.columns)
