@@ -1,6 +1,9 @@
 """What jobs write, shuffle and leave on disk while they run."""
 
+import contextlib
 import glob
+import io
+import re
 import time
 
 from pyspark.sql import functions as F
@@ -8,6 +11,7 @@ from pyspark.sql import functions as F
 from tests.conftest import SF_SMALL
 from velotide.operators.broadcast import materialise
 from velotide.operators.versions import VersionedTable
+from velotide.plans import trips as TR
 from velotide.plans.jobs import daily_transform, read_model
 from velotide.plans.models import FIXTURE_AS_OF, FIXTURE_CALENDAR
 from velotide.sources import fixtures
@@ -79,3 +83,26 @@ def test_landed_inputs_are_packed_and_trips_not_shuffled(spark, tmp_dir):
         spark.conf.set(key, before)
     assert sorted(map(str, trips.collect())) == sorted(map(str, rows.collect())) and rows.count() > 199
     assert all(f.endswith(".zstd.parquet") for f in trips.inputFiles())
+
+
+def test_hub_trips_and_those_without_a_code_stay_where_they_are(spark):
+    starts = ["hub", None, "lost", "a", "b", "c", "hub"]  # "lost" is a hub code that the identity lacks
+    rows = [(f"R{k}" if k % 11 else None, starts[k % 7] if k % 13 else f"s{k}", ["end", None, f"e{k % 30}"][k % 3]) for k in range(600)] * 2
+    stg = spark.createDataFrame(rows, "ride_id string, start_station_id string, end_station_id string").select(
+        "ride_id", F.lit("classic_bike").alias("rideable_type"), F.expr("timestamp_ntz'2024-01-01 10:00:00'").alias("started_at"),
+        F.expr("timestamp_ntz'2024-01-01 10:30:00'").alias("ended_at"), "start_station_id", "end_station_id",
+        *[F.lit(1.0).alias(c) for c in ("start_latitude", "start_longitude", "end_latitude", "end_longitude")],
+        F.lit("guest").alias("member_casual"), F.lit("2024-01-01").cast("date").alias("source_month"), F.lit("b").alias("batch_id"))
+    codes = [*"abc", "hub", "hub", "end", "e1", "e1", *[f"s{k}" for k in range(0, 600, 2)], None]  # a code may come twice
+    ident = spark.createDataFrame([(c, f"S{i}", "MATCHED" if i % 3 else None) for i, c in enumerate(codes)], "source_station_code string, station_key string, mapping_status string")
+    got = TR.trip_history_hubs(stg, ident, 3)
+    p = got._jdf.queryExecution().executedPlan().toString()
+    assert "ShuffledHashJoin" in p and "SortMergeJoin" not in p
+    with contextlib.redirect_stdout(io.StringIO()) as told:
+        got.explain("formatted")
+    moved = re.findall(r"\) Exchange\s*\nInput \[\d+\]: (.*)", told.getvalue())
+    assert moved and not any("rejection_reasons" in m or "duration_minutes" in m for m in moved)  # as staged
+    for k in (1, 3, 64):
+        h = TR.trip_history_hubs(stg, ident, k)
+        assert h.columns == TR.TRIP_HISTORY_COLS
+        assert sorted(map(str, h.collect())) == sorted(map(str, TR.trip_history(stg, ident, broadcast_identity=False).collect()))

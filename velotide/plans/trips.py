@@ -72,21 +72,22 @@ def hub_codes(trips: DataFrame, column: str, k: int = HUBS) -> list[str]:
 
 def trip_history_hubs(stg: DataFrame, identity: DataFrame, k: int = HUBS) -> DataFrame:
     """``trip_history`` for an identity too large to broadcast: a hub's trips take
-    their station from a broadcast of at most ``k`` codes and are dealt evenly over
-    the shuffle of the others, instead of meeting in one task."""
-    t = derive_trips(stg).withColumn("rejection_reasons", rejections(TRIP_RULES))
+    their station from a broadcast of at most ``k`` codes where they are, and so do
+    trips without a code, which match nothing; only the others are shuffled, as
+    staged, and meet their part of the identity (one row a code, far fewer than
+    trips) as a hash table, so that they are not sorted."""
+    t = stg.select(*STAGED_COLS)
     ident = identity.select(F.col("source_station_code").alias("__code"), F.struct("station_key", "mapping_status").alias("__station"))
     for role in ("start", "end"):
         code = f"{role}_station_id"
         hubs = hub_codes(stg, code, k)
-        found = ident.filter(F.col("__code").isin(hubs)).select(F.col("__code").alias("__hub"), F.col("__station").alias("__of_hub"))
-        spread = F.when(F.col(code).isin(hubs), F.lit(None)).otherwise(F.col(code))
-        t = t.join(F.broadcast(found), F.col(code) == F.col("__hub"), "left").withColumn("__own", spread)
-        t = t.withColumn("__own", _spread_null("__own"))
-        t = t.join(ident.hint("shuffle_merge"), F.col("__own") == F.col("__code"), "left")
-        station = F.coalesce("__of_hub", "__station")
-        t = t.withColumn(f"{role}_station_key", station["station_key"]).withColumn(
-            f"{role}_station_mapping_status", station["mapping_status"]).drop("__hub", "__of_hub", "__own", "__code", "__station")
+        own = F.col(code) == F.col("__code")
+        here = F.col(code).isNull() | F.col(code).isin(hubs)
+        t = (t.filter(here).join(F.broadcast(ident.filter(F.col("__code").isin(hubs))), own, "left")
+             .unionByName(t.filter(~here).join(ident.hint("shuffle_hash"), own, "left")))
+        t = t.withColumn(f"{role}_station_key", F.col("__station.station_key")).withColumn(
+            f"{role}_station_mapping_status", F.col("__station.mapping_status")).drop("__code", "__station")
+    t = derive_trips(t).withColumn("rejection_reasons", rejections(TRIP_RULES))
     return t.withColumn("is_valid_trip", passes(TRIP_RULES)).select(*TRIP_HISTORY_COLS)
 
 
