@@ -106,3 +106,34 @@ def test_hub_trips_and_those_without_a_code_stay_where_they_are(spark):
         h = TR.trip_history_hubs(stg, ident, k)
         assert h.columns == TR.TRIP_HISTORY_COLS
         assert sorted(map(str, h.collect())) == sorted(map(str, TR.trip_history(stg, ident, broadcast_identity=False).collect()))
+
+
+def test_checked_models_are_made_of_those_written(spark, monkeypatch):
+    from pyspark.sql.readwriter import DataFrameWriter
+
+    from velotide.plans.models import Models
+    from velotide.plans.quality import run_model_checks
+    from velotide.registry import QUERIES
+    made_of, write = {}, DataFrameWriter.parquet
+
+    def kept(self, path, *a, **k):
+        made_of[path.rsplit("/", 1)[-1]] = {re.sub(r".*/velotide-work/[^/]*/", "", f).split("/")[0] for f in self._df.inputFiles()}
+        return write(self, path, *a, **k)
+
+    key = "spark.sql.autoBroadcastJoinThreshold"
+    before = spark.conf.get(key)
+    spark.conf.set(key, "-1")
+    try:
+        m = Models.from_fixtures(spark, SF_SMALL)
+        assert "SortMergeJoin" not in m.trip_history._jdf.queryExecution().executedPlan().toString()  # the identity is few rows
+        monkeypatch.setattr(DataFrameWriter, "parquet", kept)
+        got = QUERIES["check_on_write"](spark, SF_SMALL)
+    finally:
+        spark.conf.set(key, before)
+    for table, base in (("fct_trip", "int_trip_history"), ("int_quarantine_trip", "int_trip_history"), ("int_station_status", "stg_station_status"),
+                        ("int_quarantine_station_status", "int_station_status")):
+        assert made_of[table] == {base}, table
+    assert made_of["int_trip_history"] == {"stg_trip_history", "int_station_identity"}
+    assert made_of["fct_station_status"] == {"int_station_status", "dim_station"}
+    want = run_model_checks(Models.from_fixtures(spark, SF_SMALL), ("not_null",))
+    assert sorted(map(tuple, got.collect())) == sorted(map(tuple, want.collect()))

@@ -14,6 +14,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from velotide.plans import dims, identity, marts, staging, status, trips
+from velotide.operators.broadcast import small_broadcast
 from velotide.operators.incremental import table_exists
 from velotide.session import scratch_path
 from velotide.sources import fixtures
@@ -79,7 +80,10 @@ class Models:
 
     @cached_property
     def trip_history(self) -> DataFrame:
-        return trips.trip_history(self.stg_trip, self.station_identity, self.source_month,
+        ident = self.station_identity
+        if self.broadcast_dims and self.shared is not None:  # stored already
+            ident, _ = small_broadcast(ident.select("source_station_code", "station_key", "mapping_status"))
+        return trips.trip_history(self.stg_trip, ident, self.source_month,
                                   broadcast_identity=self.broadcast_dims and self.shared is None)
 
     @cached_property

@@ -6,12 +6,13 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from velotide.functions.columns import date_key
-from velotide.operators.checks import (Check, Derived, accepted, grain, not_null, relationship, run_checks,
-                                       unique)
+from velotide.operators.checks import (Check, Derived, accepted, grain, not_null, observed, observed_report, relationship,
+                                       run_checks, unique)
 from velotide.plans import status, trips
 from velotide.plans.identity import EXACT, GEO, MATCHED, NUMERIC, UNRESOLVED
 from velotide.plans.models import Models
 from velotide.functions.rules import RIDER_TYPES, reason_codes
+from velotide.session import freed_shuffles
 
 # --- fixed values: the test suite (table, column, test) -------------------------
 SPECS: list[Check] = [
@@ -88,6 +89,22 @@ def model_tables(m: Models, names=None) -> dict[str, DataFrame]:
     return {t: getattr(m, attr) for t, attr in TABLE_MODELS.items() if names is None or t in names}
 
 
+def write_checked(m: Models, specs: list[Check], path: str) -> DataFrame:
+    """Write the tables of the row-level ``specs`` under ``path`` and return the report,
+    counted by the writes.  A model made from another tested one reads what was
+    written of it, so each is computed once."""
+    spark, seen = m.spark, []
+    for name, attr in TABLE_MODELS.items():  # in the order they are made
+        if any(c.table == name for c in specs):
+            df = getattr(m, attr)
+            out, observation = observed(df, name, specs)
+            with freed_shuffles(spark):
+                out.write.option("compression", "zstd").parquet(f"{path}/{name}")
+            setattr(m, attr, spark.read.schema(df.schema).parquet(f"{path}/{name}"))
+            seen.append(observation)
+    return observed_report(spark, seen)
+
+
 def derived_tables(m: Models) -> dict[str, Derived]:
     """Trip history holds every staged trip, and the fact and the quarantine are
     filters of it (likewise for status): one pass over each serves them all."""

@@ -899,16 +899,9 @@ def q_trip_history_hubs(spark, root):
 @register("check_on_write", ORACLE["check_not_null"])
 def q_check_on_write(spark, root):
     """Not-null tests counted while the tables are written: no second read."""
-    from velotide.operators.checks import observed, observed_report
-    from velotide.plans.quality import SPECS, model_tables
+    from velotide.plans.quality import SPECS, write_checked
     m = models(spark, root)
-    specs = [c for c in SPECS if c.check == "not_null"]
-    work, seen = scratch_path(spark, "checked"), []
-    for name, df in model_tables(m, {c.table for c in specs}).items():
-        out, observation = observed(df, name, specs)
-        out.write.parquet(f"{work}/{name}")
-        seen.append(observation)
-    return observed_report(spark, seen)
+    return write_checked(m, [c for c in SPECS if c.check == "not_null"], scratch_path(spark, "checked"))
 
 
 _ATTEMPT = ("'run-' || CAST(event_id % 40 AS VARCHAR) AS run_id, 'task-' || CAST(user_id % 9 AS VARCHAR) AS task_id, "
