@@ -51,7 +51,7 @@ def test_the_daily_job_moves_trips_once_as_staged(spark, tmp_dir, monkeypatch):
         for p, laid_out in plans["int_trip_history"]:
             below = p[p.index("RebalancePartitions"):]
             assert laid_out and p.count("RebalancePartitions") == 1 and "rejection_reasons" not in below and "Join" not in below
-        for p, laid_out in plans["fct_trip"]:  # read as the history lies
+        for p, laid_out in plans["fct_trip"] + plans["int_quarantine_trip"]:  # read as the history lies
             assert laid_out and "RebalancePartitions" not in p
 
 
@@ -137,3 +137,36 @@ def test_checked_models_are_made_of_those_written(spark, monkeypatch):
     assert made_of["fct_station_status"] == {"int_station_status", "dim_station"}
     want = run_model_checks(Models.from_fixtures(spark, SF_SMALL), ("not_null",))
     assert sorted(map(tuple, got.collect())) == sorted(map(tuple, want.collect()))
+
+
+def test_rejected_trips_that_no_other_equals_are_not_shuffled(spark, tmp_dir, monkeypatch):
+    at = "timestamp_ntz'2024-01-01 10:00:00'"
+    rows = [(f"R{k % 90}" if k % 4 else None, ["x", None][k % 2], [None, "x"][k % 2], k % 5 == 0, k % 3) for k in range(300)]
+    h = spark.createDataFrame(rows, "ride_id string, start_station_id string, end_station_id string, is_valid_trip boolean, r int").select(
+        "*", F.concat(F.lit("b"), F.col("r") % 2).alias("batch_id"), F.expr(at).alias("started_at"), F.when(F.col("r") > 0, F.expr(at)).alias("ended_at"),
+        F.expr("transform(sequence(0, r), i -> named_struct('reason_code', 'C' || i, 'failed_field', 'f', 'reason_detail', 'd'))").alias("rejection_reasons"))
+    history = saved(spark, h, f"{tmp_dir}/h")
+    want = sorted(map(str, TR.quarantine_trip(history, FIXTURE_AS_OF).collect()))
+    assert len(want) == 240
+    hashed = TR.quarantine_trip(history, FIXTURE_AS_OF, stored=True)
+    p = hashed._jdf.queryExecution().optimizedPlan().toString()
+    single = p[p.index("Join LeftAnti"):p.index("Join LeftSemi")]
+    assert "Aggregate" not in single.split("rightHint=(strategy=broadcast)")[0] and "rightHint=(strategy=broadcast)" in single
+    assert "RebalancePartitions" not in p
+    for got in (hashed, TR.quarantine_trip(history, FIXTURE_AS_OF, stored=True, most=0)):  # or all rows are grouped
+        assert sorted(map(str, got.collect())) == want
+    once = saved(spark, h.filter("ride_id = 'R1'").limit(1), f"{tmp_dir}/once")
+    assert TR.quarantine_trip(once, FIXTURE_AS_OF, stored=True, most=0).count() == TR.quarantine_trip(once, FIXTURE_AS_OF).count()
+
+
+def test_uniqueness_of_a_stored_table_shuffles_hashes(spark, tmp_dir, monkeypatch):
+    from velotide.operators import checks as CH
+    df = saved(spark, spark.createDataFrame([(f"v{k % 50}" if k < 60 else f"w{k}", k % 40) for k in range(200)] + [(None, 1), (None, 2)], "x string, y long"), f"{tmp_dir}/t")
+    specs = [CH.unique("t", "x"), CH.unique("t", "y")]
+    want = [("t", "x", "unique", 10), ("t", "y", "unique", 40)]
+    asked, count = [], CH.counted_broadcast
+    monkeypatch.setattr(CH, "counted_broadcast", lambda d, *a: asked.append(d.columns) or count(d, *a))
+    assert sorted(map(tuple, CH.run_checks({"t": df}, specs, stored=True).collect())) == want and asked == [["__hash"]]
+    assert sorted(map(tuple, CH.run_checks({"t": df}, specs).collect())) == want and len(asked) == 1
+    monkeypatch.setattr(CH, "counted_broadcast", lambda d, *a: (d, False))  # more repeated hashes than may be broadcast
+    assert sorted(map(tuple, CH.run_checks({"t": df}, specs, stored=True).collect())) == want

@@ -4,7 +4,8 @@
   (a row of counters, then ``inline`` into report rows); a table that is a
   filter of another one (``Derived``) is counted in that one's pass.
 * unique: values that occur more than once (nulls skipped); a hash aggregate
-  with map-side combine, so a hot value is counted, never gathered.
+  with map-side combine, so a hot value is counted, never gathered.  Of a stored
+  table, hashes are counted first and then only values of repeated ones.
 * relationships: child rows whose non-null key is missing in the parent; all
   of a child's relationships in one pass of left joins to the parents' keys.
 * grain: groups of the given keys with more than one row.
@@ -19,6 +20,8 @@ from typing import NamedTuple, Sequence
 from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
+from velotide.operators.broadcast import counted_broadcast
+
 REPORT_COLS = ["table", "column", "check", "failures"]
 
 
@@ -78,8 +81,15 @@ def _scan_checks(df: DataFrame, checks: Sequence[Check], derived: dict[str, Deri
     return sums.select(F.inline(rows))
 
 
-def _unique(df: DataFrame, c: Check) -> DataFrame:
-    dup = (df.filter(F.col(c.column).isNotNull()).groupBy(c.column).count().filter(F.col("count") > 1))
+def _unique(df: DataFrame, c: Check, stored: bool = False) -> DataFrame:
+    rows = df.select(c.column).filter(F.col(c.column).isNotNull())
+    if stored and dict(rows.dtypes)[c.column] == "string":
+        # values whose 64-bit hash no other row has occur once: only the others are shuffled
+        hashed = F.xxhash64(c.column)
+        repeated, few = counted_broadcast(rows.groupBy(hashed.alias("__hash")).count().filter("count > 1").select("__hash"))
+        if few:
+            rows = rows.join(repeated, hashed == F.col("__hash"), "left_semi")
+    dup = rows.groupBy(c.column).count().filter(F.col("count") > 1)
     return _row(c.table, c.column, c.check, dup.agg(F.count(F.lit(1)).alias("failures")))
 
 
@@ -101,7 +111,10 @@ def _grain(df: DataFrame, c: Check) -> DataFrame:
     return _row(c.table, c.column, c.check, dup.agg(F.count(F.lit(1)).alias("failures")))
 
 
-def run_checks(tables: dict[str, DataFrame], specs: Sequence[Check], derived: dict[str, Derived] | None = None) -> DataFrame:
+def run_checks(tables: dict[str, DataFrame], specs: Sequence[Check], derived: dict[str, Derived] | None = None,
+               stored: bool = False) -> DataFrame:
+    """``stored``: the tables are cheap to read again, and uniqueness tests read their
+    column twice to shuffle less of it."""
     derived = derived or {}
     parts: list[DataFrame] = []
     scans: dict[str, list[Check]] = {}
@@ -115,7 +128,7 @@ def run_checks(tables: dict[str, DataFrame], specs: Sequence[Check], derived: di
     parts += [_relationships(tables[t], tables, cs) for t, cs in links.items()]
     for c in specs:
         if c.check == "unique":
-            parts.append(_unique(tables[c.table], c))
+            parts.append(_unique(tables[c.table], c, stored))
         elif c.check == "grain":
             parts.append(_grain(tables[c.table], c))
     out = parts[0]

@@ -111,7 +111,8 @@ def daily_transform(spark: SparkSession, raw_trips: DataFrame, raw_stations: Dat
     # rejected trips by batch: ids never span batches, so a month run replaces only its batch
     t_rejected = versioned("int_quarantine_trip", "batch_id")
     whole = by_batch is None or not t_rejected.exists()
-    q_trip = replace(t_rejected, trips.quarantine_trip(hist_all if whole else hist_t, as_of), None if whole else [batch_id])
+    q_trip = replace(t_rejected, trips.quarantine_trip(hist_all if whole else hist_t, as_of, stored=True), None if whole else [batch_id],
+                     laid_out=True)  # the stored history lies by batch
 
     # status: the days from the mark on are replaced, also those that have no rows any more
     t_status = versioned("int_station_status", "poll_day")
@@ -167,7 +168,9 @@ def daily_transform(spark: SparkSession, raw_trips: DataFrame, raw_stations: Dat
         "int_station_identity": ident, "int_trip_history": hist_all, "int_quarantine_trip": q_trip, "int_station_status": st_t,
         "int_quarantine_station_status": q_status, "dim_date": dd, "dim_station": ds, "fct_trip": ft_t, "fct_station_status": fs_t,
     }
-    if check_scope == "run" and month is not None:
+    def checked():
+        if check_scope != "run" or month is None:
+            return run_checks(tables, SPECS, stored=True)
         in_run = dict(tables)
         for t in ("stg_trip_history", "int_trip_history", "fct_trip"):
             in_run[t] = INC.for_month(tables[t], month)
@@ -178,10 +181,9 @@ def daily_transform(spark: SparkSession, raw_trips: DataFrame, raw_stations: Dat
         in_run["int_quarantine_trip"] = q_trip.filter(F.col("batch_id") == batch_id)
         row_specs = [c for c in SPECS if c.check in ("not_null", "accepted_values", "relationships")]
         key_specs = [c for c in SPECS if c.check in ("unique", "grain")]
-        checks = run_checks(in_run, row_specs).unionByName(run_checks(tables, key_specs))
-    else:
-        checks = run_checks(tables, SPECS)
-    report = step("checks", lambda: write("check_report", checks))
+        return run_checks(in_run, row_specs).unionByName(run_checks(tables, key_specs, stored=True))
+
+    report = step("checks", lambda: write("check_report", checked()))
     assert_checks(report, severity)
     return report
 

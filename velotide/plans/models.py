@@ -39,6 +39,7 @@ class Models:
         self.source_month, self.status_since = source_month, status_since
         self.broadcast_dims = broadcast_dims
         self.shared: tuple | None = None
+        self.history_stored = False  # whether trip_history is read from a table
 
     @classmethod
     def from_fixtures(cls, spark: SparkSession, root: str, **kw) -> "Models":
@@ -88,7 +89,7 @@ class Models:
 
     @cached_property
     def quarantine_trip(self) -> DataFrame:
-        return trips.quarantine_trip(self.trip_history, self.as_of)
+        return trips.quarantine_trip(self.trip_history, self.as_of, stored=self.history_stored)
 
     @cached_property
     def station_status(self) -> DataFrame:

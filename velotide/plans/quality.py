@@ -101,6 +101,7 @@ def write_checked(m: Models, specs: list[Check], path: str) -> DataFrame:
             with freed_shuffles(spark):
                 out.write.option("compression", "zstd").parquet(f"{path}/{name}")
             setattr(m, attr, spark.read.schema(df.schema).parquet(f"{path}/{name}"))
+            m.history_stored |= attr == "trip_history"
             seen.append(observation)
     return observed_report(spark, seen)
 

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from velotide.functions.columns import date_key, minute_diff, row_md5
 from velotide.functions.rules import TRIP_RULES, passes, reason_codes, rejections
-from velotide.operators.broadcast import bounded_broadcast
+from velotide.operators.broadcast import BROADCAST_ROWS, bounded_broadcast, counted_broadcast
 
 TRIP_HISTORY_COLS = [
     "ride_id", "rideable_type", "started_at", "ended_at", "start_station_id", "end_station_id",
@@ -114,20 +114,39 @@ def quarantined_at(as_of) -> Column:
     return F.lit(as_of).cast("timestamp")
 
 
-def quarantine_trip(history: DataFrame, as_of) -> DataFrame:
+def _counted_copies(bad: DataFrame) -> DataFrame:
+    """Rejected trips with their ordinal among equal ones (one shuffle, combined
+    map-side): copies are counted and written out again with the ordinals 1..n."""
+    copies = bad.groupBy(*QUARANTINE_ID_COLS, "rejection_reasons").agg(F.count(F.lit(1)).alias("__n"))
+    return copies.withColumn("__ordinal", F.explode(F.sequence(F.lit(1).cast("bigint"), F.col("__n")))).drop("__n")
+
+
+def quarantine_trip(history: DataFrame, as_of, stored: bool = False, most: int = BROADCAST_ROWS) -> DataFrame:
     """Rejected trips, one row each.
 
     The id is an md5 of the identifying columns, the reason codes and the
     row's ordinal among rows equal in all of those (deterministic for a
     given input, unlike a random uuid); ``as_of`` replaces the wall clock so
     reruns are equal.  Every output column is a function of that basis, so
-    copies are counted (one shuffle, combined map-side) and written out again
-    with the ordinals 1..n: no window, and no dependence on partitions."""
-    bad = history.filter(~F.col("is_valid_trip"))
-    copies = bad.groupBy(*QUARANTINE_ID_COLS, "rejection_reasons").agg(F.count(F.lit(1)).alias("__n"))
-    each = (copies.withColumn("__codes", reason_codes("rejection_reasons"))
-            .withColumn("__ordinal", F.explode(F.sequence(F.lit(1).cast("bigint"), F.col("__n")))))
-    return each.select(
+    copies are counted: no window, and no dependence on partitions.
+
+    Of a ``stored`` history, which is cheap to read again, only 64-bit hashes of the
+    identifying columns are shuffled at first: a row whose hash no other has is the
+    first of its kind and stays where it lies; the others are counted in full.  With
+    more than ``most`` repeated hashes all rows are."""
+    bad = history.filter(~F.col("is_valid_trip")).select(*QUARANTINE_ID_COLS, "rejection_reasons")
+    few = False
+    if stored:
+        hashed = F.xxhash64(*QUARANTINE_ID_COLS)
+        repeated, few = counted_broadcast(bad.groupBy(hashed.alias("__hash")).count().filter("count > 1").select("__hash"), most)
+    if few:
+        single = bad.join(repeated, hashed == F.col("__hash"), "left_anti").withColumn("__ordinal", F.lit(1).cast("bigint"))
+        each = single.unionByName(_counted_copies(bad.join(repeated, hashed == F.col("__hash"), "left_semi")))
+    else:
+        each = _counted_copies(bad)
+        if stored:  # to be written by batch
+            each = each.hint("rebalance", "batch_id")
+    return each.withColumn("__codes", reason_codes("rejection_reasons")).select(
         quarantine_id(F.col("__codes"), F.col("__ordinal")).alias("quarantine_id"),
         "batch_id", "ride_id", "started_at", "ended_at", "start_station_id", "end_station_id",
         F.col("rejection_reasons").alias("rejections"),
